@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tapmart.presets import WHITESPACE
+
 
 def blank_to_null(text: Column, tokens: tuple[str, ...] = ("nan",)) -> Column:
-    """Trim, then turn texts that stand for "no value" into null."""
-    trimmed = F.trim(text)
+    """Trim all kinds of blanks, then turn texts that stand for "no value" into null."""
+    trimmed = F.btrim(text, F.lit(WHITESPACE))
     return F.when(~trimmed.isin(list(tokens)), trimmed)
 
 

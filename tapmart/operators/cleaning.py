@@ -78,7 +78,7 @@ def rename_columns(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
 
 
 def with_lineage(
-    df: DataFrame, source: str, batch_id: str, loaded_at: Column | None = None
+    df: DataFrame, source: str | Column, batch_id: str, loaded_at: Column | None = None
 ) -> DataFrame:
     """Where a row came from and with which batch; the load time only when one is given."""
     columns = {"source": F.lit(source), "batch_id": F.lit(batch_id)}

@@ -43,16 +43,21 @@ def first_version(
     attributes: Sequence[str],
     arrival: Sequence[str],
     preferred: Sequence[Column] = (),
+    file_column: str | None = None,
 ) -> DataFrame:
     """One row per key out of very many: the preferred version, then the one that arrived first.
 
+    With ``file_column``, an outer column of ``arrival``, the first file that has the key decides,
+    and the preference is among the rows of that file.
+
     Attributes repeat with every row of a key, so the distinct versions are found by a hash
     aggregation first. It runs before the shuffle too and leaves a few rows per key there,
     however many rows the key has. ``preferred`` may use the attributes only.
     """
     *outer, last = arrival
     versions = df.groupBy(key, *attributes, *outer).agg(F.min(last).alias(last))
-    order = [*preferred, *[F.col(name).asc() for name in arrival]]
+    by_file = [F.col(file_column).asc()] if file_column else []
+    order = [*by_file, *preferred, *[F.col(name).asc() for name in arrival]]
     return sorted_first(versions, key, order).select(key, *attributes)
 
 

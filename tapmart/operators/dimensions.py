@@ -13,7 +13,7 @@ from tapmart.functions import riders, routes
 from tapmart.functions.calendar import calendar_attributes
 from tapmart.operators.cleaning import trim_columns, with_validity
 from tapmart.operators.dedup import distinct_values, first_version
-from tapmart.operators.keys import dense_key
+from tapmart.operators.keys import append_keys, dense_key
 
 
 def literal_rows(
@@ -40,44 +40,20 @@ def fixed_bounds(spark: SparkSession, first: str, last: str) -> DataFrame:
     )
 
 
-def dim_date(days: DataFrame) -> DataFrame:
-    """DM1, DM2: calendar dimension of the given distinct days, keyed in date order.
-
-    A calendar is bounded: the date type itself has 3.7 million values.
-    """
-    keyed = dense_key(days.select("date"), "date_key", ["date"], bounded=True)
-    return keyed.select(
-        "date_key",
-        "date",
-        *[c.alias(name) for name, c in calendar_attributes(F.col("date")).items()],
-    )
-
-
 def date_members(trips: DataFrame) -> DataFrame:
     """U4: the days on which there was a trip."""
     return distinct_values(trips, "travel_date").toDF("date").dropna()
 
 
 # --------------------------------------------------------------------------------------- stops
-_STOP_COLUMNS = (
-    "stop_key",
-    "stop_id",
-    "stop_name",
-    "latitude",
-    "longitude",
-    "valid_from",
-    "valid_to",
-    "is_current",
-)
-
-
-def dim_stop(stops: DataFrame, load_date: Column) -> DataFrame:
-    """DM3, DM4: keyed stops, from a stop table or from ``stop_members``."""
-    keyed = dense_key(trim_columns(stops, ["stop_name"]), "stop_key", ["stop_id"])
-    return with_validity(keyed, load_date).select(*_STOP_COLUMNS)
+def table_stops(stop_table: DataFrame) -> DataFrame:
+    """DM3: stops of a stop table."""
+    return trim_columns(stop_table, ["stop_name"])
 
 
-def stop_members(trips: DataFrame, arrival: Sequence[str]) -> DataFrame:
+def stop_members(
+    trips: DataFrame, arrival: Sequence[str], file_column: str | None = None
+) -> DataFrame:
     """DM4, X2: every stop seen, boarding rows before alighting rows, then by arrival.
 
     Both roles come out of one pass over the trips.
@@ -94,25 +70,13 @@ def stop_members(trips: DataFrame, arrival: Sequence[str]) -> DataFrame:
     ]
     seen = trips.select(F.inline(F.array(*roles)), *arrival).dropna(subset=["stop_id"])
     attributes = ["_role", "stop_name", "latitude", "longitude"]
-    return first_version(seen, "stop_id", attributes, arrival, [F.col("_role")]).drop("_role")
+    by_role = [F.col("_role")]
+    return first_version(seen, "stop_id", attributes, arrival, by_role, file_column).drop("_role")
 
 
 # -------------------------------------------------------------------------------------- routes
-_ROUTE_COLUMNS = (
-    "route_key",
-    "route_id",
-    "route_name",
-    "origin",
-    "destination",
-    "corridor_type",
-    "valid_from",
-    "valid_to",
-    "is_current",
-)
-
-
 def table_routes(route_table: DataFrame) -> DataFrame:
-    """Routes of a route table; the type is derived, whatever the table says."""
+    """DM5: routes of a route table; the type is derived, whatever the table says."""
     return route_table.withColumns(
         {
             "corridor_type": routes.corridor_type(F.col("route_id")),
@@ -124,7 +88,7 @@ def table_routes(route_table: DataFrame) -> DataFrame:
 
 
 def route_members(trips: DataFrame, arrival: Sequence[str]) -> DataFrame:
-    """Every route seen, with the name it had first."""
+    """DM5: every route seen, with the name it had first."""
     return first_version(trips, "route_id", ["route_name"], arrival).withColumns(
         {
             "corridor_type": routes.corridor_type_or_other(F.col("route_id")),
@@ -134,29 +98,7 @@ def route_members(trips: DataFrame, arrival: Sequence[str]) -> DataFrame:
     )
 
 
-def dim_route(members: DataFrame, load_date: Column) -> DataFrame:
-    """DM5: keyed routes, from ``table_routes`` or from ``route_members``."""
-    keyed = dense_key(members, "route_key", ["route_id"])
-    return with_validity(keyed, load_date).select(*_ROUTE_COLUMNS)
-
-
 # -------------------------------------------------------------------------------------- riders
-_RIDER_COLUMNS = (
-    "rider_key",
-    "rider_id",
-    "rider_name",
-    "card_bank",
-    "gender",
-    "birth_year",
-    "age",
-    "age_band",
-    "rider_segment",
-    "valid_from",
-    "valid_to",
-    "is_current",
-)
-
-
 def with_age(
     people: DataFrame,
     reference_year: int,
@@ -173,36 +115,21 @@ def with_age(
     )
 
 
-def rider_members(trips: DataFrame, arrival: Sequence[str], reference_year: int) -> DataFrame:
-    """Every card seen, as described where its birth year is known and smallest."""
+def rider_members(
+    trips: DataFrame,
+    arrival: Sequence[str],
+    reference_year: int,
+    file_column: str | None = None,
+) -> DataFrame:
+    """DM6, U3: every card seen, as described where its birth year is known and smallest."""
     attributes = ["rider_name", "card_bank", "gender", "birth_year"]
     by_birth = [F.col("birth_year").asc_nulls_last()]
     cards = trips.dropna(subset=["rider_id"])
-    return with_age(
-        first_version(cards, "rider_id", attributes, arrival, by_birth), reference_year
-    )
-
-
-def dim_rider(members: DataFrame, load_date: Column) -> DataFrame:
-    """DM6: keyed riders, from a rider table ``with_age`` or from ``rider_members``."""
-    keyed = dense_key(members, "rider_key", ["rider_id"])
-    return with_validity(keyed, load_date).select(*_RIDER_COLUMNS)
+    versions = first_version(cards, "rider_id", attributes, arrival, by_birth, file_column)
+    return with_age(versions, reference_year)
 
 
 # --------------------------------------------------------------------------------------- fleet
-_FLEET_COLUMNS = (
-    "fleet_key",
-    "fleet_id",
-    "route_id",
-    "direction",
-    "operating_date",
-    "vehicle_type",
-    "capacity",
-    "is_synthetic",
-    "note",
-)
-
-
 def with_vehicle(df: DataFrame, corridor_type: str = "corridor_type") -> DataFrame:
     """Vehicle type and capacity of a corridor type; unlisted types count as other."""
     table = literal_rows(
@@ -221,7 +148,7 @@ def with_vehicle(df: DataFrame, corridor_type: str = "corridor_type") -> DataFra
 
 
 def fleet_members(trips: DataFrame, arrival: Sequence[str]) -> DataFrame:
-    """One row per synthetic vehicle."""
+    """DM7: one row per synthetic vehicle."""
     attributes = ["route_id", "direction", "travel_date"]
     seen = first_version(trips, "fleet_id", attributes, arrival)
     typed = seen.withColumn("corridor_type", routes.corridor_type_or_other(F.col("route_id")))
@@ -233,11 +160,6 @@ def fleet_members(trips: DataFrame, arrival: Sequence[str]) -> DataFrame:
     )
 
 
-def dim_fleet(members: DataFrame) -> DataFrame:
-    """DM7: keyed vehicles, from ``fleet_members``."""
-    return dense_key(members, "fleet_key", ["fleet_id"]).select(*_FLEET_COLUMNS)
-
-
 def fleet_load_summary(trips: DataFrame) -> DataFrame:
     """Vehicles, trips and trips per vehicle."""
     per_vehicle = trips.groupBy("fleet_id").agg(F.count(F.lit(1)).alias("trips"))
@@ -256,8 +178,7 @@ def dim_feedback_category(spark: SparkSession) -> DataFrame:
     )
 
 
-# ----------------------------------------------------------------------------- unknown members
-# Natural key of every dimension.
+# -------------------------------------------------------------------------------- keyed members
 NATURAL_KEYS = {
     "date": "date",
     "stop": "stop_id",
@@ -266,8 +187,122 @@ NATURAL_KEYS = {
     "fleet": "fleet_id",
     "feedback_category": "category_name",
 }
+# Members of these have a small fixed limit: the date type itself has 3.7 million values.
+BOUNDED = ("date",)
+_VALIDITY = ("valid_from", "valid_to", "is_current")
+LAYOUTS = {
+    "date": (
+        "date_key",
+        "date",
+        "year",
+        "quarter",
+        "month",
+        "month_name",
+        "week_of_year",
+        "day_of_month",
+        "day_of_week",
+        "day_name",
+        "is_weekend",
+        "is_holiday",
+        "holiday_note",
+    ),
+    "stop": ("stop_key", "stop_id", "stop_name", "latitude", "longitude", *_VALIDITY),
+    "route": (
+        "route_key",
+        "route_id",
+        "route_name",
+        "origin",
+        "destination",
+        "corridor_type",
+        *_VALIDITY,
+    ),
+    "rider": (
+        "rider_key",
+        "rider_id",
+        "rider_name",
+        "card_bank",
+        "gender",
+        "birth_year",
+        "age",
+        "age_band",
+        "rider_segment",
+        *_VALIDITY,
+    ),
+    "fleet": (
+        "fleet_key",
+        "fleet_id",
+        "route_id",
+        "direction",
+        "operating_date",
+        "vehicle_type",
+        "capacity",
+        "is_synthetic",
+        "note",
+    ),
+}
+
+
+_TYPES = {
+    "date_key": "int",
+    "date": "date",
+    "year": "smallint",
+    "quarter": "tinyint",
+    "month": "tinyint",
+    "week_of_year": "tinyint",
+    "day_of_month": "tinyint",
+    "day_of_week": "tinyint",
+    "is_weekend": "int",
+    "is_holiday": "int",
+    "stop_key": "bigint",
+    "route_key": "bigint",
+    "rider_key": "bigint",
+    "fleet_key": "bigint",
+    "latitude": "decimal(10,7)",
+    "longitude": "decimal(10,7)",
+    "rider_id": "bigint",
+    "birth_year": "int",
+    "age": "int",
+    "direction": "smallint",
+    "operating_date": "date",
+    "capacity": "smallint",
+    "is_synthetic": "int",
+    "valid_from": "date",
+    "valid_to": "date",
+    "is_current": "int",
+}
 
 
+def dimension_schema(name: str) -> T.StructType:
+    """Columns and types of a dimension; columns without an entry are texts."""
+    fields = [f"`{column}` {_TYPES.get(column, 'string')}" for column in LAYOUTS[name]]
+    return T.StructType.fromDDL(", ".join(fields))
+
+
+def _lay_out(keyed: DataFrame, name: str, load_date: Column | None) -> DataFrame:
+    """P17, D14, D18."""
+    if name == "date":
+        keyed = keyed.withColumns(calendar_attributes(F.col("date")))
+    if "valid_from" in LAYOUTS[name]:
+        keyed = with_validity(keyed, load_date)
+    return keyed.select(*LAYOUTS[name])
+
+
+def keyed_dimension(members: DataFrame, name: str, load_date: Column | None = None) -> DataFrame:
+    """DM1-DM7: the members in the layout of their dimension, keyed in natural key order."""
+    keyed = dense_key(members, f"{name}_key", [NATURAL_KEYS[name]], bounded=name in BOUNDED)
+    return _lay_out(keyed, name, load_date)
+
+
+def added_members(
+    members: DataFrame, stored: DataFrame, name: str, load_date: Column | None = None
+) -> DataFrame:
+    """K6: the members that the stored dimension lacks, with the keys that follow its own."""
+    key, natural_key = f"{name}_key", NATURAL_KEYS[name]
+    keyed = append_keys(members, stored, key, natural_key, bounded=name in BOUNDED)
+    return _lay_out(keyed, name, load_date)
+
+
+# ----------------------------------------------------------------------------- unknown members
 def without_unknown(members: DataFrame, name: str) -> DataFrame:
     """Members other than the unknown one.
 

@@ -140,7 +140,7 @@ def build_fact(
     trips: DataFrame,
     dimensions: Mapping[str, DataFrame],
     policy: Mapping[str, MissPolicy],
-    source: str,
+    source: str | Column,
     batch_id: str,
     feedback: DataFrame | None = None,
     columns: Sequence[str] = FACT_FULL_COLUMNS,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapmart.operators.facts import DROP_REQUIRED_FILL_OPTIONAL, build_fact
@@ -23,16 +23,19 @@ def skip_existing(rows: DataFrame, stored: DataFrame, key: str = "trip_id") -> D
 
 
 def resync_fact(
-    staged: DataFrame, stored_dimensions: Mapping[str, DataFrame], source: str, batch_id: str, **kw
+    staged: DataFrame,
+    stored_dimensions: Mapping[str, DataFrame],
+    source: str | Column,
+    batch_id: str,
+    loaded_at: Column | None = None,
 ) -> DataFrame:
     """A fact whose keys come from the stored dimensions.
 
     The staged rows carry their natural keys, so this is the same look-up as any other, with
     the optional keys set to unknown where they miss.
     """
-    return build_fact(
-        staged, stored_dimensions, DROP_REQUIRED_FILL_OPTIONAL, source, batch_id, **kw
-    )
+    policy = DROP_REQUIRED_FILL_OPTIONAL
+    return build_fact(staged, stored_dimensions, policy, source, batch_id, loaded_at=loaded_at)
 
 
 def changed_keys(built: DataFrame, resynced: DataFrame, keys: list[str]) -> DataFrame:

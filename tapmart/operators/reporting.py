@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -24,6 +25,14 @@ def observed(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, Ob
     return df.observe(observation, *columns), observation
 
 
+def observed_rows(observation: Observation) -> int:
+    """Rows counted so far. A frame that the optimizer found to be empty reports nothing at all."""
+    try:
+        return observation.get.get("rows", 0)
+    except Py4JJavaError:
+        return 0
+
+
 def _complete(rows: DataFrame) -> Column:
     texts = set(string_columns(rows))
     result = F.lit(True)

@@ -61,13 +61,19 @@ def type_file_rows(rows: DataFrame, arrival: Sequence[str]) -> DataFrame:
     )
 
 
-def clean_file_rows(rows: DataFrame, arrival: Sequence[str]) -> DataFrame:
+def clean_file_rows(
+    rows: DataFrame, arrival: Sequence[str], file_column: str | None = None
+) -> DataFrame:
     """File rows cleaned: typed, then one row per trip id, then only rows with a tap-in time.
 
+    With ``file_column`` one row is kept per trip id and file, as if every file were cleaned on
+    its own.
+
     The first row of a trip id is chosen before bad tap-in times are dropped, so a trip whose
     first row has a bad time is left out. Typing comes before the shuffle to make rows small.
     """
-    return drop_nulls(first(type_file_rows(rows, arrival), "trip_id", arrival), ["tap_in_at"])
+    key = ["trip_id", file_column] if file_column else "trip_id"
+    return drop_nulls(first(type_file_rows(rows, arrival), key, arrival), ["tap_in_at"])
 
 
 def with_trip_times(trips: DataFrame, half_even: bool = False) -> DataFrame:

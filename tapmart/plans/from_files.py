@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,48 +13,46 @@ from tapmart.operators import dimensions as dims
 from tapmart.operators.facts import DROP_REQUIRED_FILL_OPTIONAL, KEEP_UNKNOWN, build_fact
 from tapmart.operators.lookups import MissPolicy
 from tapmart.operators.trips import clean_file_rows, derive_file_trips
-from tapmart.session import freeze
+from tapmart.session import freeze, side_by_side
 
 ALL_DIMENSIONS = ("date", "stop", "route", "rider", "fleet")
 
 
 def stage_trips(
-    rows: DataFrame, arrival: Sequence[str], half_even: bool = True, folder: str | None = None
+    rows: DataFrame,
+    arrival: Sequence[str],
+    half_even: bool = True,
+    file_column: str | None = None,
+    folder: str | None = None,
 ) -> DataFrame:
     """Cleaned and derived trips as a table of their own.
 
     Five dimensions and the fact read it, each only the columns it needs. Written once, it
-    spares them the deduplication shuffle, which is the dearest step of the load.
+    spares them the deduplication shuffle, which is the dearest step of the load. With
+    ``file_column`` there is one row per trip and file.
     """
-    trips = derive_file_trips(clean_file_rows(rows, arrival), half_even)
+    trips = derive_file_trips(clean_file_rows(rows, arrival, file_column), half_even)
     return freeze(trips, "trips", folder)
 
 
 def observed_members(
-    trips: DataFrame, arrival: Sequence[str], name: str, reference_year: int
+    trips: DataFrame,
+    arrival: Sequence[str],
+    name: str,
+    reference_year: int = presets.REFERENCE_YEAR,
+    file_column: str | None = None,
 ) -> DataFrame:
     """The members of one dimension that occur in the trips, without keys."""
     members = {
         "date": lambda: dims.date_members(trips),
-        "stop": lambda: dims.stop_members(trips, arrival),
+        "stop": lambda: dims.stop_members(trips, arrival, file_column),
         "route": lambda: dims.route_members(trips, arrival),
-        "rider": lambda: dims.rider_members(trips, arrival, reference_year),
+        "rider": lambda: dims.rider_members(trips, arrival, reference_year, file_column),
         "fleet": lambda: dims.fleet_members(trips, arrival),
     }
     return members[name]()
 
 
-def keyed_dimension(members: DataFrame, name: str, load_date: Column) -> DataFrame:
-    builders = {
-        "date": lambda: dims.dim_date(members),
-        "stop": lambda: dims.dim_stop(members, load_date),
-        "route": lambda: dims.dim_route(members, load_date),
-        "rider": lambda: dims.dim_rider(members, load_date),
-        "fleet": lambda: dims.dim_fleet(members),
-    }
-    return builders[name]()
-
-
 def observed_dimensions(
     trips: DataFrame,
     arrival: Sequence[str],
@@ -67,15 +66,15 @@ def observed_dimensions(
     With ``unknown`` they have their unknown member, which also stands for rows that carry its
     natural key.
     """
-    built = {}
-    for name in names:
+
+    def build(name: str) -> DataFrame:
         members = observed_members(trips, arrival, name, reference_year)
-        if unknown:
-            members = dims.without_unknown(members, name)
-        built[name] = keyed_dimension(members, name, load_date)
-        if unknown:
-            built[name] = dims.with_unknown(built[name], name)
-    return built
+        if not unknown:
+            return dims.keyed_dimension(members, name, load_date)
+        named = dims.without_unknown(members, name)
+        return dims.with_unknown(dims.keyed_dimension(named, name, load_date), name)
+
+    return side_by_side(trips.sparkSession, {name: partial(build, name) for name in names})
 
 
 def star_from_files(

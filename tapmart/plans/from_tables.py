@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from tapmart.operators.facts import (
     feedback_with_category,
 )
 from tapmart.operators.trips import clean_table_trips, with_status, with_trip_times
+from tapmart.session import side_by_side
 
 
 def table_dimensions(
@@ -29,15 +31,18 @@ def table_dimensions(
     segments: presets.Bands = presets.SEGMENTS_EXCLUSIVE,
 ) -> dict[str, DataFrame]:
     """DM1, DM3, DM5, DM6, DM8 from the calendar days and the source tables."""
-    return {
-        "date": dims.dim_date(days),
-        "stop": dims.dim_stop(tables["stops"], load_date),
-        "route": dims.dim_route(dims.table_routes(tables["routes"]), load_date),
-        "rider": dims.dim_rider(
-            dims.with_age(tables["riders"], reference_year, age_bands, segments), load_date
-        ),
-        "feedback_category": dims.dim_feedback_category(days.sparkSession),
+    members = {
+        "date": days,
+        "stop": dims.table_stops(tables["stops"]),
+        "route": dims.table_routes(tables["routes"]),
+        "rider": dims.with_age(tables["riders"], reference_year, age_bands, segments),
     }
+    work = {
+        name: partial(dims.keyed_dimension, frame, name, load_date)
+        for name, frame in members.items()
+    }
+    built = side_by_side(days.sparkSession, work)
+    return {**built, "feedback_category": dims.dim_feedback_category(days.sparkSession)}
 
 
 def full_fact(

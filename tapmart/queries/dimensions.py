@@ -146,7 +146,7 @@ def date_spine(spark, sf_dir):
     f"SELECT CAST({numbered('date')} AS INTEGER) AS date_key, date, {CALENDAR} FROM p_spine",
 )
 def dim_date_spine(spark, sf_dir):
-    return dimensions.dim_date(_order_days(spark, sf_dir))
+    return dimensions.keyed_dimension(_order_days(spark, sf_dir), "date")
 
 
 # ------------------------------------------------------------------- trips and their dimensions
@@ -277,13 +277,14 @@ part(
 
 @query("dim_stop", "SELECT * FROM p_table_stop")
 def dim_stop(spark, sf_dir):
-    return dimensions.dim_stop(testviews.stop_table(spark, sf_dir), load_date())
+    members = dimensions.table_stops(testviews.stop_table(spark, sf_dir))
+    return dimensions.keyed_dimension(members, "stop", load_date())
 
 
 @query("dim_route_table", "SELECT * FROM p_table_route")
 def dim_route_table(spark, sf_dir):
     members = dimensions.table_routes(testviews.route_table(spark, sf_dir))
-    return dimensions.dim_route(members, load_date())
+    return dimensions.keyed_dimension(members, "route", load_date())
 
 
 @query("dim_rider_table", "SELECT * FROM p_table_rider")
@@ -294,7 +295,7 @@ def dim_rider_table(spark, sf_dir):
         presets.AGE_BANDS_EXCLUSIVE,
         presets.SEGMENTS_EXCLUSIVE,
     )
-    return dimensions.dim_rider(people, load_date())
+    return dimensions.keyed_dimension(people, "rider", load_date())
 
 
 part(

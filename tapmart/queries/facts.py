@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tapmart import testviews
-from tapmart.operators import cleaning, dedup, dimensions, facts, keys, loading
+from tapmart.operators import cleaning, dedup, dimensions, facts, loading
 from tapmart.operators import trips as trip_rows
 from tapmart.plans.from_files import observed_dimensions, star_from_files, strict_star_from_files
 from tapmart.plans.from_tables import full_fact, strict_fact, table_dimensions
@@ -95,9 +95,9 @@ def fact_full(spark, sf_dir):
     fleet_id = trip_rows.routes.fleet_id(route, F.col("direction"), F.to_date("tap_in_at"))
     tables["trips"] = tables["trips"].withColumn("fleet_id", fleet_id)
     star = _table_star(spark, sf_dir, tables)
-    star["fleet"] = dimensions.with_unknown(
-        dimensions.dim_fleet(dimensions.fleet_members(staged(spark, sf_dir), ARRIVAL)), "fleet"
-    )
+    vehicles = dimensions.fleet_members(staged(spark, sf_dir), ARRIVAL)
+    fleet = dimensions.keyed_dimension(vehicles, "fleet")
+    star["fleet"] = dimensions.with_unknown(fleet, "fleet")
     return full_fact(tables, star, "postgresql", BATCH, TIE_BREAK)
 
 
@@ -152,7 +152,8 @@ def feedback_category_prejoin(spark, sf_dir):
     LEFT JOIN p_table_stop a ON a.stop_id = t.alight_stop_id""",
 )
 def role_playing_join(spark, sf_dir):
-    stops = dimensions.dim_stop(testviews.stop_table(spark, sf_dir), load_date())
+    members = dimensions.table_stops(testviews.stop_table(spark, sf_dir))
+    stops = dimensions.keyed_dimension(members, "stop", load_date())
     board = cleaning.prefix_columns(stops, "board_dim_")
     alight = cleaning.prefix_columns(stops, "alight_dim_")
     rows = testviews.trip_table(spark, sf_dir)
@@ -250,7 +251,7 @@ def dim_insert_only(spark, sf_dir):
     names = ["rider"]
     stored = observed_dimensions(_stored(rows), ARRIVAL, load_date(), names=names, unknown=True)
     members = dimensions.rider_members(rows, ARRIVAL, REFERENCE_YEAR)
-    added = keys.append_keys(members, stored["rider"], "rider_key", "rider_id")
+    added = dimensions.added_members(members, stored["rider"], "rider", load_date())
     return added.select("rider_key", "rider_id", "rider_name", "card_bank")
 
 
@@ -275,10 +276,11 @@ def fact_skip_existing(spark, sf_dir):
 def fact_key_resync(spark, sf_dir):
     """Fleet keys as the batch alone would give them, and as the stored dimension gives them."""
     rows = staged(spark, sf_dir)
-    stored = dimensions.dim_fleet(dimensions.fleet_members(_stored(rows), ARRIVAL))
+    earlier = dimensions.fleet_members(_stored(rows), ARRIVAL)
+    stored = dimensions.keyed_dimension(earlier, "fleet")
     members = dimensions.fleet_members(rows, ARRIVAL)
-    synced = stored.unionByName(keys.append_keys(members, stored, "fleet_key", "fleet_id"))
-    provisional = dimensions.dim_fleet(members)
+    synced = stored.unionByName(dimensions.added_members(members, stored, "fleet"))
+    provisional = dimensions.keyed_dimension(members, "fleet")
     on = ("fleet_id", "fleet_id")
     keyed = facts.look_up(rows, synced, on, {"fleet_key": "fleet_key"})
     both = facts.look_up(keyed, provisional, on, {"fleet_key": "provisional_fleet_key"})

@@ -4,8 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.util import inheritable_thread_target
+
+T = TypeVar("T")
 
 # Settings the operators are written for. Joins are left to the optimizer: a side is broadcast
 # when its known size is under the threshold, and skewed partitions of the remaining shuffle
@@ -59,3 +65,17 @@ def freeze(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     path = folder or f"{shared_folder(spark)}/tapmart/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def side_by_side(spark: SparkSession, work: Mapping[str, Callable[[], T]]) -> dict[str, T]:
+    """Run independent pieces of work, each with jobs of its own, at the same time.
+
+    Their small stages then share the cluster instead of waiting for one another.
+    """
+    if len(work) < 2:
+        return {name: run() for name, run in work.items()}
+    with ThreadPoolExecutor(len(work)) as pool:
+        started = {
+            name: pool.submit(inheritable_thread_target(spark)(run)) for name, run in work.items()
+        }
+        return {name: future.result() for name, future in started.items()}
