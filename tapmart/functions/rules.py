@@ -49,10 +49,14 @@ def intervals(number: Column, table: Iterable[tuple[int, int, str]], default: st
     return result
 
 
+def listed_or(text: Column, allowed: Iterable[str], other: str) -> Column:
+    """The text if it is in the list, else ``other``; null is not in the list."""
+    return F.when(text.isin(list(allowed)), text).otherwise(F.lit(other))
+
+
 def whitelist(text: Column, allowed: Iterable[str], other: str, case: str = "lower") -> Column:
-    """The trimmed, case-folded text if allowed, else ``other`` (null is not allowed)."""
-    folded = F.trim(F.lower(text) if case == "lower" else F.upper(text))
-    return F.when(folded.isin(list(allowed)), folded).otherwise(F.lit(other))
+    """The trimmed, case-folded text if it is in the list, else ``other``."""
+    return listed_or(F.trim(F.lower(text) if case == "lower" else F.upper(text)), allowed, other)
 
 
 def member_label(text: Column, members: Iterable[str], inside: str, outside: str) -> Column:

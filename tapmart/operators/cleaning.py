@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapmart.functions.casts import blank_to_null
+from tapmart.functions.casts import trim_blanks, without_tokens
 
 
 def string_columns(df: DataFrame) -> list[str]:
@@ -20,9 +20,17 @@ def trim_columns(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return df.withColumns({name: F.trim(F.col(name)) for name in present})
 
 
-def trim_all(df: DataFrame, tokens: tuple[str, ...] = ("nan",)) -> DataFrame:
-    """Trim every string column and turn "no value" texts into null."""
-    return df.withColumns({c: blank_to_null(F.col(c), tokens) for c in string_columns(df)})
+def trim_all(
+    df: DataFrame, tokens: tuple[str, ...] = ("nan",), columns: Iterable[str] | None = None
+) -> DataFrame:
+    """Trim every string column and turn "no value" texts into null.
+
+    With ``columns``, only those of them that are strings. Two steps, so that each cell is
+    trimmed once.
+    """
+    texts = [c for c in string_columns(df) if columns is None or c in columns]
+    trimmed = df.withColumns({c: trim_blanks(F.col(c)) for c in texts})
+    return trimmed.withColumns({c: without_tokens(F.col(c), tokens) for c in texts})
 
 
 def missing_columns(df: DataFrame, required: Iterable[str]) -> list[str]:

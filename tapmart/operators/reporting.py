@@ -9,8 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tapmart import presets
-from tapmart.functions.casts import blank_to_null
-from tapmart.operators.cleaning import string_columns
+from tapmart.operators.cleaning import trim_all
 from tapmart.operators.dedup import first
 from tapmart.operators.trips import type_file_rows
 
@@ -33,19 +32,13 @@ def observed_rows(observation: Observation) -> int:
         return 0
 
 
-def _complete(rows: DataFrame) -> Column:
-    texts = set(string_columns(rows))
-    result = F.lit(True)
-    for name in presets.NOT_NULL_FILE_COLUMNS:
-        value = blank_to_null(F.col(name)) if name in texts else F.col(name)
-        result = result & value.isNotNull()
-    return result
-
-
 def validation_report(rows: DataFrame, arrival: Sequence[str]) -> DataFrame:
     """Rows read, complete, unique, kept and dropped, one line per step."""
-    before = rows.agg(
-        F.count(F.lit(1)).alias("read"), F.count_if(_complete(rows)).alias("complete")
+    complete = F.lit(True)
+    for name in presets.NOT_NULL_FILE_COLUMNS:
+        complete = complete & F.col(name).isNotNull()
+    before = trim_all(rows).agg(
+        F.count(F.lit(1)).alias("read"), F.count_if(complete).alias("complete")
     )
     after = first(type_file_rows(rows, arrival), "trip_id", arrival).agg(
         F.count(F.lit(1)).alias("unique"), F.count("tap_in_at").alias("kept")

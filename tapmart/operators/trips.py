@@ -20,60 +20,84 @@ from tapmart.operators.cleaning import (
 from tapmart.operators.dedup import first, latest
 
 
+# Our names of the text columns that are cleaned after rows were made unique.
+_TEXTS = {
+    "payCardName": "rider_name",
+    "payCardBank": "card_bank",
+    "payCardSex": "gender",
+    "corridorID": "route_id",
+    "corridorName": "route_name",
+    "tapInStopsName": "board_stop_name",
+    "tapOutStops": "alight_stop_id",
+    "tapOutStopsName": "alight_stop_name",
+}
+
+
 def type_file_rows(rows: DataFrame, arrival: Sequence[str]) -> DataFrame:
-    """File rows under our names and types, one output row per kept row."""
+    """Complete file rows, numbers and times typed, under our names.
+
+    Conversions skip outer blanks by themselves and give null for texts that stand for no value,
+    so only the columns that must not be null are trimmed here.
+    """
     require_columns(rows, presets.REQUIRED_FILE_COLUMNS)
     absent = {name: F.lit(None).cast("string") for name in presets.OPTIONAL_FILE_COLUMNS}
     absent["direction"] = F.lit("0")
-    rows = drop_nulls(trim_all(ensure_columns(rows, absent)), presets.NOT_NULL_FILE_COLUMNS)
-    birth_year = casts.try_number(F.col("payCardBirthDate"), "int")
+    rows = trim_all(ensure_columns(rows, absent), columns=presets.NOT_NULL_FILE_COLUMNS)
+    rows = drop_nulls(rows, presets.NOT_NULL_FILE_COLUMNS)
     return rows.select(
         F.col("transID").alias("trip_id"),
         casts.try_number(F.col("payCardID"), "bigint").alias("rider_id"),
-        F.col("payCardName").alias("rider_name"),
-        rules.whitelist(F.col("payCardBank"), presets.CARD_BANKS, presets.OTHER_BANK).alias(
-            "card_bank"
-        ),
-        rules.whitelist(
-            F.col("payCardSex"), presets.GENDERS, presets.GENDER_NOT_GIVEN, case="upper"
-        ).alias("gender"),
-        casts.in_range(birth_year, *presets.BIRTH_YEAR_RANGE).alias("birth_year"),
-        F.coalesce("corridorID", F.lit(presets.UNKNOWN_ID)).alias("route_id"),
-        F.coalesce("corridorName", F.lit(presets.NOT_KNOWN)).alias("route_name"),
+        casts.try_number(F.col("payCardBirthDate"), "int").alias("birth_year"),
         casts.try_number(F.col("direction"), "smallint").alias("direction"),
         F.col("tapInStops").alias("board_stop_id"),
-        F.col("tapInStopsName").alias("board_stop_name"),
         casts.try_number(F.col("tapInStopsLat"), "decimal(10,7)").alias("board_lat"),
         casts.try_number(F.col("tapInStopsLon"), "decimal(10,7)").alias("board_lon"),
         casts.try_number(F.col("stopStartSeq"), "smallint").alias("board_seq"),
-        F.col("tapOutStops").alias("alight_stop_id"),
-        F.col("tapOutStopsName").alias("alight_stop_name"),
         casts.try_number(F.col("tapOutStopsLat"), "decimal(10,7)").alias("alight_lat"),
         casts.try_number(F.col("tapOutStopsLon"), "decimal(10,7)").alias("alight_lon"),
         casts.try_number(F.col("stopEndSeq"), "smallint").alias("alight_seq"),
         casts.try_timestamp(F.col("tapInTime")).alias("tap_in_at"),
         casts.try_timestamp(F.col("tapOutTime")).alias("tap_out_at"),
         # A bad amount counts as nothing paid; one too large for the column fails the load.
-        F.coalesce(casts.try_number(F.col("payAmount")), F.lit(0.0))
+        F.coalesce(casts.try_number(F.col("payAmount"), "decimal(38,6)"), F.lit(0))
         .cast("decimal(10,2)")
         .alias("paid"),
+        *[F.col(name).alias(ours) for name, ours in _TEXTS.items()],
         *arrival,
     )
 
 
+def clean_texts(trips: DataFrame) -> DataFrame:
+    """Texts trimmed, categories checked, defaults filled, birth years bounded."""
+    trimmed = trim_all(trips, columns=_TEXTS.values())
+    folded = trimmed.withColumns({"card_bank": F.lower("card_bank"), "gender": F.upper("gender")})
+    bank, gender = F.col("card_bank"), F.col("gender")
+    return folded.withColumns(
+        {
+            "card_bank": rules.listed_or(bank, presets.CARD_BANKS, presets.OTHER_BANK),
+            "gender": rules.listed_or(gender, presets.GENDERS, presets.GENDER_NOT_GIVEN),
+            "birth_year": casts.in_range(F.col("birth_year"), *presets.BIRTH_YEAR_RANGE),
+            "route_id": F.coalesce("route_id", F.lit(presets.UNKNOWN_ID)),
+            "route_name": F.coalesce("route_name", F.lit(presets.NOT_KNOWN)),
+        }
+    )
+
+
 def clean_file_rows(
     rows: DataFrame, arrival: Sequence[str], file_column: str | None = None
 ) -> DataFrame:
     """File rows cleaned: typed, then one row per trip id, then only rows with a tap-in time.
 
     With ``file_column`` one row is kept per trip id and file, as if every file were cleaned on
-    its own.
+    its own. The first row of a trip id is chosen before bad tap-in times are dropped, so a trip
+    whose first row has a bad time is left out.
 
-    The first row of a trip id is chosen before bad tap-in times are dropped, so a trip whose
-    first row has a bad time is left out. Typing comes before the shuffle to make rows small.
+    Typing comes before the shuffle, where it makes rows small; the texts are cleaned after it,
+    on fewer rows. Either side then is a step small enough for the JVM to compile in one piece.
     """
     key = ["trip_id", file_column] if file_column else "trip_id"
-    return drop_nulls(first(type_file_rows(rows, arrival), key, arrival), ["tap_in_at"])
+    unique = first(type_file_rows(rows, arrival), key, arrival)
+    return clean_texts(drop_nulls(unique, ["tap_in_at"]))
 
 
 def with_trip_times(trips: DataFrame, half_even: bool = False) -> DataFrame:

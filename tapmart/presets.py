@@ -37,6 +37,21 @@ OPTIONAL_FILE_COLUMNS = (
     "tapOutTime",
     "payAmount",
 )
+# Columns whose text counts; the others are converted to numbers and times.
+TEXT_FILE_COLUMNS = (
+    "transID",
+    "payCardID",
+    "payCardBank",
+    "payCardName",
+    "payCardSex",
+    "corridorID",
+    "corridorName",
+    "tapInStops",
+    "tapInStopsName",
+    "tapInTime",
+    "tapOutStops",
+    "tapOutStopsName",
+)
 NOT_NULL_FILE_COLUMNS = ("transID", "payCardID", "tapInStops", "tapInTime")
 
 # Cell texts a flat file uses for "no value" (the pandas.read_csv defaults).
@@ -62,9 +77,10 @@ NA_TOKENS = (
 )
 
 # Characters that count as blank at the ends of a cell.
-WHITESPACE = (
-    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
-    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+ASCII_BLANKS = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f"
+ALL_BLANKS = ASCII_BLANKS + (
+    "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
 )
 
 # ---------------------------------------------------------------- fixed values: categories

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tapmart import presets
+from tapmart.functions.casts import without_tokens
 from tapmart.operators.cleaning import ensure_columns
 from tapmart.sources.workbooks import read_workbooks, workbook_headers
 
@@ -183,14 +184,18 @@ def _with_arrival(rows: DataFrame) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, paths: Sequence[str], header: Sequence[str]) -> DataFrame:
-    """S3: CSV files of one header, as texts. "No value" texts become null."""
+    """S3: CSV files of one header, as texts.
+
+    In columns whose text counts, "no value" texts become null; conversions do it in the others.
+    """
     schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
     reader = spark.read.schema(schema).option("header", True).option("encoding", "UTF-8")
     # The names given here are those of the header, cleaned; the header itself need not match.
     rows = reader.option("enforceSchema", True).option("escape", '"').csv(list(paths))
     rows = _with_arrival(rows)
     no_value = ["", *presets.NA_TOKENS]
-    return rows.withColumns({c: F.when(~F.col(c).isin(no_value), F.col(c)) for c in header})
+    texts = [name for name in header if name in presets.TEXT_FILE_COLUMNS]
+    return rows.withColumns({c: without_tokens(F.col(c), no_value) for c in texts})
 
 
 def read_json(

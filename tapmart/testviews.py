@@ -14,38 +14,58 @@ from tapmart import presets
 
 ARRIVAL = ("ingest_seq",)
 
-# Shared column texts; STRING is the Spark name of the type that DuckDB calls VARCHAR.
-_STOP_IN = "CAST((event_id * event_id) % 997 % 41 AS STRING)"
+# Shared column texts, in Spark SQL. DuckDB calls STRING and array() otherwise, see _duckdb.
+def _pick(index: str, *values: str | None) -> str:
+    """One of the values by a number that counts from 0."""
+    texts = ", ".join("NULL" if v is None else f"'{v}'" for v in values)
+    return f"element_at(array({texts}), CAST({index} AS INT) + 1)"
+
+
+_STOP_IN = "CAST((event_id % 997) * (event_id % 997) % 997 % 41 AS STRING)"
 _STOP_OUT = "CAST((event_id * 7) % 53 AS STRING)"
 _SECONDS = "CAST(600 + (event_id * 37) % 5400 AS INT)"
+_OUT = "CASE WHEN event_type <> 'error' THEN {} END"
+_BANKS = _pick(
+    "user_id % 8", "DKI", " emoney ", "brizzi", "flazz", "online", "bni", "visa", None
+)
+_ROUTE_IDS = _pick(
+    "event_id % 9", "5", "12", "6C", "R1A", "M7B", "JAK.18", "JIS3", "S21", None
+)
+_ROUTE_NAMES = _pick(
+    "event_id % 9",
+    "North - Coast",
+    "Harbour - Port",
+    "Hill - Park - City",
+    "Lake - Square",
+    "Loop",
+    "X-Y - Z",
+    " Padded - Name ",
+    "S - T via U",
+    None,
+)
 _TAPS = {
     "transID": "'TRX' || CAST(event_id AS STRING)",
     "payCardID": "user_id",
-    "payCardBank": """CASE user_id % 8 WHEN 0 THEN 'DKI' WHEN 1 THEN ' emoney ' WHEN 2 THEN 'brizzi'
-        WHEN 3 THEN 'flazz' WHEN 4 THEN 'online' WHEN 5 THEN 'bni' WHEN 6 THEN 'visa' END""",
+    "payCardBank": _BANKS,
     "payCardName": "'Card ' || CAST(user_id AS STRING)",
-    "payCardSex": "CASE user_id % 4 WHEN 0 THEN 'm' WHEN 1 THEN 'F' WHEN 2 THEN 'X' END",
+    "payCardSex": _pick("user_id % 4", "m", "F", "X", None),
     "payCardBirthDate": """CASE WHEN user_id % 17 = 0 THEN 'n/a'
         ELSE CAST(1932 + user_id % 89 AS STRING) END""",
-    "corridorID": """CASE event_id % 9 WHEN 0 THEN '5' WHEN 1 THEN '12' WHEN 2 THEN '6C'
-        WHEN 3 THEN 'R1A' WHEN 4 THEN 'M7B' WHEN 5 THEN 'JAK.18' WHEN 6 THEN 'JIS3'
-        WHEN 7 THEN 'S21' END""",
-    "corridorName": """CASE event_id % 9 WHEN 0 THEN 'North - Coast' WHEN 1 THEN 'Harbour - Port'
-        WHEN 2 THEN 'Hill - Park - City' WHEN 3 THEN 'Lake - Square' WHEN 4 THEN 'Loop'
-        WHEN 5 THEN 'X-Y - Z' WHEN 6 THEN ' Padded - Name ' WHEN 7 THEN 'S - T via U' END""",
-    "direction": "CASE WHEN event_id % 13 = 0 THEN NULL ELSE event_id % 2 END",
+    "corridorID": _ROUTE_IDS,
+    "corridorName": _ROUTE_NAMES,
+    "direction": "CASE WHEN event_id % 13 <> 0 THEN event_id % 2 END",
     "tapInStops": f"'P' || lpad({_STOP_IN}, 5, '0')",
     "tapInStopsName": f"'Stop ' || {_STOP_IN}",
     "tapInStopsLat": f"'-6.' || lpad({_STOP_IN}, 3, '0')",
     "tapInStopsLon": f"'106.' || lpad({_STOP_IN}, 3, '0')",
     "stopStartSeq": "CAST(event_id % 30 AS STRING)",
-    "tapOutStops": f"CASE WHEN event_type <> 'error' THEN 'P' || lpad({_STOP_OUT}, 5, '0') END",
-    "tapOutStopsName": f"CASE WHEN event_type <> 'error' THEN 'Out ' || {_STOP_OUT} END",
-    "tapOutStopsLat": f"CASE WHEN event_type <> 'error' THEN '-7.' || lpad({_STOP_OUT}, 3, '0') END",
-    "tapOutStopsLon": f"CASE WHEN event_type <> 'error' THEN '107.' || lpad({_STOP_OUT}, 3, '0') END",
-    "stopEndSeq": "CASE WHEN event_type <> 'error' THEN CAST(event_id % 30 + 4 AS STRING) END",
+    "tapOutStops": _OUT.format(f"'P' || lpad({_STOP_OUT}, 5, '0')"),
+    "tapOutStopsName": _OUT.format(f"'Out ' || {_STOP_OUT}"),
+    "tapOutStopsLat": _OUT.format(f"'-7.' || lpad({_STOP_OUT}, 3, '0')"),
+    "tapOutStopsLon": _OUT.format(f"'107.' || lpad({_STOP_OUT}, 3, '0')"),
+    "stopEndSeq": _OUT.format("CAST(event_id % 30 + 4 AS STRING)"),
     "tapInTime": "ts",
-    "tapOutTime": f"CASE WHEN event_type <> 'error' THEN ts + INTERVAL '1' SECOND * {_SECONDS} END",
+    "tapOutTime": _OUT.format(f"ts + INTERVAL '1' SECOND * {_SECONDS}"),
     "payAmount": "CASE event_type WHEN 'signup' THEN 0 WHEN 'purchase' THEN 20000 ELSE 3500 END",
     "event_id": "event_id",
     "created_at": "ts",
@@ -63,7 +83,7 @@ _TRIPS = {
     "alight_stop_id": _TAPS["tapOutStops"],
     "direction": f"CAST({_TAPS['direction']} AS SMALLINT)",
     "board_seq": "CAST(event_id % 30 AS SMALLINT)",
-    "alight_seq": "CAST(CASE WHEN event_type <> 'error' THEN event_id % 30 + 4 END AS SMALLINT)",
+    "alight_seq": _OUT.format("CAST(event_id % 30 + 4 AS SMALLINT)"),
     "tap_in_at": "ts",
     "tap_out_at": _TAPS["tapOutTime"],
     "paid": f"CAST({_TAPS['payAmount']} AS DECIMAL(10,2))",
@@ -75,12 +95,14 @@ _TRIPS = {
 _RIDERS = {
     "rider_id": "c_custkey",
     "rider_name": "c_name",
-    "card_bank": """CASE c_custkey % 8 WHEN 0 THEN 'dki' WHEN 1 THEN 'emoney' WHEN 2 THEN 'brizzi'
-        WHEN 3 THEN 'flazz' WHEN 4 THEN 'online' WHEN 5 THEN 'bni' ELSE 'lainnya' END""",
-    "gender": "CASE c_custkey % 3 WHEN 0 THEN 'M' WHEN 1 THEN 'F' ELSE 'Tidak Disebutkan' END",
+    "card_bank": _pick(
+        "c_custkey % 8", "dki", "emoney", "brizzi", "flazz", "online", "bni", "lainnya", "lainnya"
+    ),
+    "gender": _pick("c_custkey % 3", "M", "F", "Tidak Disebutkan"),
     "birth_year": "CAST(CASE WHEN c_custkey % 17 <> 0 THEN 1940 + c_custkey % 76 END AS SMALLINT)",
-    "home_city": """CASE c_nationkey % 5 WHEN 0 THEN 'Bogor' WHEN 1 THEN 'Jakarta Timur'
-        WHEN 2 THEN 'Bekasi' WHEN 3 THEN 'Bandung' END""",
+    "home_city": _pick(
+        "c_nationkey % 5", "Bogor", "Jakarta Timur", "Bekasi", "Bandung", None
+    ),
 }
 _STOPS = {
     "stop_id": "'P' || lpad(CAST(s_suppkey AS STRING), 5, '0')",
@@ -93,8 +115,7 @@ _FEEDBACK = {
     "trip_id": _TAPS["transID"],
     "rating": "CAST(1 + event_id % 5 AS SMALLINT)",
     "comment": "props",
-    "category": f"""CASE event_id % 4 WHEN 0 THEN '{_CATEGORIES[0]}' WHEN 1 THEN '{_CATEGORIES[1]}'
-        WHEN 2 THEN '{_CATEGORIES[2]}' ELSE 'Saran' END""",
+    "category": _pick("event_id % 4", *_CATEGORIES, "Saran"),
     "created_at": "ts",
     "event_id": "event_id",
 }
@@ -150,7 +171,8 @@ def feedback_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --------------------------------------------------------------------------- the same in DuckDB
 def _duckdb(text: str) -> str:
-    return text.replace("AS STRING", "AS VARCHAR")
+    text = text.replace("AS STRING", "AS VARCHAR")
+    return text.replace("element_at(array(", "list_extract(list_value(")
 
 
 def _duckdb_deliveries(columns: dict[str, str], where: str = "TRUE") -> str:

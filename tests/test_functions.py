@@ -9,6 +9,7 @@ from tapmart import presets
 from tapmart.functions import casts, riders, routes, rules
 from tapmart.functions import trips as t
 from tapmart.functions.calendar import calendar_attributes
+from tapmart.operators.cleaning import trim_all
 
 
 def values(spark, rows, schema, *columns):
@@ -149,7 +150,7 @@ def test_birth_year_range(spark):
     rows = [("1939",), ("1940",), ("2015",), ("2016",), ("n/a",), ("1990.0",), ("1990.5",), (None,)]
     year = casts.try_number(F.col("y"), "int")
     found = one(spark, rows, "y string", casts.in_range(year, *presets.BIRTH_YEAR_RANGE))
-    assert found == [None, 1940, 2015, None, None, 1990, None, None]
+    assert found == [None, 1940, 2015, None, None, 1990, 1990, None]
 
 
 def test_whitelist(spark):
@@ -162,9 +163,11 @@ def test_whitelist(spark):
 
 
 def test_numbers_of_19_digits_stay_exact(spark):
-    rows = [("9007199254740993",), ("1e3",), ("nan",), ("inf",)]
+    rows = [("9007199254740993",), ("1e3",), ("nan",), ("inf",), ("99999999999999999999",)]
     found = one(spark, rows, "n string", casts.try_number(F.col("n"), "bigint"))
-    assert found == [9007199254740993, 1000, None, None]
+    assert found == [9007199254740993, 1000, None, None, None]
+    found = one(spark, [("1.5",), ("nan",), ("x",)], "n string", casts.try_number(F.col("n")))
+    assert found == [1.5, None, None]
 
 
 def test_bad_times_are_null(spark):
@@ -173,10 +176,9 @@ def test_bad_times_are_null(spark):
     assert found == [datetime(2024, 5, 1, 7), None, None, None]
 
 
-def test_blank_to_null(spark):
-    rows = [(" a ",), (" nan ",), ("\tx\n",), (None,)]
-    found = one(spark, rows, "s string", casts.blank_to_null(F.col("s")))
-    assert found == ["a", None, "x", None]
+def test_trim_all(spark):
+    rows = spark.createDataFrame([(" a ", 1), (" nan ", 2), ("\tx\u00a0\n", 3), (None, 4)], "s string, n int")
+    assert [r["s"] for r in trim_all(rows).collect()] == ["a", None, "x", None]
 
 
 def test_calendar(spark):

@@ -71,7 +71,7 @@ def test_cleaning_keeps_the_first_row_before_it_checks_times(spark):
 
 def test_absent_optional_columns(spark):
     rows = file_rows(spark, {}).select(*presets.REQUIRED_FILE_COLUMNS, "seq")
-    row = type_file_rows(rows, ["seq"]).first()
+    row = clean_file_rows(rows, ["seq"]).first()
     assert (row["direction"], row["route_id"], row["paid"]) == (0, "UNKNOWN", 0)
     assert (row["tap_out_at"], row["birth_year"], row["board_seq"]) == (None, None, None)
 
