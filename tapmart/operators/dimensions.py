@@ -321,9 +321,15 @@ def unknown_row(spark: SparkSession, name: str, schema: T.StructType) -> DataFra
     )
 
 
+def add_unknown(dimension: DataFrame, name: str) -> DataFrame:
+    """Add the unknown member to a dimension that was just keyed, so does not have it."""
+    row = unknown_row(dimension.sparkSession, name, dimension.schema)
+    return dimension.unionByName(row)
+
+
 def with_unknown(dimension: DataFrame, name: str) -> DataFrame:
     """K5: add the unknown member unless the dimension has it."""
-    key = f"{name}_key"
     row = unknown_row(dimension.sparkSession, name, dimension.schema)
-    stored = dimension.where(F.col(key) == presets.UNKNOWN_KEY).select(key)
-    return dimension.unionByName(row.join(stored, key, "left_anti"))
+    is_unknown = F.col(f"{name}_key") == presets.UNKNOWN_KEY
+    stored = dimension.agg(F.count_if(is_unknown).alias("stored")).scalar()
+    return dimension.unionByName(row.where(stored == 0))

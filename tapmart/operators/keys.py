@@ -24,9 +24,10 @@ def dense_key(
 
     Otherwise the rows are sorted across partitions by range and their place within the
     partition is recorded in the same pass. That table is written once (``freeze``), because
-    range bounds are sampled and a second evaluation could cut elsewhere. The number of rows
-    before each partition comes from one row per partition, which is also all that is broadcast.
-    No step has all rows in one task.
+    range bounds are sampled and a second evaluation could cut elsewhere. How many rows lie
+    before each partition is a single array with one number per partition, so that keying takes
+    no join and the result keeps the known size of the table it reads. No step has all rows in
+    one task.
     """
     first_key = F.lit(start) if isinstance(start, int) else start
     if bounded:
@@ -35,18 +36,25 @@ def dense_key(
 
     place = F.monotonically_increasing_id()
     numbered = freeze(df.orderBy(*order_by).withColumn("_place", place), f"key-{key}")
-    numbered = numbered.withColumns(
-        {
-            "_part": F.shiftright("_place", _PARTITION_SHIFT),
-            "_row": F.col("_place").bitwiseAND(F.lit((1 << _PARTITION_SHIFT) - 1)),
-        }
+    part = F.shiftright("_place", _PARTITION_SHIFT).cast("int")
+    row = F.col("_place").bitwiseAND(F.lit((1 << _PARTITION_SHIFT) - 1))
+    rows_before = _rows_before(numbered.groupBy(part.alias("part")).agg(F.max(row + 1).alias("size")))
+    value = (first_key + F.get(rows_before.scalar(), part) + row).cast("bigint")
+    return numbered.withColumn(key, value).drop("_place")
+
+
+def _rows_before(sizes: DataFrame) -> DataFrame:
+    """One array: at every partition number, the rows of the partitions before it."""
+
+    def before(number: Column) -> Column:
+        earlier = F.filter("sizes", lambda entry: entry["part"] < number)
+        zero = F.lit(0).cast("bigint")
+        return F.aggregate(earlier, zero, lambda total, entry: total + entry["size"])
+
+    listed = sizes.agg(
+        F.collect_list(F.struct("part", "size")).alias("sizes"), F.max("part").alias("last")
     )
-    sizes = numbered.groupBy("_part").agg((F.max("_row") + 1).alias("_size"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
-    keyed = numbered.join(F.broadcast(offsets), "_part")
-    value = (first_key + F.col("_before") + F.col("_row")).cast("bigint")
-    return keyed.withColumn(key, value).drop("_place", "_part", "_row", "_before")
+    return listed.select(F.transform(F.sequence(F.lit(0), F.col("last")), before).alias("before"))
 
 
 def append_keys(

@@ -72,7 +72,7 @@ def observed_dimensions(
         if not unknown:
             return dims.keyed_dimension(members, name, load_date)
         named = dims.without_unknown(members, name)
-        return dims.with_unknown(dims.keyed_dimension(named, name, load_date), name)
+        return dims.add_unknown(dims.keyed_dimension(named, name, load_date), name)
 
     return side_by_side(trips.sparkSession, {name: partial(build, name) for name in names})
 

@@ -97,7 +97,7 @@ def fact_full(spark, sf_dir):
     star = _table_star(spark, sf_dir, tables)
     vehicles = dimensions.fleet_members(staged(spark, sf_dir), ARRIVAL)
     fleet = dimensions.keyed_dimension(vehicles, "fleet")
-    star["fleet"] = dimensions.with_unknown(fleet, "fleet")
+    star["fleet"] = dimensions.add_unknown(fleet, "fleet")
     return full_fact(tables, star, "postgresql", BATCH, TIE_BREAK)
 
 
