@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tapmart import presets
 from tapmart.functions.trips import flag
+from tapmart.operators.checks import dangling_keys
 from tapmart.operators.cleaning import with_lineage
 from tapmart.operators.dedup import latest
 from tapmart.operators.lookups import MissPolicy, look_up
@@ -190,21 +191,13 @@ def build_fact(
 def lookup_misses(
     trips: DataFrame, dimensions: Mapping[str, DataFrame], names: Sequence[str]
 ) -> DataFrame:
-    """Per look-up, how many trips have no member.
-
-    Trips are counted per natural key before the join, so the join sees each key once.
-    """
+    """Per look-up, how many trips have no member."""
     reports = []
     for name in names:
         column, dimension, natural_key, _, _ = LOOKUPS[name]
-        per_key = trips.groupBy(F.col(column).alias("_key")).agg(F.count(F.lit(1)).alias("_rows"))
-        members = dimensions[dimension].select(F.col(natural_key).alias("_key"))
-        missed = per_key.join(members, "_key", "left_anti")
-        reports.append(
-            missed.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("missed")).select(
-                F.lit(name).alias("look_up"), "missed"
-            )
-        )
+        missed = dangling_keys(trips, column, dimensions[dimension], natural_key)
+        total = missed.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("missed"))
+        reports.append(total.select(F.lit(name).alias("look_up"), "missed"))
     result = reports[0]
     for report in reports[1:]:
         result = result.unionByName(report)

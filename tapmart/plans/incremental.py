@@ -98,6 +98,7 @@ def load_files(
     batch_id: str,
     load_date: Column,
     reference_year: int = presets.REFERENCE_YEAR,
+    multi_line: bool = False,
 ) -> LoadResult:
     """Check the files, load the good ones together, log good and bad ones."""
     spark = warehouse.spark
@@ -116,7 +117,7 @@ def load_files(
         if good:
             result.added = load_rows(
                 warehouse,
-                files.read_checked(spark, good),
+                files.read_checked(spark, good, multi_line),
                 batch_id,
                 load_date,
                 files.ARRIVAL,
@@ -162,9 +163,10 @@ def load_folder(
     batch_id: str,
     load_date: Column,
     reference_year: int = presets.REFERENCE_YEAR,
+    multi_line: bool = False,
 ) -> LoadResult:
     """Load all files of a folder in one batch."""
     paths = files.list_files(spark, folder)
     if not paths:
         return LoadResult(batch_id)
-    return load_files(warehouse, paths, batch_id, load_date, reference_year)
+    return load_files(warehouse, paths, batch_id, load_date, reference_year, multi_line)

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tapmart import testviews
-from tapmart.operators import cleaning, dedup, dimensions, facts, loading
+from tapmart import presets, testviews
+from tapmart.operators import checks, cleaning, dedup, dimensions, facts, loading
 from tapmart.operators import trips as trip_rows
 from tapmart.plans.from_files import observed_dimensions, star_from_files, strict_star_from_files
 from tapmart.plans.from_tables import full_fact, strict_fact, table_dimensions
 from tapmart.presets import REFERENCE_YEAR
+from tapmart.queries.cleaning import BANKS
 from tapmart.queries.derive import DAY_PART, DURATION, FLEET_ID, STATUS
 from tapmart.queries.dimensions import ARRIVAL, load_date, staged
 from tapmart.queries.registry import part, query
@@ -306,3 +307,37 @@ def lookup_miss_report(spark, sf_dir):
         "rider": testviews.rider_table(spark, sf_dir),
     }
     return facts.lookup_misses(newest, members, ["board_stop", "route", "rider"])
+
+
+# --------------------------------------------------------------------------------------- checks
+@query(
+    "check_unique_keys",
+    """SELECT l_orderkey, l_linenumber, count(*) AS rows FROM lineitem
+    GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
+)
+def check_unique_keys(spark, sf_dir):
+    lines = testviews.table(spark, sf_dir, "lineitem")
+    return checks.duplicate_keys(lines, "l_orderkey", "l_linenumber")
+
+
+@query(
+    "check_foreign_keys",
+    """SELECT board_stop_id, count(*) AS rows FROM trip_table WHERE board_stop_id IS NULL
+    OR board_stop_id NOT IN (SELECT stop_id FROM stop_table) GROUP BY board_stop_id""",
+)
+def check_foreign_keys(spark, sf_dir):
+    rows = testviews.trip_table(spark, sf_dir)
+    return checks.dangling_keys(
+        rows, "board_stop_id", testviews.stop_table(spark, sf_dir), "stop_id"
+    )
+
+
+@query(
+    "check_allowed_values",
+    f"""SELECT payCardBank, count(*) AS rows FROM taps WHERE payCardBank IS NULL
+    OR payCardBank NOT IN ({BANKS}) GROUP BY payCardBank""",
+)
+def check_allowed_values(spark, sf_dir):
+    return checks.values_outside(
+        testviews.taps(spark, sf_dir), "payCardBank", presets.CARD_BANKS
+    )

@@ -183,15 +183,19 @@ def _with_arrival(rows: DataFrame) -> DataFrame:
     )
 
 
-def read_csv(spark: SparkSession, paths: Sequence[str], header: Sequence[str]) -> DataFrame:
+def read_csv(
+    spark: SparkSession, paths: Sequence[str], header: Sequence[str], multi_line: bool = False
+) -> DataFrame:
     """S3: CSV files of one header, as texts.
 
     In columns whose text counts, "no value" texts become null; conversions do it in the others.
+    Cells with line breaks need ``multi_line``, at the price of one task per file.
     """
     schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
     reader = spark.read.schema(schema).option("header", True).option("encoding", "UTF-8")
     # The names given here are those of the header, cleaned; the header itself need not match.
-    rows = reader.option("enforceSchema", True).option("escape", '"').csv(list(paths))
+    reader = reader.option("enforceSchema", True).option("escape", '"')
+    rows = reader.option("multiLine", multi_line).csv(list(paths))
     rows = _with_arrival(rows)
     no_value = ["", *presets.NA_TOKENS]
     texts = [name for name in header if name in presets.TEXT_FILE_COLUMNS]
@@ -210,15 +214,19 @@ def read_json(
     return _with_arrival(rows)
 
 
-def read_layout(spark: SparkSession, layout: Layout, paths: Sequence[str]) -> DataFrame:
+def read_layout(
+    spark: SparkSession, layout: Layout, paths: Sequence[str], multi_line: bool = False
+) -> DataFrame:
     if layout.kind == "csv":
-        return read_csv(spark, paths, layout.columns)
+        return read_csv(spark, paths, layout.columns, multi_line)
     if layout.kind == "json":
         return read_json(spark, paths, layout.whole_file)
     return read_workbooks(spark, paths, layout.columns)
 
 
-def read_checked(spark: SparkSession, checks: Sequence[FileCheck]) -> DataFrame:
+def read_checked(
+    spark: SparkSession, checks: Sequence[FileCheck], multi_line: bool = False
+) -> DataFrame:
     """The rows of all readable files, under the columns of a trip file plus ``ARRIVAL``.
 
     Absent optional columns become null, except the direction, which becomes 0; columns that no
@@ -232,22 +240,22 @@ def read_checked(spark: SparkSession, checks: Sequence[FileCheck]) -> DataFrame:
         raise ValueError("no readable files")
     null = F.lit(None).cast("string")
     absent = {name: F.lit("0") if name == "direction" else null for name in FILE_COLUMNS}
-    frames = [
-        ensure_columns(read_layout(spark, layout, paths), absent).select(*FILE_COLUMNS, *ARRIVAL)
-        for layout, paths in groups.items()
-    ]
+    frames = []
+    for layout, paths in groups.items():
+        frame = read_layout(spark, layout, paths, multi_line)
+        frames.append(ensure_columns(frame, absent).select(*FILE_COLUMNS, *ARRIVAL))
     rows = frames[0]
     for frame in frames[1:]:
         rows = rows.unionByName(frame)
     return rows
 
 
-def read_file(spark: SparkSession, path: str) -> DataFrame:
+def read_file(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """The rows of one file; a bad file is an error."""
     (check,) = check_files(spark, [path])
     if check.problem:
         raise ValueError(f"{path}: {check.problem}")
-    return read_checked(spark, [check])
+    return read_checked(spark, [check], multi_line)
 
 
 def source_tag(source_file: Column) -> Column:

@@ -50,6 +50,13 @@ def test_headers_with_blanks_and_cells_without_value(spark, folder):
     assert first["payCardName"] == "A, Person" and second["payCardName"] == 'say "hi"'
 
 
+def test_cells_with_line_breaks(spark, folder):
+    path = write_csv(folder + "/a.csv", [trip(1, payCardName="two\nlines"), trip(2)])
+    rows = files.read_file(spark, path, multi_line=True)
+    assert ids(rows) == ["T1", "T2"]
+    assert rows.where("transID = 'T1'").first()["payCardName"] == "two\nlines"
+
+
 def test_a_header_alone_has_no_rows(spark, folder):
     assert files.read_file(spark, write_csv(folder + "/a.csv", [])).count() == 0
 
