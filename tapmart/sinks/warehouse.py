@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tapmart.operators.dimensions import with_unknown
 from tapmart.operators.reporting import observed
-from tapmart.sources.tables import path_exists
+from tapmart.sources.tables import has_data
 
 FACT = "fact_trip"
 DIMENSIONS = ("date", "stop", "route", "rider", "fleet", "feedback_category")
@@ -21,7 +21,8 @@ class Warehouse:
     """Tables by name. The fact is partitioned by travel date.
 
     Adding rows never rewrites what is stored: a write job puts whole files in place when it
-    commits, and loading the same rows again is made harmless by the operators before it.
+    commits, and loading the same rows again is made harmless by the operators before it. One
+    load writes at a time.
     """
 
     spark: SparkSession
@@ -31,7 +32,7 @@ class Warehouse:
         return f"{self.root.rstrip('/')}/{table}"
 
     def exists(self, table: str) -> bool:
-        return path_exists(self.spark, self.path(table))
+        return has_data(self.spark, self.path(table))
 
     def read(self, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path(table))

@@ -91,6 +91,24 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(hadoop_path.getFileSystem(configuration).exists(hadoop_path))
 
 
+def has_data(spark: SparkSession, path: str) -> bool:
+    """Whether a table folder holds data files that a write job has put in place.
+
+    What a write job left behind when it was cut off does not count.
+    """
+    if not path_exists(spark, path):
+        return False
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    root = system.makeQualified(hadoop_path).toString()
+    found = system.listFiles(hadoop_path, True)
+    while found.hasNext():
+        inner = found.next().getPath().toString()[len(root) :].strip("/")
+        if not any(name.startswith(("_", ".")) for name in inner.split("/")):
+            return True
+    return False
+
+
 def optional_table(spark: SparkSession, name_or_path: str) -> DataFrame | None:
     """The table, or None where there is none. Other errors are raised."""
     if "/" in name_or_path:

@@ -174,6 +174,16 @@ def test_stream_of_files(spark, folder, warehouse):
     assert warehouse.read(FACT).count() == 8
 
 
+def test_what_a_broken_write_left_behind_is_no_table(spark, folder, warehouse):
+    os.makedirs(warehouse.path("dim_stop") + "/_temporary/0/task")
+    spark.range(1).write.parquet(warehouse.path("dim_stop") + "/_temporary/0/task/out")
+    assert not warehouse.exists("dim_stop")
+    drop = new_folder(folder, "drop")
+    write_csv(drop + "/a.csv", [trip(1)])
+    assert load_folder(spark, drop, warehouse, "b1", load_date()).added["dim_stop"] == 2
+    assert_sound(warehouse)
+
+
 def test_stored_tables_stay_small_in_number_of_files(spark, warehouse):
     rows = testviews.taps(spark, SF_DIR)
     star = star_from_files(rows, testviews.ARRIVAL, load_date(), "csv", "b1", names=["date"])
