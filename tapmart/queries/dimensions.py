@@ -36,6 +36,12 @@ def staged(spark, sf_dir, half_even=False):
     return stage_trips(testviews.taps(spark, sf_dir), ARRIVAL, half_even)
 
 
+def derived(spark, sf_dir):
+    """Trips for a single reader, which gain nothing from being written in between."""
+    rows = trips.clean_file_rows(testviews.taps(spark, sf_dir), ARRIVAL)
+    return trips.derive_file_trips(rows, half_even=False)
+
+
 VALIDITY = f"DATE '{LOAD_DAY}' AS valid_from, CAST(NULL AS DATE) AS valid_to, 1 AS is_current"
 
 
@@ -211,11 +217,9 @@ part(
 )
 
 
-def _dimension(spark, sf_dir, name, unknown=False):
-    trip_rows = staged(spark, sf_dir)
-    return observed_dimensions(
-        trip_rows, ARRIVAL, load_date(), names=[name], unknown=unknown
-    )[name]
+def _dimension(spark, sf_dir, name):
+    trip_rows = derived(spark, sf_dir)
+    return observed_dimensions(trip_rows, ARRIVAL, load_date(), names=[name])[name]
 
 
 @query("dim_date_observed", "SELECT * FROM p_dim_date")
@@ -249,8 +253,7 @@ def dim_fleet(spark, sf_dir):
     round(count(*) / count(DISTINCT fleet_id), 1) AS trips_per_vehicle FROM p_trips""",
 )
 def fleet_load_summary(spark, sf_dir):
-    rows = trips.clean_file_rows(testviews.taps(spark, sf_dir), ARRIVAL)
-    return dimensions.fleet_load_summary(trips.derive_file_trips(rows))
+    return dimensions.fleet_load_summary(derived(spark, sf_dir))
 
 
 # --------------------------------------------------------------- dimensions from source tables

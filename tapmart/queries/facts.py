@@ -12,7 +12,7 @@ from tapmart.plans.from_tables import full_fact, strict_fact, table_dimensions
 from tapmart.presets import REFERENCE_YEAR
 from tapmart.queries.cleaning import BANKS
 from tapmart.queries.derive import DAY_PART, DURATION, FLEET_ID, STATUS
-from tapmart.queries.dimensions import ARRIVAL, load_date, staged
+from tapmart.queries.dimensions import ARRIVAL, derived, load_date, staged
 from tapmart.queries.registry import part, query
 
 BATCH = "batch-1"
@@ -96,7 +96,7 @@ def fact_full(spark, sf_dir):
     fleet_id = trip_rows.routes.fleet_id(route, F.col("direction"), F.to_date("tap_in_at"))
     tables["trips"] = tables["trips"].withColumn("fleet_id", fleet_id)
     star = _table_star(spark, sf_dir, tables)
-    vehicles = dimensions.fleet_members(staged(spark, sf_dir), ARRIVAL)
+    vehicles = dimensions.fleet_members(derived(spark, sf_dir), ARRIVAL)
     fleet = dimensions.keyed_dimension(vehicles, "fleet")
     star["fleet"] = dimensions.add_unknown(fleet, "fleet")
     return full_fact(tables, star, "postgresql", BATCH, TIE_BREAK)
