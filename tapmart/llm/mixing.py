@@ -41,7 +41,8 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REP
     level = F.try_divide(left, F.sum("_weight").over(after))
     ranked = sources.withColumn("_level", level)
     reached = F.when(F.col("_level") * F.col("_weight") <= F.col("_cap"), F.col("_level"))
-    common = F.min(reached).over(everything)
+    # Counting an uncapped source as capped can only lower the level, so the largest is right.
+    common = F.max(reached).over(everything)
     target = F.least(F.col("_cap"), common * F.col("_weight"))
     return ranked.select(
         "_source", "source_size", F.coalesce(target, F.lit(0.0)).alias("target")
@@ -82,14 +83,18 @@ def mix_sources(
     rows = freeze(rows, "mixing-sizes")
     targets = freeze(source_targets(rows, weights, max_repeats), "mixing-targets")
     expected = F.coalesce(F.try_divide("target", F.col("source_size").cast("double")), F.lit(0.0))
-    targets = targets.withColumn("_certain", F.floor(expected)).withColumn(
-        "_inclusion", expected - F.col("_certain")
+    targets = targets.select(
+        F.col("_source").alias("_name"),
+        "source_size",
+        "target",
+        F.floor(expected).alias("_certain"),
+        (expected - F.floor(expected)).alias("_inclusion"),
     )
     u, p = F.col("_u"), F.col("_inclusion")
     odds = (u / (1 - u)) / (p / (1 - p))
     ranked = (
-        rows.join(targets, F.col("_source").eqNullSafe(targets["_source"]))
-        .drop(targets["_source"])
+        rows.join(targets, F.col("_source").eqNullSafe(F.col("_name")))
+        .drop("_name")
         .withColumn("_rank", F.when(p > 0, odds))
         .withColumn(
             "_bucket", F.floor(F.col("_rank") / (1 + F.col("_rank")) * BUCKETS).cast("int")
