@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapmart.llm.common import WORD, documents, whole
+from tapmart.llm.exact_dedup import exact_dedup
 from tapmart.llm.line_dedup import drop_common_lines
 from tapmart.llm.mixing import mix_sources
 
@@ -57,6 +58,26 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "op3_exact_dedup",
+    r"""
+    WITH plain AS (
+      SELECT doc_id, length(coalesce(text, '')) AS chars, translate(coalesce(text, ''),
+        ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '') AS body
+      FROM documents
+    ), ranked AS (
+      SELECT *, first_value(doc_id) OVER (PARTITION BY body ORDER BY chars DESC, doc_id) AS keep_id,
+        count(*) OVER (PARTITION BY body) AS group_size
+      FROM plain
+    )
+    SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS text_sha256
+    FROM ranked
+    """,
+)
+def exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup(documents(spark, sf_dir))
+
+
 @query("op8_source_mixing")
 def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = F.regexp_count(whole(F.col("text")), F.lit(WORD))
