@@ -11,6 +11,8 @@ from tapmart.llm.common import WORD, documents, whole
 from tapmart.llm.exact_dedup import exact_dedup
 from tapmart.llm.line_dedup import drop_common_lines
 from tapmart.llm.mixing import mix_sources
+from tapmart.llm.sharding import shard_by_bytes
+from tapmart.llm.vector_search import top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -78,6 +80,19 @@ def exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
 
+@query("op7_sharding")
+def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_by_bytes(documents(spark, sf_dir).select("doc_id", "text")).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 @query("op8_source_mixing")
 def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = F.regexp_count(whole(F.col("text")), F.lit(WORD))
@@ -88,3 +103,31 @@ def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "target",
         (F.col("copies") * F.col("size")).alias("taken"),
     )
+
+
+@query(
+    "op10_topk_search",
+    """
+    WITH ints AS (
+      SELECT vec_id, list_transform(embedding, x -> CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT))
+        AS v
+      FROM embeddings
+      WHERE embedding IS NOT NULL
+        AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    ), scored AS (
+      SELECT q.vec_id AS query_id, c.vec_id,
+        CAST(list_sum(list_transform(list_zip(q.v, c.v), p -> p[1] * p[2])) AS BIGINT) AS score
+      FROM ints q JOIN ints c ON q.vec_id <> c.vec_id
+      WHERE q.vec_id % 100 = 0
+    ), ranked AS (
+      SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place
+      FROM scored
+    )
+    SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 10
+    """,
+)
+def topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return top_k(vectors, F.col("id") % 100 == 0).select(
+        "query_id", "rank", F.col("id").alias("vec_id"), "score"
+    )
