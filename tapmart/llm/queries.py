@@ -11,6 +11,7 @@ from tapmart.llm.common import WORD, documents, whole
 from tapmart.llm.exact_dedup import exact_dedup
 from tapmart.llm.line_dedup import drop_common_lines
 from tapmart.llm.mixing import mix_sources
+from tapmart.llm.ngram_join import near_duplicates
 from tapmart.llm.sharding import shard_by_bytes
 from tapmart.llm.vector_search import top_k
 
@@ -80,6 +81,11 @@ def exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
 
+@query("op6_ngram_jaccard")
+def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir), width=3, percent=90)
+
+
 @query("op7_sharding")
 def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_bytes(documents(spark, sf_dir).select("doc_id", "text")).select(
@@ -109,14 +115,14 @@ def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     "op10_topk_search",
     """
     WITH ints AS (
-      SELECT vec_id, list_transform(embedding, x -> CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT))
+      SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT))
         AS v
       FROM embeddings
       WHERE embedding IS NOT NULL
-        AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
     ), scored AS (
       SELECT q.vec_id AS query_id, c.vec_id,
-        CAST(list_sum(list_transform(list_zip(q.v, c.v), p -> p[1] * p[2])) AS BIGINT) AS score
+        CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
       FROM ints q JOIN ints c ON q.vec_id <> c.vec_id
       WHERE q.vec_id % 100 = 0
     ), ranked AS (
