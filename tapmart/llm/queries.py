@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapmart.llm.common import WORD, documents, whole
+from tapmart.llm.common import WORD, documents, held_out, whole
 from tapmart.llm.exact_dedup import exact_dedup
+from tapmart.llm.language_id import fit_languages
 from tapmart.llm.line_dedup import drop_common_lines
 from tapmart.llm.mixing import mix_sources
 from tapmart.llm.ngram_join import near_duplicates
+from tapmart.llm.quality import fit_quality, frozen_statistics, score_quality
 from tapmart.llm.sharding import shard_by_bytes
 from tapmart.llm.vector_search import top_k
 
@@ -81,6 +83,16 @@ def exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
 
+@query("op5_language_id")
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    kept_back = held_out(F.col("doc_id"), 4)
+    model = fit_languages(docs, ~kept_back)
+    return model.predict(docs.select("doc_id", "text")).select(
+        "doc_id", kept_back.alias("held_out"), "lang_pred", "score"
+    )
+
+
 @query("op6_ngram_jaccard")
 def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), width=3, percent=90)
@@ -111,6 +123,17 @@ def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op9_quality")
+def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    statistics = frozen_statistics(documents(spark, sf_dir))
+    kept_back = held_out(F.col("id"), 4)
+    model = fit_quality(statistics, labels, ~kept_back)
+    return score_quality(statistics, model).select(
+        F.col("id").alias("doc_id"), kept_back.alias("held_out"), "score", "predicted"
+    )
+
+
 @query(
     "op10_topk_search",
     """
