@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +14,7 @@ from tapmart.llm.language_id import fit_languages
 from tapmart.llm.line_dedup import drop_common_lines
 from tapmart.llm.mixing import mix_sources
 from tapmart.llm.ngram_join import near_duplicates
+from tapmart.llm.packing import pack_documents
 from tapmart.llm.quality import fit_quality, frozen_statistics, score_quality
 from tapmart.llm.sharding import shard_by_bytes
 from tapmart.llm.vector_search import top_k
@@ -83,6 +85,12 @@ def exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
 
+@query("op4_packing")
+def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return pack_documents(documents(spark, sf_dir), path)
+
+
 @query("op5_language_id")
 def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
