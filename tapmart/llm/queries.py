@@ -12,6 +12,7 @@ from tapmart.llm.common import WORD, documents, held_out, whole
 from tapmart.llm.exact_dedup import exact_dedup
 from tapmart.llm.language_id import fit_languages
 from tapmart.llm.line_dedup import drop_common_lines
+from tapmart.llm.lm_scoring import score_documents
 from tapmart.llm.mixing import mix_sources
 from tapmart.llm.ngram_join import near_duplicates
 from tapmart.llm.packing import pack_documents
@@ -65,6 +66,11 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op2_lm_scoring")
+def lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(documents(spark, sf_dir), held_out(F.col("doc_id"), 7))
+
+
 @query(
     "op3_exact_dedup",
     r"""
