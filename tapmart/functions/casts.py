@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -43,6 +43,10 @@ def in_range(number: Column, low: int, high: int) -> Column:
     return F.when(number.between(low, high), number)
 
 
-def try_timestamp(text: Column) -> Column:
-    """Wall-clock timestamp without time zone, or null."""
-    return text.try_cast("timestamp_ntz")
+def try_timestamp(text: Column, formats: Sequence[str] = ()) -> Column:
+    """Wall-clock timestamp without time zone, or null.
+
+    ISO texts are read as they are, others by the first of ``formats`` that fits.
+    """
+    tried = [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats]
+    return F.coalesce(text.try_cast("timestamp_ntz"), *tried)

@@ -24,12 +24,18 @@ def observed(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, Ob
     return df.observe(observation, *columns), observation
 
 
-def observed_rows(observation: Observation) -> int:
-    """Rows counted so far. A frame that the optimizer found to be empty reports nothing at all."""
+def observed_value(observation: Observation, name: str) -> int:
+    """A metric counted so far. Where the optimizer found the frame to be empty there is none."""
     try:
-        return observation.get.get("rows", 0)
-    except Py4JJavaError:
-        return 0
+        return observation.get.get(name) or 0
+    except Py4JJavaError as error:
+        if "NoSuchElementException" in str(error) or "empty" in str(error).lower():
+            return 0
+        raise
+
+
+def observed_rows(observation: Observation) -> int:
+    return observed_value(observation, "rows")
 
 
 def validation_report(rows: DataFrame, arrival: Sequence[str]) -> DataFrame:

@@ -9,15 +9,24 @@ from pyspark.sql import functions as F
 
 from tapmart import presets
 
-BANK_COLUMNS = tuple(sorted((*presets.CARD_BANKS, presets.OTHER_BANK)))
-GENDER_COLUMNS = (*presets.GENDERS, presets.GENDER_NOT_GIVEN)
+# The labels that cleaning and the unknown members give, and the column for any other.
+BANK_COLUMNS = (*sorted((*presets.CARD_BANKS, presets.OTHER_BANK)), presets.UNKNOWN_ROWS["rider"]["card_bank"])
+GENDER_COLUMNS = (*presets.GENDERS, presets.GENDER_NOT_GIVEN, presets.UNKNOWN_ROWS["rider"]["gender"])
+ANY_OTHER = "other_labels"
 HOURS = 24
 
 
 def pivot_counts(report: DataFrame, rows: str, columns: str, values: Sequence[str]) -> DataFrame:
-    """Trips per row label, one column per listed value, 0 where there are none."""
-    pivoted = report.groupBy(rows).pivot(columns, list(values)).agg(F.sum("trips"))
-    return pivoted.fillna(0, subset=list(values))
+    """Trips per row label, one column per listed value, 0 where there are none.
+
+    Labels outside the list, and null, add up in the column ``other_labels``, so the sum over a row
+    is the report's.
+    """
+    label = F.col(columns)
+    listed = F.when(label.isin(list(values)), label).otherwise(F.lit(ANY_OTHER))
+    names = [*values, ANY_OTHER]
+    pivoted = report.withColumn(columns, listed).groupBy(rows).pivot(columns, names)
+    return pivoted.agg(F.sum("trips")).fillna(0, subset=names)
 
 
 def pivot_corridor_bank(report: DataFrame) -> DataFrame:

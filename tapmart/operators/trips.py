@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapmart import presets
@@ -33,9 +33,41 @@ _TEXTS = {
 }
 
 
-def type_file_rows(rows: DataFrame, arrival: Sequence[str]) -> DataFrame:
+# Reasons for which a file row is no trip, as they stand in the table of rejected rows.
+MALFORMED = "record cannot be read"
+MISSING = "required value is missing"
+BAD_TIME = "tap-in time cannot be read"
+BAD_CARD = "card id is no whole number"
+BAD_AMOUNT = "amount does not fit its column"
+REJECT_REASONS = (MALFORMED, MISSING, BAD_TIME, BAD_CARD, BAD_AMOUNT)
+BAD_RECORD = "bad_record"
+
+
+def incomplete_reason(rows: DataFrame) -> Column:
+    """Why a row can't be taken as it is, before any typing; null where it can."""
+    missing = F.lit(False)
+    for name in presets.NOT_NULL_FILE_COLUMNS:
+        trimmed = casts.trim_blanks(F.col(name).cast("string"))
+        missing = missing | trimmed.isNull() | (trimmed == "nan")
+    malformed = F.col(BAD_RECORD).isNotNull() if BAD_RECORD in rows.columns else F.lit(False)
+    return F.when(malformed, MALFORMED).when(missing, MISSING)
+
+
+def typed_reason() -> Column:
+    """Why a typed row, the one that counts for its trip, is no trip; null where it is one."""
+    return (
+        F.when(F.col("tap_in_at").isNull(), BAD_TIME)
+        .when(F.col("rider_id").isNull(), BAD_CARD)
+        .when(F.col("paid").isNull(), BAD_AMOUNT)
+    )
+
+
+def type_file_rows(
+    rows: DataFrame, arrival: Sequence[str], time_formats: Sequence[str] = ()
+) -> DataFrame:
     """Complete file rows, numbers and times typed, under our names.
 
+    An amount that is no number counts as nothing paid; one too large for its column is null.
     Conversions skip outer blanks by themselves and give null for texts that stand for no value,
     so only the columns that must not be null are trimmed here.
     """
@@ -56,11 +88,10 @@ def type_file_rows(rows: DataFrame, arrival: Sequence[str]) -> DataFrame:
         casts.try_number(F.col("tapOutStopsLat"), "decimal(10,7)").alias("alight_lat"),
         casts.try_number(F.col("tapOutStopsLon"), "decimal(10,7)").alias("alight_lon"),
         casts.try_number(F.col("stopEndSeq"), "smallint").alias("alight_seq"),
-        casts.try_timestamp(F.col("tapInTime")).alias("tap_in_at"),
-        casts.try_timestamp(F.col("tapOutTime")).alias("tap_out_at"),
-        # A bad amount counts as nothing paid; one too large for the column fails the load.
+        casts.try_timestamp(F.col("tapInTime"), time_formats).alias("tap_in_at"),
+        casts.try_timestamp(F.col("tapOutTime"), time_formats).alias("tap_out_at"),
         F.coalesce(casts.try_number(F.col("payAmount"), "decimal(38,6)"), F.lit(0))
-        .cast("decimal(10,2)")
+        .try_cast("decimal(10,2)")
         .alias("paid"),
         *[F.col(name).alias(ours) for name, ours in _TEXTS.items()],
         *arrival,
@@ -100,6 +131,22 @@ def clean_file_rows(
     return clean_texts(drop_nulls(unique, ["tap_in_at"]))
 
 
+def judged_file_rows(
+    rows: DataFrame,
+    arrival: Sequence[str],
+    file_column: str | None = None,
+    time_formats: Sequence[str] = (),
+) -> DataFrame:
+    """``clean_file_rows`` with the rows that are no trip kept, under a ``reject_reason``.
+
+    Rows without a reason are the same as there, but for those whose card id or amount is bad.
+    """
+    key = ["trip_id", file_column] if file_column else "trip_id"
+    complete = rows.where(incomplete_reason(rows).isNull())
+    unique = first(type_file_rows(complete, arrival, time_formats), key, arrival)
+    return clean_texts(unique).withColumn("reject_reason", typed_reason())
+
+
 def with_trip_times(trips: DataFrame, half_even: bool = False) -> DataFrame:
     """D3-D6."""
     tap_in, tap_out = F.col("tap_in_at"), F.col("tap_out_at")

@@ -18,11 +18,18 @@ from tapmart import presets
 from tapmart.operators import dimensions as dims
 from tapmart.operators.dedup import first
 from tapmart.operators.loading import resync_fact, skip_existing
-from tapmart.operators.reporting import observed, observed_rows
-from tapmart.plans.from_files import ALL_DIMENSIONS, observed_members, stage_trips
-from tapmart.sinks.audit import AUDIT_TABLE, audit_row
+from tapmart.operators.reporting import observed, observed_rows, observed_value
+from tapmart.operators.trips import (
+    BAD_RECORD,
+    REJECT_REASONS,
+    derive_file_trips,
+    incomplete_reason,
+    judged_file_rows,
+)
+from tapmart.plans.from_files import ALL_DIMENSIONS, observed_members
+from tapmart.sinks.audit import AUDIT_TABLE, REJECTED_TABLE, AuditLine, audit_rows
 from tapmart.sinks.warehouse import DIMENSIONS, FACT, Warehouse
-from tapmart.session import side_by_side
+from tapmart.session import freeze, side_by_side
 from tapmart.sources import files
 
 PROCESS = "file_ingest"
@@ -30,11 +37,17 @@ PROCESS = "file_ingest"
 
 @dataclass
 class LoadResult:
-    """Rows added per table, and the files that were left out with the reason."""
+    """Rows added per table, what became of the rows read, and the files left out with the reason.
+
+    ``rows`` counts the trip rows: ``read`` is the sum of the others, which are ``added``,
+    ``duplicate``, ``skipped`` (stored before), ``look_up_missed``, and one count per reason in
+    ``REJECT_REASONS``.
+    """
 
     batch_id: str
     added: dict[str, int] = field(default_factory=dict)
     rejected: dict[str, str] = field(default_factory=dict)
+    rows: dict[str, int] = field(default_factory=dict)
 
 
 def _now() -> datetime:
@@ -63,14 +76,30 @@ def load_rows(
     source: str | Column,
     file_column: str | None = None,
     reference_year: int = presets.REFERENCE_YEAR,
-) -> dict[str, int]:
-    """K9: clean and stage the rows, add new members, then add the facts of new trips.
+    time_formats: Sequence[str] = presets.TIME_FORMATS,
+) -> LoadResult:
+    """Clean and stage the rows, add new members, then add the facts of new trips.
 
     Every file counts as cleaned on its own and in name order: the first file that has a trip, or
     a member, decides. Fact keys come from the stored dimensions after they took the new members.
+    Rows that are no trip stop nothing: they go to the table of rejected rows with a reason, and
+    every row read is counted once in the result.
     """
     seed_warehouse(warehouse)
-    staged = stage_trips(rows, arrival, file_column=file_column)
+    result = LoadResult(batch_id)
+    marked = rows.withColumn("_early", incomplete_reason(rows))
+    reasons = {f"n{i}": F.count_if(F.col("_early") == r) for i, r in enumerate(REJECT_REASONS)}
+    counted, reading = observed(marked, "rows_read", **reasons)
+    judged = freeze(
+        derive_file_trips(judged_file_rows(counted, arrival, file_column, time_formats), True),
+        "trips",
+    )
+    early = {r: observed_value(reading, f"n{i}") for i, r in enumerate(REJECT_REASONS)}
+    late = {r["reject_reason"]: r["count"] for r in judged.groupBy("reject_reason").count().collect()}
+    staged = judged.where("reject_reason IS NULL").drop("reject_reason")
+    by_reason = {r: early[r] + late.get(r, 0) for r in REJECT_REASONS}
+    if any(by_reason.values()):
+        _write_rejected(warehouse, marked, judged, arrival, batch_id, any(early.values()))
 
     def add_members(name: str) -> int:
         members = observed_members(staged, arrival, name, reference_year, file_column)
@@ -84,12 +113,52 @@ def load_rows(
 
     # Stored trips go first: by id, so it makes no difference which row of a trip counts.
     trips = skip_existing(staged, warehouse.read(FACT)) if warehouse.exists(FACT) else staged
+    trips, fresh = observed(trips, "rows_not_stored")
     trips = first(trips, "trip_id", arrival) if file_column else trips
+    trips, unique = observed(trips, "trips_not_stored")
     stored = {name: warehouse.dimension(name) for name in DIMENSIONS}
     loaded_at = F.current_timestamp().cast("timestamp_ntz")
     fact = resync_fact(trips, stored, source, batch_id, loaded_at)
-    observation = warehouse.write_fact(fact)
-    return {**added, FACT: observed_rows(observation)}
+    facts = observed_rows(warehouse.write_fact(fact))
+    result.added = {**added, FACT: facts}
+    read, good = observed_rows(reading), late.get(None, 0)
+    result.rows = {
+        "read": read,
+        "added": facts,
+        "duplicate": read - sum(early.values()) - sum(late.values())
+        + observed_rows(fresh) - observed_rows(unique),
+        "skipped": good - observed_rows(fresh),
+        "look_up_missed": observed_rows(unique) - facts,
+        **by_reason,
+    }
+    return result
+
+
+def _write_rejected(
+    warehouse: Warehouse,
+    marked: DataFrame,
+    judged: DataFrame,
+    arrival: Sequence[str],
+    batch_id: str,
+    any_early: bool,
+) -> None:
+    """The rows that are no trip: where they stand, the trip, the reason, and the record where
+    it could not be read."""
+
+    def laid_out(rows: DataFrame, trip: str, reason: str, record: Column) -> DataFrame:
+        return rows.where(F.col(reason).isNotNull()).select(
+            F.lit(batch_id).alias("batch_id"),
+            F.to_json(F.struct(*arrival)).alias("arrival"),
+            F.col(trip).cast("string").alias("trip_id"),
+            F.col(reason).alias("reason"),
+            record.cast("string").alias("record"),
+        )
+
+    rejected = laid_out(judged, "trip_id", "reject_reason", F.lit(None))
+    if any_early:
+        record = F.col(BAD_RECORD) if BAD_RECORD in marked.columns else F.lit(None)
+        rejected = rejected.unionByName(laid_out(marked, "transID", "_early", record))
+    warehouse.append(rejected, REJECTED_TABLE)
 
 
 def load_files(
@@ -99,23 +168,32 @@ def load_files(
     load_date: Column,
     reference_year: int = presets.REFERENCE_YEAR,
     multi_line: bool = False,
+    time_formats: Sequence[str] = presets.TIME_FORMATS,
 ) -> LoadResult:
-    """Check the files, load the good ones together, log good and bad ones."""
+    """Check the files, load the good ones together, log good and bad ones.
+
+    The log has a line per file that could not be read, per table that took rows, and per count of
+    trip rows.
+    """
     spark = warehouse.spark
-    result = LoadResult(batch_id)
     started = _now()
     checks = files.check_files(spark, sorted(paths))
-    result.rejected = {c.path: c.problem for c in checks if c.problem}
+    rejected = {c.path: c.problem for c in checks if c.problem}
     good = [c for c in checks if not c.problem]
-    lines = [
-        audit_row(
-            spark, batch_id, PROCESS, path, FACT, 0, presets.AUDIT_FAILED, started, _now(), problem
+    result = LoadResult(batch_id)
+    lines: list[AuditLine] = []
+
+    def log(source: str, target: str, count: int, status: str, error: str | None = None) -> None:
+        lines.append(
+            AuditLine(batch_id, PROCESS, source, target, count, status, error, started, _now())
         )
-        for path, problem in result.rejected.items()
-    ]
+
+    for path, problem in rejected.items():
+        log(path, FACT, 0, presets.AUDIT_FAILED, problem)
+    together = f"{len(good)} files"
     try:
         if good:
-            result.added = load_rows(
+            result = load_rows(
                 warehouse,
                 files.read_checked(spark, good, multi_line),
                 batch_id,
@@ -124,38 +202,27 @@ def load_files(
                 files.source_tag(F.col("source_file")),
                 file_column="source_file",
                 reference_year=reference_year,
+                time_formats=time_formats,
             )
     except Exception as error:
-        lines.append(
-            audit_row(
-                spark, batch_id, PROCESS, f"{len(good)} files", FACT, 0,
-                presets.AUDIT_FAILED, started, _now(), str(error)[:2000],
-            )
-        )
+        log(together, FACT, 0, presets.AUDIT_FAILED, str(error))
         raise
     else:
-        status = presets.AUDIT_PARTIAL if result.rejected and good else presets.AUDIT_OK
-        lines += [
-            audit_row(
-                spark, batch_id, PROCESS, f"{len(good)} files", table, count, status, started, _now()
-            )
-            for table, count in result.added.items()
-        ]
+        lost = [r for r in REJECT_REASONS if result.rows.get(r)]
+        lost += ["look_up_missed"] if result.rows.get("look_up_missed") else []
+        partial_load = good and (rejected or lost)
+        status = presets.AUDIT_PARTIAL if partial_load else presets.AUDIT_OK
+        for table, count in result.added.items():
+            log(together, table, count, status)
+        for name, count in result.rows.items():
+            log(together, f"{FACT}: {name}", count, status)
     finally:
-        write_audit(warehouse, lines)
+        if lines:
+            warehouse.append(audit_rows(spark, lines).coalesce(1), AUDIT_TABLE)
+    result.rejected = rejected
     return result
 
 
-def write_audit(warehouse: Warehouse, lines: Sequence[DataFrame]) -> None:
-    """Add the lines to the audit table."""
-    if not lines:
-        return
-    log = lines[0]
-    for line in lines[1:]:
-        log = log.unionByName(line)
-    warehouse.append(log.coalesce(1), AUDIT_TABLE)
-
-
 def load_folder(
     spark: SparkSession,
     folder: str,
@@ -164,9 +231,10 @@ def load_folder(
     load_date: Column,
     reference_year: int = presets.REFERENCE_YEAR,
     multi_line: bool = False,
+    time_formats: Sequence[str] = presets.TIME_FORMATS,
 ) -> LoadResult:
     """Load all files of a folder in one batch."""
     paths = files.list_files(spark, folder)
     if not paths:
         return LoadResult(batch_id)
-    return load_files(warehouse, paths, batch_id, load_date, reference_year, multi_line)
+    return load_files(warehouse, paths, batch_id, load_date, reference_year, multi_line, time_formats)

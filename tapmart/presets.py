@@ -53,6 +53,14 @@ TEXT_FILE_COLUMNS = (
     "tapOutStopsName",
 )
 NOT_NULL_FILE_COLUMNS = ("transID", "payCardID", "tapInStops", "tapInTime")
+# Time texts beside ISO: month first, and day first where that cannot be.
+TIME_FORMATS = (
+    "M/d/yyyy H:mm[:ss]",
+    "d/M/yyyy H:mm[:ss]",
+    "M-d-yyyy H:mm[:ss]",
+    "d-M-yyyy H:mm[:ss]",
+    "yyyy/M/d H:mm[:ss]",
+)
 
 # Cell texts a flat file uses for "no value" (the pandas.read_csv defaults).
 NA_TOKENS = (

@@ -85,23 +85,27 @@ def q5_top_stops(spark, sf_dir):
     return olap.top_stops(s["fact"], s["stop"])
 
 
+_BANKS = "bni brizzi dki emoney flazz lainnya online Unknown".split()
+_GENDERS = ["M", "F", "Tidak Disebutkan", "U"]
+
+
 def _pivot_sql(source: str, rows: str, columns: str, values) -> str:
+    listed = ", ".join(f"'{v}'" for v in values)
     sums = ", ".join(
         f"""CAST(coalesce(sum(trips) FILTER ({columns} = '{v}'), 0) AS BIGINT) AS "{v}\""""
         for v in values
     )
+    other = f"{columns} IS NULL OR {columns} NOT IN ({listed})"
+    sums += f", CAST(coalesce(sum(trips) FILTER ({other}), 0) AS BIGINT) AS other_labels"
     return f"SELECT {rows}, {sums} FROM {source} GROUP BY {rows}"
 
 
-@query(
-    "pivot_corridor_bank",
-    _pivot_sql("p_q2", "corridor_type", "card_bank", shaping.BANK_COLUMNS),
-)
+@query("pivot_corridor_bank", _pivot_sql("p_q2", "corridor_type", "card_bank", _BANKS))
 def pivot_corridor_bank(spark, sf_dir):
     return shaping.pivot_corridor_bank(q2_corridor_bank(spark, sf_dir))
 
 
-@query("pivot_age_gender", _pivot_sql("p_q4", "age_band", "gender", shaping.GENDER_COLUMNS))
+@query("pivot_age_gender", _pivot_sql("p_q4", "age_band", "gender", _GENDERS))
 def pivot_age_gender(spark, sf_dir):
     return shaping.pivot_age_gender(q4_rider_profile(spark, sf_dir))
 

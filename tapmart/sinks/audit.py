@@ -1,13 +1,15 @@
-"""Audit log of loads."""
+"""Audit log of loads, and the table of rejected rows."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import astuple, dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 AUDIT_TABLE = "etl_audit"
+REJECTED_TABLE = "rejected_rows"
 AUDIT_COLUMNS = {
     "batch_id": "string",
     "process": "string",
@@ -21,20 +23,22 @@ AUDIT_COLUMNS = {
 }
 
 
-def audit_row(
-    spark: SparkSession,
-    batch_id: str,
-    process: str,
-    source: str,
-    target: str,
-    row_count: int,
-    status: str,
-    started_at: datetime,
-    finished_at: datetime | None = None,
-    error: str | None = None,
-) -> DataFrame:
+@dataclass(frozen=True)
+class AuditLine:
     """One line of the log."""
-    values = [batch_id, process, source, target, row_count, status, error]
-    moments = [m.isoformat(sep=" ") if m else None for m in (started_at, finished_at)]
-    pairs = zip([*values, *moments], AUDIT_COLUMNS.items())
-    return spark.range(1).select(*[F.lit(v).cast(t).alias(name) for v, (name, t) in pairs])
+
+    batch_id: str
+    process: str
+    source: str
+    target: str
+    row_count: int
+    status: str
+    error: str | None
+    started_at: datetime
+    finished_at: datetime | None = None
+
+
+def audit_rows(spark: SparkSession, lines: Sequence[AuditLine]) -> DataFrame:
+    """All lines of a load as one frame, however many files it was about."""
+    schema = ", ".join(f"{name} {kind}" for name, kind in AUDIT_COLUMNS.items())
+    return spark.createDataFrame([astuple(line) for line in lines], schema)

@@ -12,7 +12,7 @@ import csv
 import os
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from tapmart import presets
 from tapmart.functions.casts import without_tokens
 from tapmart.operators.cleaning import ensure_columns
+from tapmart.operators.trips import BAD_RECORD
 from tapmart.sources.workbooks import read_workbooks, workbook_headers
 
 FORMATS = {".csv": "csv", ".json": "json", ".xlsx": "excel"}
@@ -33,7 +34,7 @@ _BLANK = "\ufeff \t\r\n"
 
 @dataclass(frozen=True)
 class Layout:
-    """What has to be equal for files to be read together."""
+    """What has to be equal for files to be read together. ``whole_file``: by one task each."""
 
     kind: str
     columns: tuple[str, ...] = ()
@@ -109,7 +110,7 @@ def _text_check(spark: SparkSession, path: str, required: Sequence[str]) -> File
     try:
         return _checked(path, _text_layout(spark, path), required)
     except Exception as error:  # one unreadable file must not stop the others
-        return FileCheck(path, None, str(error).strip().split("\n")[0])
+        return FileCheck(path, None, str(error).strip())
 
 
 def _workbook_checks(spark: SparkSession, paths: Sequence[str], required: Sequence[str]):
@@ -130,20 +131,48 @@ def _without_missing_keys(
         paths = [c.path for c in checks if c.layout == Layout("json", whole_file=whole_file)]
         if not paths or not required:
             continue
-        rows = read_json(spark, paths, whole_file, required)
-        # One short row per file comes back.
-        for row in rows.groupBy("source_file").agg(*counts).collect():
-            absent = [name for name in required if row[name] == 0]
-            if absent:
-                problem = f"required columns are missing: {', '.join(absent)}"
-                problems[_file_name(spark, row["source_file"])] = problem
-    bad = {c.path: problems.get(_file_name(spark, c.path)) for c in checks}
-    return [FileCheck(c.path, None, bad[c.path]) if bad[c.path] else c for c in checks]
+        per_file = read_json(spark, paths, whole_file, required).groupBy("source_file")
+        per_file = per_file.agg(*counts, F.count(BAD_RECORD).alias(BAD_RECORD))
+        nothing = [F.when(F.col(name) == 0, F.lit(name)) for name in required]
+        absent = F.concat_ws(", ", *nothing)
+        # Only files with a fault come back. Files that hold broken records alone are read, so
+        # that their records are listed as rejected.
+        faulty = per_file.where((absent != "") & (F.col(BAD_RECORD) == 0))
+        for row in faulty.select("source_file", absent.alias("absent")).toLocalIterator():
+            problem = f"required columns are missing: {row['absent']}"
+            problems[_file_name(spark, unquote(row["source_file"]))] = problem
+    if not problems:
+        return list(checks)
+    bad = [problems.get(_file_name(spark, c.path)) if c.layout else None for c in checks]
+    return [FileCheck(c.path, None, p) if p else c for c, p in zip(checks, bad)]
+
+
+def _with_open_cells(spark: SparkSession, checks: Sequence[FileCheck]) -> list[FileCheck]:
+    """Mark the CSV files that have a cell with a line break; these are read by one task each.
+
+    Such a cell leaves an odd number of quotes in a line. The lines are counted by Spark, and only
+    the names of the files concerned come back.
+    """
+    paths = [c.path for c in checks if c.layout and c.layout.kind == "csv"]
+    if not paths:
+        return list(checks)
+    quotes = F.char_length("value") - F.char_length(F.replace("value", F.lit('"'), F.lit("")))
+    lines = spark.read.text(paths).where(quotes % 2 == 1)
+    names = lines.select(F.col("_metadata.file_path").alias("name")).distinct()
+    found = {_file_name(spark, unquote(row["name"])) for row in names.toLocalIterator()}
+    if not found:
+        return list(checks)
+    return [
+        FileCheck(c.path, replace(c.layout, whole_file=True))
+        if c.layout and c.layout.kind == "csv" and _file_name(spark, c.path) in found
+        else c
+        for c in checks
+    ]
 
 
 def _file_name(spark: SparkSession, path: str) -> str:
     """One spelling of a path, with its scheme, whichever way it was written."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(unquote(path))
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
     return system.makeQualified(hadoop_path).toString()
 
@@ -156,18 +185,18 @@ def check_files(
     """Look at every file before reading any: its format, its header, its required columns.
 
     Of CSV files the first line is read, which is metadata work like listing them; of workbooks
-    the first row, and of JSON records the required keys, by Spark.
+    the first row. JSON records are searched for the required keys, and CSV lines for cells that
+    go on in the next line, by Spark. Checks come in the order of ``paths``.
     """
-    kinds = {path: FORMATS.get(os.path.splitext(path)[1].lower()) for path in paths}
-    texts = [path for path in paths if kinds[path] != "excel"]
+    kinds = [FORMATS.get(os.path.splitext(path)[1].lower()) for path in paths]
+    texts = [path for path, kind in zip(paths, kinds) if kind != "excel"]
     with ThreadPoolExecutor(_LOOKS_AT_ONCE) as pool:
-        checks = list(pool.map(lambda path: _text_check(spark, path, required), texts))
-    books = [path for path in paths if kinds[path] == "excel"]
-    if books:
-        checks += _workbook_checks(spark, books, required)
-    checks = _without_missing_keys(spark, checks, required)
-    by_name = {_file_name(spark, check.path): check for check in checks}
-    return [by_name[_file_name(spark, path)] for path in paths]
+        of_texts = list(pool.map(lambda path: _text_check(spark, path, required), texts))
+    of_texts = _without_missing_keys(spark, of_texts, required)
+    of_texts = iter(_with_open_cells(spark, of_texts))
+    books = [path for path, kind in zip(paths, kinds) if kind == "excel"]
+    of_books = iter(list(_workbook_checks(spark, books, required)) if books else [])
+    return [next(of_books if kind == "excel" else of_texts) for kind in kinds]
 
 
 def _with_arrival(rows: DataFrame) -> DataFrame:
@@ -189,10 +218,13 @@ def read_csv(
     """S3: CSV files of one header, as texts.
 
     In columns whose text counts, "no value" texts become null; conversions do it in the others.
-    Cells with line breaks need ``multi_line``, at the price of one task per file.
+    Cells with line breaks need ``multi_line``, at the price of one task per file. A record with a
+    field too many or too few stands whole in ``bad_record``; every record is parsed to its end,
+    whichever columns are used, so that this does not depend on the query.
     """
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in (*header, BAD_RECORD)])
     reader = spark.read.schema(schema).option("header", True).option("encoding", "UTF-8")
+    reader = reader.option("columnNameOfCorruptRecord", BAD_RECORD).option("columnPruning", False)
     # The names given here are those of the header, cleaned; the header itself need not match.
     reader = reader.option("enforceSchema", True).option("escape", '"')
     rows = reader.option("multiLine", multi_line).csv(list(paths))
@@ -208,9 +240,13 @@ def read_json(
     whole_file: bool,
     columns: Sequence[str] = FILE_COLUMNS,
 ) -> DataFrame:
-    """JSON arrays (``whole_file``) or JSON lines, as texts; null stays null."""
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in columns])
-    rows = spark.read.schema(schema).option("multiLine", whole_file).json(list(paths))
+    """JSON arrays (``whole_file``) or JSON lines, as texts; null stays null.
+
+    A record that is no JSON stands whole in ``bad_record``.
+    """
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in (*columns, BAD_RECORD)])
+    reader = spark.read.schema(schema).option("multiLine", whole_file)
+    rows = reader.option("columnNameOfCorruptRecord", BAD_RECORD).json(list(paths))
     return _with_arrival(rows)
 
 
@@ -218,7 +254,7 @@ def read_layout(
     spark: SparkSession, layout: Layout, paths: Sequence[str], multi_line: bool = False
 ) -> DataFrame:
     if layout.kind == "csv":
-        return read_csv(spark, paths, layout.columns, multi_line)
+        return read_csv(spark, paths, layout.columns, multi_line or layout.whole_file)
     if layout.kind == "json":
         return read_json(spark, paths, layout.whole_file)
     return read_workbooks(spark, paths, layout.columns)
@@ -227,7 +263,8 @@ def read_layout(
 def read_checked(
     spark: SparkSession, checks: Sequence[FileCheck], multi_line: bool = False
 ) -> DataFrame:
-    """The rows of all readable files, under the columns of a trip file plus ``ARRIVAL``.
+    """The rows of all readable files, under the columns of a trip file plus ``ARRIVAL``, and
+    ``bad_record`` with the whole text of a record that cannot be read.
 
     Absent optional columns become null, except the direction, which becomes 0; columns that no
     operator uses are left unread.
@@ -240,10 +277,11 @@ def read_checked(
         raise ValueError("no readable files")
     null = F.lit(None).cast("string")
     absent = {name: F.lit("0") if name == "direction" else null for name in FILE_COLUMNS}
+    absent[BAD_RECORD] = null
     frames = []
     for layout, paths in groups.items():
         frame = read_layout(spark, layout, paths, multi_line)
-        frames.append(ensure_columns(frame, absent).select(*FILE_COLUMNS, *ARRIVAL))
+        frames.append(ensure_columns(frame, absent).select(*FILE_COLUMNS, *ARRIVAL, BAD_RECORD))
     rows = frames[0]
     for frame in frames[1:]:
         rows = rows.unionByName(frame)

@@ -27,12 +27,16 @@ def ingest_stream(
     reference_year: int = presets.REFERENCE_YEAR,
     on_batch: Callable[[LoadResult], None] | None = None,
     continuous: str | None = None,
+    multi_line: bool = False,
+    batch_prefix: str = "stream",
 ) -> StreamingQuery:
     """Load the files that arrived since the last run, then stop; or go on at an interval.
 
     The stream only finds files, their content is read by layout within each batch. A batch has
     a limited number of files, so its list of paths is short. The checkpoint tells which files
-    were taken; should it be lost, files come again and add nothing.
+    were taken; should it be lost, files come again and add nothing. Batch ids are ``batch_prefix``
+    and a number that counts from 0 with every new checkpoint, so a new checkpoint needs a new
+    prefix if its batches are to be told apart.
     """
 
     def load(batch: DataFrame, number: int) -> None:
@@ -40,7 +44,9 @@ def ingest_stream(
         wanted = [p for p in paths if os.path.splitext(p)[1].lower() in FORMATS]
         if not wanted:
             return
-        result = load_files(warehouse, wanted, f"stream-{number}", load_date(), reference_year)
+        result = load_files(
+            warehouse, wanted, f"{batch_prefix}-{number}", load_date(), reference_year, multi_line
+        )
         if on_batch:
             on_batch(result)
 

@@ -10,7 +10,8 @@ from tapmart import presets, testviews
 from tapmart.operators import olap
 from tapmart.plans.from_files import load_date_column, star_from_files
 from tapmart.plans.incremental import load_files, load_folder
-from tapmart.sinks.audit import AUDIT_TABLE
+from tapmart.operators.trips import BAD_AMOUNT, BAD_CARD, BAD_TIME, MALFORMED, MISSING
+from tapmart.sinks.audit import AUDIT_TABLE, REJECTED_TABLE
 from tapmart.sinks.warehouse import FACT, Warehouse
 from tapmart.streaming.folder import ingest_stream
 
@@ -191,3 +192,87 @@ def test_stored_tables_stay_small_in_number_of_files(spark, warehouse):
     for entry in os.scandir(warehouse.path(FACT)):
         if entry.is_dir():
             assert len([f for f in os.listdir(entry.path) if f.endswith(".parquet")]) == 1
+
+
+def assert_counted(result):
+    rows = dict(result.rows)
+    assert rows.pop("read") == sum(rows.values())
+
+
+def test_a_broken_json_line_is_rejected_and_counted(spark, folder, warehouse):
+    drop = new_folder(folder, "drop")
+    path = write_json_lines(drop + "/a.json", [trip(1), trip(2), trip(3)])
+    lines = open(path, encoding="utf-8").read().splitlines()
+    lines[1] = lines[1][:40]
+    with open(path, "w", encoding="utf-8") as out:
+        out.write("\n".join(lines) + "\n")
+    result = load_folder(spark, drop, warehouse, "b1", load_date())
+    assert result.rows["read"] == 3 and result.rows["added"] == 2 and result.rows[MALFORMED] == 1
+    assert_counted(result)
+    (rejected,) = warehouse.read(REJECTED_TABLE).collect()
+    assert rejected["record"] == lines[1] and rejected["reason"] == MALFORMED
+    statuses = warehouse.read(AUDIT_TABLE).select("status").distinct().collect()
+    assert [r["status"] for r in statuses] == [presets.AUDIT_PARTIAL]
+
+
+def test_a_csv_row_with_a_field_too_many_is_rejected(spark, folder, warehouse):
+    drop = new_folder(folder, "drop")
+    path = write_csv(drop + "/a.csv", [trip(1)])
+    with open(path, "a", encoding="utf-8") as out:
+        out.write("extra," + open(path, encoding="utf-8").read().splitlines()[1] + "\n")
+    result = load_folder(spark, drop, warehouse, "b1", load_date())
+    assert (result.rows["added"], result.rows[MALFORMED]) == (1, 1)
+    assert_counted(result)
+
+
+def test_a_cell_with_a_line_break_is_read_by_default(spark, folder, warehouse):
+    drop = new_folder(folder, "drop")
+    write_csv(drop + "/a.csv", [trip(1, payCardName="A\nPerson"), trip(2)])
+    write_csv(drop + "/b.csv", [trip(3)])
+    result = load_folder(spark, drop, warehouse, "b1", load_date())
+    assert result.rows["read"] == result.rows["added"] == 3
+
+
+def test_bad_values_stop_neither_their_file_nor_others(spark, folder, warehouse):
+    drop = new_folder(folder, "drop")
+    write_csv(drop + "/a.csv", [trip(1), trip(2, tapInTime="17/04/2023 07:00")])
+    bad = [
+        trip(3, payAmount=123456789012),
+        trip(4, payCardID="CARD-77"),
+        trip(5, tapInTime="some day"),
+        trip(6, transID=""),
+        trip(7),
+        trip(7, payAmount=1),
+    ]
+    write_csv(drop + "/b.csv", bad)
+    result = load_folder(spark, drop, warehouse, "b1", load_date())
+    assert result.rows == {
+        "read": 8, "added": 3, "duplicate": 1, "skipped": 0, "look_up_missed": 0, MALFORMED: 0,
+        MISSING: 1, BAD_TIME: 1, BAD_CARD: 1, BAD_AMOUNT: 1,
+    }
+    times = {r["trip_id"]: str(r["tap_in_at"]) for r in warehouse.read(FACT).collect()}
+    assert times["T2"] == "2023-04-17 07:00:00"
+    reasons = {r["trip_id"]: r["reason"] for r in warehouse.read(REJECTED_TABLE).collect()}
+    assert reasons == {"T3": BAD_AMOUNT, "T4": BAD_CARD, "T5": BAD_TIME, None: MISSING}
+    again = load_folder(spark, drop, warehouse, "b2", load_date())
+    assert again.rows["skipped"] == 3 and again.rows["added"] == 0
+    assert_counted(again)
+
+
+def test_names_that_decode_to_the_same_text_are_two_files(spark, folder, warehouse):
+    drop = new_folder(folder, "drop")
+    write_csv(drop + "/x y.csv", [trip(1)])
+    write_csv(drop + "/x%20y.csv", [trip(2)])
+    result = load_folder(spark, drop, warehouse, "b1", load_date())
+    assert result.rows["added"] == 2 and not result.rejected
+
+
+def test_many_bad_files_are_logged_in_one_go(spark, folder, warehouse):
+    drop = new_folder(folder, "drop")
+    for n in range(60):
+        write_csv(f"{drop}/bad{n:03}.csv", [trip(n)], [c for c in COLUMNS if c != "transID"])
+    write_csv(drop + "/good.csv", [trip(1)])
+    result = load_folder(spark, drop, warehouse, "b1", load_date())
+    assert len(result.rejected) == 60 and result.rows["added"] == 1
+    failed = warehouse.read(AUDIT_TABLE).where(F.col("status") == presets.AUDIT_FAILED)
+    assert failed.count() == 60
