@@ -9,7 +9,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapmart.llm.components import components
@@ -18,9 +18,6 @@ from tapmart.session import freeze
 
 WIDTH = 3
 PERCENT = 90
-# Rounds in which a bucket is compared with one centre only, before all pairs that are still open.
-STAR_ROUNDS = 3
-
 _DOC, _PACK, _MEMBER = 0, 1, 2
 _ROWS = pa.schema(
     [
@@ -249,6 +246,59 @@ def _sets_of(width: int):
     return run
 
 
+def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per element of a set."""
+    for batch in batches:
+        sizes = [len(e) // 8 for e in batch.column("elements").to_pylist()]
+        data = b"".join(batch.column("elements").to_pylist())
+        names = ("node", "component")
+        columns = [np.repeat(batch.column(name).to_numpy(), sizes) for name in names]
+        made = pa.RecordBatch.from_arrays(
+            [*map(pa.array, columns), pa.array(np.frombuffer(data, np.int64)),
+             pa.array(np.repeat(np.array(sizes, dtype=np.int64), sizes))],
+            [*names, "element", "size"],
+        )
+        for start in range(0, made.num_rows, 100_000):
+            yield made.slice(start, 100_000)
+
+
+def _rare_sharers(sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a < b`` of sets in different components that may be similar, none left out.
+
+    A set shares at least ``percent`` of its elements with a similar one. So of all elements in
+    one order, rarest first, the first few (as many as may be missing, and one) of both sets meet.
+    Copies that were changed apart from one another differ in rare elements, so they do not meet
+    however many they are, where signatures of common parts would bring all of them together.
+    """
+    rows = sets.mapInArrow(_elements, "node bigint, component bigint, element bigint, size bigint")
+    rows = freeze(rows, "ngram-elements")
+    spread = rows.groupBy("element").agg(
+        F.count(F.lit(1)).alias("sets"),
+        (F.min("component") < F.max("component")).alias("across"),
+    )
+    order = Window.partitionBy("node").orderBy("sets", "element")
+    few = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1
+    first = (
+        rows.join(spread, "element")
+        .withColumn("_at", F.row_number().over(order))
+        .where((F.col("_at") <= few) & F.col("across"))
+        .select("element", "node", "component")
+    )
+    first = freeze(first, "ngram-rarest")
+    mixed = (
+        first.groupBy("element")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .where("low < high")
+        .select("element")
+    )
+    first = first.join(mixed, "element", "left_semi")
+    other = first.select(
+        "element", F.col("node").alias("other"), F.col("component").alias("other_component")
+    )
+    pairs = first.join(other, "element").where("component < other_component")
+    return pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
+
+
 def _checked(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -284,10 +334,10 @@ def near_duplicates(
     gives an empty table.
 
     Equal sets are one node from the start. Candidates share a PartEnum signature, and every link
-    is checked on the whole sets. In a bucket of many sets not all pairs are looked at: sets are
-    compared with one centre, then with another, and pairs that links connect by now need no
-    comparison. All pairs of a bucket that are still in different components are compared at the
-    end, so the components are exact. No bucket, partner or candidate is capped.
+    is checked on the whole sets. In a bucket of many sets not all pairs are looked at: all are
+    compared with one centre. Sets of a bucket that stay in different components after that may
+    still be linked; their rarest elements tell which pairs can be, and these are compared, so the
+    components are exact. No bucket, partner or candidate is capped.
     """
     spark = docs.sparkSession
     places = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -335,45 +385,26 @@ def near_duplicates(
         both = open_pairs.select("a", "b").join(a_sets, "a").join(b_sets, "b")
         return both.mapInArrow(_checked(percent), "a bigint, b bigint")
 
-    def ordered(pairs: DataFrame, one: str, other: str) -> DataFrame:
-        return (
-            pairs.where(F.col(one) != F.col(other))
-            .select(F.least(one, other).alias("a"), F.greatest(one, other).alias("b"))
-            .distinct()
-        )
-
-    links = None
-    found = None
-    open_members = members
-    for number in range(STAR_ROUNDS + 1):
-        last = number == STAR_ROUNDS
-        if last:
-            other = open_members.select(
-                "signature", F.col("node").alias("other"), F.col("component").alias("other_component")
-            )
-            across = open_members.join(other, "signature").where("component < other_component")
-            pairs = ordered(across, "node", "other")
-        else:
-            order = F.struct(F.xxhash64("node", F.lit(number)), "node")
-            centres = open_members.groupBy("signature").agg(F.min_by("node", order).alias("centre"))
-            pairs = ordered(open_members.join(centres, "signature"), "node", "centre")
-        new = freeze(link(pairs), "ngram-links")
-        links = new if links is None else links.union(new)
-        found = freeze(components(links), "ngram-components")
-        if last:
-            break
-        labelled = members.join(found, "node", "left").select(
-            "signature", "node", F.coalesce("component", "node").alias("component")
-        )
-        mixed = (
-            labelled.groupBy("signature")
-            .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-            .where("low <> high")
-            .select("signature")
-        )
-        open_members = freeze(labelled.join(mixed, "signature", "left_semi"), "ngram-open")
-        if open_members.isEmpty():
-            break
+    least = F.struct(F.xxhash64("node"), "node")
+    centres = members.groupBy("signature").agg(F.min_by("node", least).alias("centre"))
+    pairs = members.join(centres, "signature").where("node <> centre")
+    pairs = pairs.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
+    links = freeze(link(pairs.distinct()), "ngram-links")
+    found = freeze(components(links), "ngram-components")
+    labelled = members.join(found, "node", "left").select(
+        "signature", "node", F.coalesce("component", "node").alias("component")
+    )
+    mixed = (
+        labelled.groupBy("signature")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .where("low <> high")
+        .select("signature")
+    )
+    still_open = labelled.join(mixed, "signature", "left_semi").select("node", "component").distinct()
+    more = link(_rare_sharers(sets.join(still_open, "node"), percent).distinct())
+    more = freeze(more, "ngram-links")
+    if not more.isEmpty():
+        found = freeze(components(links.union(more)), "ngram-components")
     classes = rows.where("node IS NOT NULL").select("id", "node").join(found, "node", "left")
     classes = classes.select("id", F.coalesce("component", "node").alias("class"), "node")
     least = classes.groupBy("class").agg(F.min("id").alias("component_id"))
