@@ -25,8 +25,9 @@ _STOP_IN = "CAST((event_id % 997) * (event_id % 997) % 997 % 41 AS STRING)"
 _STOP_OUT = "CAST((event_id * 7) % 53 AS STRING)"
 _SECONDS = "CAST(600 + (event_id * 37) % 5400 AS INT)"
 _OUT = "CASE WHEN event_type <> 'error' THEN {} END"
+# A rider may have two card issuers, two birth years, and rows without one.
 _BANKS = _pick(
-    "user_id % 8", "DKI", " emoney ", "brizzi", "flazz", "online", "bni", "visa", None
+    "(user_id + event_id % 2) % 8", "DKI", " emoney ", "brizzi", "flazz", "online", "bni", "visa", None
 )
 _ROUTE_IDS = _pick(
     "event_id % 9", "5", "12", "6C", "R1A", "M7B", "JAK.18", "JIS3", "S21", None
@@ -49,8 +50,8 @@ _TAPS = {
     "payCardBank": _BANKS,
     "payCardName": "'Card ' || CAST(user_id AS STRING)",
     "payCardSex": _pick("user_id % 4", "m", "F", "X", None),
-    "payCardBirthDate": """CASE WHEN user_id % 17 = 0 THEN 'n/a'
-        ELSE CAST(1932 + user_id % 89 AS STRING) END""",
+    "payCardBirthDate": """CASE WHEN user_id % 17 = 0 THEN 'n/a' WHEN event_id % 5 = 0 THEN NULL
+        ELSE CAST(1932 + user_id % 89 + event_id % 3 AS STRING) END""",
     "corridorID": _ROUTE_IDS,
     "corridorName": _ROUTE_NAMES,
     "direction": "CASE WHEN event_id % 13 <> 0 THEN event_id % 2 END",
@@ -64,7 +65,7 @@ _TAPS = {
     "tapOutStopsLat": _OUT.format(f"'-7.' || lpad({_STOP_OUT}, 3, '0')"),
     "tapOutStopsLon": _OUT.format(f"'107.' || lpad({_STOP_OUT}, 3, '0')"),
     "stopEndSeq": _OUT.format("CAST(event_id % 30 + 4 AS STRING)"),
-    "tapInTime": "ts",
+    "tapInTime": "CASE WHEN event_id % 211 <> 0 THEN ts END",
     "tapOutTime": _OUT.format(f"ts + INTERVAL '1' SECOND * {_SECONDS}"),
     "payAmount": "CASE event_type WHEN 'signup' THEN 0 WHEN 'purchase' THEN 20000 ELSE 3500 END",
     "event_id": "event_id",
@@ -77,9 +78,9 @@ _SECOND_OFFSET = 1_000_000_000_000
 # Trip table: other names and types, and the status as a source would store it.
 _TRIPS = {
     "trip_id": _TAPS["transID"],
-    "rider_id": "user_id + 100",
+    "rider_id": "CASE WHEN event_id % 31 = 0 THEN 90000000 + user_id ELSE user_id + 100 END",
     "route_id": _TAPS["corridorID"],
-    "board_stop_id": _TAPS["tapInStops"],
+    "board_stop_id": f"CASE WHEN event_id % 29 = 0 THEN 'P99999' ELSE {_TAPS['tapInStops']} END",
     "alight_stop_id": _TAPS["tapOutStops"],
     "direction": f"CAST({_TAPS['direction']} AS SMALLINT)",
     "board_seq": "CAST(event_id % 30 AS SMALLINT)",
@@ -111,14 +112,19 @@ _STOPS = {
     "longitude": "CAST(106 + CAST(s_suppkey AS DECIMAL(10,7)) / 100000 AS DECIMAL(10,7))",
 }
 _CATEGORIES = [name for _, name, _ in presets.FEEDBACK_CATEGORIES]
+# Orders stand for feedback; they cover every other trip, and trips that do not exist.
 _FEEDBACK = {
-    "trip_id": _TAPS["transID"],
-    "rating": "CAST(1 + event_id % 5 AS SMALLINT)",
-    "comment": "props",
-    "category": _pick("event_id % 4", *_CATEGORIES, "Saran"),
-    "created_at": "ts",
-    "event_id": "event_id",
+    "trip_id": "'TRX' || CAST(o_orderkey * 2 AS STRING)",
+    "rating": "CAST(1 + o_orderkey % 5 AS SMALLINT)",
+    "comment": "o_orderpriority",
+    "category": _pick("o_orderkey % 4", *_CATEGORIES, "Saran"),
+    "created_at": "o_orderdate",
+    "event_id": "o_orderkey",
 }
+# What a second delivery says otherwise than the first.
+_TAPS_AGAIN = {"payAmount": "payAmount + 500"}
+_TRIPS_AGAIN = {"paid": "CAST(paid + 500 AS DECIMAL(10,2))"}
+_FEEDBACK_AGAIN = {"rating": "CAST(6 - rating AS SMALLINT)"}
 
 
 def _select(columns: dict[str, str]) -> list[str]:
@@ -129,24 +135,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _deliveries(events: DataFrame, columns: dict[str, str]) -> DataFrame:
+def _deliveries(rows: DataFrame, columns: dict[str, str], again: dict[str, str]) -> DataFrame:
     """First and second deliveries out of one scan."""
     copies = f"explode(CASE WHEN {_SECOND_DELIVERY} THEN array(0, 1) ELSE array(0) END) AS _copy"
     later = F.col("created_at") + F.col("_copy") * F.expr("INTERVAL '1' HOUR")
+    changed = {
+        name: F.expr(f"CASE WHEN _copy = 1 THEN {text} ELSE {name} END")
+        for name, text in again.items()
+    }
     return (
-        events.selectExpr(*_select(columns), copies)
+        rows.selectExpr(*_select(columns))
+        .selectExpr("*", copies)
+        .withColumns({"created_at": later, **changed})
         .withColumn("ingest_seq", F.col("_copy") * F.lit(_SECOND_OFFSET) + F.col("event_id"))
-        .withColumn("created_at", later)
         .drop("_copy")
     )
 
 
 def taps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _deliveries(table(spark, sf_dir, "events"), _TAPS)
+    return _deliveries(table(spark, sf_dir, "events"), _TAPS, _TAPS_AGAIN)
 
 
 def trip_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _deliveries(table(spark, sf_dir, "events"), _TRIPS).drop("event_id")
+    return _deliveries(table(spark, sf_dir, "events"), _TRIPS, _TRIPS_AGAIN).drop("event_id")
 
 
 def rider_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,9 +175,8 @@ def route_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feedback_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feedback on the trips of two kinds of event; part of it was given twice."""
-    given = table(spark, sf_dir, "events").where("event_type IN ('view', 'click')")
-    return _deliveries(given, _FEEDBACK).drop("event_id")
+    """Feedback on part of the trips; some of it was given twice."""
+    return _deliveries(table(spark, sf_dir, "orders"), _FEEDBACK, _FEEDBACK_AGAIN).drop("event_id")
 
 
 # --------------------------------------------------------------------------- the same in DuckDB
@@ -175,14 +185,15 @@ def _duckdb(text: str) -> str:
     return text.replace("element_at(array(", "list_extract(list_value(")
 
 
-def _duckdb_deliveries(columns: dict[str, str], where: str = "TRUE") -> str:
+def _duckdb_deliveries(columns: dict[str, str], again: dict[str, str], source: str) -> str:
     base = _duckdb(",\n".join(_select(columns)))
+    changed = ", ".join(f"{text} AS {name}" for name, text in again.items())
     return f"""
-    SELECT *, event_id AS ingest_seq FROM (SELECT {base} FROM events WHERE {where})
+    SELECT *, event_id AS ingest_seq FROM (SELECT {base} FROM {source})
     UNION ALL
-    SELECT * REPLACE (created_at + INTERVAL '1' HOUR AS created_at),
+    SELECT * REPLACE (created_at + INTERVAL '1' HOUR AS created_at, {changed}),
       {_SECOND_OFFSET} + event_id AS ingest_seq
-    FROM (SELECT {base} FROM events WHERE {where}) WHERE {_SECOND_DELIVERY}"""
+    FROM (SELECT {base} FROM {source}) WHERE {_SECOND_DELIVERY}"""
 
 
 def _duckdb_select(columns: dict[str, str], source: str) -> str:
@@ -190,8 +201,8 @@ def _duckdb_select(columns: dict[str, str], source: str) -> str:
 
 
 DUCKDB_VIEWS = {
-    "taps": _duckdb_deliveries(_TAPS),
-    "trip_table": f"SELECT * EXCLUDE event_id FROM ({_duckdb_deliveries(_TRIPS)})",
+    "taps": _duckdb_deliveries(_TAPS, _TAPS_AGAIN, "events"),
+    "trip_table": f"SELECT * EXCLUDE event_id FROM ({_duckdb_deliveries(_TRIPS, _TRIPS_AGAIN, 'events')})",
     "rider_table": _duckdb_select(_RIDERS, "customer"),
     "stop_table": _duckdb_select(_STOPS, "supplier"),
     "route_table": "SELECT DISTINCT * FROM ("
@@ -200,6 +211,6 @@ DUCKDB_VIEWS = {
     )
     + ") WHERE route_id IS NOT NULL",
     "feedback_table": "SELECT * EXCLUDE event_id FROM ("
-    + _duckdb_deliveries(_FEEDBACK, "event_type IN ('view', 'click')")
+    + _duckdb_deliveries(_FEEDBACK, _FEEDBACK_AGAIN, "orders")
     + ")",
 }
