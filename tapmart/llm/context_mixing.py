@@ -358,12 +358,12 @@ def opening_costs(pairs: np.ndarray) -> np.ndarray:
 
 def profile(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Per text the square roots of the shares of its byte pairs, hashed to 256 columns."""
-    pair = data.astype(np.int64)
-    pair[:-1] = (pair[:-1] * 31 + pair[1:] * 7) & 255
-    texts = len(offsets) - 1
-    owner = np.repeat(np.arange(texts), np.diff(offsets))
-    found = np.bincount(owner * 256 + pair, minlength=texts * 256).reshape(texts, 256)
-    return np.sqrt(found / np.maximum(found.sum(axis=1, keepdims=True), 1)).astype(np.float32)
+    found = np.zeros((len(offsets) - 1, 256), dtype=np.float32)
+    for row, (start, stop) in enumerate(zip(offsets[:-1], offsets[1:])):
+        pair = data[start:stop].copy()
+        pair[:-1] = pair[:-1] * np.uint8(31) + pair[1:] * np.uint8(7)
+        found[row] = np.bincount(pair, minlength=256)
+    return np.sqrt(found / np.maximum(found.sum(axis=1, keepdims=True), 1))
 
 
 def nearest(profiles: np.ndarray, centres: np.ndarray) -> np.ndarray:

@@ -20,7 +20,7 @@ from tapmart.llm.tokens import Words, mix, pieces
 from tapmart.session import freeze
 
 # Texts whose tokens are listed together, in bytes; and bytes of a token that choose its shard.
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 8 << 20
 SHARD_BYTES = 4
 # Bounds of what a few hundred parameters are fitted on: the centres of the kinds of text on about
 # so many training documents, the mixer's weights on about so many tokens of so many shards. All

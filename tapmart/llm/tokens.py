@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Texts are taken in pieces of about this many bytes, so that arrays stay small.
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -77,17 +77,23 @@ class Words:
         self.bounds = np.searchsorted(self.text, np.arange(len(texts) + 1))
 
     def hashes(self) -> np.ndarray:
-        """A 64-bit number per word."""
-        if not len(self.start):
-            return np.zeros(0, dtype=np.uint64)
-        lengths = np.diff(np.append(self.start, len(self.data)))
-        head = self.start[0]
-        place = np.arange(head, len(self.data)) - np.repeat(self.start, lengths)
-        powers = np.full(int((self.end - self.start).max()) + 1, _BASE, dtype=np.uint64)
+        """A 64-bit number per word. Words are taken in runs of about ``PIECE_BYTES`` bytes."""
+        found = np.zeros(len(self.start), dtype=np.uint64)
+        longest = int((self.end - self.start).max()) if len(found) else 0
+        powers = np.full(longest + 1, _BASE, dtype=np.uint64)
         powers[0] = 1
         powers = np.multiply.accumulate(powers)
-        np.minimum(place, len(powers) - 1, out=place)
-        return mix(np.add.reduceat(_BYTE[self.data[head:]] * powers[place], self.start - head))
+        first = 0
+        while first < len(found):
+            head = self.start[first]
+            stop = max(first + 1, int(np.searchsorted(self.start, head + PIECE_BYTES)))
+            start = self.start[first:stop] - head
+            data = self.data[head : self.end[stop - 1]]
+            place = np.arange(len(data)) - np.repeat(start, np.diff(np.append(start, len(data))))
+            np.minimum(place, longest, out=place)
+            found[first:stop] = mix(np.add.reduceat(_BYTE[data] * powers[place], start))
+            first = stop
+        return found
 
     def shingles(self, width: int) -> list[np.ndarray]:
         """Per text the sorted distinct numbers of its shingles of ``width`` words. A text of
