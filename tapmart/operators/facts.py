@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tapmart import presets
 from tapmart.functions.trips import flag
-from tapmart.operators.checks import dangling_keys
 from tapmart.operators.cleaning import with_lineage
 from tapmart.operators.dedup import latest
 from tapmart.operators.lookups import MissPolicy, look_up
@@ -191,14 +190,17 @@ def build_fact(
 def lookup_misses(
     trips: DataFrame, dimensions: Mapping[str, DataFrame], names: Sequence[str]
 ) -> DataFrame:
-    """Per look-up, how many trips have no member."""
-    reports = []
+    """Per look-up, how many trips have no member.
+
+    The trips are read, and made unique where they have to be, once for all look-ups.
+    """
+    joined = trips.select(*{LOOKUPS[name][0] for name in names})
     for name in names:
         column, dimension, natural_key, _, _ = LOOKUPS[name]
-        missed = dangling_keys(trips, column, dimensions[dimension], natural_key)
-        total = missed.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("missed"))
-        reports.append(total.select(F.lit(name).alias("look_up"), "missed"))
-    result = reports[0]
-    for report in reports[1:]:
-        result = result.unionByName(report)
-    return result
+        members = dimensions[dimension].select(F.col(natural_key).alias(f"_{name}")).distinct()
+        joined = joined.join(members, F.col(column) == F.col(f"_{name}"), "left")
+    missed = [F.count_if(F.col(f"_{name}").isNull()).alias(f"_{name}") for name in names]
+    lines = [
+        F.struct(F.lit(name).alias("look_up"), F.col(f"_{name}").alias("missed")) for name in names
+    ]
+    return joined.agg(*missed).select(F.inline(F.array(*lines)))

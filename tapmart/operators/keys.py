@@ -44,17 +44,17 @@ def dense_key(
 
 
 def _rows_before(sizes: DataFrame) -> DataFrame:
-    """One array: at every partition number, the rows of the partitions before it."""
+    """One array: at every partition number, the rows of the partitions before it.
 
-    def before(number: Column) -> Column:
-        earlier = F.filter("sizes", lambda entry: entry["part"] < number)
-        zero = F.lit(0).cast("bigint")
-        return F.aggregate(earlier, zero, lambda total, entry: total + entry["size"])
-
-    listed = sizes.agg(
-        F.collect_list(F.struct("part", "size")).alias("sizes"), F.max("part").alias("last")
-    )
-    return listed.select(F.transform(F.sequence(F.lit(0), F.col("last")), before).alias("before"))
+    Partitions without rows count 0. The running sum goes over one row per partition.
+    """
+    last = F.sequence(F.lit(0), F.max("part"))
+    empty = sizes.agg(F.explode(last).alias("part")).select("part", F.lit(0).alias("size"))
+    filled = sizes.union(empty).groupBy("part").agg(F.sum("size").alias("size"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    running = filled.select("part", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("before"))
+    listed = running.agg(F.array_sort(F.collect_list(F.struct("part", "before"))).alias("parts"))
+    return listed.select(F.col("parts.before").alias("before"))
 
 
 def append_keys(

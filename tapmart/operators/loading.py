@@ -36,13 +36,3 @@ def resync_fact(
     """
     policy = DROP_REQUIRED_FILL_OPTIONAL
     return build_fact(staged, stored_dimensions, policy, source, batch_id, loaded_at=loaded_at)
-
-
-def changed_keys(built: DataFrame, resynced: DataFrame, keys: list[str]) -> DataFrame:
-    """Per key column, how many facts got another key from the stored dimensions."""
-    pairs = built.select("trip_id", *keys).join(
-        resynced.select("trip_id", *[F.col(k).alias(f"_{k}") for k in keys]), "trip_id"
-    )
-    return pairs.agg(
-        *[F.count_if(~F.col(k).eqNullSafe(F.col(f"_{k}"))).alias(f"{k}_changed") for k in keys]
-    )

@@ -46,11 +46,12 @@ def validation_report(rows: DataFrame, arrival: Sequence[str]) -> DataFrame:
     before = trim_all(rows).agg(
         F.count(F.lit(1)).alias("read"), F.count_if(complete).alias("complete")
     )
+    # One scalar for both counts: the deduplication runs once.
     after = first(type_file_rows(rows, arrival), "trip_id", arrival).agg(
-        F.count(F.lit(1)).alias("unique"), F.count("tap_in_at").alias("kept")
+        F.struct(F.count(F.lit(1)).alias("unique"), F.count("tap_in_at").alias("kept")).alias("both")
     )
-    counts = before.select("read", "complete", after.select("unique").scalar().alias("unique"),
-                           after.select("kept").scalar().alias("kept"))
+    counts = before.select("read", "complete", after.scalar().alias("both"))
+    counts = counts.select("read", "complete", "both.unique", "both.kept")
     steps = ["read", "complete", "unique", "kept"]
     lines = [F.struct(F.lit(s).alias("step"), F.col(s).alias("rows")) for s in steps]
     dropped = F.struct(F.lit("dropped").alias("step"), (F.col("read") - F.col("kept")).alias("rows"))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from datetime import datetime, timezone
 from functools import partial
 
 from pyspark.sql import Column, DataFrame
@@ -20,6 +21,9 @@ from tapmart.operators.facts import (
 )
 from tapmart.operators.trips import clean_table_trips, with_status, with_trip_times
 from tapmart.session import side_by_side
+from tapmart.sinks.audit import AUDIT_TABLE, AuditLine, audit_rows
+from tapmart.sinks.warehouse import FACT, Warehouse
+from tapmart.sources.tables import extract
 
 
 def table_dimensions(
@@ -88,3 +92,45 @@ def strict_fact(
         columns=FACT_STRICT_COLUMNS,
         loaded_at=loaded_at,
     )
+
+
+def load_tables(
+    warehouse: Warehouse,
+    readers: Mapping[str, Callable[[], DataFrame | None]],
+    days: DataFrame,
+    load_date: Column,
+    source: str,
+    batch_id: str,
+    strict: bool = False,
+    reference_year: int = presets.REFERENCE_YEAR,
+    tie_break: Sequence[str] = (),
+) -> dict[str, int]:
+    """A full load from source tables, end to end: rows per table.
+
+    Extracts the sources (a dimension of vehicles that is stored already takes part), builds the
+    dimensions and the fact of ``full_fact``, or with ``strict`` of ``strict_fact``, puts all in
+    place at the end, and logs every table, or the failure.
+    """
+    started = datetime.now(timezone.utc).replace(tzinfo=None)
+
+    def log(lines: Mapping[str, int], status: str, error: str | None = None) -> None:
+        now = datetime.now(timezone.utc).replace(tzinfo=None)
+        rows = [
+            AuditLine(batch_id, "table_load", source, table, count, status, error, started, now)
+            for table, count in lines.items()
+        ]
+        warehouse.append(audit_rows(warehouse.spark, rows).coalesce(1), AUDIT_TABLE)
+
+    try:
+        tables = extract(readers)
+        dimensions = table_dimensions(tables, days, load_date, reference_year)
+        star = dict(dimensions)
+        if warehouse.exists("dim_fleet"):
+            star["fleet"] = warehouse.dimension("fleet")
+        build = strict_fact if strict else full_fact
+        loaded = warehouse.load_all(dimensions, build(tables, star, source, batch_id, tie_break))
+    except Exception as error:
+        log({FACT: 0}, presets.AUDIT_FAILED, str(error))
+        raise
+    log(loaded, presets.AUDIT_OK)
+    return loaded

@@ -3,6 +3,6 @@
 from __future__ import annotations
 
 from tapmart.queries.registry import ORACLE_SQL, QUERIES
-from tapmart.queries import cleaning, derive, dimensions, facts, reports  # noqa: F401
+from tapmart.queries import cleaning, derive, dimensions, facts, loads, reports  # noqa: F401
 
 __all__ = ["ORACLE_SQL", "QUERIES"]

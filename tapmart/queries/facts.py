@@ -67,7 +67,7 @@ part(
 )
 
 
-def _tables(spark, sf_dir):
+def source_tables(spark, sf_dir):
     return {
         "trips": testviews.trip_table(spark, sf_dir),
         "riders": testviews.rider_table(spark, sf_dir),
@@ -77,7 +77,7 @@ def _tables(spark, sf_dir):
     }
 
 
-def _calendar(spark, sf_dir):
+def calendar_days(spark, sf_dir):
     day = F.to_date("ts")
     bounds = testviews.table(spark, sf_dir, "events").agg(
         F.min(day).alias("first_date"), F.max(day).alias("last_date")
@@ -86,12 +86,12 @@ def _calendar(spark, sf_dir):
 
 
 def _table_star(spark, sf_dir, tables):
-    return table_dimensions(tables, _calendar(spark, sf_dir), load_date(), REFERENCE_YEAR)
+    return table_dimensions(tables, calendar_days(spark, sf_dir), load_date(), REFERENCE_YEAR)
 
 
 @query("fact_full", "SELECT * FROM p_fact_full")
 def fact_full(spark, sf_dir):
-    tables = _tables(spark, sf_dir)
+    tables = source_tables(spark, sf_dir)
     route = F.coalesce("route_id", F.lit("UNKNOWN"))
     fleet_id = trip_rows.routes.fleet_id(route, F.col("direction"), F.to_date("tap_in_at"))
     tables["trips"] = tables["trips"].withColumn("fleet_id", fleet_id)
@@ -102,18 +102,21 @@ def fact_full(spark, sf_dir):
     return full_fact(tables, star, "postgresql", BATCH, TIE_BREAK)
 
 
-@query(
-    "fact_without_fleet",
+part(
+    "p_fact_without_fleet",
     """SELECT * REPLACE (CAST(-1 AS BIGINT) AS fleet_key, 'UNKNOWN' AS fleet_id)
     FROM p_fact_full""",
 )
+
+
+@query("fact_without_fleet", "SELECT * FROM p_fact_without_fleet")
 def fact_without_fleet(spark, sf_dir):
-    tables = _tables(spark, sf_dir)
+    tables = source_tables(spark, sf_dir)
     return full_fact(tables, _table_star(spark, sf_dir, tables), "postgresql", BATCH, TIE_BREAK)
 
 
-@query(
-    "fact_strict",
+part(
+    "p_fact_strict",
     f"""SELECT d.date_key, b.stop_key AS board_stop_key, a.stop_key AS alight_stop_key,
       r.route_key, p.rider_key, t.trip_id, tap_in_at, tap_out_at, {_TIMES}, paid, t.direction,
       board_seq, alight_seq, p.card_bank, new_status AS status,
@@ -130,8 +133,11 @@ def fact_without_fleet(spark, sf_dir):
     LEFT JOIN p_table_route r ON r.route_id = t.route_id
     WHERE position = 1""",
 )
+
+
+@query("fact_strict", "SELECT * FROM p_fact_strict")
 def fact_strict(spark, sf_dir):
-    tables = _tables(spark, sf_dir)
+    tables = source_tables(spark, sf_dir)
     return strict_fact(tables, _table_star(spark, sf_dir, tables), "postgresql", BATCH, TIE_BREAK)
 
 

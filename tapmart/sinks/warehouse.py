@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tapmart.operators.dimensions import with_unknown
-from tapmart.operators.reporting import observed
+from tapmart.operators.dimensions import dimension_schema, unknown_row, with_unknown
+from tapmart.operators.reporting import observed, observed_rows
 from tapmart.sources.tables import has_data
 
 FACT = "fact_trip"
@@ -67,8 +68,43 @@ class Warehouse:
         writer.partitionBy("travel_date").parquet(self.path(FACT))
         return observation
 
-    def load_all(self, dimensions: Mapping[str, DataFrame], fact: DataFrame) -> None:
-        """K4: a full load. Dimensions first, each with its unknown member, the fact last."""
-        for name, frame in dimensions.items():
-            self.replace(with_unknown(frame, name), f"dim_{name}")
-        self.write_fact(fact, mode="overwrite")
+    def load_all(self, dimensions: Mapping[str, DataFrame], fact: DataFrame) -> dict[str, int]:
+        """K4, K5: a full load, staged first and put in place at the end; rows per table.
+
+        All tables are written beside the warehouse. A failure up to there leaves what is stored as
+        it was. Then the old fact goes, so that it never points at keys of other dimensions, the
+        dimensions are put in place, and the fact last. Dimensions that the load does not bring
+        and the warehouse lacks come with their unknown member alone, so all of them have one.
+        """
+        staging = Warehouse(self.spark, f"{self.root.rstrip('/')}/_staging-{uuid.uuid4().hex}")
+        staged: dict[str, Observation] = {}
+        for name in DIMENSIONS:
+            if name in dimensions:
+                frame = with_unknown(dimensions[name], name)
+            elif not self.exists(f"dim_{name}"):
+                frame = unknown_row(self.spark, name, dimension_schema(name))
+            else:
+                continue
+            frame, staged[f"dim_{name}"] = observed(frame, f"dim_{name}")
+            staging.replace(frame, f"dim_{name}")
+        staged[FACT] = staging.write_fact(fact, mode="overwrite")
+        counts = {table: observed_rows(observation) for table, observation in staged.items()}
+        self._delete(self.path(FACT))
+        for table in staged:
+            self._put_in_place(staging.path(table), self.path(table))
+        self._delete(staging.root)
+        return counts
+
+    def _system(self, path: str):
+        hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration()), hadoop_path
+
+    def _delete(self, path: str) -> None:
+        system, hadoop_path = self._system(path)
+        system.delete(hadoop_path, True)
+
+    def _put_in_place(self, source: str, target: str) -> None:
+        self._delete(target)
+        system, hadoop_path = self._system(source)
+        if not system.rename(hadoop_path, self._system(target)[1]):
+            raise OSError(f"{source} cannot be put in place")

@@ -112,7 +112,7 @@ def has_data(spark: SparkSession, path: str) -> bool:
 def optional_table(spark: SparkSession, name_or_path: str) -> DataFrame | None:
     """The table, or None where there is none. Other errors are raised."""
     if "/" in name_or_path:
-        return spark.read.parquet(name_or_path) if path_exists(spark, name_or_path) else None
+        return spark.read.parquet(name_or_path) if has_data(spark, name_or_path) else None
     return spark.table(name_or_path) if spark.catalog.tableExists(name_or_path) else None
 
 
