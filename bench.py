@@ -9,11 +9,13 @@ from __future__ import annotations
 import json
 import os
 import statistics
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
 
 from tapmart.queries import QUERIES
+from tapmart.session import build_session
 
 HEADLINE = (
     "q1_daily_trend",
@@ -45,15 +47,13 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     rounds = int(os.environ.get("BENCH_ROUNDS", ROUNDS))
-    spark = (
-        SparkSession.builder.master(f"local[{cpus}]")
-        .appName("bench")
-        .config("spark.sql.shuffle.partitions", cpus)
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "8g")
-        .config("spark.ui.enabled", "false")
-        .getOrCreate()
-    )
+    settings = {
+        "spark.sql.shuffle.partitions": cpus,
+        "spark.driver.memory": "8g",
+        "spark.ui.enabled": "false",
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tapmart-bench-"),
+    }
+    spark = build_session("bench", f"local[{cpus}]", **settings)
     spark.sparkContext.setLogLevel("ERROR")
     seconds = {}
     for name in HEADLINE:

@@ -10,23 +10,11 @@ from pyspark.sql import functions as F
 from tapmart.presets import Bands
 
 
-def regex_rules(
-    text: Column,
-    rules: Iterable[tuple[str, str]],
-    default: str,
-    blank_label: str | None = None,
-    blank_values: Iterable[str] = (),
-) -> Column:
-    """D1, D1': label of the first matching pattern, else ``default``.
-
-    With ``blank_label``, null and the listed values take that label before any pattern is tried.
-    """
+def regex_rules(text: Column, rules: Iterable[tuple[str, str]], default: str) -> Column:
+    """D1, D1': label of the first matching pattern, else ``default``."""
     result = F.lit(default)
     for pattern, label in reversed(list(rules)):
         result = F.when(text.rlike(pattern), F.lit(label)).otherwise(result)
-    if blank_label is not None:
-        blank = text.isNull() | text.isin(list(blank_values))
-        result = F.when(blank, F.lit(blank_label)).otherwise(result)
     return result
 
 

@@ -80,11 +80,6 @@ def prefix_columns(df: DataFrame, prefix: str) -> DataFrame:
     return df.toDF(*[prefix + name for name in df.columns])
 
 
-def rename_columns(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
-    """P16."""
-    return df.withColumnsRenamed(dict(names))
-
-
 def with_lineage(
     df: DataFrame, source: str | Column, batch_id: str, loaded_at: Column | None = None
 ) -> DataFrame:

@@ -190,6 +190,7 @@ NATURAL_KEYS = {
 # Members of these have a small fixed limit: the date type itself has 3.7 million values.
 BOUNDED = ("date",)
 _VALIDITY = ("valid_from", "valid_to", "is_current")
+# The column layouts of the target tables.
 LAYOUTS = {
     "date": (
         "date_key",

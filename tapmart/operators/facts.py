@@ -47,6 +47,7 @@ DROP_REQUIRED_FILL_OPTIONAL: Mapping[str, MissPolicy] = {
     "fleet": "unknown",
 }
 
+# The column layouts of the target fact tables.
 FACT_FULL_COLUMNS = (
     "date_key",
     "board_stop_key",

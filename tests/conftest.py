@@ -19,6 +19,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tapmart-shared-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
