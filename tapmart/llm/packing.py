@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -16,46 +20,123 @@ END_ID = 2
 LINEAR, QUADRATIC = 1.0, 1.0 / LENGTH
 # Sequences that are filled together, and words a task remembers the ids of.
 BLOCK_SEQUENCES = 768
-WORDS_KEPT = 400_000
-
-_BLANKS = str.maketrans("\t\n\x0b\x0c\r", "     ")
-
+WORDS_KEPT = 250_000
 
 def cost(length):
     return LINEAR * length + QUADRATIC * length * length
 
 
+# Byte-level vocabularies write a byte as one printable character: itself where it is printable in
+# Latin-1, else the next free one from 256 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTES = {b: b for b in _PRINTABLE}
+_BYTES |= {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _BYTES)}
+
+
 class WordTokenizer:
     """Ids of whole texts, word by word.
 
     The tokenizer never joins what white space parts, so the ids of a text are those of its words
     in turn. Words repeat, so their ids are remembered, up to a fixed number of words.
+
+    The library's own reading of a word (normal form, splitting) takes longer than its merges, and
+    most words are Latin letters, with a comma or full stop at most. Such a word is lower-cased here
+    and its letters, one piece in any case, go to the merges at once. All others take the library's
+    whole way.
     """
 
     def __init__(self, path: str, end_id: int = END_ID, kept: int = WORDS_KEPT):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.end = np.array([end_id], dtype="<u4").tobytes()
+        self.bare = Tokenizer(self.tokenizer.model)
+        self.bare.pre_tokenizer = WhitespaceSplit()
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        suffix = self.tokenizer.model.end_of_word_suffix
+        self.ending = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ending[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
+        self.end = array("I", [end_id]).tobytes()
         self.kept = kept
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.stems: dict[str, bytes] = {}
+        self.marks = {mark: self._whole([mark])[0] for mark in (",", ".")}
+
+    def _whole(self, words: list[str]) -> list[bytes]:
+        made = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return [array("I", one.ids).tobytes() for one in made]
+
+    def _learn_stems(self, stems: list[str]) -> None:
+        """Many at a time, as one text of pieces. A piece ends with the one token that says so."""
+        for start in range(0, len(stems), 2_000):
+            part = stems[start : start + 2_000]
+            text = " ".join(part)
+            if not text.isascii():
+                text = " ".join(s.encode().decode("latin-1").translate(_BYTES) for s in part)
+            (made,) = self.bare.encode_batch_fast([text], add_special_tokens=False)
+            ids = np.array(made.ids, dtype="<u4")
+            ends = (4 * (np.flatnonzero(self.ending[ids]) + 1)).tolist()
+            if len(ends) != len(part):
+                raise ValueError("the tokenizer does not mark the ends of words")
+            data = ids.tobytes()
+            self.stems.update(zip(part, map(data.__getitem__, map(slice, [0, *ends], ends))))
+
+    def _learn(self, words: Iterable[str]) -> None:
+        known, older, marks, stems = self.known, self.older, self.marks, self.stems
+        plain, others = [], []
+        for word in words:
+            ids = older.get(word)
+            if ids is not None:
+                known[word] = ids
+                continue
+            mark = marks.get(word[-1:], b"")
+            stem = word[:-1] if mark else word
+            # Up to U+017F letters are composed and have one lower-case letter, but for one.
+            if stem.isalpha() and (
+                stem.isascii() or (max(stem) < "\u0180" and "\u0130" not in stem)
+            ):
+                plain.append((word, stem.lower(), mark))
+            else:
+                others.append(word)
+        self._learn_stems(list({stem for _, stem, _ in plain}.difference(stems)))
+        known.update((word, stems[stem] + mark) for word, stem, mark in plain)
+        for start in range(0, len(others), 20_000):
+            part = others[start : start + 20_000]
+            known.update(zip(part, self._whole(part)))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids per text, with the end id; null counts as empty."""
-        split = [(text or "").translate(_BLANKS).split(" ") for text in texts]
+        split = []
+        for text in texts:
+            text = text or ""
+            for blank in "\t\n\x0b\x0c\r":
+                if blank in text:
+                    text = text.replace(blank, " ")
+            split.append(text.split(" "))
         known = self.known
         if len(known) > self.kept:
-            known.clear()
+            # What is met again moves on to the new generation, so frequent words stay.
+            self.older = known
+            self.known = known = {}
+            self.stems.clear()
         known[""] = b""
-        new = list(dict.fromkeys(w for words in split for w in words if w not in known))
-        for start in range(0, len(new), 20_000):
-            part = new[start : start + 20_000]
-            for word, made in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                known[word] = np.array(made.ids, dtype="<u4").tobytes()
+        # Words, ids and tuples form no cycles; looking for some would take a fifth of the time.
+        gc.disable()
+        try:
+            self._learn(set(chain.from_iterable(split)).difference(known))
+        finally:
+            gc.enable()
         return [b"".join(map(known.__getitem__, words)) + self.end for words in split]
 
 
+@lru_cache(maxsize=1)
+def _tokenizer(path: str, end_id: int) -> WordTokenizer:
+    """One per Python worker, which serves many tasks."""
+    return WordTokenizer(path, end_id)
+
+
 class Packer:
     """Fills sequences from pieces ``(document, start, length)`` in blocks of bounded size.
 
@@ -143,7 +224,7 @@ def _packed(path: str, length: int, end_id: int, block: int, schema: pa.Schema,
         from pyspark import TaskContext
 
         first = TaskContext.get().partitionId() << 40
-        tokenizer = WordTokenizer(path, end_id)
+        tokenizer = _tokenizer(path, end_id)
         packer = Packer(length)
         held: dict[int, tuple] = {}
         arrived = 0
