@@ -262,13 +262,31 @@ def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield made.slice(start, 100_000)
 
 
+def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per set whether an even or odd number of its elements falls on each of 256 bits.
+
+    Two sets that differ in d elements differ in at most d of these bits.
+    """
+    for batch in batches:
+        words = np.zeros((batch.num_rows, 4), dtype=np.int64)
+        for row, data in enumerate(batch.column("elements").to_pylist()):
+            at = (mix(np.frombuffer(data, np.uint64)) & np.uint64(255)).astype(np.int64)
+            odd = (np.bincount(at, minlength=256) & 1).astype(np.uint8)
+            words[row] = np.packbits(odd).view(np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("node"), *[pa.array(words[:, i]) for i in range(4)]],
+            ["node", "s0", "s1", "s2", "s3"],
+        )
+
+
 def _rare_sharers(sets: DataFrame, percent: int) -> DataFrame:
     """Pairs ``a < b`` of sets in different components that may be similar, none left out.
 
     A set shares at least ``percent`` of its elements with a similar one. So of all elements in
     one order, rarest first, the first few (as many as may be missing, and one) of both sets meet.
-    Copies that were changed apart from one another differ in rare elements, so they do not meet
-    however many they are, where signatures of common parts would bring all of them together.
+    Copies that were changed much, apart from one another, differ in rare elements, so they do not
+    meet however many they are. Copies that were changed little do; of these only pairs come out
+    whose sizes and parity sketches allow so few differences as similar sets may have.
     """
     rows = sets.mapInArrow(_elements, "node bigint, component bigint, element bigint, size bigint")
     rows = freeze(rows, "ngram-elements")
@@ -282,9 +300,10 @@ def _rare_sharers(sets: DataFrame, percent: int) -> DataFrame:
         rows.join(spread, "element")
         .withColumn("_at", F.row_number().over(order))
         .where((F.col("_at") <= few) & F.col("across"))
-        .select("element", "node", "component")
+        .select("element", "node", "component", "size")
     )
-    first = freeze(first, "ngram-rarest")
+    sketches = sets.mapInArrow(_sketched, "node bigint, s0 bigint, s1 bigint, s2 bigint, s3 bigint")
+    first = freeze(first.join(sketches, "node"), "ngram-rarest")
     mixed = (
         first.groupBy("element")
         .agg(F.min("component").alias("low"), F.max("component").alias("high"))
@@ -292,10 +311,17 @@ def _rare_sharers(sets: DataFrame, percent: int) -> DataFrame:
         .select("element")
     )
     first = first.join(mixed, "element", "left_semi")
-    other = first.select(
-        "element", F.col("node").alias("other"), F.col("component").alias("other_component")
+    names = ["node", "component", "size", "s0", "s1", "s2", "s3"]
+    other = first.select("element", *[F.col(name).alias(f"other_{name}") for name in names])
+    other = other.withColumnRenamed("other_node", "other")
+    apart = sum(F.bit_count(F.col(f"s{i}").bitwiseXOR(F.col(f"other_s{i}"))) for i in range(4))
+    small, large = F.least("size", "other_size"), F.greatest("size", "other_size")
+    may_be_similar = (
+        (F.col("component") < F.col("other_component"))
+        & (100 * small >= percent * large)
+        & ((100 + percent) * apart <= (100 - percent) * (small + large))
     )
-    pairs = first.join(other, "element").where("component < other_component")
+    pairs = first.join(other, "element").where(may_be_similar)
     return pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
 
 
