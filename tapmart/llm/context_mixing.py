@@ -2,14 +2,17 @@
 
 A token is spelled as its bytes and a blank, most significant bit first. For every bit several
 predictors look up how often 0 and 1 followed in training under their context; a mixer adds up
-their logits with weights that a gate selects, and a last table moves the mixed probability to
-where such probabilities proved right. Everything here works on arrays of many words at a time.
+their logits with weights that a gate selects, and a table moves the mixed probability to where such
+probabilities proved right. A second mixer sets that against what followed the previous token and
+the bytes so far, so that the order of tokens counts. Everything here works on arrays of many words
+at a time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 
@@ -29,6 +32,8 @@ BINS = 33
 INPUTS = len(ORDERS) + 2
 # From this byte on, words that share all bytes so far are in one shard, and are counted exactly.
 EXACT_FROM = 4
+# Weight sets of the second mixer: eight levels of how often the context was seen, by place.
+PAST_GATES = 8 * (EXACT_FROM + 1)
 
 
 @dataclass
@@ -41,7 +46,7 @@ class Vocabulary:
     counts: np.ndarray
     kinds: np.ndarray
 
-    @property
+    @cached_property
     def starts(self) -> np.ndarray:
         return np.cumsum(self.lengths) - self.lengths
 
@@ -236,89 +241,224 @@ class Mixer:
         prior = 20.0
         return np.log((n1 + prior * p) / (n0 + prior * (1 - p)))
 
-    def log2_cost(self, gate, logit, bits, refinement) -> np.ndarray:
-        """Bits that coding takes, with the mixed and the refined logit at equal weight."""
+    def refine(self, gate, logit, refinement) -> np.ndarray:
+        """The mixed and the refined logit at equal weight."""
         place = np.clip(logit * 2 + BINS // 2, 0, BINS - 1)
         low = np.minimum(place.astype(np.int64), BINS - 2)
         part = place - low
         table = refinement.ravel()
         at = gate * BINS + low
         refined = table[at] * (1 - part) + table[at + 1] * part
-        x = 0.5 * (logit + refined)
-        x = np.where(bits == 1, x, -x)
-        return np.logaddexp(0.0, -np.clip(x, -30, 30)) / np.log(2.0)
-
+        return np.clip(0.5 * (logit + refined), -30, 30)
 
-def sample_tokens(words: Vocabulary, size: int, chance: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """About ``size`` training tokens, frequent ones surely, and the weights that make up for it."""
-    known = np.flatnonzero(words.counts > 0)
-    counts = words.counts[known]
-    step = max(counts.sum() / max(size, 1), 1.0)
-    taken = chance[known] < counts / step
-    return known[taken], np.maximum(counts[taken], step)
+    def log2_cost(self, gate, logit, bits, refinement) -> np.ndarray:
+        """Bits that coding takes with the refined logit."""
+        x = self.refine(gate, logit, refinement)
+        return np.logaddexp(0.0, np.where(bits == 1, -x, x)) / np.log(2.0)
 
 
 def train_mixer(
-    words: Vocabulary, counts: np.ndarray, sample: np.ndarray, weights: np.ndarray,
-    rate: float = 0.05, rounds: int = 10,
+    words: Vocabulary, counts: np.ndarray, rate: float = 0.05, chunk: int = 8_192
 ) -> Mixer:
-    """Learn weights and refinement on sampled training tokens, each with itself left out once.
+    """Learn weights online from all training tokens, in one pass with counts as weights; then
+    record for the refinement what came out for each of them.
 
     A token that is coded again must not count on its own last occurrence, so counts are those
     without one of it; a token that occurs once is as if unseen.
     """
     mixer = Mixer(GATES, INPUTS)
-    by_row = np.zeros(len(words.lengths))
-    by_row[sample] = weights
-    record = []
-    for step in steps(words, exact=True, chosen=sample):
-        if not len(step.rows):
-            continue
-        one = step.bits.astype(np.float64)
-        zero = 1 - one
-        left = [counts[number][slot] for number, slot in enumerate(step.slots)]
-        left = [(np.maximum(n[:, 0] - zero, 0), np.maximum(n[:, 1] - one, 0)) for n in left]
-        step.exact = [(np.maximum(a - zero, 0), np.maximum(b - one, 0)) for a, b in step.exact]
-        inputs = np.column_stack([stretch(a, b) for a, b in [*left, *step.exact]])
-        record.append((_gate(step), inputs, step.bits, by_row[step.rows]))
-    for number in range(rounds):
-        for gate, inputs, bits, weight in record:
-            mixer.learn(gate, inputs, bits, weight, rate)
-    for gate, inputs, bits, weight in record:
-        mixer.observe(gate, mixer.mixed(gate, inputs), bits, weight)
+    known = np.flatnonzero(words.counts > 0)
+    rng = np.random.default_rng(len(known))
+    for learning in (True, False):
+        for step in steps(words, chosen=known):
+            if not len(step.rows):
+                continue
+            order = rng.permutation(len(step.rows)) if learning else np.arange(len(step.rows))
+            for start in range(0, len(order), chunk):
+                part = order[start : start + chunk]
+                gate, inputs = _inputs_left_out(step, counts, part)
+                bits, weight = step.bits[part], words.counts[step.rows[part]]
+                if learning:
+                    mixer.learn(gate, inputs, bits, weight, rate)
+                else:
+                    mixer.observe(gate, mixer.mixed(gate, inputs), bits, weight)
     return mixer
 
 
-def token_costs(words: Vocabulary, stretched: np.ndarray, mixer: Mixer) -> np.ndarray:
-    """Bits for bytes 2 and on of every token, with its closing blank.
-
-    ``stretched`` holds the logit of every slot of the hashed predictors.
-    """
-    total = np.zeros(len(words.lengths))
+def _inputs_left_out(step: Step, counts: np.ndarray, part) -> tuple[np.ndarray, np.ndarray]:
+    """Gate and logits of some tokens of a step, each with itself left out once."""
+    one = step.bits[part].astype(np.float64)
+    zero = 1 - one
+    left = [counts[number][slot[part]] for number, slot in enumerate(step.slots)]
+    left = [(np.maximum(n[:, 0] - zero, 0), np.maximum(n[:, 1] - one, 0)) for n in left]
+    exact = [(np.maximum(a[part] - zero, 0), np.maximum(b[part] - one, 0)) for a, b in step.exact]
+    inputs = np.column_stack([stretch(a, b) for a, b in [*left, *exact]])
+    return _gate(Step(step.place, step.rows[part], step.bits[part], [], exact)), inputs
+
+
+def token_logits(
+    words: Vocabulary, counts: np.ndarray, mixer: Mixer, opening, left_out: bool
+) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """For every place and bit: the place, the tokens that go so far, their bits, and the refined
+    logits of these given the class and the token's bytes so far. ``opening`` is of
+    ``opening_logits``; with ``left_out`` every token is left out of the counts once."""
+    rows = np.arange(len(words.lengths))
+    lead = [words.byte(place, rows).astype(np.int64) for place in (0, 1)]
+    kinds = words.kinds.astype(np.int64)
+    for place in (0, 1):
+        before = kinds if place == 0 else kinds * 256 + lead[0]
+        for depth in range(8):
+            bits = ((lead[place] >> (7 - depth)) & 1).astype(np.int8)
+            at = (before << depth) + (lead[place] >> (8 - depth))
+            tables = opening[place * 8 + depth]
+            x = np.where(bits == 1, tables[2].ravel()[at], tables[1].ravel()[at]) if left_out else (
+                tables[0].ravel()[at]
+            )
+            yield place, rows, bits, x.astype(np.float32)
     refinement = mixer.refinement()
     size = 1 << 17
     for step in steps(words):
-        gate = _gate(step)
+        found = np.zeros(len(step.rows), dtype=np.float32)
         for start in range(0, len(step.rows), size):
             part = slice(start, start + size)
-            weights = mixer.weights[gate[part]]
-            logit = np.zeros(len(weights))
-            for number, slot in enumerate(step.slots):
-                logit += stretched[number][slot[part]] * weights[:, number]
-            for number, (zero, one) in enumerate(step.exact):
-                if step.place >= EXACT_FROM:
-                    logit += stretch(zero[part], one[part]) * weights[:, len(ORDERS) + number]
-            total[step.rows[part]] += mixer.log2_cost(gate[part], logit, step.bits[part], refinement)
+            if left_out:
+                gate, inputs = _inputs_left_out(step, counts, part)
+            else:
+                exact = [(a[part], b[part]) for a, b in step.exact]
+                gate = _gate(Step(step.place, step.rows[part], step.bits[part], [], exact))
+                inputs = np.column_stack(
+                    [stretch(*counts[number][slot[part]].T) for number, slot in enumerate(step.slots)]
+                    + [stretch(a, b) for a, b in exact]
+                )
+            found[part] = mixer.refine(gate, mixer.mixed(gate, inputs), refinement)
+        yield step.place, step.rows, step.bits, found
+
+
+@dataclass
+class Past:
+    """Distinct (token, class, previous token), the previous tokens one after the other and the
+    tokens of each in lexicographic order: row of the pair, number of the previous token, training
+    count, and row in ``heads`` of what is known of the first ``EXACT_FROM`` bytes after it."""
+
+    pair: np.ndarray
+    previous: np.ndarray
+    counts: np.ndarray
+    head: np.ndarray
+    heads: np.ndarray
+
+
+# A count as one byte: exact up to 128, then in steps of 1/12.
+_LEVELS = np.concatenate([np.arange(129.0), 128.0 * (13 / 12) ** np.arange(1, 128)])
+
+
+def packed_counts(counts: np.ndarray) -> np.ndarray:
+    """The nearest level of every count."""
+    return np.searchsorted((_LEVELS[1:] + _LEVELS[:-1]) / 2, counts).astype(np.uint8)
+
+
+def head_counts(previous: np.ndarray, lead: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """What followed each previous token: for the bits of the first ``EXACT_FROM`` bytes the counts
+    of 0 and 1, packed. ``lead`` has these bytes as one number."""
+    order = np.lexsort((lead, previous))
+    before, lead, counts = previous[order], lead[order].astype(np.uint64), counts[order]
+    made = np.zeros((len(order), 16 * EXACT_FROM), dtype=np.uint8)
+    group = mix(before + np.uint64(1))
+    column = 0
+    for place in range(EXACT_FROM):
+        byte = ((lead >> np.uint64(8 * (EXACT_FROM - 1 - place))) & np.uint64(255)).astype(np.uint8)
+        for zero, one in _prefix_counts(group, byte, counts):
+            made[order, column] = packed_counts(zero)
+            made[order, column + 1] = packed_counts(one)
+            column += 2
+        group = mix(group * np.uint64(257) + byte)
+    return made
+
+
+def past_steps(words: Vocabulary, past: Past, logits) -> Iterator[tuple]:
+    """Every bit of every row of ``past``: place, rows, bits, the token's own logit, and how often
+    0 and 1 followed the previous token and the bytes so far."""
+    group = np.ones(len(words.lengths), dtype=np.uint64)
+    alive = np.arange(len(words.lengths))
+    own = np.zeros(len(words.lengths), dtype=np.float32)
+    value = np.zeros(len(words.lengths), dtype=np.int8)
+    at = -1
+    rows = np.arange(len(past.pair))
+    known = None
+    for place, tokens, bits, x in logits:
+        if place != at:
+            if at >= 0:
+                group[alive] = mix(group[alive] * np.uint64(257) + words.byte(at, alive))
+            at, number = place, 0
+            alive = alive[words.lengths[alive] >= place]
+            rows = rows[words.lengths[past.pair[rows]] >= place]
+            pair = past.pair[rows]
+            if place >= EXACT_FROM:
+                byte = words.byte(place, pair)
+                known = _prefix_counts(
+                    mix(group[pair] + past.previous[rows] * np.uint64(0x9E3779B97F4A7C15)), byte,
+                    past.counts[rows],
+                )
+        own[tokens], value[tokens] = x, bits
+        if place >= EXACT_FROM:
+            zero, one = next(known)
+        else:
+            column = 16 * place + 2 * number
+            zero, one = (_LEVELS[past.heads[past.head[rows], column + k]] for k in (0, 1))
+        number += 1
+        yield place, rows, value[pair], own[pair], zero, one
+
+
+def _past_inputs(place: int, own, zero, one) -> tuple[np.ndarray, np.ndarray]:
+    gate = bucket(zero + one) * (EXACT_FROM + 1) + min(place, EXACT_FROM)
+    return gate, np.column_stack([own, stretch(zero, one)])
+
+
+def train_past(words: Vocabulary, past: Past, logits, rate: float = 0.02, chunk: int = 65_536) -> Mixer:
+    """Learn how far to trust the previous token, online in one pass over all training rows, each
+    left out once. ``logits`` are of ``token_logits`` with ``left_out``."""
+    mixer = past_mixer()
+    rng = np.random.default_rng(len(past.pair))
+    for place, rows, bits, own, zero, one in past_steps(words, past, logits):
+        weight = past.counts[rows]
+        known = rng.permutation(np.flatnonzero(weight > 0))
+        for start in range(0, len(known), chunk):
+            part = known[start : start + chunk]
+            b = bits[part]
+            gate, inputs = _past_inputs(
+                place, own[part], np.maximum(zero[part] - (b == 0), 0), np.maximum(one[part] - b, 0)
+            )
+            mixer.learn(gate, inputs, b, weight[part], rate)
+    return mixer
+
+
+def past_mixer() -> Mixer:
+    mixer = Mixer(PAST_GATES, 2)
+    mixer.weights[:] = (1.0, 0.0)
+    return mixer
+
+
+def past_costs(words: Vocabulary, past: Past, logits, mixer: Mixer) -> np.ndarray:
+    """Bits that coding each row of ``past`` takes, with its closing blank."""
+    total = np.zeros(len(past.pair))
+    weights = mixer.weights.astype(np.float32)
+    size = 1 << 17
+    for place, rows, bits, own, zero, one in past_steps(words, past, logits):
+        for start in range(0, len(rows), size):
+            part = slice(start, start + size)
+            gate, inputs = _past_inputs(place, own[part], zero[part], one[part])
+            x = (weights[gate] * inputs.astype(np.float32)).sum(axis=1)
+            x = np.clip(np.where(bits[part] == 1, x, -x), -30, 30)
+            total[rows[part]] += np.log(1 + np.exp(-x)) / np.log(2.0)
     return total
 
 
-def opening_costs(pairs: np.ndarray) -> np.ndarray:
-    """Bits for the first two bytes of a token by the class of the token before it.
+def opening_logits(pairs: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Logits for the bits of the first two bytes of a token, by its class and the bits before.
 
     ``pairs[class, first * 256 + second]`` are training counts. Two predictors, with and without
-    the class, are mixed by how much the class has been seen under that beginning.
+    the class, are mixed by how much the class has been seen under that beginning. Per bit there
+    are three tables: from all counts, and with one 0 or one 1 left out.
     """
-    costs = np.zeros(pairs.shape)
     mixer = Mixer(8, 2)
     joint = pairs.reshape(len(pairs), 256, 256)
 
@@ -345,14 +485,27 @@ def opening_costs(pairs: np.ndarray) -> np.ndarray:
                         w = weight.ravel()[seen]
                         mixer.learn(gate.ravel()[seen], logits.reshape(-1, 2)[seen],
                                     np.full(int(seen.sum()), bit), w, rate)
-    costs = costs.reshape(joint.shape)
+    found = []
     for counts in (joint.sum(axis=2), joint):
         for depth in range(8):
-            gate, logits, _ = inputs(counts, depth, False)[0]
-            x = np.clip(mixer.mixed(gate.ravel(), logits.reshape(-1, 2)).reshape(gate.shape), -30, 30)
-            both = np.stack([np.logaddexp(0, x), np.logaddexp(0, -x)], -1) / np.log(2.0)
-            spread = np.repeat(both.reshape(*gate.shape[:-1], -1), 1 << (7 - depth), axis=-1)
-            costs += spread[..., None] if counts.ndim == 2 else spread
+            plain = inputs(counts, depth, False)[0]
+            tables = [plain, *inputs(counts, depth, True)]
+            found.append(
+                tuple(
+                    np.clip(mixer.mixed(g.ravel(), x.reshape(-1, 2)).reshape(g.shape), -30, 30)
+                    for g, x, _ in tables
+                )
+            )
+    return found
+
+
+def opening_costs(pairs: np.ndarray) -> np.ndarray:
+    """Bits for the first two bytes of a token by its class."""
+    costs = np.zeros((len(pairs), 256, 256))
+    for number, (x, _, _) in enumerate(opening_logits(pairs)):
+        both = np.stack([np.logaddexp(0, x), np.logaddexp(0, -x)], -1) / np.log(2.0)
+        spread = np.repeat(both.reshape(*x.shape[:-1], -1), 1 << (7 - number % 8), axis=-1)
+        costs += spread[..., None] if number < 8 else spread
     return costs.reshape(pairs.shape)
 
 

@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapmart.llm.context_mixing import (
-    CLASSES, GATES, INPUTS, ORDERS, SLOTS, Mixer, Vocabulary, fit_classes, hashed_counts,
-    lexicographic, nearest, opening_costs, profile, sample_tokens, stretch, token_costs, train_mixer,
+    CLASSES, EXACT_FROM, GATES, INPUTS, ORDERS, SLOTS, Mixer, Past, Vocabulary, fit_classes,
+    hashed_counts, head_counts, lexicographic, nearest, opening_logits, past_costs, past_mixer,
+    profile, token_logits, train_mixer, train_past,
 )
 from tapmart.llm.common import uniform
 from tapmart.llm.tokens import Words, mix, pieces
@@ -22,12 +23,10 @@ from tapmart.session import freeze
 # Texts whose tokens are listed together, in bytes; and bytes of a token that choose its shard.
 BLOCK_BYTES = 8 << 20
 SHARD_BYTES = 4
-# Bounds of what a few hundred parameters are fitted on: the centres of the kinds of text on about
-# so many training documents, the mixer's weights on about so many tokens of so many shards. All
-# counts cover all training tokens.
+# The centres of the kinds of text start from about so many training documents; then all training
+# documents move them so many times.
 SAMPLE_DOCUMENTS = 3_000
-SAMPLE_PER_SHARD = 6_000
-SAMPLE_SHARDS = 8
+CLASS_ROUNDS = 0
 END = np.frombuffer(b"\n", dtype=np.uint8)
 LOG10_2 = float(np.log10(2.0))
 
@@ -35,18 +34,21 @@ _KINDS = pa.schema(
     [
         ("kind", pa.int32()), ("place", pa.int32()), ("block", pa.int64()),
         ("ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())),
-        ("tokens", pa.list_(pa.int64())), ("bag_sizes", pa.list_(pa.int64())), ("bag", pa.binary()),
+        ("tokens", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())),
+        ("bag_sizes", pa.list_(pa.int64())), ("bag", pa.binary()),
         ("data", pa.binary()), ("lengths", pa.binary()), ("repeats", pa.binary()),
         ("classes", pa.binary()), ("counts", pa.binary()), ("words", pa.binary()),
+        ("previous", pa.binary()), ("past_counts", pa.binary()),
         ("blocks", pa.list_(pa.int64())), ("picks", pa.list_(pa.binary())), ("openings", pa.binary()),
         ("train_tokens", pa.int64()), ("train_types", pa.int64()),
     ]
 )
 _DDL = (
     "kind int, place int, block bigint, ids array<bigint>, held array<boolean>, "
-    "tokens array<bigint>, bag_sizes array<bigint>, bag binary, data binary, lengths binary, "
-    "repeats binary, classes binary, counts binary, words binary, blocks array<bigint>, "
-    "picks array<binary>, openings binary, train_tokens bigint, train_types bigint"
+    "tokens array<bigint>, sizes array<bigint>, bag_sizes array<bigint>, bag binary, data binary, "
+    "lengths binary, repeats binary, classes binary, counts binary, words binary, previous binary, "
+    "past_counts binary, blocks array<bigint>, picks array<binary>, openings binary, "
+    "train_tokens bigint, train_types bigint"
 )
 _BLOCK, _PACK, _SHARD = 0, 1, 2
 
@@ -69,6 +71,17 @@ def _from_planes(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
+def _short(x: np.ndarray) -> bytes:
+    """The lower 48 bits of numbers, byte plane by byte plane."""
+    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].T).tobytes()
+
+
+def _from_short(data: bytes) -> np.ndarray:
+    made = np.zeros((len(data) // 6, 8), dtype=np.uint8)
+    made[:, :6] = np.frombuffer(data, np.uint8).reshape(6, -1).T
+    return made.view("<u8").ravel()
+
+
 def _number(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """A 64-bit number per token from its bytes."""
     if not len(starts):
@@ -97,9 +110,9 @@ def _tokens(words: Words):
 
 
 def _listed(places: int, centres: np.ndarray):
-    """Texts to one row per block, with the bag of (token, class) pairs of every document, and one
-    row per block and shard, with the block's distinct tokens, their classes and counts. The class
-    is the document's."""
+    """Texts to one row per block, with the bag of (token, class, previous token) of every document, and
+    one row per block and shard, with the block's distinct tokens, their classes, the tokens before
+    them and counts. The class is the document's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -124,11 +137,14 @@ def block_rows(part, ids, held, block: int, places: int, centres) -> Iterator[pa
     w_start, w_length = start[at], length[at]
     lead = np.minimum(w_length, SHARD_BYTES)
     shard = (_number(data, w_start, lead) % np.uint64(places)).astype(np.int64)
-    # Words in the order of their shards; pairs in the order of words, then classes.
+    # Words in the order of their shards; items in the order of words, classes, previous tokens.
     order = np.argsort(shard, kind="stable")
     rank = np.empty(len(order), dtype=np.int64)
     rank[order] = np.arange(len(order))
-    pair = rank[of_word] * CLASSES + kind
+    # 0 stands before the first token of a text.
+    previous = np.zeros(len(text), dtype=np.int64)
+    previous[1:] = np.where(text[1:] == text[:-1], of_word[:-1] + 1, 0)
+    pair = ((rank[of_word] * CLASSES + kind) << 32) | previous
     pairs, of_pair = np.unique(pair, return_inverse=True)
     counts = np.bincount(of_pair, weights=(~held)[text], minlength=len(pairs)).astype(np.int64)
     bag, in_bag = np.unique((text.astype(np.int64) << 32) | of_pair, return_counts=True)
@@ -139,12 +155,14 @@ def block_rows(part, ids, held, block: int, places: int, centres) -> Iterator[pa
     step[opens] = item[opens]
     yield _row(
         _BLOCK, int(block % places), block=block, ids=ids, held=held.tolist(),
-        tokens=np.bincount(text, minlength=len(ids)).tolist(),
+        tokens=np.bincount(text, minlength=len(ids)).tolist(), sizes=np.diff(listed.offsets).tolist(),
         bag_sizes=np.bincount(owner, minlength=len(ids)).tolist(),
         bag=_planes(step) + _planes(in_bag),
     )
     sorted_shard = shard[order]
     w_start, w_length = w_start[order], w_length[order]
+    before = np.append(np.uint64(0), words)[pairs & 0xFFFFFFFF]
+    pairs >>= 32
     pair_word = pairs // CLASSES
     filled, opens = np.unique(sorted_shard, return_index=True)
     closes = np.append(opens[1:], len(sorted_shard))
@@ -155,8 +173,9 @@ def block_rows(part, ids, held, block: int, places: int, centres) -> Iterator[pa
         spelled = data[np.repeat(w_start[low:high], lengths) + inner]
         yield _row(
             _PACK, int(place), block=block, data=spelled.tobytes(), lengths=_planes(lengths),
-            repeats=np.bincount(pair_word[a:b] - low, minlength=high - low).astype(np.uint8).tobytes(),
+            repeats=_planes(np.bincount(pair_word[a:b] - low, minlength=high - low)),
             classes=(pairs[a:b] % CLASSES).astype(np.uint8).tobytes(), counts=_planes(counts[a:b]),
+            previous=_short(before[a:b]),
         )
 
 
@@ -170,7 +189,7 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if rest.num_rows:
             yield rest
         own = batch.filter(is_pack).select(
-            ["place", "block", "data", "lengths", "repeats", "classes", "counts"]
+            ["place", "block", "data", "lengths", "repeats", "classes", "counts", "previous"]
         )
         for row in own.to_pylist():
             packs.setdefault(row["place"], []).append(row)
@@ -189,11 +208,20 @@ def _shard_row(place: int, rows: list[dict]) -> pa.RecordBatch:
     rank = np.empty(len(order), dtype=np.int64)
     rank[order] = np.arange(len(order))
     words = words.take(order)
-    repeats = np.concatenate([np.frombuffer(r["repeats"], np.uint8) for r in rows])
+    repeats = np.concatenate([_from_planes(r["repeats"]) for r in rows])
     kinds = np.concatenate([np.frombuffer(r["classes"], np.uint8) for r in rows])
     count = np.concatenate([_from_planes(r["counts"]) for r in rows]).astype(np.float64)
-    pairs, pick = np.unique(np.repeat(rank[of_word], repeats) * CLASSES + kinds, return_inverse=True)
-    counts = np.bincount(pick, weights=count, minlength=len(pairs))
+    before = np.concatenate([_from_short(r["previous"]) for r in rows])
+    pairs, of_pair = np.unique(np.repeat(rank[of_word], repeats) * CLASSES + kinds, return_inverse=True)
+    counts = np.bincount(of_pair, weights=count, minlength=len(pairs))
+    # Previous tokens one after the other, and pairs of each in lexicographic order.
+    order_past = np.lexsort((of_pair, before))
+    pair_at, before_at = of_pair[order_past], before[order_past]
+    new = np.ones(len(order_past), dtype=bool)
+    new[1:] = (pair_at[1:] != pair_at[:-1]) | (before_at[1:] != before_at[:-1])
+    pick = np.empty(len(order_past), dtype=np.int64)
+    pick[order_past] = np.cumsum(new) - 1
+    past_counts = np.bincount(pick, weights=count, minlength=int(new.sum()))
     by_word = np.bincount(pairs // CLASSES, weights=counts, minlength=len(order))
     made = words.take(pairs // CLASSES)
     made.kinds = pairs % CLASSES
@@ -203,7 +231,8 @@ def _shard_row(place: int, rows: list[dict]) -> pa.RecordBatch:
     return _row(
         _SHARD, place, data=words.data.tobytes(), lengths=_planes(words.lengths),
         words=_planes(pairs // CLASSES), classes=made.kinds.astype(np.uint8).tobytes(),
-        counts=counts.astype("<i8").tobytes(), blocks=[r["block"] for r in rows],
+        counts=counts.astype("<i8").tobytes(), repeats=_planes(pair_at[new]),
+        previous=_short(before_at[new]), past_counts=past_counts.astype("<i8").tobytes(), blocks=[r["block"] for r in rows],
         picks=[p.astype("<u4").tobytes() for p in np.split(pick, ends[:-1])],
         openings=used.astype("<i8").tobytes() + opening.astype("<i8").tobytes(),
         train_tokens=int(by_word.sum()), train_types=int((by_word > 0).sum()),
@@ -231,6 +260,98 @@ def _vocabulary(row) -> tuple[Vocabulary, np.ndarray]:
     return pairs, np.bincount(of_word, weights=pairs.counts, minlength=len(lengths))[of_word]
 
 
+_PAST = [*_VOCABULARY, "repeats", "previous", "past_counts"]
+
+
+def _past(row, words: Vocabulary) -> tuple[Past, np.ndarray, np.ndarray]:
+    """What follows which token in a shard; and of every head, which is a previous token and the
+    first bytes after it, in the order of ``_heads``, these and its training count."""
+    pair = _from_planes(row["repeats"]).astype(np.int64)
+    previous = _from_short(row["previous"])
+    counts = np.frombuffer(row["past_counts"], "<i8").astype(np.float64)
+    everyone = np.arange(len(words.lengths))
+    lead = np.zeros(len(everyone), dtype=np.uint64)
+    for place in range(EXACT_FROM):
+        lead = (lead << np.uint64(8)) | words.byte(place, everyone)
+    # Rows stand in the order of previous tokens and tokens, so equal heads adjoin.
+    lead = lead[pair]
+    new = np.ones(len(pair), dtype=bool)
+    new[1:] = (previous[1:] != previous[:-1]) | (lead[1:] != lead[:-1])
+    head = np.cumsum(new) - 1
+    known = np.bincount(head, weights=counts, minlength=int(new.sum()))
+    return Past(pair, previous, counts, head, np.zeros((0, 0), np.uint8)), new, np.stack(
+        [previous[new], lead[new], known.astype(np.uint64)]
+    )
+
+
+_HEADS = "place int, bucket int, previous binary, lead binary, counts binary"
+_REPLIES = "place int, bucket int, heads binary"
+
+
+def _heads(places: int):
+    """Heads of a shard, parted by previous token."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                row = {name: batch.column(name)[at].as_py() for name in _PAST}
+                previous, lead, counts = _past(row, _vocabulary(row)[0])[2]
+                bucket = _bucket(previous, places)
+                order = np.argsort(bucket, kind="stable")
+                filled, opens = np.unique(bucket[order], return_index=True)
+                parts = np.split(order, opens[1:])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([row["place"]] * len(parts), pa.int32()), pa.array(filled, pa.int32()),
+                        pa.array([_short(previous[p]) for p in parts], pa.binary()),
+                        pa.array([_planes(lead[p]) for p in parts], pa.binary()),
+                        pa.array([counts[p].astype("<i8").tobytes() for p in parts], pa.binary()),
+                    ],
+                    ["place", "bucket", "previous", "lead", "counts"],
+                )
+
+    return run
+
+
+def _bucket(previous: np.ndarray, places: int) -> np.ndarray:
+    return (mix(previous + np.uint64(1)) % np.uint64(places)).astype(np.int32)
+
+
+def _replied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What followed each previous token, over all shards; back to each shard for its heads."""
+    asked: dict[int, list[dict]] = {}
+    for batch in batches:
+        for row in batch.to_pylist():
+            asked.setdefault(row["bucket"], []).append(row)
+    for bucket in sorted(asked):
+        rows = asked.pop(bucket)
+        previous = [_from_short(r["previous"]) for r in rows]
+        found = head_counts(
+            np.concatenate(previous), np.concatenate([_from_planes(r["lead"]) for r in rows]),
+            np.concatenate([np.frombuffer(r["counts"], "<i8") for r in rows]).astype(np.float64),
+        )
+        parts = np.split(found, np.cumsum([len(p) for p in previous])[:-1])
+        for row, part in zip(rows, parts):
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([row["place"]], pa.int32()), pa.array([bucket], pa.int32()),
+                    pa.array([np.ascontiguousarray(part.T).tobytes()], pa.binary()),
+                ],
+                ["place", "bucket", "heads"],
+            )
+
+
+def _with_heads(row, words: Vocabulary, replies: pd.DataFrame, places: int) -> Past:
+    past, _, heads = _past(row, words)
+    order = np.argsort(_bucket(heads[0], places), kind="stable")
+    width = 16 * EXACT_FROM
+    past.heads = np.empty((len(order), width), dtype=np.uint8)
+    past.heads[order] = np.concatenate(
+        [np.frombuffer(h, np.uint8).reshape(width, -1).T for h in replies.sort_values("bucket")["heads"]]
+    )
+    return past
+
+
 def _each(columns: list[str], work):
     """Apply ``work`` to one shard row after the other."""
 
@@ -269,7 +390,7 @@ def score_documents(
     docs: DataFrame, held_out: Column, text: str = "text", id_column: str = "doc_id"
 ) -> DataFrame:
     """Per row: id, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``,
-    ``score``.
+    ``score``, ``bits_per_byte``.
 
     Tokens are the words of the lower-cased (A-Z) text and one end per document; a null text is
     empty. ``base_score`` is the base-10 log probability of the text under token counts with one
@@ -278,14 +399,17 @@ def score_documents(
     gives an empty table.
 
     A document is coded as its kind, one of ``CLASSES`` that are found without labels, and then its
-    tokens, so the score is at most ``-log10(CLASSES)``.
+    tokens, so the score is at most ``-log10(CLASSES)``. A token's bits depend on its bytes so far,
+    the class, and the token before it. ``bits_per_byte`` is what that takes per byte of the text as
+    given, null for an empty one.
 
-    The corpus is listed once: per block of texts the distinct pairs of a token and the class of
-    its document, sent to shards by the beginning of the token. A shard counts its tokens
+    The corpus is listed once: per block of texts the distinct tokens with the class of their
+    document and the token before, sent to shards by the beginning of the token. A shard counts its tokens
     exactly; its vocabulary grows with the corpus, and so does what it answers to the blocks. Only
     tables of a fixed size are broadcast: the hashed counts (``len(ORDERS) * 2 ** SLOT_BITS``
-    slots), the openings of tokens by class, and the mixer's weights. However common a token is, a
-    block sends it once per class.
+    slots), the openings of tokens by class, and the mixers' weights. However common a token is, a
+    block sends it once per class and token before it. What follows a token and up to
+    ``EXACT_FROM`` - 1 bytes is counted over all shards by a second exchange, by the token before.
     """
     spark = docs.sparkSession
     places = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -299,7 +423,7 @@ def score_documents(
         listed.repartitionById(places, F.col("place")).mapInArrow(_merged, _DDL), "lm-lists"
     )
     blocks = listed.where(F.col("kind") == _BLOCK).select(
-        "block", "ids", "held", "tokens", "bag_sizes", "bag"
+        "block", "ids", "held", "tokens", "sizes", "bag_sizes", "bag"
     )
     shards = listed.where(F.col("kind") == _SHARD)
     size = shards.agg(F.sum("train_tokens"), F.sum("train_types")).first()
@@ -326,54 +450,59 @@ def score_documents(
         .groupBy("opening").agg(F.sum("count").alias("count")).toLocalIterator()
     ):
         openings[row["opening"]] = row["count"]
-    opening_cost = opening_costs(openings.reshape(CLASSES, 65536)).astype(np.float32)
-
-    shared_counts = spark.sparkContext.broadcast(counts)
+    opening = opening_logits(openings.reshape(CLASSES, 65536))
+    opening = [tuple(x.astype(np.float32) for x in tables) for tables in opening]
+    replies = freeze(
+        shards.select(*_PAST)
+        .mapInArrow(_heads(places), _HEADS)
+        .repartitionById(places, F.col("bucket"))
+        .mapInArrow(_replied, _REPLIES),
+        "lm-heads",
+    )
+    shared_counts = spark.sparkContext.broadcast((counts, opening))
 
     def fit(row) -> pa.RecordBatch:
         words, _ = _vocabulary(row)
-        number = np.arange(len(words.lengths), dtype=np.uint64) + np.uint64(row["place"] << 32)
-        chance = (mix(number) >> np.uint64(11)) / float(1 << 53)
-        sample, weights = sample_tokens(words, SAMPLE_PER_SHARD, chance)
-        mixer = train_mixer(words, shared_counts.value, sample, weights)
-        mass = float(weights.sum())
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([(mixer.weights * mass).tobytes()], type=pa.binary()),
-                pa.array([mixer.refined.tobytes()], type=pa.binary()),
-                pa.array([mass]),
-            ],
-            ["weights", "refined", "mass"],
-        )
+        return _learned(train_mixer(words, shared_counts.value[0]), float(words.counts.sum()))
+
+    mixer = _added_up(
+        shards.where(F.col("place") % max(1, places // 8) == 0)
+        .select(*_VOCABULARY).mapInArrow(_each(_VOCABULARY, fit), _LEARNED),
+        Mixer(GATES, INPUTS),
+    )
+    shared_mixer = spark.sparkContext.broadcast(mixer)
 
-    fitted = (
-        shards.where(F.col("place") % max(1, places // SAMPLE_SHARDS) == 0)
-        .select(*_VOCABULARY)
-        .mapInArrow(
-            _each(_VOCABULARY, fit),
-            "weights binary, refined binary, mass double",
+    def fit_past(row, replied) -> pa.RecordBatch:
+        words, _ = _vocabulary(row)
+        past = _with_heads(row, words, replied, places)
+        table, opened = shared_counts.value
+        logits = token_logits(words, table, shared_mixer.value, opened, True)
+        return _learned(train_past(words, past, logits), float(past.counts.sum()))
+
+    def with_replies(columns: list[str], work, ddl: str) -> DataFrame:
+        def run(asking: pd.DataFrame, replied: pd.DataFrame) -> pd.DataFrame:
+            return pd.concat([work(row, replied).to_pandas() for row in asking.to_dict("records")])
+
+        return (
+            shards.select(*columns).groupBy("place").cogroup(replies.groupBy("place"))
+            .applyInPandas(run, ddl)
         )
-        .withColumn("all", F.lit(1))
-        .groupBy("all")
-        .applyInPandas(_averaged, "weights binary, refined binary, mass double")
-        .first()
+
+    shared_past = spark.sparkContext.broadcast(
+        _added_up(with_replies(_PAST, fit_past, _LEARNED), past_mixer())
     )
-    mixer = Mixer(GATES, INPUTS)
-    if fitted and fitted["mass"] > 0:
-        mixer.weights = np.frombuffer(fitted["weights"]).reshape(mixer.weights.shape) / fitted["mass"]
-        mixer.refined = np.frombuffer(fitted["refined"]).reshape(mixer.refined.shape).copy()
-    stretched = stretch(counts[..., 0], counts[..., 1]).astype(np.float32)
-    shared = spark.sparkContext.broadcast((stretched, mixer, opening_cost))
-
-    def answer(row) -> pa.RecordBatch:
-        table, mixing, opening = shared.value
+
+    def answer(row, replied) -> pa.RecordBatch:
+        table, opened = shared_counts.value
         words, by_word = _vocabulary(row)
-        bits = token_costs(words, table, mixing) + opening.ravel()[openings_of(words)]
+        past = _with_heads(row, words, replied, places)
+        logits = token_logits(words, table, shared_mixer.value, opened, False)
+        bits = past_costs(words, past, logits, shared_past.value)
         value, seen = [], []
         for pick in row["picks"]:
             at = np.frombuffer(pick, "<u4").astype(np.int64)
             value.append(bits[at].astype("<f4").tobytes())
-            count = by_word[at].astype(np.int64)
+            count = by_word[past.pair[at]].astype(np.int64)
             small = not len(count) or count.max() < 2**32
             seen.append(count.astype("<u4" if small else "<i8").tobytes())
         n = len(value)
@@ -385,10 +514,8 @@ def score_documents(
             ["block", "place", "bits", "seen"],
         )
 
-    asking = [*_VOCABULARY, "blocks", "picks"]
-    answers = shards.select(*asking).mapInArrow(
-        _each(asking, answer),
-        "block bigint, place int, bits binary, seen binary",
+    answers = with_replies(
+        [*_PAST, "blocks", "picks"], answer, "block bigint, place int, bits binary, seen binary"
     )
 
     def put_together(asked: pd.DataFrame, answered: pd.DataFrame) -> pd.DataFrame:
@@ -408,6 +535,8 @@ def score_documents(
             opens = np.cumsum(sizes) - sizes
             running = np.cumsum(step.astype(np.int64))
             item = running - np.repeat(running[opens] - step[opens], sizes)
+            bits_taken = np.add.reduceat(bits[item] * many, opens) + np.log2(CLASSES)
+            size = np.asarray(row.sizes, dtype=np.float64)
             base = np.log10((seen + 1.0) / (tokens + types + 1.0))
             found.append(
                 pd.DataFrame(
@@ -418,8 +547,9 @@ def score_documents(
                         "n_known": np.add.reduceat(np.where(seen[item] > 0, many, 0), opens).astype(np.int64),
                         "train_tokens": tokens,
                         "base_score": np.add.reduceat(base[item] * many, opens),
-                        "score": -LOG10_2 * (
-                            np.add.reduceat(bits[item] * many, opens) + np.log2(CLASSES)
+                        "score": -LOG10_2 * bits_taken,
+                        "bits_per_byte": pd.array(
+                            np.where(size > 0, bits_taken / np.maximum(size, 1), np.nan), dtype="Float64"
                         ),
                     }
                 )
@@ -432,7 +562,7 @@ def score_documents(
         .applyInPandas(
             put_together,
             "id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
-            "base_score double, score double",
+            "base_score double, score double, bits_per_byte double",
         )
         .withColumnRenamed("id", id_column)
     )
@@ -440,19 +570,57 @@ def score_documents(
 
 def _profiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for _, part in pieces(batch.column("text")):
+        for offset, part in pieces(batch.column("text")):
             words = Words(part)
             rows = profile(words.data, words.offsets)
-            yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in rows])], ["profile"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r.tobytes() for r in rows]), batch.column("start").slice(offset, len(part))],
+                ["profile", "start"],
+            )
 
 
 def _classes(given: DataFrame) -> np.ndarray:
-    """Centres of the kinds of text, from a sample of training documents of bounded expected size."""
+    """Centres of the kinds of text: they start from a sample of training documents of bounded
+    expected size, and are then moved to the means of all training documents nearest to them."""
     rows = given.where("NOT held")
-    share = min(1.0, SAMPLE_DOCUMENTS / max(1, given.count()))
-    sample = rows.where(uniform(F.col("id"), F.lit(7)) < share).select("text")
-    profiles = sample.mapInArrow(_profiled, "profile binary").toPandas()["profile"]
-    return fit_classes(np.array([np.frombuffer(p, np.float32) for p in sorted(profiles)]))
+    share = min(1.0, SAMPLE_DOCUMENTS / max(1, rows.count()))
+    profiles = freeze(
+        rows.select("text", (uniform(F.col("id"), F.lit(7)) < share).alias("start"))
+        .mapInArrow(_profiled, "profile binary, start boolean"), "lm-profiles"
+    )
+    start = profiles.where("start").select("profile").toPandas()["profile"]
+    centres = fit_classes(np.array([np.frombuffer(p, np.float32) for p in sorted(start)]))
+    for _ in range(CLASS_ROUNDS):
+        moved = centres.copy()
+        sums = profiles.select("profile").mapInArrow(_class_sums(centres), "kind int, n bigint, total binary")
+        for kind, own in sums.toPandas().groupby("kind"):
+            total = sum(np.frombuffer(t) for t in own["total"])
+            moved[kind] = total / own["n"].sum()
+        centres = moved
+    return centres
+
+
+def _class_sums(centres: np.ndarray):
+    """Per class the number and the sum of a task's profiles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, total = np.zeros(CLASSES, dtype=np.int64), np.zeros((CLASSES, 256))
+        for batch in batches:
+            rows = np.array([np.frombuffer(p, np.float32) for p in batch.column("profile").to_pylist()])
+            kind = nearest(rows.reshape(-1, 256), centres)
+            n += np.bincount(kind, minlength=CLASSES)
+            for k in np.unique(kind):
+                total[k] += rows[kind == k].sum(axis=0, dtype=np.float64)
+        used = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(used, pa.int32()), pa.array(n[used]),
+                pa.array([total[k].tobytes() for k in used], pa.binary()),
+            ],
+            ["kind", "n", "total"],
+        )
+
+    return run
 
 
 def _opening_rows(row) -> pa.RecordBatch:
@@ -463,6 +631,31 @@ def _opening_rows(row) -> pa.RecordBatch:
     )
 
 
+_LEARNED = "weights binary, refined binary, mass double"
+
+
+def _learned(mixer: Mixer, mass: float) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([(mixer.weights * mass).tobytes()], type=pa.binary()),
+            pa.array([mixer.refined.tobytes()], type=pa.binary()),
+            pa.array([mass]),
+        ],
+        ["weights", "refined", "mass"],
+    )
+
+
+def _added_up(learned: DataFrame, mixer: Mixer) -> Mixer:
+    """Weights of all shards averaged by the tokens behind them; what was seen is added up."""
+    rows = (
+        learned.withColumn("all", F.lit(1)).groupBy("all").applyInPandas(_averaged, _LEARNED).first()
+    )
+    if rows and rows["mass"] > 0:
+        mixer.weights = np.frombuffer(rows["weights"]).reshape(mixer.weights.shape) / rows["mass"]
+        mixer.refined = np.frombuffer(rows["refined"]).reshape(mixer.refined.shape).copy()
+    return mixer
+
+
 def _averaged(pdf: pd.DataFrame) -> pd.DataFrame:
     """Weights averaged by the tokens behind them; what was seen is added up."""
     return pd.DataFrame(

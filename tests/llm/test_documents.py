@@ -12,7 +12,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tapmart.llm.context_mixing import Mixer, fit_classes, lexicographic, opening_costs
+from tapmart.llm.context_mixing import (
+    _LEVELS, Mixer, fit_classes, head_counts, lexicographic, opening_costs, packed_counts,
+)
 from tapmart.llm.exact_dedup import exact_dedup
 from tapmart.llm.language_id import calibrated_temperature, fit_languages
 from tapmart.llm.line_dedup import drop_common_lines
@@ -296,6 +298,38 @@ def test_language_model_counts_and_probabilities(spark):
         assert -size * 8 * math.log10(2) < r["score"] < 0
 
 
+def test_order_of_words_counts_in_the_score(spark):
+    rng = np.random.default_rng(5)
+    follows = {f"word{i}": f"word{(7 * i + 3) % 40}" for i in range(40)}
+    rows = []
+    for i in range(300):
+        text = [f"word{rng.integers(40)}"]
+        while len(text) < 30:
+            text.append(follows[text[-1]])
+        rows.append((i, " ".join(text)))
+    shuffled = rows[-1][1].split()
+    rng.shuffle(shuffled)
+    rows.append((300, " ".join(shuffled)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in score_documents(docs, F.col("doc_id") >= 299).collect()}
+    assert got[299]["base_score"] == pytest.approx(got[300]["base_score"])
+    assert got[299]["score"] > got[300]["score"] + 5
+    size = len(rows[299][1])
+    assert got[299]["bits_per_byte"] == pytest.approx(-got[299]["score"] / math.log10(2) / size)
+
+
+def test_counts_after_the_previous_token_and_their_packing():
+    n = np.arange(129)
+    assert (_LEVELS[packed_counts(n)] == n).all()
+    many = np.array([200.0, 1_000.0, 50_000.0])
+    assert np.allclose(_LEVELS[packed_counts(many)], many, rtol=0.05)
+    lead = np.array([0x61622020, 0x61632020, 0x61622020], dtype=np.uint64)
+    found = head_counts(np.array([1, 1, 2], dtype=np.uint64), lead, np.array([3.0, 5.0, 7.0]))
+    # The second byte is b or c, which part at the last bit; the second token is never mixed in.
+    assert found[:, 30:32].tolist() == [[3, 5], [3, 5], [7, 0]]
+    assert found[0, :2].tolist() == [8, 0] and found[2, :2].tolist() == [7, 0]
+
+
 def test_openings_are_probabilities():
     rng = np.random.default_rng(0)
     pairs = np.zeros((2, 65536))
