@@ -26,7 +26,7 @@ SHARD_BYTES = 4
 # The centres of the kinds of text start from about so many training documents; then all training
 # documents move them so many times.
 SAMPLE_DOCUMENTS = 3_000
-CLASS_ROUNDS = 0
+CLASS_ROUNDS = 5
 END = np.frombuffer(b"\n", dtype=np.uint8)
 LOG10_2 = float(np.log10(2.0))
 
@@ -466,9 +466,7 @@ def score_documents(
         return _learned(train_mixer(words, shared_counts.value[0]), float(words.counts.sum()))
 
     mixer = _added_up(
-        shards.where(F.col("place") % max(1, places // 8) == 0)
-        .select(*_VOCABULARY).mapInArrow(_each(_VOCABULARY, fit), _LEARNED),
-        Mixer(GATES, INPUTS),
+        shards.select(*_VOCABULARY).mapInArrow(_each(_VOCABULARY, fit), _LEARNED), Mixer(GATES, INPUTS)
     )
     shared_mixer = spark.sparkContext.broadcast(mixer)
 

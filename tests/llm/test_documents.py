@@ -9,22 +9,25 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tapmart.llm.context_mixing import (
-    _LEVELS, Mixer, fit_classes, head_counts, lexicographic, opening_costs, packed_counts,
+    _LEVELS, Mixer, Vocabulary, fit_classes, head_counts, lexicographic, opening_costs, packed_counts,
+    profile, train_mixer,
 )
 from tapmart.llm.exact_dedup import exact_dedup
 from tapmart.llm.language_id import calibrated_temperature, fit_languages
 from tapmart.llm.line_dedup import drop_common_lines
-from tapmart.llm.lm_scoring import score_documents
+from tapmart.llm.lm_scoring import _class_sums, score_documents
 from tapmart.llm.mixing import mix_sources
 from tapmart.llm.ngram_join import PartEnum, near_duplicates
 from tapmart.llm.packing import Packer, pack_documents
 from tapmart.llm.quality import fit_quality, frozen_statistics, score_quality
 from tapmart.llm.queries import QUERIES
 from tapmart.llm.sharding import difference, shard_by_bytes
+from tapmart.llm.tokens import Words
 from tapmart.llm.vector_search import top_k
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -330,6 +333,26 @@ def test_counts_after_the_previous_token_and_their_packing():
     assert found[0, :2].tolist() == [8, 0] and found[2, :2].tolist() == [7, 0]
 
 
+def test_mixer_learns_from_every_training_token():
+    tokens = sorted(f"same{i:05d}".encode() + b" " for i in range(9_000))
+    data = np.frombuffer(b"".join(t[:-1] for t in tokens), np.uint8)
+    lengths = np.full(len(tokens), 9)
+    counts = np.arange(len(tokens)) % 3.0
+    words = Vocabulary(data, lengths, counts, np.zeros(len(tokens), dtype=np.uint8))
+    mixer = train_mixer(words, np.zeros((5, 1 << 18, 2), dtype=np.float32))
+    # Bytes 2 to 8 and the closing blank of every token, as often as it occurs.
+    assert mixer.refined.sum() == 8 * 8 * counts.sum()
+
+
+def test_classes_are_means_of_all_documents():
+    texts = pa.array(["ab ab ab"] * 3 + ["xyz xyz"] * 5)
+    words = Words(texts)
+    rows = profile(words.data, words.offsets)
+    batch = pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in rows])], ["profile"])
+    (made,) = _class_sums(np.concatenate([rows[[0, 7]], np.full((6, 256), 9, np.float32)]))([batch])
+    assert made.column("n").to_pylist() == [3, 5]
+
+
 def test_openings_are_probabilities():
     rng = np.random.default_rng(0)
     pairs = np.zeros((2, 65536))
