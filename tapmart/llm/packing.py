@@ -42,7 +42,8 @@ class WordTokenizer:
     The library's own reading of a word (normal form, splitting) takes longer than its merges, and
     most words are Latin letters, with a comma or full stop at most. Such a word is lower-cased here
     and its letters, one piece in any case, go to the merges at once. All others take the library's
-    whole way.
+    whole way. A text that contains an added token, in any case, goes there undivided, since such
+    tokens are found before words are.
     """
 
     def __init__(self, path: str, end_id: int = END_ID, kept: int = WORDS_KEPT):
@@ -50,7 +51,8 @@ class WordTokenizer:
         from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [token.content.lower() for token in added if token.content]
         self.bare = Tokenizer(self.tokenizer.model)
         self.bare.pre_tokenizer = WhitespaceSplit()
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
@@ -108,9 +110,13 @@ class WordTokenizer:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids per text, with the end id; null counts as empty."""
-        split = []
-        for text in texts:
+        split, undivided = [], {}
+        for number, text in enumerate(texts):
             text = text or ""
+            lowered = text.lower()
+            if any(token in lowered for token in self.added):
+                undivided[number] = text
+                text = ""
             for blank in "\t\n\x0b\x0c\r":
                 if blank in text:
                     text = text.replace(blank, " ")
@@ -128,7 +134,10 @@ class WordTokenizer:
             self._learn(set(chain.from_iterable(split)).difference(known))
         finally:
             gc.enable()
-        return [b"".join(map(known.__getitem__, words)) + self.end for words in split]
+        made = [b"".join(map(known.__getitem__, words)) + self.end for words in split]
+        for number, ids in zip(undivided, self._whole(list(undivided.values()))):
+            made[number] = ids + self.end
+        return made
 
 
 @lru_cache(maxsize=1)

@@ -23,7 +23,7 @@ from tapmart.llm.line_dedup import drop_common_lines
 from tapmart.llm.lm_scoring import _class_sums, score_documents
 from tapmart.llm.mixing import mix_sources
 from tapmart.llm.ngram_join import PartEnum, near_duplicates
-from tapmart.llm.packing import Packer, pack_documents
+from tapmart.llm.packing import Packer, WordTokenizer, pack_documents
 from tapmart.llm.quality import fit_quality, frozen_statistics, score_quality
 from tapmart.llm.queries import QUERIES
 from tapmart.llm.sharding import difference, shard_by_bytes
@@ -204,6 +204,17 @@ def test_packing_is_an_exact_round_trip(odd):
     assert pack_documents(odd.limit(0), tokenizer()).collect() == []
 
 
+def test_added_tokens_are_read_as_the_tokenizer_reads_them():
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(tokenizer())
+    texts = ["one <|endoftext|> two", "x<|endoftext|>y <|ENDOFTEXT|>", "none of them, here.", None]
+    for text, ids in zip(texts, WordTokenizer(tokenizer()).encode(texts)):
+        expected = plain.encode(text or "", add_special_tokens=False).ids + [2]
+        assert np.frombuffer(ids, "<u4").tolist() == expected
+    assert 49407 in plain.encode(texts[0], add_special_tokens=False).ids
+
+
 def test_packer_balances_cost():
     packer = Packer(1000)
     rng = np.random.default_rng(3)
