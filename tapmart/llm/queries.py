@@ -16,9 +16,12 @@ from tapmart.llm.lm_scoring import score_documents
 from tapmart.llm.mixing import mix_sources
 from tapmart.llm.ngram_join import near_duplicates
 from tapmart.llm.packing import pack_documents
+from tapmart.llm.phrases import collocations
 from tapmart.llm.quality import fit_quality, frozen_statistics, score_quality
 from tapmart.llm.sharding import shard_by_bytes
+from tapmart.llm.url_filter import filter_urls
 from tapmart.llm.vector_search import top_k
+from tapmart.llm.whitening import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -174,3 +177,117 @@ def topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, F.col("id") % 100 == 0).select(
         "query_id", "rank", F.col("id").alias("vec_id"), "score"
     )
+
+
+@query("op11_whitening")
+def whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    told = whiten(vectors).select("vec_id", "whitening.*")
+    each = F.posexplode(F.arrays_zip("whitened", "explained")).alias("_at", "_value")
+    return told.select(
+        "vec_id",
+        "n",
+        F.col("deviation").try_cast("bigint").alias("deviation"),
+        "identity_error",
+        each,
+    ).select(
+        "vec_id",
+        (F.col("_at") + 1).alias("component"),
+        "n",
+        "deviation",
+        F.col("_value.whitened").alias("whitened"),
+        F.col("_value.explained").alias("explained"),
+        "identity_error",
+    )
+
+
+@query(
+    "op12_collocations",
+    r"""
+    WITH pieces AS (
+      SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(
+        coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\x0A-\x0D]')) AS piece
+      FROM documents
+    ), worded AS (
+      SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS w
+      FROM pieces
+    ), placed AS (
+      SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM worded
+    ), counted AS (
+      SELECT lang, m, array_to_string(w[i : i + m - 1], ' ') AS phrase, count(*) AS f
+      FROM placed, (VALUES (1), (2), (3)) AS lengths(m)
+      WHERE i + m - 1 <= len(w) GROUP BY ALL
+    ), words AS (
+      SELECT lang, sum(f) AS n FROM counted WHERE m = 1 GROUP BY lang
+    ), candidates AS (
+      SELECT *, string_split(phrase, ' ') AS w FROM counted WHERE m >= 2 AND f >= 10
+    ), longer AS (
+      SELECT lang, phrase, max(f) AS f FROM (
+        SELECT lang, array_to_string(w[1:2], ' ') AS phrase, f FROM candidates WHERE m = 3
+        UNION ALL
+        SELECT lang, array_to_string(w[2:3], ' '), f FROM candidates WHERE m = 3)
+      GROUP BY ALL
+    ), kept AS (
+      SELECT c.* FROM candidates c LEFT JOIN longer g ON c.m = 2 AND g.lang = c.lang
+        AND g.phrase = c.phrase
+      WHERE g.f IS NULL OR 100 * g.f < 50 * c.f
+    ), cuts AS (
+      SELECT lang, phrase, f AS a, w, m, unnest(range(1, m)) AS k FROM kept
+    ), scored AS (
+      SELECT cuts.lang, cuts.phrase, a, k, x.f AS l, y.f AS r,
+        CAST(CAST(a AS HUGEINT) * a * 1000000 // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+      FROM cuts
+      JOIN counted x ON x.lang = cuts.lang AND x.phrase = array_to_string(cuts.w[1:k], ' ')
+      JOIN counted y ON y.lang = cuts.lang AND y.phrase = array_to_string(cuts.w[k + 1 : cuts.m], ' ')
+    ), lowest AS (
+      SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS place FROM scored
+    ), ranked AS (
+      SELECT lang, row_number() OVER (PARTITION BY lang
+        ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, score
+      FROM lowest WHERE place = 1
+    )
+    SELECT lang, CAST(rank AS INTEGER) AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score
+    FROM ranked JOIN words USING (lang) WHERE rank <= 2000
+    """,
+)
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(documents(spark, sf_dir))
+
+
+URL_RULES = (
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+)
+
+
+@query(
+    "op13_url_filter",
+    """
+    WITH cut AS (
+      SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3)
+        ELSE '' END AS rest
+      FROM pages
+    ), parsed AS (
+      SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+      FROM cut
+    ), rules(verdict, rule_host, rule_path) AS (VALUES ('allow', 'com', '/'),
+      ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+      ('block', 'net', '/es/'), ('block', 'net', '/fr/')
+    ), fits AS (
+      SELECT parsed.*, rule_host || rule_path AS rule, verdict, row_number() OVER (
+        PARTITION BY page_id, host, path ORDER BY length(rule_host) + length(rule_path) DESC) AS place
+      FROM parsed LEFT JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host))
+        AND starts_with(path, rule_path)
+    )
+    SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fits WHERE place = 1
+    """,
+)
+def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    rules = spark.createDataFrame(list(URL_RULES), "verdict string, host string, path string")
+    return filter_urls(pages, rules).drop("url")
