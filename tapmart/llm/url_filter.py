@@ -115,27 +115,28 @@ def _told_by_trie(pages: DataFrame, rules: list[Rule]) -> Column:
     return tell("host", "path")
 
 
-def _told_by_join(pages: DataFrame, rules: DataFrame) -> DataFrame:
+def _told_by_join(pages: DataFrame, rules: DataFrame, labels_most: int, slashes_most: int) -> DataFrame:
     """The same decisions for rule lists that no task should hold.
 
     Every distinct host and beginning of a path up to a slash meets the rules with that host and
-    whole segments. Hosts and beginnings are made distinct before the join, so a rule for a very
-    common host meets each beginning once; only those that have a rule go back to the urls.
+    whole segments; no rule has more labels and slashes than the two given numbers. Hosts and
+    beginnings are made distinct before the join, so a rule for a very common host meets each
+    beginning once; only those that have a rule go back to the urls.
     """
     labels = F.split("host", r"\.")
     hosts = F.transform(
-        F.sequence(F.lit(0), F.size(labels)),
+        F.sequence(F.greatest(F.size(labels) - labels_most, F.lit(0)), F.size(labels)),
         lambda i: F.array_join(F.slice(labels, i + 1, F.size(labels)), "."),
     )
     segments = F.split("path", "/")
     # With its last slash; the first beginning is the empty one.
     heads = F.transform(
-        F.sequence(F.lit(0), F.size(segments) - 1),
+        F.sequence(F.lit(0), F.least(F.size(segments) - 1, F.lit(slashes_most))),
         lambda i: F.concat(F.array_join(F.slice(segments, 1, i), "/"), F.when(i > 0, "/").otherwise("")),
     )
     keyed = rules.select(
         F.col("host").alias("_rule_host"),
-        F.regexp_extract("path", r"^(?:.*/)?", 0).alias("_head"),
+        F.regexp_extract("path", r"(?s)^(?:.*/)?", 0).alias("_head"),
         F.col("path").alias("_rule_path"),
         F.col("verdict").alias("_rule_verdict"),
     )
@@ -185,7 +186,11 @@ def filter_urls(
         "verdict", lower_ascii(F.col("host")).alias("host"), F.col("path")
     ).dropna().distinct()
     texts = F.octet_length("host") + F.octet_length("path")
-    size = rules.agg(F.coalesce(F.sum(texts), F.lit(0)) + F.count(F.lit(1)) * 64).first()[0]
+    size, labels, slashes = rules.agg(
+        F.coalesce(F.sum(texts), F.lit(0)) + F.count(F.lit(1)) * 64,
+        F.max(F.size(F.split("host", r"\."))),
+        F.max(F.size(F.split("path", "/")) - 1),
+    ).first()
     host, path = parsed(F.col(url))
     kept = [name for name in pages.columns if name not in OURS]
     given = pages.select(*[F.col(f"`{n}`") for n in kept], host.alias("host"), path.alias("path"))
@@ -193,7 +198,7 @@ def filter_urls(
         listed = [Rule(row["verdict"], row["host"], row["path"]) for row in rules.collect()]
         told = given.withColumn("_told", _told_by_trie(given, listed))
     else:
-        told = _told_by_join(given, rules)
+        told = _told_by_join(given, rules, labels, slashes)
     return told.select(
         *[F.col(f"`{n}`") for n in kept],
         "host",

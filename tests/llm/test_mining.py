@@ -72,7 +72,7 @@ def test_whitening_of_degenerate_and_extreme_vectors(spark):
     # A line in the plane, and vectors of another length, which have a whitening of their own.
     rows = [(i, [float(i), 2.0 * i], None) for i in range(9)] + [(50, [1.0], None), (51, [3.0], None)]
     found = dict(told(whitening.whiten(vectors_of(spark, rows))))
-    assert found[0]["whitened"][1] is None and found[0]["explained"] == [1.0, 0.0]
+    assert found[0]["whitened"][1] is None and found[0]["explained"] == pytest.approx([1.0, 0.0])
     assert found[50]["n"] == 2 and found[50]["whitened"] == [pytest.approx(-1.0)]
     # Far from zero, and beyond the range of a long.
     big = [(i, [1e12 + 65536.0 * (i % 3), 1e30 * (i % 2)], None) for i in range(12)]
