@@ -240,6 +240,7 @@ LAYOUTS = {
         "is_synthetic",
         "note",
     ),
+    "feedback_category": ("feedback_category_key", "category_name", "description"),
 }
 
 
@@ -258,6 +259,7 @@ _TYPES = {
     "route_key": "bigint",
     "rider_key": "bigint",
     "fleet_key": "bigint",
+    "feedback_category_key": "int",
     "latitude": "decimal(10,7)",
     "longitude": "decimal(10,7)",
     "rider_id": "bigint",

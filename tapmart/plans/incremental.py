@@ -85,7 +85,11 @@ def load_rows(
     Rows that are no trip stop nothing: they go to the table of rejected rows with a reason, and
     every row read is counted once in the result.
     """
+    warehouse = warehouse.snapshot()
     seed_warehouse(warehouse)
+    index = warehouse.trip_index()
+    if warehouse.exists(FACT) and not index.is_sound():
+        index.rebuild()
     result = LoadResult(batch_id)
     marked = rows.withColumn("_early", incomplete_reason(rows))
     reasons = {f"n{i}": F.count_if(F.col("_early") == r) for i, r in enumerate(REJECT_REASONS)}
@@ -112,14 +116,16 @@ def load_rows(
     added = side_by_side(warehouse.spark, work)
 
     # Stored trips go first: by id, so it makes no difference which row of a trip counts.
-    trips = skip_existing(staged, warehouse.read(FACT)) if warehouse.exists(FACT) else staged
+    trips = staged
+    if warehouse.exists(FACT):
+        trips = skip_existing(staged, index.stored_ids(staged, late.get(None, 0)))
     trips, fresh = observed(trips, "rows_not_stored")
     trips = first(trips, "trip_id", arrival) if file_column else trips
     trips, unique = observed(trips, "trips_not_stored")
     stored = {name: warehouse.dimension(name) for name in DIMENSIONS}
     loaded_at = F.current_timestamp().cast("timestamp_ntz")
     fact = resync_fact(trips, stored, source, batch_id, loaded_at)
-    facts = observed_rows(warehouse.write_fact(fact))
+    facts = _add_facts(warehouse, fact, staged, batch_id)
     result.added = {**added, FACT: facts}
     read, good = observed_rows(reading), late.get(None, 0)
     result.rows = {
@@ -134,6 +140,26 @@ def load_rows(
     return result
 
 
+def _add_facts(warehouse: Warehouse, fact: DataFrame, staged: DataFrame, batch_id: str) -> int:
+    """Write facts and put their ids into the index; the number of facts.
+
+    The ids are read back from the dates of the batch, from files of this batch alone: a load
+    writes files of its own, and the statistics of others rule them out.
+    """
+    index = warehouse.trip_index()
+    known = warehouse.exists(FACT)
+    index.open()
+    facts = observed_rows(warehouse.write_fact(fact))
+    if not known:
+        if facts:
+            index.rebuild()
+        return facts
+    dates = staged.select("travel_date").distinct()
+    own = warehouse.read(FACT).where(F.col("batch_id") == batch_id)
+    index.add(own.join(dates, "travel_date", "left_semi"), facts)
+    return facts
+
+
 def _write_rejected(
     warehouse: Warehouse,
     marked: DataFrame,

@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tapmart.operators.dimensions import dimension_schema, unknown_row, with_unknown
 from tapmart.operators.reporting import observed, observed_rows
-from tapmart.sources.tables import has_data
+from tapmart.sinks.trip_index import TripIndex
+from tapmart.sources.tables import has_data, path_exists
 
 FACT = "fact_trip"
 DIMENSIONS = ("date", "stop", "route", "rider", "fleet", "feedback_category")
+_GENERATIONS = "_generations"
+_DIGITS = 12
 
 
 @dataclass(frozen=True)
@@ -24,13 +28,26 @@ class Warehouse:
     Adding rows never rewrites what is stored: a write job puts whole files in place when it
     commits, and loading the same rows again is made harmless by the operators before it. One
     load writes at a time.
+
+    A full load writes a new generation of folders. One small file per generation lists where
+    every table is; the one with the highest number names the live generation, so a reader sees
+    the tables before the load or those after it. Tables that no such file lists (all, before the
+    first full load; the logs, always) lie under their own name. A generation that was replaced
+    stays for those who still read it, until the next full load.
     """
 
     spark: SparkSession
     root: str
+    pinned: tuple[tuple[str, str], ...] | None = None
 
     def path(self, table: str) -> str:
-        return f"{self.root.rstrip('/')}/{table}"
+        live = self.live() if self.pinned is None else dict(self.pinned)
+        return f"{self.root.rstrip('/')}/{live.get(table, table)}"
+
+    def snapshot(self) -> Warehouse:
+        """This warehouse with the tables of the generation that is live now, whatever comes."""
+        pinned = tuple(self.live().items()) if self.pinned is None else self.pinned
+        return replace(self, pinned=pinned)
 
     def exists(self, table: str) -> bool:
         return has_data(self.spark, self.path(table))
@@ -42,9 +59,13 @@ class Warehouse:
         return self.read(f"dim_{name}")
 
     def star(self) -> dict[str, DataFrame]:
-        """All stored dimensions, and the fact."""
-        star = {n: self.dimension(n) for n in DIMENSIONS if self.exists(f"dim_{n}")}
-        return {**star, "fact": self.read(FACT)} if self.exists(FACT) else star
+        """All stored dimensions, and the fact, of one generation."""
+        here = self.snapshot()
+        star = {n: here.dimension(n) for n in DIMENSIONS if here.exists(f"dim_{n}")}
+        return {**star, "fact": here.read(FACT)} if here.exists(FACT) else star
+
+    def trip_index(self) -> TripIndex:
+        return TripIndex(self.snapshot(), FACT)
 
     def append(self, df: DataFrame, table: str) -> None:
         """K1."""
@@ -69,14 +90,15 @@ class Warehouse:
         return observation
 
     def load_all(self, dimensions: Mapping[str, DataFrame], fact: DataFrame) -> dict[str, int]:
-        """K4, K5: a full load, staged first and put in place at the end; rows per table.
+        """K4, K5: a full load as a new generation; rows per table.
 
-        All tables are written beside the warehouse. A failure up to there leaves what is stored as
-        it was. Then the old fact goes, so that it never points at keys of other dimensions, the
-        dimensions are put in place, and the fact last. Dimensions that the load does not bring
-        and the warehouse lacks come with their unknown member alone, so all of them have one.
+        All tables are written to a folder of their own, and then go live together. A failure or
+        a stop at any step leaves what is live as it was. Dimensions that the load does not bring
+        stay where they are, and those that the warehouse lacks come with their unknown member
+        alone, so all of them have one.
         """
-        staging = Warehouse(self.spark, f"{self.root.rstrip('/')}/_staging-{uuid.uuid4().hex}")
+        generation = f"gen-{uuid.uuid4().hex}"
+        staging = Warehouse(self.spark, f"{self.root.rstrip('/')}/{generation}")
         staged: dict[str, Observation] = {}
         for name in DIMENSIONS:
             if name in dimensions:
@@ -89,22 +111,67 @@ class Warehouse:
             staging.replace(frame, f"dim_{name}")
         staged[FACT] = staging.write_fact(fact, mode="overwrite")
         counts = {table: observed_rows(observation) for table, observation in staged.items()}
-        self._delete(self.path(FACT))
-        for table in staged:
-            self._put_in_place(staging.path(table), self.path(table))
-        self._delete(staging.root)
+        staging.trip_index().rebuild()
+        tables = [*staged, *TripIndex.TABLES]
+        self.go_live({table: f"{generation}/{table}" for table in tables})
         return counts
 
+    # ------------------------------------------------------------------------------- generations
+    def live(self) -> dict[str, str]:
+        """Folder by table of the live generation."""
+        numbers = self._numbers()
+        return self._listed(numbers[-1]) if numbers else {}
+
+    def go_live(self, folders: Mapping[str, str]) -> None:
+        """Put the folders in place of those the tables have now, all at once."""
+        numbers = self._numbers()
+        before = self._listed(numbers[-1]) if numbers else {}
+        number = numbers[-1] + 1 if numbers else 1
+        after = {**before, **folders}
+        self._publish(number, json.dumps(after, indent=1, sort_keys=True))
+        self._tidy(before, after)
+
+    def _numbers(self) -> list[int]:
+        folder = f"{self.root.rstrip('/')}/{_GENERATIONS}"
+        if not path_exists(self.spark, folder):
+            return []
+        system, path = self._system(folder)
+        names = [status.getPath().getName() for status in system.listStatus(path)]
+        return sorted(int(name) for name in names if name.isdigit())
+
+    def _listed(self, number: int) -> dict[str, str]:
+        system, path = self._system(f"{self.root.rstrip('/')}/{_GENERATIONS}/{number:0{_DIGITS}}")
+        stream = system.open(path)
+        try:
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return json.loads(text)
+
+    def _publish(self, number: int, text: str) -> None:
+        """Write the file beside its place, then rename it once."""
+        folder = f"{self.root.rstrip('/')}/{_GENERATIONS}"
+        system, beside = self._system(f"{folder}/.{uuid.uuid4().hex}")
+        stream = system.create(beside, False)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+        target = f"{folder}/{number:0{_DIGITS}}"
+        if path_exists(self.spark, target) or not system.rename(beside, self._system(target)[1]):
+            raise OSError(f"another load has written {target}")
+
+    def _tidy(self, before: Mapping[str, str], after: Mapping[str, str]) -> None:
+        """Remove what neither the live generation nor the one before it has."""
+        kept = {folder.split("/")[0] for folder in (*before.values(), *after.values())}
+        kept |= {table for table in after if table not in before}
+        system, root = self._system(self.root)
+        for status in system.listStatus(root):
+            name = status.getPath().getName()
+            replaced = name.startswith("gen-") or (name in after and name not in kept)
+            if replaced and name not in kept:
+                system.delete(status.getPath(), True)
+
     def _system(self, path: str):
         hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration()), hadoop_path
-
-    def _delete(self, path: str) -> None:
-        system, hadoop_path = self._system(path)
-        system.delete(hadoop_path, True)
-
-    def _put_in_place(self, source: str, target: str) -> None:
-        self._delete(target)
-        system, hadoop_path = self._system(source)
-        if not system.rename(hadoop_path, self._system(target)[1]):
-            raise OSError(f"{source} cannot be put in place")
