@@ -6,7 +6,7 @@ are left out by their natural keys.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from functools import partial
@@ -195,11 +195,14 @@ def load_files(
     reference_year: int = presets.REFERENCE_YEAR,
     multi_line: bool = False,
     time_formats: Sequence[str] = presets.TIME_FORMATS,
+    begun: Mapping[str, int] | None = None,
 ) -> LoadResult:
     """Check the files, load the good ones together, log good and bad ones.
 
     The log has a line per file that could not be read, per table that took rows, and per count of
-    trip rows.
+    trip rows. With ``begun``, the highest key per dimension table when the batch was begun first,
+    counts are those of the whole batch, whichever run stored what, and lines that a run before
+    this one has logged are not logged again.
     """
     spark = warehouse.spark
     started = _now()
@@ -230,6 +233,8 @@ def load_files(
                 reference_year=reference_year,
                 time_formats=time_formats,
             )
+            if begun is not None:
+                _count_all_runs(warehouse, result, begun)
     except Exception as error:
         log(together, FACT, 0, presets.AUDIT_FAILED, str(error))
         raise
@@ -243,12 +248,27 @@ def load_files(
         for name, count in result.rows.items():
             log(together, f"{FACT}: {name}", count, status)
     finally:
+        told = audit_rows(spark, lines)
+        if lines and begun is not None and warehouse.exists(AUDIT_TABLE):
+            known = warehouse.read(AUDIT_TABLE).where(F.col("batch_id") == batch_id)
+            told = told.join(known, ["source", "target", "status"], "left_anti").select(told.columns)
         if lines:
-            warehouse.append(audit_rows(spark, lines).coalesce(1), AUDIT_TABLE)
+            warehouse.append(told.coalesce(1), AUDIT_TABLE)
     result.rejected = rejected
     return result
 
 
+def _count_all_runs(warehouse: Warehouse, result: LoadResult, begun: Mapping[str, int]) -> None:
+    """Count what the batch has added since it was begun, not only in this run."""
+    for name in ALL_DIMENSIONS:
+        above = F.col(f"{name}_key") > begun.get(f"dim_{name}", 0)
+        result.added[f"dim_{name}"] = warehouse.dimension(name).where(above).count()
+    own = F.col("batch_id") == result.batch_id
+    facts = warehouse.read(FACT).where(own).count() if warehouse.exists(FACT) else 0
+    result.rows["skipped"] -= facts - result.rows["added"]
+    result.rows["added"] = result.added[FACT] = facts
+
+
 def load_folder(
     spark: SparkSession,
     folder: str,

@@ -140,26 +140,33 @@ class Warehouse:
         return sorted(int(name) for name in names if name.isdigit())
 
     def _listed(self, number: int) -> dict[str, str]:
-        system, path = self._system(f"{self.root.rstrip('/')}/{_GENERATIONS}/{number:0{_DIGITS}}")
-        stream = system.open(path)
+        return json.loads(
+            self.read_small(f"{self.root.rstrip('/')}/{_GENERATIONS}/{number:0{_DIGITS}}")
+        )
+
+    def _publish(self, number: int, text: str) -> None:
+        self.put_small(f"{self.root.rstrip('/')}/{_GENERATIONS}/{number:0{_DIGITS}}", text)
+
+    def read_small(self, path: str) -> str:
+        """The text of a small file."""
+        system, hadoop_path = self._system(path)
+        stream = system.open(hadoop_path)
         try:
-            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
-        return json.loads(text)
 
-    def _publish(self, number: int, text: str) -> None:
-        """Write the file beside its place, then rename it once."""
-        folder = f"{self.root.rstrip('/')}/{_GENERATIONS}"
-        system, beside = self._system(f"{folder}/.{uuid.uuid4().hex}")
+    def put_small(self, path: str, text: str) -> None:
+        """A new small file, written beside its place and then put there by a single rename."""
+        folder, _, name = path.rpartition("/")
+        system, beside = self._system(f"{folder}/.{name}-{uuid.uuid4().hex}")
         stream = system.create(beside, False)
         try:
             stream.write(bytearray(text.encode()))
         finally:
             stream.close()
-        target = f"{folder}/{number:0{_DIGITS}}"
-        if path_exists(self.spark, target) or not system.rename(beside, self._system(target)[1]):
-            raise OSError(f"another load has written {target}")
+        if path_exists(self.spark, path) or not system.rename(beside, self._system(path)[1]):
+            raise OSError(f"{path} was written meanwhile")
 
     def _tidy(self, before: Mapping[str, str], after: Mapping[str, str]) -> None:
         """Remove what neither the live generation nor the one before it has."""

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tapmart import presets
 from tapmart.plans.incremental import LoadResult, load_files
+from tapmart.sinks.ledger import Ledger, stream_id
 from tapmart.sinks.warehouse import Warehouse
 from tapmart.sources.files import FORMATS
 
@@ -29,24 +30,40 @@ def ingest_stream(
     continuous: str | None = None,
     multi_line: bool = False,
     batch_prefix: str = "stream",
+    time_formats: Sequence[str] = presets.TIME_FORMATS,
 ) -> StreamingQuery:
     """Load the files that arrived since the last run, then stop; or go on at an interval.
 
     The stream only finds files, their content is read by layout within each batch. A batch has
     a limited number of files, so its list of paths is short. The checkpoint tells which files
-    were taken; should it be lost, files come again and add nothing. Batch ids are ``batch_prefix``
-    and a number that counts from 0 with every new checkpoint, so a new checkpoint needs a new
-    prefix if its batches are to be told apart.
+    were taken; should it be lost, files come again and add nothing. Batch ids are ``batch_prefix``,
+    an id of the checkpoint, and the batch's number.
+
+    A ledger in the warehouse has every batch's intent and commit. Spark gives a batch again if it
+    was stopped before its end: a committed one is then skipped, another one finished, with counts
+    and log lines of the whole batch.
     """
+    ledger = Ledger(warehouse, stream_id(warehouse, checkpoint))
 
     def load(batch: DataFrame, number: int) -> None:
         paths = [row["path"] for row in batch.select("path").collect()]
         wanted = [p for p in paths if os.path.splitext(p)[1].lower() in FORMATS]
         if not wanted:
             return
+        begun = ledger.begin(number)
+        if begun.done:
+            return
         result = load_files(
-            warehouse, wanted, f"{batch_prefix}-{number}", load_date(), reference_year, multi_line
+            warehouse,
+            wanted,
+            f"{batch_prefix}-{ledger.stream[:12]}-{number}",
+            load_date(),
+            reference_year,
+            multi_line,
+            time_formats,
+            begun.keys,
         )
+        ledger.commit(number, result.rows)
         if on_batch:
             on_batch(result)
 
