@@ -8,14 +8,14 @@ return the columns of ``documents``.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapmart.llm.common import WORD, documents, held_out, whole
 from tapmart.llm.language_id import UNDETERMINED, fit_languages
 from tapmart.llm.line_dedup import drop_common_lines
 from tapmart.llm.mixing import mix_sources
-from tapmart.llm.ngram_join import near_duplicates
+from tapmart.llm.ngram_join import one_of_each
 from tapmart.llm.packing import pack_documents
 from tapmart.session import freeze
 
@@ -46,27 +46,25 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one of smallest id."""
-    classes = near_duplicates(docs, width=5, percent=80)
-    kept = (
-        classes.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .select(F.col("doc_id").alias("_kept"))
-        .distinct()
-    )
-    copy = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-    only = F.col("doc_id").isNull() | (F.col("_copy") == 1)
-    return rows.withColumn("_copy", copy).where(only).drop("_copy")
+    """One row of each group of near copies, that of the smallest id.
+
+    Links follow texts: different texts under one id are told apart, rows without an id take part,
+    and rows without words all stay.
+    """
+    return one_of_each(docs, width=5, percent=80).select(*docs.columns)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them; such without words take no part."""
+    """Documents as often as the mix of sources takes them; such without words take no part.
+
+    Every row is repeated by its own number of copies, rows without an id and rows under one id
+    too.
+    """
+    names = docs.columns
     words = F.regexp_count(whole(F.col("text")), F.lit(WORD))
-    mix = mix_sources(docs, words).where("copies > 0 AND size > 0")
-    mix = mix.select(F.col("doc_id").alias("_id"), "copies")
-    rows = docs.join(mix, F.col("doc_id") == F.col("_id")).drop("_id")
+    mix = mix_sources(docs, words, keep=names).where("copies > 0 AND size > 0")
     repeated = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
-    return rows.withColumn("_copy", repeated).drop("_copy", "copies")
+    return mix.withColumn("_copy", repeated).select(*names)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

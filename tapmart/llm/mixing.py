@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,9 +59,12 @@ def mix_sources(
     weights=WEIGHTS,
     max_repeats: int = MAX_REPEATS,
     seed: int = SEED,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Per row of ``docs``: id, source, ``size``, ``source_size``, ``target``, ``copies``.
 
+    Columns named in ``keep`` come along with their row, so no join by id is needed to get them.
+
     A document is expected target / source size times. The whole part is certain; for the rest
     Pareto order sampling ranks the documents of a source by the odds of a uniform number over
     the odds of inclusion, and takes them in that order until the words that the source still
@@ -74,13 +79,15 @@ def mix_sources(
     of the order first (at most ``BUCKETS`` per source), and only the range in which the target
     is reached is put in order row by row.
     """
-    rows = docs.select(
+    kept = [name for name in keep if name not in (id_column, source)]
+    wide = docs.select(
         F.col(id_column).alias(id_column),
         F.col(source).alias("_source"),
         F.coalesce(size.cast("bigint"), F.lit(0)).alias("size"),
         uniform(F.col(id_column), F.lit(seed)).alias("_u"),
+        *[F.col(f"`{name}`").alias(f"_kept_{name}") for name in kept],
     )
-    rows = freeze(rows, "mixing-sizes")
+    rows = freeze(wide.drop(*[f"_kept_{name}" for name in kept]), "mixing-sizes")
     targets = freeze(source_targets(rows, weights, max_repeats), "mixing-targets")
     expected = F.coalesce(F.try_divide("target", F.col("source_size").cast("double")), F.lit(0.0))
     targets = targets.select(
@@ -92,16 +99,20 @@ def mix_sources(
     )
     u, p = F.col("_u"), F.col("_inclusion")
     odds = (u / (1 - u)) / (p / (1 - p))
-    ranked = (
-        rows.join(targets, F.col("_source").eqNullSafe(F.col("_name")))
-        .drop("_name")
-        .withColumn("_rank", F.when(p > 0, odds))
-        .withColumn(
-            "_bucket", F.floor(F.col("_rank") / (1 + F.col("_rank")) * BUCKETS).cast("int")
+
+    def ranked(sized: DataFrame) -> DataFrame:
+        return (
+            sized.join(targets, F.col("_source").eqNullSafe(F.col("_name")))
+            .drop("_name")
+            .withColumn("_rank", F.when(p > 0, odds))
+            .withColumn(
+                "_bucket", F.floor(F.col("_rank") / (1 + F.col("_rank")) * BUCKETS).cast("int")
+            )
         )
-    )
+
     sums = (
-        ranked.where("_bucket IS NOT NULL")
+        ranked(rows)
+        .where("_bucket IS NOT NULL")
         .groupBy("_source", "_bucket")
         .agg(
             F.sum("size").alias("_words"),
@@ -121,7 +132,7 @@ def mix_sources(
         .select(F.col("_source").alias("_at"), "_edge.*")
         .withColumnRenamed("_bucket", "_edge_bucket")
     )
-    placed = ranked.join(edges, F.col("_source").eqNullSafe(F.col("_at")), "left")
+    placed = ranked(wide if kept else rows).join(edges, F.col("_source").eqNullSafe(F.col("_at")), "left")
     on_edge = F.col("_bucket") == F.col("_edge_bucket")
     below = F.coalesce(F.col("_bucket") < F.col("_edge_bucket"), F.lit(False))
     is_edge = F.coalesce(on_edge, F.lit(False))
@@ -138,4 +149,5 @@ def mix_sources(
         "source_size",
         "target",
         (F.col("_certain") + F.col("_extra")).alias("copies"),
+        *[F.col(f"_kept_{name}").alias(name) for name in kept],
     )

@@ -18,6 +18,10 @@ from tapmart.session import freeze
 
 WIDTH = 3
 PERCENT = 90
+# Fixed sizes of what all tasks get: bits of the map of candidates, cells of the element counts.
+MAP_BITS = 27
+SKETCH_BITS = 22
+SKETCH_PARTS = 64
 _DOC, _PACK, _MEMBER = 0, 1, 2
 _ROWS = pa.schema(
     [
@@ -230,6 +234,61 @@ def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _named(texts: pa.Array, width: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """``row, node, elements`` of the texts that have words."""
+    for start, part in pieces(texts):
+        for row, elements in enumerate(Words(part).shingles(width), start):
+            if len(elements):
+                yield row, fingerprint(elements)[0], elements
+
+
+def _named_rows(width: int, shared=None, shift: int = 0):
+    """Rows with the ``node`` of their text, null without words.
+
+    With ``shared``, a map of bits over the nodes, only rows whose bit is set go on, and of the
+    rows of a batch with equal sets only the first.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = None if shared is None else np.frombuffer(shared.value, np.uint8)
+        for batch in batches:
+            nodes: list[int | None] = [None] * batch.num_rows
+            for row, node, _ in _named(batch.column("text"), width):
+                nodes[row] = node
+            column = pa.array(nodes, pa.int64())
+            made = pa.RecordBatch.from_arrays(
+                [*batch.columns, column], [*batch.schema.names, "node"]
+            )
+            if bits is not None:
+                given = np.asarray(column.fill_null(0)).view(np.uint64)
+                place = given >> np.uint64(shift)
+                on = (bits[place >> np.uint64(3)] >> (place & np.uint64(7))) & 1
+                first = np.zeros(len(given), dtype=bool)
+                first[np.unique(given, return_index=True)[1]] = True
+                made = made.filter(pa.array((on == 1) & first & np.asarray(column.is_valid())))
+            yield made
+
+    return run
+
+
+def _node_map(nodes: DataFrame, count: int) -> tuple[bytes, int]:
+    """A map of bits that is set for every node, and by how much a node is shifted to its bit.
+
+    At most ``2 ** MAP_BITS`` bits come to the driver, whatever the number of nodes; false
+    positives are sorted out by a join.
+    """
+    width = min(MAP_BITS, max(10, int(np.ceil(np.log2(max(count, 1)))) + 4))
+    at = F.shiftrightunsigned("node", 64 - width)
+    bit = F.call_function(
+        "shiftleft", F.lit(1).cast("bigint"), at.bitwiseAND(F.lit(63)).cast("int")
+    )
+    words = nodes.select(F.shiftright(at, 6).alias("word"), bit.alias("bits"))
+    found = words.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    bits = np.zeros(1 << (width - 6), dtype=np.int64)
+    bits[np.asarray(found.column("word"))] = np.asarray(found.column("bits"))
+    return bits.tobytes(), 64 - width
+
+
 def _sets_of(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -246,20 +305,70 @@ def _sets_of(width: int):
     return run
 
 
-def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per element of a set."""
+def _cells(elements: np.ndarray) -> np.ndarray:
+    return (mix(elements ^ np.uint64(0x7A3D)) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
+
+
+def _cell_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many elements of this task's sets fall on each cell, by part of the cells."""
+    total = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
     for batch in batches:
-        sizes = [len(e) // 8 for e in batch.column("elements").to_pylist()]
-        data = b"".join(batch.column("elements").to_pylist())
-        names = ("node", "component")
-        columns = [np.repeat(batch.column(name).to_numpy(), sizes) for name in names]
-        made = pa.RecordBatch.from_arrays(
-            [*map(pa.array, columns), pa.array(np.frombuffer(data, np.int64)),
-             pa.array(np.repeat(np.array(sizes, dtype=np.int64), sizes))],
-            [*names, "element", "size"],
-        )
-        for start in range(0, made.num_rows, 100_000):
-            yield made.slice(start, 100_000)
+        for data in batch.column("elements").to_pylist():
+            cells = _cells(np.frombuffer(data, np.uint64))
+            np.add.at(total, cells, 1)
+    parts = total.reshape(SKETCH_PARTS, -1)
+    some = np.flatnonzero(parts.any(axis=1))
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(some, pa.int32()), pa.array([_planes(parts[i]) for i in some], pa.binary())],
+        ["part", "counts"],
+    )
+
+
+def _planes(counts: np.ndarray) -> bytes:
+    """Numbers byte by byte: the upper bytes are zero almost everywhere and pack well."""
+    return counts.astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _cell_sums(table: pa.Table) -> pa.Table:
+    """The counts of one part over all tasks, as a level: what matters is the order alone."""
+    total = 0
+    for data in table.column("counts").to_pylist():
+        planes = np.frombuffer(data, np.uint8).reshape(4, -1)
+        total = total + planes.T.copy().view(np.uint32).ravel().astype(np.int64)
+    level = np.minimum(np.where(total < 128, total, 96 + 16 * np.log2(np.maximum(total, 1)) / 3.5), 255)
+    return pa.table({"part": table.column("part")[:1], "levels": pa.array([level.astype(np.uint8).tobytes()])})
+
+
+def _first_elements(shared, percent: int):
+    """Of every set the first elements, those of rarely used cells first, one row each.
+
+    As many as a similar set may lack, and one: two similar sets share one of these, whatever the
+    order, as long as it is the same for all sets.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        levels = np.frombuffer(shared.value, np.uint8)
+        for batch in batches:
+            found, lengths, sizes = [], [], []
+            for data in batch.column("elements").to_pylist():
+                elements = np.frombuffer(data, np.uint64)
+                few = len(elements) - -(-len(elements) * percent // 100) + 1
+                order = np.lexsort((elements, levels[_cells(elements)]))[:few]
+                found.append(elements[order])
+                lengths.append(few)
+                sizes.append(len(elements))
+            if not found:
+                continue
+            columns = [np.repeat(batch.column(n).to_numpy(), lengths) for n in ("node", "component")]
+            made = pa.RecordBatch.from_arrays(
+                [*map(pa.array, columns), pa.array(_signed(np.concatenate(found))),
+                 pa.array(np.repeat(np.array(sizes, dtype=np.int64), lengths))],
+                ["node", "component", "element", "size"],
+            )
+            for start in range(0, made.num_rows, 100_000):
+                yield made.slice(start, 100_000)
+
+    return run
 
 
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,34 +392,31 @@ def _rare_sharers(sets: DataFrame, percent: int) -> DataFrame:
     """Pairs ``a < b`` of sets in different components that may be similar, none left out.
 
     A set shares at least ``percent`` of its elements with a similar one. So of all elements in
-    one order, rarest first, the first few (as many as may be missing, and one) of both sets meet.
-    Copies that were changed much, apart from one another, differ in rare elements, so they do not
-    meet however many they are. Copies that were changed little do; of these only pairs come out
-    whose sizes and parity sketches allow so few differences as similar sets may have.
+    one order, the first few (as many as may be missing, and one) of both sets meet. The order is
+    by a count of elements in cells, rarest first: a fixed number of cells for all tasks, so the
+    first few are cut out where the sets lie. Copies that were changed much, apart from one
+    another, differ in rare elements, so they do not meet however many they are. Copies that were
+    changed little do; of these only pairs come out whose sizes and parity sketches allow so few
+    differences as similar sets may have.
     """
-    rows = sets.mapInArrow(_elements, "node bigint, component bigint, element bigint, size bigint")
-    rows = freeze(rows, "ngram-elements")
-    spread = rows.groupBy("element").agg(
-        F.count(F.lit(1)).alias("sets"),
-        (F.min("component") < F.max("component")).alias("across"),
+    counts = sets.mapInArrow(_cell_counts, "part int, counts binary")
+    levels = np.zeros((SKETCH_PARTS, (1 << SKETCH_BITS) // SKETCH_PARTS), dtype=np.uint8)
+    for row in counts.groupBy("part").applyInArrow(_cell_sums, "part int, levels binary").collect():
+        levels[row["part"]] = np.frombuffer(row["levels"], np.uint8)
+    shared = sets.sparkSession.sparkContext.broadcast(levels.tobytes())
+    first = sets.mapInArrow(
+        _first_elements(shared, percent), "node bigint, component bigint, element bigint, size bigint"
     )
-    order = Window.partitionBy("node").orderBy("sets", "element")
-    few = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1
-    first = (
-        rows.join(spread, "element")
-        .withColumn("_at", F.row_number().over(order))
-        .where((F.col("_at") <= few) & F.col("across"))
-        .select("element", "node", "component", "size")
-    )
-    sketches = sets.mapInArrow(_sketched, "node bigint, s0 bigint, s1 bigint, s2 bigint, s3 bigint")
-    first = freeze(first.join(sketches, "node"), "ngram-rarest")
-    mixed = (
+    first = freeze(first, "ngram-elements")
+    across = (
         first.groupBy("element")
         .agg(F.min("component").alias("low"), F.max("component").alias("high"))
         .where("low < high")
         .select("element")
     )
-    first = first.join(mixed, "element", "left_semi")
+    first = first.join(across, "element", "left_semi")
+    sketches = sets.mapInArrow(_sketched, "node bigint, s0 bigint, s1 bigint, s2 bigint, s3 bigint")
+    first = freeze(first.join(sketches, "node"), "ngram-rarest")
     names = ["node", "component", "size", "s0", "s1", "s2", "s3"]
     other = first.select("element", *[F.col(name).alias(f"other_{name}") for name in names])
     other = other.withColumnRenamed("other_node", "other")
@@ -355,9 +461,9 @@ def near_duplicates(
     A document's set holds its distinct shingles of ``width`` lower-cased words; a text of fewer
     words counts as one shingle, a text without words (null too) has none and is linked with
     nothing. Two documents are linked when 100 * common >= percent * union; ``component_id`` is the
-    smallest id that links lead to, the own one included. Rows repeated under one id are equal
-    documents. A null id never is a component's id unless all ids of it are null. An empty table
-    gives an empty table.
+    smallest id that links lead to, the own one included. Rows repeated under one id, with equal
+    texts or different ones, are documents each; links follow texts, never ids. A null id never is
+    a component's id unless all ids of it are null. An empty table gives an empty table.
 
     Equal sets are one node from the start. Candidates share a PartEnum signature, and every link
     is checked on the whole sets. In a bucket of many sets not all pairs are looked at: all are
@@ -365,9 +471,54 @@ def near_duplicates(
     still be linked; their rarest elements tell which pairs can be, and these are compared, so the
     components are exact. No bucket, partner or candidate is capped.
     """
-    spark = docs.sparkSession
-    places = int(spark.conf.get("spark.sql.shuffle.partitions"))
     given = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text).alias("text"))
+    rows, classes = _classes(given, width, percent, depth, n2)
+    by_node = classes.select("node", "component_id")
+    return rows.join(by_node, "node", "left").select(
+        F.col("id").alias(id_column),
+        F.col("size").alias("n_shingles"),
+        F.coalesce("component_id", "id").alias("component_id"),
+    )
+
+
+def one_of_each(
+    docs: DataFrame,
+    text: str = "text",
+    id_column: str = "doc_id",
+    width: int = WIDTH,
+    percent: int = PERCENT,
+) -> DataFrame:
+    """One row of ``docs`` of each component of ``near_duplicates``, with all its columns.
+
+    The row of the smallest id stays (a null id counts as largest); of several under that id the
+    one whose set has the smallest number, then whose text does. Every row without words stays.
+    """
+    names = docs.columns
+    given = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text).alias("text"))
+    _, classes = _classes(given, width, percent)
+    chosen = classes.where("node = representative").select(
+        F.col("node").alias("_node"), F.col("own_id").alias("_own_id")
+    )
+    texts = docs.select(*[F.col(f"`{n}`") for n in names if n != text], F.col(text).alias("text"))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in texts.schema.fields)
+    keyed = texts.mapInArrow(_named_rows(width), f"{kinds}, node bigint")
+    kept = keyed.join(chosen, F.col("node") == F.col("_node"), "left")
+    own = F.col(id_column).cast("bigint").eqNullSafe(F.col("_own_id"))
+    kept = kept.where(F.col("node").isNull() | (F.col("_node").isNotNull() & own))
+    with_words = kept.where("node IS NOT NULL")
+    first = F.row_number().over(Window.partitionBy("node").orderBy(F.xxhash64("text"), "text"))
+    with_words = with_words.withColumn("_at", first).where("_at = 1").drop("_at")
+    kept = with_words.unionByName(kept.where("node IS NULL")).withColumnRenamed("text", text)
+    return kept.select(*[F.col(f"`{n}`") for n in names])
+
+
+def _classes(
+    given: DataFrame, width: int, percent: int, depth: int = 0, n2: int = 1
+) -> tuple[DataFrame, DataFrame]:
+    """Rows ``id, node, size`` of the documents, and per node ``component_id``, the smallest id of
+    its component, ``own_id``, its own smallest, and the ``representative`` node."""
+    spark = given.sparkSession
+    places = int(spark.conf.get("spark.sql.shuffle.partitions"))
     made = given.mapInArrow(_signatures_of(width, percent, depth, n2, places), _ROWS_DDL)
     made = made.repartitionById(places, F.col("place")).mapInArrow(_unpacked, _ROWS_DDL)
     made = freeze(made.drop("signatures", "nodes", "place"), "ngram-signatures")
@@ -381,7 +532,6 @@ def near_duplicates(
         .distinct()
         .join(
             rows.groupBy("node").agg(
-                F.min("id").alias("id"),
                 F.max("size").alias("size"),
                 F.assert_true(
                     (F.min("proof") == F.max("proof")) & (F.min("size") == F.max("size"))
@@ -391,7 +541,12 @@ def near_duplicates(
         )
     )
     nodes = freeze(nodes.where("_sound IS NULL").drop("_sound"), "ngram-nodes")
-    texts = given.join(nodes.select("id", "node"), "id").dropDuplicates(["node"])
+    bits, shift = _node_map(nodes, nodes.count())
+    shared = spark.sparkContext.broadcast(bits)
+    texts = given.select("text").mapInArrow(
+        _named_rows(width, shared, shift), "text string, node bigint"
+    )
+    texts = texts.join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"])
     sets = freeze(
         texts.select("node", "text").mapInArrow(_sets_of(width), "node bigint, elements binary"),
         "ngram-sets",
@@ -431,12 +586,12 @@ def near_duplicates(
     more = freeze(more, "ngram-links")
     if not more.isEmpty():
         found = freeze(components(links.union(more)), "ngram-components")
-    classes = rows.where("node IS NOT NULL").select("id", "node").join(found, "node", "left")
-    classes = classes.select("id", F.coalesce("component", "node").alias("class"), "node")
-    least = classes.groupBy("class").agg(F.min("id").alias("component_id"))
-    by_node = classes.select("node", "class").distinct().join(least, "class").drop("class")
-    return rows.join(by_node, "node", "left").select(
-        F.col("id").alias(id_column),
-        F.col("size").alias("n_shingles"),
-        F.coalesce("component_id", "id").alias("component_id"),
+    by_node = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("own_id"))
+    by_node = by_node.join(found, "node", "left").select(
+        "node", "own_id", F.coalesce("component", "node").alias("class")
+    )
+    order = F.struct(F.col("own_id").isNull(), F.col("own_id"), F.col("node"))
+    least = by_node.groupBy("class").agg(
+        F.min("own_id").alias("component_id"), F.min_by("node", order).alias("representative")
     )
+    return rows, by_node.join(least, "class").drop("class")
