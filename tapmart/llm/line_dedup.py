@@ -27,15 +27,17 @@ def drop_common_lines(
 
     A text is split at ``\n``; a null or empty text is one empty line. Lines are compared by their
     key (white space off both ends, A-Z lower-cased). A key of at least ``min_characters`` code
-    points that occurs in at least ``min_documents`` rows loses all its lines, everywhere. Every
-    row is a document, a repeated one too. Nulls in other columns, and further columns, are passed
-    through; an empty table gives an empty table. Columns of the three names are replaced.
+    points that occurs in at least ``min_documents`` documents loses all its lines, everywhere. All
+    rows under one id are one document in that count, whether their texts are equal or not; rows
+    without an id are one document per text. Nulls in other columns, and further columns, are
+    passed through; an empty table gives an empty table. Columns of the three names are replaced.
 
-    The keys' digests are written once, as one array per document. Counting takes a digest once
-    per document and adds up before the shuffle, so a line that every document has costs one row
-    per task. Digests of common lines go back to positions by a join that the optimizer may
-    broadcast or split, and only documents that lose lines are put together anew. Texts are
-    shuffled once.
+    The keys' digests are written once, as one array per row. Counting takes a digest once per row
+    and adds up before the shuffle, so a line that every document has costs one row per task; only
+    rows under repeated ids are told apart by id first. The common digests are written as well, so
+    that their size is known: they are broadcast to the positions if small, else joined with hot
+    ones split at run time. Only rows that lose lines are put together anew. Texts are shuffled
+    once.
     """
     ours = ["line_kept_text", "line_count", "line_dropped", "_lines", "_row", "_dropped"]
     docs = docs.drop(*ours)
@@ -47,16 +49,23 @@ def drop_common_lines(
         key = line_key(line)
         return F.when(F.char_length(key) >= min_characters, F.md5(key.cast("binary")))
 
-    digests = split.select("_row", F.transform("_lines", digest).alias("digests"))
+    one = F.coalesce(F.concat(F.lit("i"), F.col(id_column).cast("string")), row)
+    digests = split.select("_row", one.alias("_doc"), F.transform("_lines", digest).alias("digests"))
     digests = freeze(digests, "line-digests")
+    repeated = digests.groupBy("_doc").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    repeated = freeze(repeated.select("_doc"), "line-repeated-ids")
+    each = F.explode(F.array_distinct("digests")).alias("digest")
+    alone = digests.join(repeated, "_doc", "left_anti").select(each)
+    together = digests.join(repeated, "_doc", "left_semi").select("_doc", each).distinct()
     common = (
-        digests.select(F.explode(F.array_distinct("digests")).alias("digest"))
+        alone.union(together.select("digest"))
         .where("digest IS NOT NULL")
         .groupBy("digest")
         .agg(F.count(F.lit(1)).alias("documents"))
         .where(F.col("documents") >= min_documents)
         .select("digest")
     )
+    common = freeze(common, "line-common")
     dropped = (
         digests.select("_row", F.posexplode("digests").alias("position", "digest"))
         .where("digest IS NOT NULL")
