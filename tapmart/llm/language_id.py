@@ -20,6 +20,7 @@ ORDERS = (1, 2, 3)
 # Rows per language that weights and temperature are fitted on. Document frequencies are counted
 # over all rows that may be learned from.
 SAMPLE_PER_LANGUAGE = 1_500
+SAMPLE_BUCKETS = 64
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 1e-4, 1e-4
 SCALE = 20.0
@@ -251,6 +252,26 @@ def logits_of(texts: pa.Array, table: np.ndarray, bits: int) -> np.ndarray:
     return total * (SCALE / np.maximum(count, 1))[:, None]
 
 
+def sampled(rows: DataFrame, per_language: int) -> tuple[DataFrame, list[str]]:
+    """``text, lang, mark`` of at most ``per_language`` different rows of each language, those of
+    the smallest marks, and the languages.
+
+    A mark is a hash of id and text. The largest mark of each language's sample is found from marks
+    alone, per bucket of marks first, so that a language's task gets a bounded number of them
+    however many rows it has. Texts of rows beyond it stay where they are.
+    """
+    marked = rows.withColumn("mark", F.xxhash64("id", "text"))
+    bucket = Window.partitionBy("lang", F.pmod("mark", F.lit(SAMPLE_BUCKETS))).orderBy("mark")
+    every = Window.partitionBy("lang").orderBy("mark")
+    last = marked.select("lang", "mark").distinct()
+    for window in (bucket, every):
+        last = last.withColumn("at", F.row_number().over(window)).where(F.col("at") <= per_language)
+    last = freeze(last.groupBy("lang").agg(F.max("mark").alias("last")), "language-sample")
+    languages = sorted(r["lang"] for r in last.select("lang").collect())
+    chosen = marked.join(last, "lang").where("mark <= last").dropDuplicates(["lang", "mark"])
+    return chosen.select("text", "lang", F.pmod("mark", F.lit(1 << 40)).alias("mark")), languages
+
+
 def fit_languages(
     docs: DataFrame,
     learn: Column,
@@ -263,8 +284,10 @@ def fit_languages(
     """Learn from the rows that satisfy ``learn`` and have a label.
 
     Document frequencies cover all of these rows; weights and temperature are fitted on at most
-    ``sample_per_language`` rows of each language, chosen by a hash of the id. A fifth of the
-    sample is held back for the temperature. Without labelled rows the model knows no language.
+    ``sample_per_language`` rows of each language, chosen by a hash of id and text. A row that is
+    repeated counts once in the sample; rows of different texts under one id, and rows without an
+    id, are rows like others. A fifth of the sample is held back for the temperature. Without
+    labelled rows the model knows no language.
     """
     rows = docs.where(learn & F.col(label).isNotNull() & F.col(text).isNotNull()).select(
         F.col(id_column).alias("id"), F.col(text).alias("text"), F.col(label).alias("lang")
@@ -282,16 +305,7 @@ def fit_languages(
     number = int(counts.loc[counts["feature"] < 0, "documents"].sum())
     idf = np.log((1 + number) / (1 + frequency)) + 1
 
-    mark = F.pmod(F.xxhash64("id"), F.lit(1 << 40))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = (
-        rows.select("id", "lang", F.row_number().over(order).alias("at"))
-        .where(F.col("at") <= sample_per_language)
-        .select("id", "lang")
-    )
-    chosen = freeze(chosen.distinct(), "language-sample")
-    languages = sorted(r["lang"] for r in chosen.select("lang").distinct().collect())
-    sample = rows.join(chosen, ["id", "lang"], "left_semi").select("text", "lang", mark.alias("mark"))
+    sample, languages = sampled(rows, sample_per_language)
     model = (
         sample.mapInArrow(_sparse(idf, bits), "lang string, mark bigint, feature binary, weight binary")
         .groupBy(F.lit(1).alias("all"))
