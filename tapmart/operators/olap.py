@@ -12,7 +12,20 @@ from pyspark.sql import functions as F
 
 from tapmart import presets
 
+SUM_KEYS = (
+    "date_key", "route_key", "card_bank", "tap_in_hour", "day_part", "direction", "is_success",
+    "is_free",
+)
+PROFILE = ("age_band", "rider_segment", "card_bank", "gender")
+
+
 def _add_up(fact: DataFrame, *keys: str) -> DataFrame:
+    if "_paid_rows" in fact.columns:
+        # Rows of ``trip_sums``: the fact is added up in part.
+        parts = fact.groupBy(*keys).agg(
+            *_totals("trips", "_paid", "_paid_rows", "_minutes", "_minute_rows")
+        )
+        return parts.withColumn("_paid", F.col("_paid").cast("decimal(20,2)"))
     return fact.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("trips"),
         F.sum("paid").alias("_paid"),
@@ -148,6 +161,47 @@ def rider_profile(
     )
 
 
+def trip_sums(fact: DataFrame) -> DataFrame:
+    """A10: trips, payments and minutes per day, route, bank, hour, direction and outcome.
+
+    These rows, from one fact or from several parts of it, can be given to the reports on days,
+    routes and hours in place of the fact.
+    """
+    sums = _add_up(fact, *SUM_KEYS)
+    return sums.withColumn("_paid", F.col("_paid").cast("decimal(20,2)"))
+
+
+def rider_sums(fact: DataFrame, dim_rider: DataFrame, sketch_bits: int) -> DataFrame:
+    """A4: successful trips, payments and a mergeable sketch of the riders per day and profile."""
+    success = fact.where("is_success = 1").drop("card_bank")
+    sums = _add_up(success, "date_key", "rider_key")
+    members = dim_rider.select("rider_key", "rider_id", *PROFILE)
+    known = (F.col("rider_key") != presets.UNKNOWN_KEY).alias("is_known")
+    return (
+        sums.join(members, "rider_key")
+        .groupBy("date_key", known, *PROFILE)
+        .agg(
+            *_totals("trips", "_paid_rows"),
+            F.sum("_paid").cast("decimal(20,2)").alias("_paid"),
+            F.hll_sketch_agg("rider_id", F.lit(sketch_bits)).alias("_riders"),
+        )
+    )
+
+
+def rider_profile_from_sums(sums: DataFrame, include_unknown: bool = True) -> DataFrame:
+    """Q4 from rows of ``rider_sums`` of any days: the riders are counted by merging sketches."""
+    rows = sums if include_unknown else sums.where("is_known")
+    return (
+        rows.groupBy(*PROFILE)
+        .agg(
+            *_totals("trips", "_paid", "_paid_rows"),
+            F.hll_sketch_estimate(F.hll_union_agg("_riders")).alias("riders"),
+        )
+        .select(*PROFILE, "trips", "riders", _average_paid().alias("avg_paid"))
+        .orderBy(F.desc("trips"), *PROFILE)
+    )
+
+
 def top_stops(
     fact: DataFrame, dim_stop: DataFrame, top: int = 10, include_unknown: bool = True
 ) -> DataFrame:

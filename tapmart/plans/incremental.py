@@ -87,8 +87,10 @@ def load_rows(
     """
     warehouse = warehouse.snapshot()
     seed_warehouse(warehouse)
-    index = warehouse.trip_index()
-    if warehouse.exists(FACT) and not index.is_sound():
+    index, sums = warehouse.trip_index(), warehouse.daily_sums()
+    if warehouse.exists(FACT) and not (index.is_sound() and sums.exist()):
+        index.open()
+        sums.rebuild(warehouse.dimension("rider"))
         index.rebuild()
     result = LoadResult(batch_id)
     marked = rows.withColumn("_early", incomplete_reason(rows))
@@ -141,22 +143,27 @@ def load_rows(
 
 
 def _add_facts(warehouse: Warehouse, fact: DataFrame, staged: DataFrame, batch_id: str) -> int:
-    """Write facts and put their ids into the index; the number of facts.
+    """Write facts, add to the sums per day and put their ids into the index; the number of facts.
 
-    The ids are read back from the dates of the batch, from files of this batch alone: a load
+    They are read back from the dates of the batch, from files of this batch alone: a load
     writes files of its own, and the statistics of others rule them out.
     """
-    index = warehouse.trip_index()
+    index, sums = warehouse.trip_index(), warehouse.daily_sums()
+    riders = warehouse.dimension("rider")
     known = warehouse.exists(FACT)
     index.open()
     facts = observed_rows(warehouse.write_fact(fact))
     if not known:
         if facts:
+            sums.rebuild(riders)
             index.rebuild()
         return facts
     dates = staged.select("travel_date").distinct()
     own = warehouse.read(FACT).where(F.col("batch_id") == batch_id)
-    index.add(own.join(dates, "travel_date", "left_semi"), facts)
+    own = own.join(dates, "travel_date", "left_semi")
+    if facts:
+        sums.add(own, riders)
+    index.add(own, facts)
     return facts
 
 

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from tapmart import testviews
+from tapmart.operators import olap
 from tapmart.operators.facts import FACT_FULL_COLUMNS, FACT_STRICT_COLUMNS
 from tapmart.operators.loading import skip_existing
 from tapmart.plans.from_tables import load_tables
@@ -87,6 +88,47 @@ def incremental_fact(spark, sf_dir):
     return fact.select("trip_id", "paid", "status", "batch_id")
 
 
+def _kept_sums(spark, sf_dir):
+    """The sums after three loads, none of which has the trips of whole days."""
+    warehouse = _warehouse(spark)
+    taps = testviews.taps(spark, sf_dir)
+    for n in (2, 0, 1):
+        rows = taps.where(F.expr(f"pmod(payCardID, 3) = {n} OR payCardID IS NULL"))
+        load_rows(warehouse, rows, f"b{n}", load_date(), ARRIVAL, "csv")
+    return warehouse
+
+
+@query(
+    "kept_daily_trend",
+    """SELECT travel_date AS date, count(*) AS trips, CAST(sum(paid) AS DECIMAL(20,2)) AS revenue,
+    round(avg(duration_min), 1) AS avg_minutes FROM p_trips WHERE is_success = 1 GROUP BY travel_date""",
+)
+def kept_daily_trend(spark, sf_dir):
+    """Q1 from the sums that loads keep; the fact is not read."""
+    warehouse = _kept_sums(spark, sf_dir)
+    report = olap.daily_trend(warehouse.daily_sums().trips(), warehouse.dimension("date"))
+    return report.select("date", "trips", "revenue", "avg_minutes")
+
+
+@query(
+    "kept_rider_profile",
+    """SELECT age_band, rider_segment, d.card_bank, gender, count(*) AS trips, true AS close FROM
+    p_trips JOIN p_dim_rider d USING (rider_id) WHERE is_success = 1
+    GROUP BY age_band, rider_segment, d.card_bank, gender""",
+)
+def kept_rider_profile(spark, sf_dir):
+    """Q4 from kept sketches: whether riders are within 2 % of the exact count."""
+    warehouse = _kept_sums(spark, sf_dir)
+    star = warehouse.star()
+    exact = olap.rider_profile(star["fact"], star["rider"]).select(
+        *olap.PROFILE, F.col("riders").alias("exact")
+    )
+    kept = olap.rider_profile_from_sums(warehouse.daily_sums().riders())
+    close = F.abs(F.col("riders") - F.col("exact")) <= 0.02 * F.col("exact")
+    joined = kept.join(exact, list(olap.PROFILE), "left")
+    return joined.select(*olap.PROFILE, "trips", F.coalesce(close, F.lit(False)).alias("close"))
+
+
 @query(
     "incremental_rider",
     """SELECT rider_key, rider_id FROM p_stored_rider UNION ALL

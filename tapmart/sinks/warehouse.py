@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tapmart.operators.dimensions import dimension_schema, unknown_row, with_unknown
 from tapmart.operators.reporting import observed, observed_rows
+from tapmart.sinks.daily_sums import DailySums
 from tapmart.sinks.trip_index import TripIndex
 from tapmart.sources.tables import has_data, path_exists
 
@@ -67,6 +68,9 @@ class Warehouse:
     def trip_index(self) -> TripIndex:
         return TripIndex(self.snapshot(), FACT)
 
+    def daily_sums(self) -> DailySums:
+        return DailySums(self.snapshot(), FACT)
+
     def append(self, df: DataFrame, table: str) -> None:
         """K1."""
         df.write.mode("append").parquet(self.path(table))
@@ -111,8 +115,10 @@ class Warehouse:
             staging.replace(frame, f"dim_{name}")
         staged[FACT] = staging.write_fact(fact, mode="overwrite")
         counts = {table: observed_rows(observation) for table, observation in staged.items()}
+        brought = "rider" in dimensions or not self.exists("dim_rider")
+        staging.daily_sums().rebuild((staging if brought else self).dimension("rider"))
         staging.trip_index().rebuild()
-        tables = [*staged, *TripIndex.TABLES]
+        tables = [*staged, *DailySums.TABLES, *TripIndex.TABLES]
         self.go_live({table: f"{generation}/{table}" for table in tables})
         return counts
 

@@ -257,7 +257,7 @@ def read_layout(
         return read_csv(spark, paths, layout.columns, multi_line or layout.whole_file)
     if layout.kind == "json":
         return read_json(spark, paths, layout.whole_file)
-    return read_workbooks(spark, paths, layout.columns)
+    return read_workbooks(spark, paths, layout.columns, BAD_RECORD)
 
 
 def read_checked(

@@ -7,6 +7,7 @@ file always fits one task; many files are read by many tasks.
 from __future__ import annotations
 
 import io
+import json
 import re
 import zipfile
 from collections.abc import Iterator, Sequence
@@ -24,6 +25,10 @@ _DAY_ZERO = pd.Timestamp("1899-12-30")
 _ROWS_PER_BATCH = 20_000
 
 
+class BadRow(list):
+    """The texts of a row's cells, as they stand in the file."""
+
+
 def _column_number(reference: str) -> int:
     number = 0
     for letter in re.match(r"[A-Z]+", reference).group():
@@ -83,8 +88,12 @@ def _value(cell, shared: list[str], dates: set[int]) -> str | None:
     return str(int(number)) if number.is_integer() else repr(number)
 
 
+def _shown(cell) -> str:
+    return "".join(cell.itertext())
+
+
 def sheet_rows(content: bytes) -> Iterator[list[str | None]]:
-    """Rows of the first sheet as texts."""
+    """Rows of the first sheet as texts. A row with a cell that can't be read is a ``BadRow``."""
     with zipfile.ZipFile(io.BytesIO(content)) as book:
         path, shared, dates = _parts(book)
         with book.open(path) as sheet:
@@ -92,11 +101,14 @@ def sheet_rows(content: bytes) -> Iterator[list[str | None]]:
                 if row.tag != f"{_MAIN}row":
                     continue
                 values: list[str | None] = []
-                for cell in row:
-                    reference = cell.get("r")
-                    place = _column_number(reference) if reference else len(values)
-                    values.extend([None] * (place + 1 - len(values)))
-                    values[place] = _value(cell, shared, dates)
+                try:
+                    for cell in row:
+                        reference = cell.get("r")
+                        place = _column_number(reference) if reference else len(values)
+                        values.extend([None] * (place + 1 - len(values)))
+                        values[place] = _value(cell, shared, dates)
+                except (ValueError, LookupError, AttributeError, OverflowError):
+                    values = BadRow(_shown(cell) for cell in row)
                 row.clear()
                 yield values
 
@@ -122,15 +134,35 @@ def workbook_headers(
     return [(row["path"], list(row["header"]), row["problem"]) for row in found.collect()]
 
 
-def read_workbooks(spark: SparkSession, paths: Sequence[str], header: Sequence[str]) -> DataFrame:
-    """The rows of workbooks of one header, as texts, with their place in the file."""
+def _rows_to_damage(content: bytes) -> Iterator[list[str | None]]:
+    """The rows of a sheet; where the file can't be read on, one last row says so."""
+    try:
+        yield from sheet_rows(content)
+    except Exception as error:
+        yield BadRow([f"the workbook cannot be read beyond here: {error}"])
+
+
+def read_workbooks(
+    spark: SparkSession, paths: Sequence[str], header: Sequence[str], bad_record: str = "bad_record"
+) -> DataFrame:
+    """The rows of workbooks of one header, as texts, with their place in the file.
+
+    A row with a cell that can't be read, or with values beyond the header, stands whole in
+    ``bad_record`` as a JSON list, and its own columns are null. Of a file that is damaged below
+    its header the rows up to the damage are read, and a last bad record tells the rest is lost;
+    other files are read as ever.
+    """
     names = list(header)
-    schema = ", ".join(f"`{n}` string" for n in names)
+    schema = ", ".join(f"`{n}` string" for n in [*names, bad_record])
     schema += ", source_file string, file_block bigint, row_number bigint"
 
+    def laid_out(row):
+        if isinstance(row, BadRow) or any(value is not None for value in row[len(names) :]):
+            return [None] * len(names) + [json.dumps(row, ensure_ascii=False)]
+        return (row + [None] * len(names))[: len(names)] + [None]
+
     def frame(rows, path, start):
-        data = pd.DataFrame([r + [None] * (len(names) - len(r)) for r in rows]).iloc[:, : len(names)]
-        data.columns = names
+        data = pd.DataFrame(map(laid_out, rows), columns=[*names, bad_record])
         data["source_file"] = path
         data["file_block"] = 0
         data["row_number"] = range(start, start + len(rows))
@@ -140,8 +172,8 @@ def read_workbooks(spark: SparkSession, paths: Sequence[str], header: Sequence[s
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
                 rows, start = [], 0
-                for number, row in enumerate(sheet_rows(content)):
-                    if number == 0 or all(value is None for value in row):
+                for number, row in enumerate(_rows_to_damage(content)):
+                    if number == 0 or not any(value is not None for value in row):
                         continue
                     rows.append(row)
                     if len(rows) == _ROWS_PER_BATCH:
