@@ -101,7 +101,7 @@ def _kept_sums(spark, sf_dir):
 @query(
     "kept_daily_trend",
     """SELECT travel_date AS date, count(*) AS trips, CAST(sum(paid) AS DECIMAL(20,2)) AS revenue,
-    round(avg(duration_min), 1) AS avg_minutes FROM p_trips WHERE is_success = 1 GROUP BY travel_date""",
+    round(avg(duration_half_even), 1) AS avg_minutes FROM p_trips WHERE is_success = 1 GROUP BY travel_date""",
 )
 def kept_daily_trend(spark, sf_dir):
     """Q1 from the sums that loads keep; the fact is not read."""
@@ -112,9 +112,9 @@ def kept_daily_trend(spark, sf_dir):
 
 @query(
     "kept_rider_profile",
-    """SELECT age_band, rider_segment, d.card_bank, gender, count(*) AS trips, true AS close FROM
-    p_trips JOIN p_dim_rider d USING (rider_id) WHERE is_success = 1
-    GROUP BY age_band, rider_segment, d.card_bank, gender""",
+    """SELECT d.age_band, d.rider_segment, d.card_bank, d.gender, count(*) AS trips, true AS close
+    FROM p_trips t JOIN p_dim_rider d ON t.rider_id = d.rider_id WHERE t.is_success = 1
+    GROUP BY d.age_band, d.rider_segment, d.card_bank, d.gender""",
 )
 def kept_rider_profile(spark, sf_dir):
     """Q4 from kept sketches: whether riders are within 2 % of the exact count."""

@@ -8,12 +8,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapmart.operators import olap
+from tapmart.operators.cleaning import ensure_columns
 
 if TYPE_CHECKING:
     from tapmart.sinks.warehouse import Warehouse
 
 # Registers of a sketch as a power of two: a standard error of 0.7 %, and at most 16 KB a sketch.
 SKETCH_BITS = 14
+_COLUMNS = {
+    "date_key": "int",
+    "route_key": "bigint",
+    "rider_key": "bigint",
+    "card_bank": "string",
+    "tap_in_hour": "int",
+    "day_part": "string",
+    "direction": "int",
+    "is_success": "int",
+    "is_free": "int",
+    "paid": "decimal(10,2)",
+    "duration_min": "smallint",
+}
 
 
 class DailySums:
@@ -22,7 +36,7 @@ class DailySums:
     ``sums_trips`` has trips, payments and minutes per day and per what the reports group by; its
     rows can stand in for the fact in the reports on days, routes and hours. ``sums_riders`` has
     trips, payments and a sketch of the riders per day and rider profile; stored members never
-    change, so neither do profiles.
+    change, so neither do profiles. Columns that a fact lacks count as null.
 
     Facts are only ever added. So a load adds the sums of its own trips, whichever days they fall
     on, as further rows, and reading adds rows of one group up. While the index of trips is marked
@@ -53,6 +67,7 @@ class DailySums:
         self.warehouse.append(profiles.coalesce(1), self.RIDERS)
 
     def _sums(self, fact: DataFrame, riders: DataFrame) -> tuple[DataFrame, DataFrame]:
+        fact = ensure_columns(fact, {n: F.lit(None).cast(kind) for n, kind in _COLUMNS.items()})
         return olap.trip_sums(fact), olap.rider_sums(fact, riders, SKETCH_BITS)
 
     def trips(self) -> DataFrame:
