@@ -22,6 +22,9 @@ PERCENT = 90
 MAP_BITS = 27
 SKETCH_BITS = 22
 SKETCH_PARTS = 64
+# Sets of one element that are paired one by one; sets of a block where there are more.
+CROWD = 32
+BLOCK = 128
 _DOC, _PACK, _MEMBER = 0, 1, 2
 _ROWS = pa.schema(
     [
@@ -40,6 +43,7 @@ _ROWS_DDL = (
     "kind int, place int, id bigint, node bigint, proof bigint, size bigint, signature bigint, "
     "signatures binary, nodes binary"
 )
+_SET_COLUMNS = ["node", "component", "size", "s0", "s1", "s2", "s3"]
 
 
 class PartEnum:
@@ -388,16 +392,138 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _rare_sharers(sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``a < b`` of sets in different components that may be similar, none left out.
+def _may_be_similar(percent: int):
+    """Whether the sizes and parity sketches of two rows allow so few differences."""
+    apart = sum(F.bit_count(F.col(f"s{i}").bitwiseXOR(F.col(f"other_s{i}"))) for i in range(4))
+    small, large = F.least("size", "other_size"), F.greatest("size", "other_size")
+    return (
+        (F.col("component") != F.col("other_component"))
+        & (100 * small >= percent * large)
+        & ((100 + percent) * apart <= (100 - percent) * (small + large))
+    )
+
+
+def _as_pairs(rows: DataFrame) -> DataFrame:
+    low, high = F.least("node", "other_node"), F.greatest("node", "other_node")
+    return rows.select(low.alias("a"), high.alias("b")).distinct()
+
+
+def _others(*columns) -> list:
+    return [F.col(c).alias(f"other_{n}") for c, n in zip(columns, _SET_COLUMNS)]
+
+
+def _centre_rounds(crowded: DataFrame, link, percent: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Rows of crowded elements whose sets are still apart, and the links found on the way.
+
+    In a round all sets of an element are compared with one of them, and components that are linked
+    become one. An element whose sets are all in one component needs no more comparing. Rounds go
+    on as long as they link anything and each leaves at most half of the rows.
+    """
+    links: list[DataFrame] = []
+    left = crowded.count()
+    while left:
+        order = F.struct(F.xxhash64("node"), "node")
+        centres = crowded.groupBy("element").agg(
+            F.min_by(F.struct(*_SET_COLUMNS), order).alias("centre")
+        )
+        centres = centres.select("element", *_others(*[f"centre.{n}" for n in _SET_COLUMNS]))
+        met = crowded.join(centres, "element").where(_may_be_similar(percent))
+        made = freeze(link(_as_pairs(met)), "ngram-links")
+        if made.isEmpty():
+            break
+        links.append(made)
+        own = crowded.select("node", "component").distinct()
+        between = made.join(own.select(F.col("node").alias("a"), F.col("component").alias("of_a")), "a")
+        between = between.join(own.select(F.col("node").alias("b"), F.col("component").alias("of_b")), "b")
+        between = between.select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
+        moved = components(between).select(F.col("node").alias("component"), F.col("component").alias("to"))
+        crowded = crowded.join(moved, "component", "left")
+        crowded = crowded.withColumn("component", F.coalesce("to", "component")).drop("to")
+        crowded = freeze(_across(crowded), "ngram-crowded")
+        before, left = left, crowded.count()
+        if 2 * left > before:
+            break
+    return crowded, links
+
+
+def _across(rows: DataFrame) -> DataFrame:
+    """Rows of elements whose sets lie in several components, with the number of these sets."""
+    across = (
+        rows.groupBy("element")
+        .agg(
+            F.min("component").alias("low"),
+            F.max("component").alias("high"),
+            F.count(F.lit(1)).alias("many"),
+        )
+        .where("low < high")
+        .select("element", "many")
+    )
+    return rows.drop("many").join(across, "element")
+
+
+def _block_pairs(crowded: DataFrame, percent: int) -> DataFrame:
+    """Pairs of sets of crowded elements that may be similar, block of sets against block.
+
+    The sets of an element lie in blocks of about ``BLOCK`` by a hash. A block goes to every block
+    from its own on, so the comparing is spread by element and block; pairs that are told apart by
+    size or sketch never are rows.
+    """
+    blocks = F.ceil(F.col("many") / BLOCK)
+    rows = crowded.withColumn("last", blocks - 1)
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), blocks))
+    packed = rows.groupBy("element", "last", "block").agg(
+        F.collect_list(F.struct(*_SET_COLUMNS)).alias("own")
+    )
+    sent = packed.select("element", "own", F.explode(F.sequence("block", "last")).alias("block"))
+    there = packed.select("element", "block", F.col("own").alias("others"))
+    met = sent.join(there, ["element", "block"]).select("own", "others")
+    return met.mapInArrow(_blocks_compared(percent), "a bigint, b bigint")
+
+
+def _blocks_compared(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            mine, theirs = _block_columns(batch.column("own")), _block_columns(batch.column("others"))
+            for (a, x), (b, y) in zip(mine, theirs):
+                differ = (x[:, None, 3:] ^ y[None, :, 3:]).view(np.uint64)
+                apart = np.bitwise_count(differ).sum(axis=2, dtype=np.int64)
+                small = np.minimum(x[:, None, 2], y[None, :, 2])
+                large = np.maximum(x[:, None, 2], y[None, :, 2])
+                may = (
+                    (x[:, None, 1] != y[None, :, 1])
+                    & (100 * small >= percent * large)
+                    & ((100 + percent) * apart <= (100 - percent) * (small + large))
+                )
+                row, column = np.nonzero(may)
+                if len(row):
+                    pair = np.sort(np.stack([a[row], b[column]]), axis=0)
+                    yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], ["a", "b"])
+
+    return run
+
+
+def _block_columns(column: pa.ListArray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Per block its nodes, and one row of numbers per set."""
+    values, ends = column.flatten(), np.cumsum(column.value_lengths().to_numpy())
+    table = np.stack([values.field(i).to_numpy() for i in range(len(_SET_COLUMNS))], axis=1)
+    for rows in np.split(table, ends[:-1]):
+        yield rows[:, 0], rows
+
+
+def _rare_sharers(sets: DataFrame, link, percent: int) -> DataFrame:
+    """Links ``a < b`` that join sets of different components, as many as it takes.
 
     A set shares at least ``percent`` of its elements with a similar one. So of all elements in
     one order, the first few (as many as may be missing, and one) of both sets meet. The order is
     by a count of elements in cells, rarest first: a fixed number of cells for all tasks, so the
     first few are cut out where the sets lie. Copies that were changed much, apart from one
     another, differ in rare elements, so they do not meet however many they are. Copies that were
-    changed little do; of these only pairs come out whose sizes and parity sketches allow so few
-    differences as similar sets may have.
+    changed little do.
+
+    The sets of an element are paired where they are at most ``CROWD``, so pairs grow with the
+    rows. Larger crowds are compared with centres, round by round, and what stays apart is compared
+    in blocks. Only pairs come out whose sizes and parity sketches allow so few differences as
+    similar sets may have; ``link`` checks these.
     """
     counts = sets.mapInArrow(_cell_counts, "part int, counts binary")
     levels = np.zeros((SKETCH_PARTS, (1 << SKETCH_BITS) // SKETCH_PARTS), dtype=np.uint8)
@@ -407,28 +533,20 @@ def _rare_sharers(sets: DataFrame, percent: int) -> DataFrame:
     first = sets.mapInArrow(
         _first_elements(shared, percent), "node bigint, component bigint, element bigint, size bigint"
     )
-    first = freeze(first, "ngram-elements")
-    across = (
-        first.groupBy("element")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .where("low < high")
-        .select("element")
-    )
-    first = first.join(across, "element", "left_semi")
+    first = _across(freeze(first, "ngram-elements"))
     sketches = sets.mapInArrow(_sketched, "node bigint, s0 bigint, s1 bigint, s2 bigint, s3 bigint")
     first = freeze(first.join(sketches, "node"), "ngram-rarest")
-    names = ["node", "component", "size", "s0", "s1", "s2", "s3"]
-    other = first.select("element", *[F.col(name).alias(f"other_{name}") for name in names])
-    other = other.withColumnRenamed("other_node", "other")
-    apart = sum(F.bit_count(F.col(f"s{i}").bitwiseXOR(F.col(f"other_s{i}"))) for i in range(4))
-    small, large = F.least("size", "other_size"), F.greatest("size", "other_size")
-    may_be_similar = (
-        (F.col("component") < F.col("other_component"))
-        & (100 * small >= percent * large)
-        & ((100 + percent) * apart <= (100 - percent) * (small + large))
-    )
-    pairs = first.join(other, "element").where(may_be_similar)
-    return pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
+    few = first.where(F.col("many") <= CROWD)
+    other = few.select("element", *_others(*_SET_COLUMNS))
+    met = few.join(other, "element").where("component < other_component")
+    pairs = _as_pairs(met.where(_may_be_similar(percent)))
+    crowded, links = _centre_rounds(first.where(F.col("many") > CROWD), link, percent)
+    if not crowded.isEmpty():
+        pairs = pairs.union(_block_pairs(crowded, percent)).distinct()
+    found = link(pairs)
+    for made in links:
+        found = found.union(made)
+    return found
 
 
 def _checked(percent: int):
@@ -582,7 +700,7 @@ def _classes(
         .select("signature")
     )
     still_open = labelled.join(mixed, "signature", "left_semi").select("node", "component").distinct()
-    more = link(_rare_sharers(sets.join(still_open, "node"), percent).distinct())
+    more = _rare_sharers(sets.join(still_open, "node"), link, percent)
     more = freeze(more, "ngram-links")
     if not more.isEmpty():
         found = freeze(components(links.union(more)), "ngram-components")

@@ -3,10 +3,13 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from test_documents import components_by_force, variants
 
 import corpus_pipeline as pipeline
+from tapmart.llm import ngram_join
 from tapmart.llm.ngram_join import near_duplicates, one_of_each
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -81,3 +84,41 @@ def test_first_elements_meet_for_families_of_changed_copies(spark):
     found = {r["doc_id"]: r["component_id"] for r in near_duplicates(docs).collect()}
     assert found == dict(enumerate(least))
     assert docs.where(F.col("text").isNull()).count() == 0
+
+
+@pytest.mark.parametrize(("crowd", "block"), [(0, 4), (2, 1), (5, 128)])
+def test_crowded_elements_give_the_same_links(spark, monkeypatch, crowd, block):
+    monkeypatch.setattr(ngram_join, "CROWD", crowd)
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    blocks = []
+    plain = ngram_join._block_pairs
+    monkeypatch.setattr(ngram_join, "_block_pairs", lambda *a: blocks.append(a) or plain(*a))
+    texts = variants(11)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(3)
+    rows = near_duplicates(docs, width=3, percent=90).collect()
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows}
+    assert found == components_by_force(texts, 3, 90)
+    assert blocks or crowd
+
+
+def test_blocks_are_compared_by_sizes_and_sketches(spark):
+    rng = np.random.default_rng(2)
+    n, percent = 150, 90
+    sketches = rng.integers(-(2**63), 2**63 - 1, size=(12, 4))[rng.integers(0, 12, n)]
+    sketches[:, 0] ^= 1 << rng.integers(0, 20, n)
+    sizes, kinds = rng.integers(200, 240, n), rng.integers(0, 6, n)
+    rows = [(7, n, i, int(kinds[i]), int(sizes[i]), *map(int, sketches[i])) for i in range(n)]
+    schema = "element bigint, many bigint, node bigint, component bigint, size bigint, " + (
+        "s0 bigint, s1 bigint, s2 bigint, s3 bigint"
+    )
+    frame = spark.createDataFrame(rows, schema).repartition(4)
+    found = {(r["a"], r["b"]) for r in ngram_join._block_pairs(frame, percent).collect()}
+    expected = set()
+    for i in range(n):
+        for j in range(i + 1, n):
+            apart = sum(int(x & (2**64 - 1)).bit_count() for x in map(int, sketches[i] ^ sketches[j]))
+            small, large = sorted((int(sizes[i]), int(sizes[j])))
+            if kinds[i] != kinds[j] and 100 * small >= percent * large:
+                if (100 + percent) * apart <= (100 - percent) * (small + large):
+                    expected.add((i, j))
+    assert found == expected and found
