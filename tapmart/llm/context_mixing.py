@@ -347,8 +347,10 @@ class Past:
     heads: np.ndarray
 
 
-# A count as one byte: exact up to 128, then in steps of 1/12.
-_LEVELS = np.concatenate([np.arange(129.0), 128.0 * (13 / 12) ** np.arange(1, 128)])
+# A count as one byte: exact up to 128, then in steps of 1/12 up to some 77,000, then in steps of 3/5,
+# so that counts differ in level up to 3 * 10 ** 14.
+_LEVELS = np.concatenate([np.arange(129.0), 128.0 * (13 / 12) ** np.arange(1, 81)])
+_LEVELS = np.concatenate([_LEVELS, _LEVELS[-1] * (8 / 5) ** np.arange(1, 48)])
 
 
 def packed_counts(counts: np.ndarray) -> np.ndarray:

@@ -337,6 +337,8 @@ def test_counts_after_the_previous_token_and_their_packing():
     assert (_LEVELS[packed_counts(n)] == n).all()
     many = np.array([200.0, 1_000.0, 50_000.0])
     assert np.allclose(_LEVELS[packed_counts(many)], many, rtol=0.05)
+    huge = 10.0 ** np.arange(6, 15)
+    assert len(_LEVELS) == 256 and np.allclose(_LEVELS[packed_counts(huge)], huge, rtol=0.31)
     lead = np.array([0x61622020, 0x61632020, 0x61622020], dtype=np.uint64)
     found = head_counts(np.array([1, 1, 2], dtype=np.uint64), lead, np.array([3.0, 5.0, 7.0]))
     # The second byte is b or c, which part at the last bit; the second token is never mixed in.
