@@ -111,6 +111,12 @@ _STOPS = {
     "latitude": "CAST(-6 - CAST(s_suppkey AS DECIMAL(10,7)) / 100000 AS DECIMAL(10,7))",
     "longitude": "CAST(106 + CAST(s_suppkey AS DECIMAL(10,7)) / 100000 AS DECIMAL(10,7))",
 }
+# As DECIMAL(10,7) a key may be 999 at most, so Spark takes it whole. A place off the map's type is
+# null.
+_STOPS_BY_ANY_KEY = _STOPS | {
+    "latitude": "TRY_CAST(-6 - CAST(s_suppkey AS DECIMAL(19,0)) / 100000 AS DECIMAL(10,7))",
+    "longitude": "TRY_CAST(106 + CAST(s_suppkey AS DECIMAL(19,0)) / 100000 AS DECIMAL(10,7))",
+}
 _CATEGORIES = [name for _, name, _ in presets.FEEDBACK_CATEGORIES]
 # Orders stand for feedback; they cover every other trip, and trips that do not exist.
 _FEEDBACK = {
@@ -165,7 +171,7 @@ def rider_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stop_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "supplier").selectExpr(*_select(_STOPS))
+    return table(spark, sf_dir, "supplier").selectExpr(*_select(_STOPS_BY_ANY_KEY))
 
 
 def route_table(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,11 +1,12 @@
 """Operators on small frames, with ties, nulls, empty input and hot keys."""
 
 from datetime import date, datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from tapmart import presets
+from tapmart import presets, testviews
 from tapmart.operators import cleaning, dedup, dimensions, facts, keys, loading, olap, shaping
 from tapmart.operators.lookups import look_up
 from tapmart.operators.reporting import observed
@@ -421,3 +422,21 @@ def test_approximate_riders_are_close(spark):
     exact = olap.rider_profile(fact, riders).first()["riders"]
     close = olap.rider_profile(fact, riders, approximate=True).first()["riders"]
     assert exact == 2000 and abs(close - exact) < 200
+
+
+# ------------------------------------------------------------------------------------ test views
+def test_stops_of_any_key_have_a_place(spark, folder):
+    keys = [(key, f"S{key}") for key in (0, 999, 1000, 59_999, 10**12)]
+    spark.createDataFrame(keys, "s_suppkey bigint, s_name string").write.parquet(
+        f"{folder}/supplier.parquet"
+    )
+    found = dimensions.table_stops(testviews.stop_table(spark, folder)).orderBy("stop_name")
+    places = {r["stop_name"]: (r["latitude"], r["longitude"]) for r in found.collect()}
+    assert places == {
+        "S0": (Decimal("-6.0000000"), Decimal("106.0000000")),
+        "S999": (Decimal("-6.0099900"), Decimal("106.0099900")),
+        "S1000": (Decimal("-6.0100000"), Decimal("106.0100000")),
+        "S59999": (Decimal("-6.5999900"), Decimal("106.5999900")),
+        "S1000000000000": (None, None),
+    }
+    assert found.schema["latitude"].dataType.simpleString() == "decimal(10,7)"
