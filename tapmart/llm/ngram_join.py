@@ -25,6 +25,10 @@ SKETCH_PARTS = 64
 # Sets of one element that are paired one by one; sets of a block where there are more.
 CROWD = 32
 BLOCK = 128
+# Crowded elements a set carries, so that a pair of sets which share several is found at one.
+FIRSTS = 8
+# Signatures a task holds before it sends them.
+HELD_SIGNATURES = 1 << 19
 _DOC, _PACK, _MEMBER = 0, 1, 2
 _ROWS = pa.schema(
     [
@@ -44,6 +48,8 @@ _ROWS_DDL = (
     "signatures binary, nodes binary"
 )
 _SET_COLUMNS = ["node", "component", "size", "s0", "s1", "s2", "s3"]
+_FIRST_COLUMNS = [f"f{i}" for i in range(FIRSTS)]
+_NONE = (1 << 63) - 1
 
 
 class PartEnum:
@@ -141,11 +147,33 @@ def _rows(kind: int, n: int, **columns) -> pa.RecordBatch:
 def _signatures_of(width: int, percent: int, depth: int, n2: int, places: int):
     """Texts to rows of three kinds: a document, a pack of signatures for one place, a member.
 
-    Within a batch a set is taken once, and a signature travels once. If several sets of the batch
-    have it, they are members of its bucket already; one of them stands for all elsewhere. So
-    however common a signature is, a task sends it once.
+    Within a batch a set is taken once. A signature travels once for about ``HELD_SIGNATURES`` of
+    a batch. If several sets of these have it, they are members of its bucket already; one of them
+    stands for all elsewhere. So however common a signature is, a task sends it a few times.
     """
 
+    def sent(found: list[np.ndarray], owners: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        signature, owner = np.concatenate(found), np.concatenate(owners)
+        signature, owner, shared = _buckets(signature, owner)
+        if shared.any():
+            yield _rows(
+                _MEMBER, int(shared.sum()), signature=_signed(signature[shared]),
+                node=owner[shared], place=(signature[shared] % np.uint64(places)).astype(np.int32),
+            )
+        once = np.ones(len(signature), dtype=bool)
+        once[1:] = signature[1:] != signature[:-1]
+        signature, owner = signature[once], owner[once]
+        place = (signature % np.uint64(places)).astype(np.int64)
+        order = np.lexsort((owner, place))
+        signature, owner, place = signature[order], owner[order], place[order]
+        filled, starts = np.unique(place, return_index=True)
+        ends = np.append(starts[1:], len(place))
+        yield _rows(
+            _PACK, len(filled), place=filled.astype(np.int32),
+            signatures=[signature[a:b].tobytes() for a, b in zip(starts, ends)],
+            nodes=[owner[a:b].tobytes() for a, b in zip(starts, ends)],
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scheme = PartEnum(percent, depth, n2)
         for batch in batches:
@@ -153,7 +181,7 @@ def _signatures_of(width: int, percent: int, depth: int, n2: int, places: int):
                 continue
             nodes, proofs, sizes = [], [], []
             known: set[int] = set()
-            found, owners = [], []
+            found, owners, held = [], [], 0
             for _, part in pieces(batch.column("text")):
                 for elements in Words(part).shingles(width):
                     sizes.append(len(elements))
@@ -169,34 +197,19 @@ def _signatures_of(width: int, percent: int, depth: int, n2: int, places: int):
                         made = scheme.signatures(elements)
                         found.append(made)
                         owners.append(np.full(len(made), node, dtype=np.int64))
+                        held += len(made)
+                if held > HELD_SIGNATURES:
+                    yield from sent(found, owners)
+                    found, owners, held = [], [], 0
             at = np.full(batch.num_rows, -1, dtype=np.int32)
             at[:] = np.arange(batch.num_rows) % places
             yield _rows(
                 _DOC, batch.num_rows, place=at, id=batch.column("id"), node=nodes, proof=proofs,
                 size=sizes,
             )
-            if not found:
-                continue
-            signature, owner = np.concatenate(found), np.concatenate(owners)
-            signature, owner, shared = _buckets(signature, owner)
-            if shared.any():
-                yield _rows(
-                    _MEMBER, int(shared.sum()), signature=_signed(signature[shared]),
-                    node=owner[shared], place=(signature[shared] % np.uint64(places)).astype(np.int32),
-                )
-            once = np.ones(len(signature), dtype=bool)
-            once[1:] = signature[1:] != signature[:-1]
-            signature, owner = signature[once], owner[once]
-            place = (signature % np.uint64(places)).astype(np.int64)
-            order = np.lexsort((owner, place))
-            signature, owner, place = signature[order], owner[order], place[order]
-            filled, starts = np.unique(place, return_index=True)
-            ends = np.append(starts[1:], len(place))
-            yield _rows(
-                _PACK, len(filled), place=filled.astype(np.int32),
-                signatures=[signature[a:b].tobytes() for a, b in zip(starts, ends)],
-                nodes=[owner[a:b].tobytes() for a, b in zip(starts, ends)],
-            )
+            if found:
+                yield from sent(found, owners)
+            pa.default_memory_pool().release_unused()
 
     return run
 
@@ -466,17 +479,31 @@ def _block_pairs(crowded: DataFrame, percent: int) -> DataFrame:
 
     The sets of an element lie in blocks of about ``BLOCK`` by a hash. A block goes to every block
     from its own on, so the comparing is spread by element and block; pairs that are told apart by
-    size or sketch never are rows.
+    size or sketch never are rows. Similar sets share most of their elements. A set carries the
+    first few of its crowded ones, and a pair that both sets' few tell to share an earlier element
+    is left to that one; it is never lost, as the earliest element of all that two sets share is
+    left to none.
     """
+    firsts = crowded.groupBy(F.col("node").alias("_node")).agg(
+        F.slice(F.sort_array(F.collect_list("element")), 1, FIRSTS).alias("firsts")
+    )
     blocks = F.ceil(F.col("many") / BLOCK)
-    rows = crowded.withColumn("last", blocks - 1)
+    rows = crowded.join(firsts, F.col("node") == F.col("_node")).withColumn("last", blocks - 1)
     rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), blocks))
+    few = [
+        F.coalesce(F.get("firsts", F.lit(i)), F.lit(_NONE)).alias(name)
+        for i, name in enumerate(_FIRST_COLUMNS)
+    ]
     packed = rows.groupBy("element", "last", "block").agg(
-        F.collect_list(F.struct(*_SET_COLUMNS)).alias("own")
+        F.collect_list(F.struct(*_SET_COLUMNS, *few)).alias("own")
+    )
+    sent = packed.select(
+        "element", "own", F.col("block").alias("from"),
+        F.explode(F.sequence("block", "last")).alias("block"),
     )
-    sent = packed.select("element", "own", F.explode(F.sequence("block", "last")).alias("block"))
     there = packed.select("element", "block", F.col("own").alias("others"))
-    met = sent.join(there, ["element", "block"]).select("own", "others")
+    met = sent.join(there, ["element", "block"])
+    met = met.select("element", (F.col("from") == F.col("block")).alias("same"), "own", "others")
     return met.mapInArrow(_blocks_compared(percent), "a bigint, b bigint")
 
 
@@ -484,8 +511,10 @@ def _blocks_compared(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             mine, theirs = _block_columns(batch.column("own")), _block_columns(batch.column("others"))
-            for (a, x), (b, y) in zip(mine, theirs):
-                differ = (x[:, None, 3:] ^ y[None, :, 3:]).view(np.uint64)
+            elements, same = batch.column("element").to_numpy(), batch.column("same").to_pylist()
+            for element, own, (a, x), (b, y) in zip(elements, same, mine, theirs):
+                sketch = slice(3, len(_SET_COLUMNS))
+                differ = (x[:, None, sketch] ^ y[None, :, sketch]).view(np.uint64)
                 apart = np.bitwise_count(differ).sum(axis=2, dtype=np.int64)
                 small = np.minimum(x[:, None, 2], y[None, :, 2])
                 large = np.maximum(x[:, None, 2], y[None, :, 2])
@@ -495,6 +524,13 @@ def _blocks_compared(percent: int):
                     & ((100 + percent) * apart <= (100 - percent) * (small + large))
                 )
                 row, column = np.nonzero(may)
+                earlier = np.zeros(len(row), dtype=bool)
+                ours, its = x[row, len(_SET_COLUMNS) :], y[column, len(_SET_COLUMNS) :]
+                for i in range(FIRSTS):
+                    met = (its == ours[:, i : i + 1]).any(axis=1)
+                    earlier |= met & (ours[:, i] < element)
+                twice = (a[row] > b[column]) & own
+                row, column = row[~earlier & ~twice], column[~earlier & ~twice]
                 if len(row):
                     pair = np.sort(np.stack([a[row], b[column]]), axis=0)
                     yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], ["a", "b"])
@@ -505,7 +541,7 @@ def _blocks_compared(percent: int):
 def _block_columns(column: pa.ListArray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Per block its nodes, and one row of numbers per set."""
     values, ends = column.flatten(), np.cumsum(column.value_lengths().to_numpy())
-    table = np.stack([values.field(i).to_numpy() for i in range(len(_SET_COLUMNS))], axis=1)
+    table = np.stack([values.field(i).to_numpy() for i in range(values.type.num_fields)], axis=1)
     for rows in np.split(table, ends[:-1]):
         yield rows[:, 0], rows
 
@@ -560,7 +596,10 @@ def _checked(percent: int):
                 both.sort(kind="stable")
                 common = int((both[1:] == both[:-1]).sum())
                 linked.append(100 * common >= percent * (len(both) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(linked, type=pa.bool_()))
+            pairs = batch.select(["a", "b"]).filter(pa.array(linked, type=pa.bool_()))
+            del batch
+            yield pairs
+            pa.default_memory_pool().release_unused()
 
     return run
 

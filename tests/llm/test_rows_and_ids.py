@@ -122,3 +122,22 @@ def test_blocks_are_compared_by_sizes_and_sketches(spark):
                 if (100 + percent) * apart <= (100 - percent) * (small + large):
                     expected.add((i, j))
     assert found == expected and found
+
+
+def test_block_pairs_come_out_once_however_many_elements_sets_share(spark):
+    rng = np.random.default_rng(5)
+    sets = {node: set(rng.choice(40, 30, replace=False).tolist()) for node in range(300)}
+    rows = [
+        (element, node, node, 400, 0, 0, 0, 0, sum(element in s for s in sets.values()))
+        for node, own in sets.items()
+        for element in own
+    ]
+    crowded = spark.createDataFrame(
+        rows,
+        "element bigint, node bigint, component bigint, size bigint, s0 bigint, s1 bigint, "
+        "s2 bigint, s3 bigint, many bigint",
+    )
+    found = [tuple(r) for r in ngram_join._block_pairs(crowded, 90).collect()]
+    wanted = {(a, b) for a in sets for b in sets if a < b and sets[a] & sets[b]}
+    assert set(found) == wanted
+    assert len(found) < 1.1 * len(wanted)
