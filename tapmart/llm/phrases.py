@@ -35,6 +35,7 @@ PREFIX_LEAVES = GROUP_LEAVES // 8
 _RUN_WORDS = 1 << 20
 _CODE_BITS = 21
 _TEXT_BYTES = 4 << 20
+_COUNTED_BYTES = 1 << 20
 # Pairs of words are counted in cells first. A part has 2 ** _PART_BITS cells and is for this many
 # bytes of text, so cells are many times more than pairs, whatever the size of the corpus.
 _PART_BITS = 26
@@ -43,7 +44,8 @@ _PART_BYTES = 16 << 20
 # leaves, not correctness.
 _MAP_BITS = 29
 _PART_MAP_BITS = 21
-_HELD_CELLS = 4 << 20
+# Cells a task holds before it sends them: two tasks of an executor sort as many at once.
+_HELD_CELLS = 1 << 20
 
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _KIND = np.zeros(256, dtype=np.uint8)
@@ -100,9 +102,11 @@ class Pieces:
             yield high - low, codes, coded.dictionary, self.follows[low:stop]
 
 
-def _by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Pieces]]:
+def _by_language(
+    batches: Iterator[pa.RecordBatch], most: int
+) -> Iterator[tuple[str, Pieces]]:
     for batch in batches:
-        for _, part in _parts(batch):
+        for _, part in _parts(batch, most):
             langs = part.column("lang").dictionary_encode()
             codes = np.asarray(langs.indices)
             for code in np.unique(codes):
@@ -111,8 +115,8 @@ def _by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Piece
                 )
 
 
-def _parts(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
-    for start, texts in pieces(batch.column("text"), _TEXT_BYTES):
+def _parts(batch: pa.RecordBatch, most: int) -> Iterator[tuple[int, pa.RecordBatch]]:
+    for start, texts in pieces(batch.column("text"), most):
         yield start, batch.slice(start, len(texts))
 
 
@@ -154,7 +158,7 @@ def _cell_counts(parts: int, enough: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, counts, size = [], [], 0
-        for lang, texts in _by_language(batches):
+        for lang, texts in _by_language(batches, _COUNTED_BYTES):
             for count, codes, words, follows in texts.runs(1):
                 at = np.flatnonzero(follows[:count])
                 pair, times = np.unique(
@@ -162,11 +166,13 @@ def _cell_counts(parts: int, enough: int):
                 )
                 first, second = pair >> _CODE_BITS, pair & ((1 << _CODE_BITS) - 1)
                 held.append(_pair_cells(lang, words, first, second) >> shift)
-                counts.append(times)
+                counts.append(np.minimum(times, enough).astype(np.uint8))
                 size += len(pair)
+                del codes, words, follows, at, pair, times, first, second
                 if size > _HELD_CELLS:
                     yield packed(held, counts)
                     held, counts, size = [], [], 0
+                    pa.default_memory_pool().release_unused()
         if size:
             yield packed(held, counts)
 
@@ -227,7 +233,7 @@ def _leaves(shared, shift: int, depth: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(shared.value, np.uint8)
-        for lang, texts in _by_language(batches):
+        for lang, texts in _by_language(batches, _TEXT_BYTES):
             for count, codes, words, follows in texts.runs(depth - 1):
                 at = np.flatnonzero(follows)
                 at = at[at + 1 < len(codes)]

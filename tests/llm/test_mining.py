@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -314,3 +315,14 @@ def test_registered_queries_have_the_columns_of_their_contracts(spark):
     assert dict(frame.dtypes)["deviation"] == "bigint" and dict(frame.dtypes)["component"] == "int"
     expected = {"page_id", "host", "path", "rule", "verdict"}
     assert set(QUERIES["op13_url_filter"](spark, "/root/testdata/sf0.001").columns) == expected
+
+
+def test_cells_are_sent_before_many_are_held():
+    words = np.random.default_rng(7).integers(0, 50_000, 3_000_000)
+    texts = [" ".join(map(str, part)) for part in np.array_split(words, 300)]
+    batch = pa.RecordBatch.from_pydict({"lang": ["xx"] * 300, "text": texts})
+    sent = list(phrases._cell_counts(8, 10)(iter([batch])))
+    held = [sum(len(b) for b in s.column("counts").to_pylist()) for s in sent]
+    assert max(held) < 1_500_000
+    total = sum(np.frombuffer(b, np.uint8).sum() for s in sent for b in s.column("counts").to_pylist())
+    assert total == 3_000_000 - 300
