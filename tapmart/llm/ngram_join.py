@@ -27,8 +27,6 @@ CROWD = 32
 BLOCK = 128
 # Crowded elements a set carries, so that a pair of sets which share several is found at one.
 FIRSTS = 8
-# Signatures a task holds before it sends them.
-HELD_SIGNATURES = 1 << 19
 _DOC, _PACK, _MEMBER = 0, 1, 2
 _ROWS = pa.schema(
     [
@@ -147,33 +145,11 @@ def _rows(kind: int, n: int, **columns) -> pa.RecordBatch:
 def _signatures_of(width: int, percent: int, depth: int, n2: int, places: int):
     """Texts to rows of three kinds: a document, a pack of signatures for one place, a member.
 
-    Within a batch a set is taken once. A signature travels once for about ``HELD_SIGNATURES`` of
-    a batch. If several sets of these have it, they are members of its bucket already; one of them
-    stands for all elsewhere. So however common a signature is, a task sends it a few times.
+    Within a batch a set is taken once, and a signature travels once. If several sets of the batch
+    have it, they are members of its bucket already; one of them stands for all elsewhere. So
+    however common a signature is, a task sends it once.
     """
 
-    def sent(found: list[np.ndarray], owners: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        signature, owner = np.concatenate(found), np.concatenate(owners)
-        signature, owner, shared = _buckets(signature, owner)
-        if shared.any():
-            yield _rows(
-                _MEMBER, int(shared.sum()), signature=_signed(signature[shared]),
-                node=owner[shared], place=(signature[shared] % np.uint64(places)).astype(np.int32),
-            )
-        once = np.ones(len(signature), dtype=bool)
-        once[1:] = signature[1:] != signature[:-1]
-        signature, owner = signature[once], owner[once]
-        place = (signature % np.uint64(places)).astype(np.int64)
-        order = np.lexsort((owner, place))
-        signature, owner, place = signature[order], owner[order], place[order]
-        filled, starts = np.unique(place, return_index=True)
-        ends = np.append(starts[1:], len(place))
-        yield _rows(
-            _PACK, len(filled), place=filled.astype(np.int32),
-            signatures=[signature[a:b].tobytes() for a, b in zip(starts, ends)],
-            nodes=[owner[a:b].tobytes() for a, b in zip(starts, ends)],
-        )
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scheme = PartEnum(percent, depth, n2)
         for batch in batches:
@@ -181,7 +157,7 @@ def _signatures_of(width: int, percent: int, depth: int, n2: int, places: int):
                 continue
             nodes, proofs, sizes = [], [], []
             known: set[int] = set()
-            found, owners, held = [], [], 0
+            found, owners = [], []
             for _, part in pieces(batch.column("text")):
                 for elements in Words(part).shingles(width):
                     sizes.append(len(elements))
@@ -197,19 +173,34 @@ def _signatures_of(width: int, percent: int, depth: int, n2: int, places: int):
                         made = scheme.signatures(elements)
                         found.append(made)
                         owners.append(np.full(len(made), node, dtype=np.int64))
-                        held += len(made)
-                if held > HELD_SIGNATURES:
-                    yield from sent(found, owners)
-                    found, owners, held = [], [], 0
             at = np.full(batch.num_rows, -1, dtype=np.int32)
             at[:] = np.arange(batch.num_rows) % places
             yield _rows(
                 _DOC, batch.num_rows, place=at, id=batch.column("id"), node=nodes, proof=proofs,
                 size=sizes,
             )
-            if found:
-                yield from sent(found, owners)
-            pa.default_memory_pool().release_unused()
+            if not found:
+                continue
+            signature, owner = np.concatenate(found), np.concatenate(owners)
+            signature, owner, shared = _buckets(signature, owner)
+            if shared.any():
+                yield _rows(
+                    _MEMBER, int(shared.sum()), signature=_signed(signature[shared]),
+                    node=owner[shared], place=(signature[shared] % np.uint64(places)).astype(np.int32),
+                )
+            once = np.ones(len(signature), dtype=bool)
+            once[1:] = signature[1:] != signature[:-1]
+            signature, owner = signature[once], owner[once]
+            place = (signature % np.uint64(places)).astype(np.int64)
+            order = np.lexsort((owner, place))
+            signature, owner, place = signature[order], owner[order], place[order]
+            filled, starts = np.unique(place, return_index=True)
+            ends = np.append(starts[1:], len(place))
+            yield _rows(
+                _PACK, len(filled), place=filled.astype(np.int32),
+                signatures=[signature[a:b].tobytes() for a, b in zip(starts, ends)],
+                nodes=[owner[a:b].tobytes() for a, b in zip(starts, ends)],
+            )
 
     return run
 
