@@ -45,7 +45,8 @@ _ROWS_DDL = (
     "kind int, place int, id bigint, node bigint, proof bigint, size bigint, signature bigint, "
     "signatures binary, nodes binary"
 )
-_SET_COLUMNS = ["node", "component", "size", "s0", "s1", "s2", "s3"]
+_SKETCH_COLUMNS = ["s0", "s1", "s2", "s3"]
+_SET_COLUMNS = ["node", "component", "size", *_SKETCH_COLUMNS]
 _FIRST_COLUMNS = [f"f{i}" for i in range(FIRSTS)]
 _NONE = (1 << 63) - 1
 
@@ -298,6 +299,8 @@ def _node_map(nodes: DataFrame, count: int) -> tuple[bytes, int]:
 
 
 def _sets_of(width: int):
+    """The set of every text, with its size and parity sketch."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, part in pieces(batch.column("text")):
@@ -306,13 +309,28 @@ def _sets_of(width: int):
                     [
                         batch.column("node").slice(start, len(part)),
                         pa.array([x.tobytes() for x in made], type=pa.binary()),
+                        pa.array([len(x) for x in made], type=pa.int64()),
+                        *map(pa.array, _sketches(made).T),
                     ],
-                    ["node", "elements"],
+                    ["node", "elements", "size", *_SKETCH_COLUMNS],
                 )
 
     return run
 
 
+def _sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """Per set whether an even or odd number of its elements falls on each of 256 bits.
+
+    Two sets that differ in d elements differ in at most d of these bits.
+    """
+    words = np.zeros((len(sets), 4), dtype=np.int64)
+    for row, elements in enumerate(sets):
+        at = (mix(elements) & np.uint64(255)).astype(np.int64)
+        odd = (np.bincount(at, minlength=256) & 1).astype(np.uint8)
+        words[row] = np.packbits(odd).view(np.int64)
+    return words
+
+
 def _cells(elements: np.ndarray) -> np.ndarray:
     return (mix(elements ^ np.uint64(0x7A3D)) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
@@ -379,34 +397,20 @@ def _first_elements(shared, percent: int):
     return run
 
 
-def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per set whether an even or odd number of its elements falls on each of 256 bits.
-
-    Two sets that differ in d elements differ in at most d of these bits.
-    """
-    for batch in batches:
-        words = np.zeros((batch.num_rows, 4), dtype=np.int64)
-        for row, data in enumerate(batch.column("elements").to_pylist()):
-            at = (mix(np.frombuffer(data, np.uint64)) & np.uint64(255)).astype(np.int64)
-            odd = (np.bincount(at, minlength=256) & 1).astype(np.uint8)
-            words[row] = np.packbits(odd).view(np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("node"), *[pa.array(words[:, i]) for i in range(4)]],
-            ["node", "s0", "s1", "s2", "s3"],
-        )
-
-
-def _may_be_similar(percent: int):
+def _few_differences(percent: int):
     """Whether the sizes and parity sketches of two rows allow so few differences."""
-    apart = sum(F.bit_count(F.col(f"s{i}").bitwiseXOR(F.col(f"other_s{i}"))) for i in range(4))
+    apart = sum(F.bit_count(F.col(c).bitwiseXOR(F.col(f"other_{c}"))) for c in _SKETCH_COLUMNS)
     small, large = F.least("size", "other_size"), F.greatest("size", "other_size")
-    return (
-        (F.col("component") != F.col("other_component"))
-        & (100 * small >= percent * large)
-        & ((100 + percent) * apart <= (100 - percent) * (small + large))
+    return (100 * small >= percent * large) & (
+        (100 + percent) * apart <= (100 - percent) * (small + large)
     )
 
 
+def _may_be_similar(percent: int):
+    """The same of sets of different components."""
+    return (F.col("component") != F.col("other_component")) & _few_differences(percent)
+
+
 def _as_pairs(rows: DataFrame) -> DataFrame:
     low, high = F.least("node", "other_node"), F.greatest("node", "other_node")
     return rows.select(low.alias("a"), high.alias("b")).distinct()
@@ -537,7 +541,7 @@ def _block_columns(column: pa.ListArray) -> Iterator[tuple[np.ndarray, np.ndarra
         yield rows[:, 0], rows
 
 
-def _rare_sharers(sets: DataFrame, link, percent: int) -> DataFrame:
+def _rare_sharers(sets: DataFrame, sketches: DataFrame, link, percent: int) -> DataFrame:
     """Links ``a < b`` that join sets of different components, as many as it takes.
 
     A set shares at least ``percent`` of its elements with a similar one. So of all elements in
@@ -561,8 +565,7 @@ def _rare_sharers(sets: DataFrame, link, percent: int) -> DataFrame:
         _first_elements(shared, percent), "node bigint, component bigint, element bigint, size bigint"
     )
     first = _across(freeze(first, "ngram-elements"))
-    sketches = sets.mapInArrow(_sketched, "node bigint, s0 bigint, s1 bigint, s2 bigint, s3 bigint")
-    first = freeze(first.join(sketches, "node"), "ngram-rarest")
+    first = freeze(first.join(sketches.drop("size"), "node"), "ngram-rarest")
     few = first.where(F.col("many") <= CROWD)
     other = few.select("element", *_others(*_SET_COLUMNS))
     met = few.join(other, "element").where("component < other_component")
@@ -695,23 +698,33 @@ def _classes(
         _named_rows(width, shared, shift), "text string, node bigint"
     )
     texts = texts.join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    numbers = ", ".join(f"{c} bigint" for c in ["size", *_SKETCH_COLUMNS])
     sets = freeze(
-        texts.select("node", "text").mapInArrow(_sets_of(width), "node bigint, elements binary"),
+        texts.select("node", "text").mapInArrow(
+            _sets_of(width), f"node bigint, elements binary, {numbers}"
+        ),
         "ngram-sets",
     )
-    sizes = nodes.select("node", "size")
+    sketches = sets.select("node", "size", *_SKETCH_COLUMNS)
 
     def link(pairs: DataFrame) -> DataFrame:
-        """The pairs (a < b) that are linked."""
-        a_sizes = sizes.select(F.col("node").alias("a"), F.col("size").alias("a_size"))
-        b_sizes = sizes.select(F.col("node").alias("b"), F.col("size").alias("b_size"))
-        small, large = F.least("a_size", "b_size"), F.greatest("a_size", "b_size")
-        open_pairs = (
-            pairs.join(a_sizes, "a").join(b_sizes, "b").where(100 * small >= percent * large)
+        """The pairs (a < b) that are linked.
+
+        Sizes and sketches go before whole sets, and only sets of the pairs that are left travel.
+        These pairs are written, so that a few of them are broadcast to where the sets lie.
+        """
+        of_a = sketches.withColumnRenamed("node", "a")
+        of_b = sketches.select(
+            F.col("node").alias("b"),
+            *[F.col(c).alias(f"other_{c}") for c in ["size", *_SKETCH_COLUMNS]],
         )
-        a_sets = sets.select(F.col("node").alias("a"), F.col("elements").alias("a_elements"))
-        b_sets = sets.select(F.col("node").alias("b"), F.col("elements").alias("b_elements"))
-        both = open_pairs.select("a", "b").join(a_sets, "a").join(b_sets, "b")
+        likely = pairs.join(of_a, "a").join(of_b, "b").where(_few_differences(percent))
+        likely = freeze(likely.select("a", "b"), "ngram-likely")
+        wanted = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
+        found = sets.select("node", "elements").join(wanted, "node", "left_semi")
+        a_sets = found.select(F.col("node").alias("a"), F.col("elements").alias("a_elements"))
+        b_sets = found.select(F.col("node").alias("b"), F.col("elements").alias("b_elements"))
+        both = likely.join(a_sets, "a").join(b_sets, "b")
         return both.mapInArrow(_checked(percent), "a bigint, b bigint")
 
     least = F.struct(F.xxhash64("node"), "node")
@@ -730,7 +743,9 @@ def _classes(
         .select("signature")
     )
     still_open = labelled.join(mixed, "signature", "left_semi").select("node", "component").distinct()
-    more = _rare_sharers(sets.join(still_open, "node"), link, percent)
+    still_open = freeze(still_open, "ngram-open")
+    open_sets = sets.select("node", "elements").join(still_open, "node")
+    more = _rare_sharers(open_sets, sketches, link, percent)
     more = freeze(more, "ngram-links")
     if not more.isEmpty():
         found = freeze(components(links.union(more)), "ngram-components")

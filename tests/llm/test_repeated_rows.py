@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
+from tapmart.llm import ngram_join
 from tapmart.llm.language_id import fit_languages, sampled
 from tapmart.llm.line_dedup import drop_common_lines
 from tapmart.llm.vector_search import top_k
@@ -71,3 +72,20 @@ def test_vectors_under_one_id_are_rows_of_their_own(spark):
     crowd = [(100, [1.0, 0.0])] * 3 + [(100, [float(i), 1.0]) for i in range(20)]
     found = top_k(spark.createDataFrame(crowd, "vec_id bigint, embedding array<float>"), F.lit(True), 2)
     assert found.count() == 2 * len(crowd)
+
+
+def test_few_open_sets_are_found_without_moving_all_sets(spark, monkeypatch):
+    """What is still open is small and of known size, so whole sets are not shuffled for it."""
+    plans = []
+    settle = ngram_join._rare_sharers
+
+    def seen(sets, *rest):
+        plans.append(sets._jdf.queryExecution().executedPlan().toString())
+        return settle(sets, *rest)
+
+    monkeypatch.setattr(ngram_join, "_rare_sharers", seen)
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join([*words, f"own{i}"][: 58 + i % 4])) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {r["component_id"] for r in ngram_join.near_duplicates(docs).collect()} == {0}
+    assert len(plans) == 1 and "BroadcastHashJoin" in plans[0] and "Exchange hash" not in plans[0]
