@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from tapmart.session import freeze
 
 
-def _fingerprint(links: DataFrame) -> tuple:
-    row = links.agg(
-        F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-    ).first()
-    return tuple(row)
+def _settled(links: DataFrame) -> bool:
+    """Whether every node points to one other, and none to a node that points on."""
+    ends = links.select(F.col("a").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("met"))
+    ends = ends.union(links.select("b", F.lit(0), F.lit(1)))
+    ends = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("met").alias("met"))
+    return ends.agg(F.count_if(F.expr("out > 1 OR out = 1 AND met = 1"))).first()[0] == 0
 
 
 def _starred(links: DataFrame, small: bool) -> DataFrame:
@@ -39,20 +40,17 @@ def _starred(links: DataFrame, small: bool) -> DataFrame:
     return moved.where("a <> b").distinct()
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, frozen: bool = False) -> DataFrame:
     """``node, component`` for every node of ``links`` (columns ``a, b``): the least node reachable.
 
-    Alternates large-star and small-star steps until nothing changes, which takes a number of
-    rounds that grows with the logarithm of the nodes. Every round is written to shared storage.
+    Alternates large-star and small-star steps until every node points to its component's least,
+    which takes a number of rounds that grows with the logarithm of the nodes. Every round is
+    written to shared storage. ``frozen`` links are there already, without repeats.
     """
-    links = freeze(links.where("a <> b").select("a", "b").distinct(), "links")
-    before = _fingerprint(links)
-    while before[0]:
+    given = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    links = given if frozen else freeze(given.distinct(), "links")
+    while not _settled(links):
         links = freeze(_starred(_starred(links, small=False), small=True), "links")
-        after = _fingerprint(links)
-        if after == before:
-            break
-        before = after
     pointed = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
     roots = links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return pointed.union(roots)

@@ -5,7 +5,8 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
-from tapmart.llm import ngram_join
+from tapmart import session
+from tapmart.llm import components, ngram_join
 from tapmart.llm.language_id import fit_languages, sampled
 from tapmart.llm.line_dedup import drop_common_lines
 from tapmart.llm.vector_search import top_k
@@ -89,3 +90,17 @@ def test_few_open_sets_are_found_without_moving_all_sets(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     assert {r["component_id"] for r in ngram_join.near_duplicates(docs).collect()} == {0}
     assert len(plans) == 1 and "BroadcastHashJoin" in plans[0] and "Exchange hash" not in plans[0]
+
+
+def test_links_that_are_stars_take_no_round(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(
+        components, "freeze", lambda df, name: (written.append(name), session.freeze(df, name))[1]
+    )
+    stars = [(i, i % 3) for i in range(3, 60)]
+    links = session.freeze(spark.createDataFrame(stars, "a bigint, b bigint"), "test-stars")
+    found = components.components(links, frozen=True).collect()
+    assert sorted(map(tuple, found)) == [(i, i % 3) for i in range(60)] and not written
+    chain = spark.createDataFrame([(i, i + 1) for i in range(40)], "a bigint, b bigint")
+    found = components.components(chain.union(chain)).collect()
+    assert sorted(map(tuple, found)) == [(i, 0) for i in range(41)]
