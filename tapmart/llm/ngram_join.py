@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tapmart.llm.components import components
 from tapmart.llm.tokens import Words, mix, pieces
-from tapmart.session import freeze
+from tapmart.session import SMALL_BATCHES, freeze
 
 WIDTH = 3
 PERCENT = 90
@@ -269,12 +269,11 @@ def _named_rows(width: int, shared=None, shift: int = 0):
                 [*batch.columns, column], [*batch.schema.names, "node"]
             )
             if bits is not None:
-                given = np.asarray(column.fill_null(0)).view(np.uint64)
-                place = given >> np.uint64(shift)
-                on = (bits[place >> np.uint64(3)] >> (place & np.uint64(7))) & 1
+                given = np.asarray(column.fill_null(0))
+                on = _on_map(given, bits, shift)
                 first = np.zeros(len(given), dtype=bool)
                 first[np.unique(given, return_index=True)[1]] = True
-                made = made.filter(pa.array((on == 1) & first & np.asarray(column.is_valid())))
+                made = made.filter(pa.array(on & first & np.asarray(column.is_valid())))
             yield made
 
     return run
@@ -298,6 +297,11 @@ def _node_map(nodes: DataFrame, count: int) -> tuple[bytes, int]:
     return bits.tobytes(), 64 - width
 
 
+def _on_map(nodes: np.ndarray, bits: np.ndarray, shift: int) -> np.ndarray:
+    place = nodes.view(np.uint64) >> np.uint64(shift)
+    return (bits[place >> np.uint64(3)] >> (place & np.uint64(7))) & 1 == 1
+
+
 def _sets_of(width: int):
     """The set of every text, with its size and parity sketch."""
 
@@ -335,49 +339,68 @@ def _cells(elements: np.ndarray) -> np.ndarray:
     return (mix(elements ^ np.uint64(0x7A3D)) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
 
-def _cell_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How many elements of this task's sets fall on each cell, by part of the cells."""
-    total = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
-    for batch in batches:
-        for data in batch.column("elements").to_pylist():
-            cells = _cells(np.frombuffer(data, np.uint64))
-            np.add.at(total, cells, 1)
-    parts = total.reshape(SKETCH_PARTS, -1)
-    some = np.flatnonzero(parts.any(axis=1))
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(some, pa.int32()), pa.array([_planes(parts[i]) for i in some], pa.binary())],
-        ["part", "counts"],
-    )
+def _cell_counts(shared, shift: int):
+    """How many elements of this task's open sets fall on each cell, by part of the cells."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(shared.value, np.uint8)
+        total = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
+        for batch in batches:
+            on = _on_map(batch.column("node").to_numpy(), bits, shift)
+            for data in batch.column("elements").filter(pa.array(on)):
+                np.add.at(total, _cells(np.frombuffer(data.as_py(), np.uint64)), 1)
+        parts = total.reshape(SKETCH_PARTS, -1)
+        some = np.flatnonzero(parts.any(axis=1))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(some, pa.int32()), pa.array([_packed(parts[i]) for i in some], pa.binary())],
+            ["part", "counts"],
+        )
 
-def _planes(counts: np.ndarray) -> bytes:
-    """Numbers byte by byte: the upper bytes are zero almost everywhere and pack well."""
+    return run
+
+
+def _packed(counts: np.ndarray) -> bytes:
+    """Numbers byte by byte: the upper bytes are zero almost everywhere and pack well. Where few
+    are not zero, these alone, after their places."""
+    some = np.flatnonzero(counts)
+    if 16 * len(some) < len(counts):
+        return some.astype(np.uint32).tobytes() + counts[some].astype(np.uint32).tobytes()
     return counts.astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes()
 
 
+def _add_packed(total: np.ndarray, data: bytes) -> None:
+    if len(data) < 4 * len(total):
+        some, counts = np.frombuffer(data, np.uint32).reshape(2, -1)
+        total[some] += counts
+    else:
+        planes = np.frombuffer(data, np.uint8).reshape(4, -1)
+        total += planes.T.copy().view(np.uint32).ravel()
+
+
 def _cell_sums(table: pa.Table) -> pa.Table:
     """The counts of one part over all tasks, as a level: what matters is the order alone."""
-    total = 0
-    for data in table.column("counts").to_pylist():
-        planes = np.frombuffer(data, np.uint8).reshape(4, -1)
-        total = total + planes.T.copy().view(np.uint32).ravel().astype(np.int64)
+    total = np.zeros((1 << SKETCH_BITS) // SKETCH_PARTS, dtype=np.int64)
+    for data in table.column("counts"):
+        _add_packed(total, data.as_py())
     level = np.minimum(np.where(total < 128, total, 96 + 16 * np.log2(np.maximum(total, 1)) / 3.5), 255)
     return pa.table({"part": table.column("part")[:1], "levels": pa.array([level.astype(np.uint8).tobytes()])})
 
 
-def _first_elements(shared, percent: int):
-    """Of every set the first elements, those of rarely used cells first, one row each.
+def _first_elements(levels_of_cells, shared, shift: int, percent: int):
+    """Of every open set the first elements, those of rarely used cells first, one row each.
 
     As many as a similar set may lack, and one: two similar sets share one of these, whatever the
     order, as long as it is the same for all sets.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        levels = np.frombuffer(shared.value, np.uint8)
+        levels = np.frombuffer(levels_of_cells.value, np.uint8)
+        bits = np.frombuffer(shared.value, np.uint8)
         for batch in batches:
+            batch = batch.filter(pa.array(_on_map(batch.column("node").to_numpy(), bits, shift)))
             found, lengths, sizes = [], [], []
-            for data in batch.column("elements").to_pylist():
-                elements = np.frombuffer(data, np.uint64)
+            for data in batch.column("elements"):
+                elements = np.frombuffer(data.as_py(), np.uint64)
                 few = len(elements) - -(-len(elements) * percent // 100) + 1
                 order = np.lexsort((elements, levels[_cells(elements)]))[:few]
                 found.append(elements[order])
@@ -385,11 +408,11 @@ def _first_elements(shared, percent: int):
                 sizes.append(len(elements))
             if not found:
                 continue
-            columns = [np.repeat(batch.column(n).to_numpy(), lengths) for n in ("node", "component")]
             made = pa.RecordBatch.from_arrays(
-                [*map(pa.array, columns), pa.array(_signed(np.concatenate(found))),
+                [pa.array(np.repeat(batch.column("node").to_numpy(), lengths)),
+                 pa.array(_signed(np.concatenate(found))),
                  pa.array(np.repeat(np.array(sizes, dtype=np.int64), lengths))],
-                ["node", "component", "element", "size"],
+                ["node", "element", "size"],
             )
             for start in range(0, made.num_rows, 100_000):
                 yield made.slice(start, 100_000)
@@ -397,6 +420,29 @@ def _first_elements(shared, percent: int):
     return run
 
 
+def _rarest_elements(sets: DataFrame, still_open: DataFrame, percent: int) -> DataFrame:
+    """The first elements of the open sets, ``node, element, size, component``, rarest first.
+
+    Sets stay where they lie: a map of bits tells which are open, and only their first elements
+    meet ``still_open``. The order is by a count of elements in cells, a fixed number of cells for
+    all tasks. False positives of the map may count too, as any one order does.
+    """
+    context = sets.sparkSession.sparkContext
+    bits, shift = _node_map(still_open.select("node"), still_open.count())
+    shared = context.broadcast(bits)
+    sets = sets.select("node", "elements")
+    counts = sets.mapInArrow(_cell_counts(shared, shift), "part int, counts binary")
+    sums = counts.groupBy("part").applyInArrow(_cell_sums, "part int, levels binary")
+    levels = np.zeros((SKETCH_PARTS, (1 << SKETCH_BITS) // SKETCH_PARTS), dtype=np.uint8)
+    for row in freeze(sums, "ngram-levels", settings=SMALL_BATCHES).collect():
+        levels[row["part"]] = np.frombuffer(row["levels"], np.uint8)
+    first = sets.mapInArrow(
+        _first_elements(context.broadcast(levels.tobytes()), shared, shift, percent),
+        "node bigint, element bigint, size bigint",
+    )
+    return first.join(still_open, "node")
+
+
 def _few_differences(percent: int):
     """Whether the sizes and parity sketches of two rows allow so few differences."""
     apart = sum(F.bit_count(F.col(c).bitwiseXOR(F.col(f"other_{c}"))) for c in _SKETCH_COLUMNS)
@@ -436,15 +482,11 @@ def _centre_rounds(crowded: DataFrame, link, percent: int) -> tuple[DataFrame, l
         )
         centres = centres.select("element", *_others(*[f"centre.{n}" for n in _SET_COLUMNS]))
         met = crowded.join(centres, "element").where(_may_be_similar(percent))
-        made = freeze(link(_as_pairs(met)), "ngram-links")
+        made = link(_as_pairs(met))
         if made.isEmpty():
             break
         links.append(made)
-        own = crowded.select("node", "component").distinct()
-        between = made.join(own.select(F.col("node").alias("a"), F.col("component").alias("of_a")), "a")
-        between = between.join(own.select(F.col("node").alias("b"), F.col("component").alias("of_b")), "b")
-        between = between.select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
-        moved = components(between).select(F.col("node").alias("component"), F.col("component").alias("to"))
+        moved = _merged(made, crowded.select("node", "component").distinct())
         crowded = crowded.join(moved, "component", "left")
         crowded = crowded.withColumn("component", F.coalesce("to", "component")).drop("to")
         crowded = freeze(_across(crowded), "ngram-crowded")
@@ -454,6 +496,14 @@ def _centre_rounds(crowded: DataFrame, link, percent: int) -> tuple[DataFrame, l
     return crowded, links
 
 
+def _merged(links: DataFrame, own: DataFrame) -> DataFrame:
+    """For each ``component`` of ``own`` that links lead out of, the least one ``to`` reach."""
+    between = links.join(own.select(F.col("node").alias("a"), F.col("component").alias("of_a")), "a")
+    between = between.join(own.select(F.col("node").alias("b"), F.col("component").alias("of_b")), "b")
+    between = between.select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
+    return components(between).select(F.col("node").alias("component"), F.col("component").alias("to"))
+
+
 def _across(rows: DataFrame) -> DataFrame:
     """Rows of elements whose sets lie in several components, with the number of these sets."""
     across = (
@@ -541,13 +591,11 @@ def _block_columns(column: pa.ListArray) -> Iterator[tuple[np.ndarray, np.ndarra
         yield rows[:, 0], rows
 
 
-def _rare_sharers(sets: DataFrame, sketches: DataFrame, link, percent: int) -> DataFrame:
+def _rare_sharers(first: DataFrame, sketches: DataFrame, link, percent: int) -> DataFrame:
     """Links ``a < b`` that join sets of different components, as many as it takes.
 
     A set shares at least ``percent`` of its elements with a similar one. So of all elements in
-    one order, the first few (as many as may be missing, and one) of both sets meet. The order is
-    by a count of elements in cells, rarest first: a fixed number of cells for all tasks, so the
-    first few are cut out where the sets lie. Copies that were changed much, apart from one
+    one order, the first few (as many as may be missing, and one) of both sets meet. Copies that were changed much, apart from one
     another, differ in rare elements, so they do not meet however many they are. Copies that were
     changed little do.
 
@@ -556,15 +604,7 @@ def _rare_sharers(sets: DataFrame, sketches: DataFrame, link, percent: int) -> D
     in blocks. Only pairs come out whose sizes and parity sketches allow so few differences as
     similar sets may have; ``link`` checks these.
     """
-    counts = sets.mapInArrow(_cell_counts, "part int, counts binary")
-    levels = np.zeros((SKETCH_PARTS, (1 << SKETCH_BITS) // SKETCH_PARTS), dtype=np.uint8)
-    for row in counts.groupBy("part").applyInArrow(_cell_sums, "part int, levels binary").collect():
-        levels[row["part"]] = np.frombuffer(row["levels"], np.uint8)
-    shared = sets.sparkSession.sparkContext.broadcast(levels.tobytes())
-    first = sets.mapInArrow(
-        _first_elements(shared, percent), "node bigint, component bigint, element bigint, size bigint"
-    )
-    first = _across(freeze(first, "ngram-elements"))
+    first = _across(freeze(first, "ngram-elements", settings=SMALL_BATCHES))
     first = freeze(first.join(sketches.drop("size"), "node"), "ngram-rarest")
     few = first.where(F.col("many") <= CROWD)
     other = few.select("element", *_others(*_SET_COLUMNS))
@@ -707,32 +747,32 @@ def _classes(
     )
     sketches = sets.select("node", "size", *_SKETCH_COLUMNS)
 
-    def link(pairs: DataFrame) -> DataFrame:
-        """The pairs (a < b) that are linked.
+    def link(likely: DataFrame) -> DataFrame:
+        """The pairs (a < b) that are linked, of those that sizes and sketches allow.
 
-        Sizes and sketches go before whole sets, and only sets of the pairs that are left travel.
-        These pairs are written, so that a few of them are broadcast to where the sets lie.
+        Only sets of these pairs travel. The pairs are written, so that a few of them are broadcast
+        to where the sets lie; and sets are checked in small batches, as two of them make a row.
         """
-        of_a = sketches.withColumnRenamed("node", "a")
-        of_b = sketches.select(
-            F.col("node").alias("b"),
-            *[F.col(c).alias(f"other_{c}") for c in ["size", *_SKETCH_COLUMNS]],
-        )
-        likely = pairs.join(of_a, "a").join(of_b, "b").where(_few_differences(percent))
         likely = freeze(likely.select("a", "b"), "ngram-likely")
         wanted = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
         found = sets.select("node", "elements").join(wanted, "node", "left_semi")
         a_sets = found.select(F.col("node").alias("a"), F.col("elements").alias("a_elements"))
         b_sets = found.select(F.col("node").alias("b"), F.col("elements").alias("b_elements"))
         both = likely.join(a_sets, "a").join(b_sets, "b")
-        return both.mapInArrow(_checked(percent), "a bigint, b bigint")
+        both = both.mapInArrow(_checked(percent), "a bigint, b bigint")
+        return freeze(both, "ngram-links", settings=SMALL_BATCHES)
 
     least = F.struct(F.xxhash64("node"), "node")
     centres = members.groupBy("signature").agg(F.min_by("node", least).alias("centre"))
     pairs = members.join(centres, "signature").where("node <> centre")
     pairs = pairs.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
-    links = freeze(link(pairs.distinct()), "ngram-links")
-    found = freeze(components(links), "ngram-components")
+    of_a = sketches.withColumnRenamed("node", "a")
+    of_b = sketches.select(
+        F.col("node").alias("b"),
+        *[F.col(c).alias(f"other_{c}") for c in ["size", *_SKETCH_COLUMNS]],
+    )
+    pairs = pairs.distinct().join(of_a, "a").join(of_b, "b").where(_few_differences(percent))
+    found = freeze(components(link(pairs), frozen=True), "ngram-components")
     labelled = members.join(found, "node", "left").select(
         "signature", "node", F.coalesce("component", "node").alias("component")
     )
@@ -744,11 +784,13 @@ def _classes(
     )
     still_open = labelled.join(mixed, "signature", "left_semi").select("node", "component").distinct()
     still_open = freeze(still_open, "ngram-open")
-    open_sets = sets.select("node", "elements").join(still_open, "node")
-    more = _rare_sharers(open_sets, sketches, link, percent)
-    more = freeze(more, "ngram-links")
+    more = _rare_sharers(_rarest_elements(sets, still_open, percent), sketches, link, percent)
     if not more.isEmpty():
-        found = freeze(components(links.union(more)), "ngram-components")
+        moved = _merged(more, still_open)
+        found = found.join(moved, "component", "left")
+        found = found.select("node", F.coalesce("to", "component").alias("component"))
+        alone = moved.select(F.col("component").alias("node"), F.col("to").alias("component"))
+        found = freeze(found.union(alone).distinct(), "ngram-components")
     by_node = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("own_id"))
     by_node = by_node.join(found, "node", "left").select(
         "node", "own_id", F.coalesce("component", "node").alias("class")

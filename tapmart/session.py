@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +28,13 @@ SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+# While a table is frozen: its shuffles go when it is written, not when the driver collects garbage.
+_FREEZING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+# For rows that hold whole sets: what a task hands to Python at once, outside of the JVM's heap.
+SMALL_BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+_holders: dict[tuple[int, str], list] = {}
+_holding = threading.Lock()
+
 
 def build_session(app_name: str = "tapmart", master: str | None = None, **settings) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
@@ -54,16 +63,48 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
-def freeze(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+@contextmanager
+def held(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
+    """Settings of the session for the time of some work.
+
+    Work side by side shares them: the first to come sets them, the last to go sets them back.
+    """
+    with _holding:
+        for name, value in settings.items():
+            holder = _holders.setdefault((id(spark), name), [0, spark.conf.get(name, None)])
+            holder[0] += 1
+            spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        with _holding:
+            for name in settings:
+                holder = _holders[id(spark), name]
+                holder[0] -= 1
+                if not holder[0]:
+                    del _holders[id(spark), name]
+                    if holder[1] is None:
+                        spark.conf.unset(name)
+                    else:
+                        spark.conf.set(name, holder[1])
+
+
+def freeze(
+    df: DataFrame,
+    name: str,
+    folder: str | None = None,
+    settings: Mapping[str, str] | None = None,
+) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and return a reader of it.
 
     Used where several consumers need one and the same evaluation. The reader prunes columns and
     knows the size of the table, so later joins are planned on facts. Losing an executor loses
-    nothing: the table lies in shared storage.
+    nothing: the table lies in shared storage. ``settings`` hold while it is written.
     """
     spark = df.sparkSession
     path = folder or f"{shared_folder(spark)}/tapmart/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    with held(spark, {**_FREEZING, **(settings or {})}):
+        df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

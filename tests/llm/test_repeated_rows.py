@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import time
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tapmart import session
@@ -92,6 +95,30 @@ def test_few_open_sets_are_found_without_moving_all_sets(spark, monkeypatch):
     assert len(plans) == 1 and "BroadcastHashJoin" in plans[0] and "Exchange hash" not in plans[0]
 
 
+def test_freezing_leaves_no_shuffle_files_and_the_settings_as_they_were(spark):
+    before = {name: spark.conf.get(name, None) for name in session._FREEZING | session.SMALL_BATCHES}
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        return disk.getAllFiles().mkString("|").count("/shuffle_")
+
+    had, end = files(), time.time() + 20
+    wide = spark.range(1000).select(F.col("id"), F.expr("repeat('x', 20000)").alias("text"))
+    kept = session.freeze(wide.repartition(3, "id"), "test-freezing")
+    while files() > had and time.time() < end:
+        time.sleep(0.2)
+    assert files() <= had and kept.count() == 1000
+
+    def rows(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"rows": pa.array([batch.num_rows], pa.int64())})
+
+    counted = wide.coalesce(1).mapInArrow(rows, "rows bigint")
+    found = session.freeze(counted, "test-batches", settings=session.SMALL_BATCHES).collect()
+    assert sum(r["rows"] for r in found) == 1000 and max(r["rows"] for r in found) < 500
+    assert before == {name: spark.conf.get(name, None) for name in before}
+
+
 def test_links_that_are_stars_take_no_round(spark, monkeypatch):
     written = []
     monkeypatch.setattr(
@@ -104,3 +131,14 @@ def test_links_that_are_stars_take_no_round(spark, monkeypatch):
     chain = spark.createDataFrame([(i, i + 1) for i in range(40)], "a bigint, b bigint")
     found = components.components(chain.union(chain)).collect()
     assert sorted(map(tuple, found)) == [(i, 0) for i in range(41)]
+
+
+def test_few_counts_of_cells_travel_alone():
+    size = (1 << ngram_join.SKETCH_BITS) // ngram_join.SKETCH_PARTS
+    few, many = np.zeros(size, dtype=np.int64), np.arange(size, dtype=np.int64)
+    few[[3, size - 1]] = 70000, 1
+    assert len(ngram_join._packed(few)) == 16 and len(ngram_join._packed(many)) == 4 * size
+    total = np.zeros(size, dtype=np.int64)
+    for counts in (few, many, few):
+        ngram_join._add_packed(total, ngram_join._packed(counts))
+    assert (total == 2 * few + many).all()
