@@ -344,7 +344,7 @@ def _cell_counts(shared, shift: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(shared.value, np.uint8)
-        total = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
+        total = np.zeros(1 << SKETCH_BITS, dtype=np.uint32)
         for batch in batches:
             on = _on_map(batch.column("node").to_numpy(), bits, shift)
             for data in batch.column("elements").filter(pa.array(on)):
@@ -712,7 +712,9 @@ def _classes(
     places = int(spark.conf.get("spark.sql.shuffle.partitions"))
     made = given.mapInArrow(_signatures_of(width, percent, depth, n2, places), _ROWS_DDL)
     made = made.repartitionById(places, F.col("place")).mapInArrow(_unpacked, _ROWS_DDL)
-    made = freeze(made.drop("signatures", "nodes", "place"), "ngram-signatures")
+    made = freeze(
+        made.drop("signatures", "nodes", "place"), "ngram-signatures", settings=SMALL_BATCHES
+    )
     rows = made.where(F.col("kind") == _DOC).select("id", "node", "proof", "size")
     members = freeze(
         made.where(F.col("kind") == _MEMBER).select("signature", "node").distinct(),
@@ -744,6 +746,7 @@ def _classes(
             _sets_of(width), f"node bigint, elements binary, {numbers}"
         ),
         "ngram-sets",
+        settings=SMALL_BATCHES,
     )
     sketches = sets.select("node", "size", *_SKETCH_COLUMNS)
 

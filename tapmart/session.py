@@ -30,7 +30,8 @@ SETTINGS = {
 
 # While a table is frozen: its shuffles go when it is written, not when the driver collects garbage.
 _FREEZING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
-# For rows that hold whole sets: what a task hands to Python at once, outside of the JVM's heap.
+# For rows that hold whole sets or texts: what a task hands to Python at once, outside of the
+# JVM's heap.
 SMALL_BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
 _holders: dict[tuple[int, str], list] = {}
 _holding = threading.Lock()
