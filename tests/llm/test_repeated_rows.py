@@ -142,3 +142,17 @@ def test_few_counts_of_cells_travel_alone():
     for counts in (few, many, few):
         ngram_join._add_packed(total, ngram_join._packed(counts))
     assert (total == 2 * few + many).all()
+
+
+def test_a_task_gives_memory_back_after_its_last_batch(monkeypatch):
+    given = []
+
+    class Pool:
+        def release_unused(self):
+            given.append("back")
+
+    monkeypatch.setattr(ngram_join.pa, "system_memory_pool", Pool)
+    batches = [pa.RecordBatch.from_pydict({"node": pa.array([i])}) for i in range(3)]
+    task = ngram_join._giving_back(lambda rows: iter(list(rows)))(iter(batches))
+    assert [next(task) for _ in range(3)] == batches and not given
+    assert list(task) == [] and given == ["back"]
