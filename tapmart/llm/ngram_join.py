@@ -12,6 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tapmart.llm.common import giving_back
 from tapmart.llm.components import components
 from tapmart.llm.tokens import Words, mix, pieces
 from tapmart.session import SMALL_BATCHES, freeze
@@ -131,18 +132,6 @@ def fingerprint(elements: np.ndarray) -> tuple[int, int]:
     return int(_signed(mix(np.array([name])))[0]), int(_signed([proof])[0])
 
 
-def _giving_back(run):
-    """``run`` for a task; then memory that its worker no longer uses goes back to the system, as
-    workers wait for their next task with all they have."""
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from run(batches)
-        pa.default_memory_pool().release_unused()
-        pa.system_memory_pool().release_unused()
-
-    return task
-
-
 def _rows(kind: int, n: int, **columns) -> pa.RecordBatch:
     arrays = []
     for field in _ROWS:
@@ -443,13 +432,13 @@ def _rarest_elements(sets: DataFrame, still_open: DataFrame, percent: int) -> Da
     bits, shift = _node_map(still_open.select("node"), still_open.count())
     shared = context.broadcast(bits)
     sets = sets.select("node", "elements")
-    counts = sets.mapInArrow(_giving_back(_cell_counts(shared, shift)), "part int, counts binary")
+    counts = sets.mapInArrow(giving_back(_cell_counts(shared, shift)), "part int, counts binary")
     sums = counts.groupBy("part").applyInArrow(_cell_sums, "part int, levels binary")
     levels = np.zeros((SKETCH_PARTS, (1 << SKETCH_BITS) // SKETCH_PARTS), dtype=np.uint8)
     for row in freeze(sums, "ngram-levels", settings=SMALL_BATCHES).collect():
         levels[row["part"]] = np.frombuffer(row["levels"], np.uint8)
     first = sets.mapInArrow(
-        _giving_back(
+        giving_back(
             _first_elements(context.broadcast(levels.tobytes()), shared, shift, percent)
         ),
         "node bigint, element bigint, size bigint",
@@ -563,7 +552,7 @@ def _block_pairs(crowded: DataFrame, percent: int) -> DataFrame:
     there = packed.select("element", "block", F.col("own").alias("others"))
     met = sent.join(there, ["element", "block"])
     met = met.select("element", (F.col("from") == F.col("block")).alias("same"), "own", "others")
-    return met.mapInArrow(_giving_back(_blocks_compared(percent)), "a bigint, b bigint")
+    return met.mapInArrow(giving_back(_blocks_compared(percent)), "a bigint, b bigint")
 
 
 def _blocks_compared(percent: int):
@@ -706,7 +695,7 @@ def one_of_each(
     )
     texts = docs.select(*[F.col(f"`{n}`") for n in names if n != text], F.col(text).alias("text"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in texts.schema.fields)
-    keyed = texts.mapInArrow(_giving_back(_named_rows(width)), f"{kinds}, node bigint")
+    keyed = texts.mapInArrow(giving_back(_named_rows(width)), f"{kinds}, node bigint")
     kept = keyed.join(chosen, F.col("node") == F.col("_node"), "left")
     own = F.col(id_column).cast("bigint").eqNullSafe(F.col("_own_id"))
     kept = kept.where(F.col("node").isNull() | (F.col("_node").isNotNull() & own))
@@ -725,10 +714,10 @@ def _classes(
     spark = given.sparkSession
     places = int(spark.conf.get("spark.sql.shuffle.partitions"))
     made = given.mapInArrow(
-        _giving_back(_signatures_of(width, percent, depth, n2, places)), _ROWS_DDL
+        giving_back(_signatures_of(width, percent, depth, n2, places)), _ROWS_DDL
     )
     made = made.repartitionById(places, F.col("place")).mapInArrow(
-        _giving_back(_unpacked), _ROWS_DDL
+        giving_back(_unpacked), _ROWS_DDL
     )
     made = freeze(
         made.drop("signatures", "nodes", "place"), "ngram-signatures", settings=SMALL_BATCHES
@@ -755,13 +744,13 @@ def _classes(
     bits, shift = _node_map(nodes, nodes.count())
     shared = spark.sparkContext.broadcast(bits)
     texts = given.select("text").mapInArrow(
-        _giving_back(_named_rows(width, shared, shift)), "text string, node bigint"
+        giving_back(_named_rows(width, shared, shift)), "text string, node bigint"
     )
     texts = texts.join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"])
     numbers = ", ".join(f"{c} bigint" for c in ["size", *_SKETCH_COLUMNS])
     sets = freeze(
         texts.select("node", "text").mapInArrow(
-            _giving_back(_sets_of(width)), f"node bigint, elements binary, {numbers}"
+            giving_back(_sets_of(width)), f"node bigint, elements binary, {numbers}"
         ),
         "ngram-sets",
         settings=SMALL_BATCHES,
@@ -780,7 +769,7 @@ def _classes(
         a_sets = found.select(F.col("node").alias("a"), F.col("elements").alias("a_elements"))
         b_sets = found.select(F.col("node").alias("b"), F.col("elements").alias("b_elements"))
         both = likely.join(a_sets, "a").join(b_sets, "b")
-        both = both.mapInArrow(_giving_back(_checked(percent)), "a bigint, b bigint")
+        both = both.mapInArrow(giving_back(_checked(percent)), "a bigint, b bigint")
         return freeze(both, "ngram-links", settings=SMALL_BATCHES)
 
     least = F.struct(F.xxhash64("node"), "node")

@@ -2,42 +2,51 @@
 
 from __future__ import annotations
 
-import gc
 import zlib
 from array import array
-from collections.abc import Iterable, Iterator
-from functools import lru_cache
-from itertools import chain
+from collections.abc import Iterator
+from functools import lru_cache, reduce
+from itertools import takewhile
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tapmart.llm.common import giving_back
+from tapmart.llm.tokens import pieces
+
 LENGTH = 4_096
 END_ID = 2
 # Estimated cost of a piece of n tokens: LINEAR * n + QUADRATIC * n * n.
 LINEAR, QUADRATIC = 1.0, 1.0 / LENGTH
-# Sequences that are filled together, and words a task remembers the ids of.
+# Sequences that are filled together, and bytes of text whose words are read together.
 BLOCK_SEQUENCES = 768
-WORDS_KEPT = 250_000
+RUN_BYTES = 12 << 20
+
 
 def cost(length):
     return LINEAR * length + QUADRATIC * length * length
 
 
 # Byte-level vocabularies write a byte as one printable character: itself where it is printable in
-# Latin-1, else the next free one from 256 on.
+# Latin-1, else the next free one from 256 on. Blanks stay, as they part words here.
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
-_BYTES = {b: b for b in _PRINTABLE}
-_BYTES |= {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _BYTES)}
+_BYTES = np.zeros(256, dtype="<u4")
+_BYTES[_PRINTABLE] = _PRINTABLE
+_BYTES[_BYTES == 0] = 256 + np.arange(256 - len(_PRINTABLE))
+_BYTES[0x20] = 0x20
+# Up to U+017F letters are composed and have one lower-case letter, but for one.
+_LETTERS = "".join(c for c in map(chr, range(0x180)) if c.isalpha() and c != "\u0130")
 
 
 class WordTokenizer:
     """Ids of whole texts, word by word.
 
     The tokenizer never joins what white space parts, so the ids of a text are those of its words
-    in turn. Words repeat, so their ids are remembered, up to a fixed number of words.
+    in turn. Words repeat, so texts are taken in runs of some megabytes, and a word of a run is read
+    once. Nothing is remembered from one run to the next.
 
     The library's own reading of a word (normal form, splitting) takes longer than its merges, and
     most words are Latin letters, with a comma or full stop at most. Such a word is lower-cased here
@@ -46,13 +55,18 @@ class WordTokenizer:
     tokens are found before words are.
     """
 
-    def __init__(self, path: str, end_id: int = END_ID, kept: int = WORDS_KEPT):
+    def __init__(self, path: str, end_id: int = END_ID):
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.added = [token.content.lower() for token in added if token.content]
+        # What an added token begins with before its first letter; such bytes have no case.
+        self.openings = {
+            "".join(takewhile(lambda c: c.isascii() and not c.isalpha(), token))
+            for token in self.added
+        }
         self.bare = Tokenizer(self.tokenizer.model)
         self.bare.pre_tokenizer = WhitespaceSplit()
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
@@ -60,84 +74,84 @@ class WordTokenizer:
         self.ending = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ending[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
         self.end = array("I", [end_id]).tobytes()
-        self.kept = kept
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.stems: dict[str, bytes] = {}
         self.marks = {mark: self._whole([mark])[0] for mark in (",", ".")}
 
     def _whole(self, words: list[str]) -> list[bytes]:
         made = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [array("I", one.ids).tobytes() for one in made]
 
-    def _learn_stems(self, stems: list[str]) -> None:
+    def _ids_of_stems(self, stems: pa.Array) -> pa.Array:
         """Many at a time, as one text of pieces. A piece ends with the one token that says so."""
-        for start in range(0, len(stems), 2_000):
-            part = stems[start : start + 2_000]
-            text = " ".join(part)
+        found = []
+        for start in range(0, len(stems), 20_000):
+            part = stems.slice(start, 20_000)
+            text = " ".join(part.to_pylist())
             if not text.isascii():
-                text = " ".join(s.encode().decode("latin-1").translate(_BYTES) for s in part)
+                raw = np.frombuffer(text.encode(), dtype=np.uint8)
+                text = _BYTES[raw].tobytes().decode("utf-32-le")
             (made,) = self.bare.encode_batch_fast([text], add_special_tokens=False)
             ids = np.array(made.ids, dtype="<u4")
-            ends = (4 * (np.flatnonzero(self.ending[ids]) + 1)).tolist()
+            ends = 4 * (np.flatnonzero(self.ending[ids]) + 1)
             if len(ends) != len(part):
                 raise ValueError("the tokenizer does not mark the ends of words")
-            data = ids.tobytes()
-            self.stems.update(zip(part, map(data.__getitem__, map(slice, [0, *ends], ends))))
-
-    def _learn(self, words: Iterable[str]) -> None:
-        known, older, marks, stems = self.known, self.older, self.marks, self.stems
-        plain, others = [], []
-        for word in words:
-            ids = older.get(word)
-            if ids is not None:
-                known[word] = ids
-                continue
-            mark = marks.get(word[-1:], b"")
-            stem = word[:-1] if mark else word
-            # Up to U+017F letters are composed and have one lower-case letter, but for one.
-            if stem.isalpha() and (
-                stem.isascii() or (max(stem) < "\u0180" and "\u0130" not in stem)
-            ):
-                plain.append((word, stem.lower(), mark))
-            else:
-                others.append(word)
-        self._learn_stems(list({stem for _, stem, _ in plain}.difference(stems)))
-        known.update((word, stems[stem] + mark) for word, stem, mark in plain)
-        for start in range(0, len(others), 20_000):
-            part = others[start : start + 20_000]
-            known.update(zip(part, self._whole(part)))
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+            bounds = pa.py_buffer(np.append(0, ends).astype(np.int64))
+            found.append(
+                pa.LargeBinaryArray.from_buffers(
+                    pa.large_binary(), len(part), [None, bounds, pa.py_buffer(ids)]
+                )
+            )
+        return pa.chunked_array(found, pa.large_binary()).combine_chunks()
+
+    def _ids_of_words(self, words: pa.Array) -> pa.Array:
+        """Per word its ids as bytes."""
+        binary = words.cast(pa.large_binary())
+        marked = pc.or_(*[pc.ends_with(words, mark) for mark in self.marks])
+        stems = pc.if_else(marked, pc.binary_slice(binary, 0, -1), binary).cast(pa.large_string())
+        plain = pc.match_substring_regex(stems, f"^[{_LETTERS}]+$")
+        lowered = pc.utf8_lower(stems.filter(plain)).dictionary_encode()
+        ids = self._ids_of_stems(lowered.dictionary).take(lowered.indices)
+        for mark, its_ids in self.marks.items():
+            ending = pc.ends_with(words.filter(plain), mark)
+            tail = pc.if_else(ending, pa.scalar(its_ids, pa.large_binary()), pa.scalar(b"", pa.large_binary()))
+            ids = pc.binary_join_element_wise(ids, tail, pa.scalar(b"", pa.large_binary()))
+        others, found = words.filter(pc.invert(plain)), [ids]
+        for start in range(0, len(others), 5_000):
+            made = self._whole(others.slice(start, 5_000).to_pylist())
+            found.append(pa.array(made, pa.large_binary()))
+        order = np.argsort(~plain.to_numpy(zero_copy_only=False), kind="stable")
+        place = np.empty(len(order), dtype=np.int64)
+        place[order] = np.arange(len(order))
+        return pa.concat_arrays(found).take(pa.array(place))
+
+    def _undivided(self, texts: pa.Array) -> list[int]:
+        """Places of texts that contain an added token."""
+        if not self.added:
+            return []
+        likely = [pc.match_substring(texts, opening) for opening in self.openings]
+        rows = np.flatnonzero(reduce(pc.or_, likely).to_numpy(zero_copy_only=False)).tolist()
+        lowered = ((row, texts[row].as_py().lower()) for row in rows)
+        return [row for row, text in lowered if any(token in text for token in self.added)]
+
+    def encode(self, texts: pa.Array | list[str | None]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids per text, with the end id; null counts as empty."""
-        split, undivided = [], {}
-        for number, text in enumerate(texts):
-            text = text or ""
-            lowered = text.lower()
-            if any(token in lowered for token in self.added):
-                undivided[number] = text
-                text = ""
-            for blank in "\t\n\x0b\x0c\r":
-                if blank in text:
-                    text = text.replace(blank, " ")
-            split.append(text.split(" "))
-        known = self.known
-        if len(known) > self.kept:
-            # What is met again moves on to the new generation, so frequent words stay.
-            self.older = known
-            self.known = known = {}
-            self.stems.clear()
-        known[""] = b""
-        # Words, ids and tuples form no cycles; looking for some would take a fifth of the time.
-        gc.disable()
-        try:
-            self._learn(set(chain.from_iterable(split)).difference(known))
-        finally:
-            gc.enable()
-        made = [b"".join(map(known.__getitem__, words)) + self.end for words in split]
-        for number, ids in zip(undivided, self._whole(list(undivided.values()))):
-            made[number] = ids + self.end
-        return made
+        for _, run in pieces(pa.array(texts, pa.large_string()).fill_null(""), RUN_BYTES):
+            undivided = self._undivided(run)
+            if undivided:
+                apart = np.zeros(len(run), dtype=bool)
+                apart[undivided] = True
+                whole = dict(zip(undivided, self._whole(run.take(pa.array(undivided)).to_pylist())))
+                run = pc.if_else(pa.array(apart), pa.scalar("", pa.large_string()), run)
+            words = pc.ascii_split_whitespace(run)
+            places = words.values.dictionary_encode()
+            ids = self._ids_of_words(places.dictionary).take(places.indices)
+            bounds = np.frombuffer(ids.buffers()[1], dtype=np.int64)[words.offsets.to_numpy()]
+            data = memoryview(ids.buffers()[2] or b"")
+            del words, places, ids
+            for row, (start, stop) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
+                if undivided and row in whole:
+                    yield whole[row] + self.end
+                else:
+                    yield bytes(data[start:stop]) + self.end
 
 
 @lru_cache(maxsize=1)
@@ -261,15 +275,12 @@ def _packed(path: str, length: int, end_id: int, block: int, schema: pa.Schema,
 
         for batch in batches:
             names = batch.column("id").to_pylist()
-            texts = batch.column("text")
-            for start in range(0, len(names), 500):
-                made = tokenizer.encode(texts.slice(start, 500).to_pylist())
-                for name, ids in zip(names[start : start + 500], made):
-                    held[arrived] = (name, ids)
-                    packer.add(arrived, len(ids) // 4)
-                    arrived += 1
-                    if packer.tokens >= block * length:
-                        yield emit(last=False)
+            for name, ids in zip(names, tokenizer.encode(batch.column("text"))):
+                held[arrived] = (name, ids)
+                packer.add(arrived, len(ids) // 4)
+                arrived += 1
+                if packer.tokens >= block * length:
+                    yield emit(last=False)
         if arrived:
             yield emit(last=True)
 
@@ -294,7 +305,8 @@ def pack_documents(
 
     Every task packs the documents of its own partition, so nothing is shuffled and no step has
     all lengths in one place. A task holds the ids of one block (``block_sequences`` sequences) at
-    a time; besides that a single document. ``tokenizer_path`` is read by the tasks.
+    a time, and those of one run of texts; no words are remembered from task to task.
+    ``tokenizer_path`` is read by the tasks.
     """
     kind = docs.schema[id_column].dataType.simpleString()
     ddl = (
@@ -307,6 +319,6 @@ def pack_documents(
 
     schema = to_arrow_schema(StructType.fromDDL(ddl))
     packed = given.mapInArrow(
-        _packed(tokenizer_path, length, end_id, block_sequences, schema, with_ids), ddl
+        giving_back(_packed(tokenizer_path, length, end_id, block_sequences, schema, with_ids)), ddl
     )
     return packed.withColumnRenamed("id", id_column)

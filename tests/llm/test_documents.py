@@ -215,6 +215,31 @@ def test_added_tokens_are_read_as_the_tokenizer_reads_them():
     assert 49407 in plain.encode(texts[0], add_special_tokens=False).ids
 
 
+def test_words_are_read_as_the_library_reads_them_and_are_not_kept(monkeypatch):
+    import random
+    import tracemalloc
+
+    from tokenizers import Tokenizer
+
+    from tapmart.llm import packing
+
+    monkeypatch.setattr(packing, "RUN_BYTES", 1 << 18, raising=False)
+    plain, ours = Tokenizer.from_file(tokenizer()), WordTokenizer(tokenizer())
+    rng = random.Random(7)
+    letters = "aAzZ\u00c4\u00e4\u00df\u0149\u0130\u0131\u00c9,. .,\t\n\x0b\x1c\u00a0's09-\u0301\u03a3K\u8a9e\U0001f600"
+    texts = ["".join(rng.choices(letters, k=rng.randrange(30))) for _ in range(3_000)]
+    for text, ids in zip(texts, ours.encode(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text).ids + [2], text
+    words = ["".join(rng.choices("abcdefgh", k=12)) for _ in range(60_000)]
+    texts = [" ".join(words[i : i + 100]) for i in range(0, len(words), 100)]
+    list(ours.encode(texts[:5]))
+    tracemalloc.start()
+    assert sum(len(ids) for ids in ours.encode(texts)) > 4 * len(words)
+    held, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert held < 1_000_000
+
+
 def test_packer_balances_cost():
     packer = Packer(1000)
     rng = np.random.default_rng(3)
