@@ -23,7 +23,7 @@ END_ID = 2
 LINEAR, QUADRATIC = 1.0, 1.0 / LENGTH
 # Sequences that are filled together, and bytes of text whose words are read together.
 BLOCK_SEQUENCES = 768
-RUN_BYTES = 12 << 20
+RUN_BYTES = 8 << 20
 
 
 def cost(length):
@@ -83,8 +83,8 @@ class WordTokenizer:
     def _ids_of_stems(self, stems: pa.Array) -> pa.Array:
         """Many at a time, as one text of pieces. A piece ends with the one token that says so."""
         found = []
-        for start in range(0, len(stems), 20_000):
-            part = stems.slice(start, 20_000)
+        for start in range(0, len(stems), 5_000):
+            part = stems.slice(start, 5_000)
             text = " ".join(part.to_pylist())
             if not text.isascii():
                 raw = np.frombuffer(text.encode(), dtype=np.uint8)
@@ -115,8 +115,8 @@ class WordTokenizer:
             tail = pc.if_else(ending, pa.scalar(its_ids, pa.large_binary()), pa.scalar(b"", pa.large_binary()))
             ids = pc.binary_join_element_wise(ids, tail, pa.scalar(b"", pa.large_binary()))
         others, found = words.filter(pc.invert(plain)), [ids]
-        for start in range(0, len(others), 5_000):
-            made = self._whole(others.slice(start, 5_000).to_pylist())
+        for start in range(0, len(others), 2_000):
+            made = self._whole(others.slice(start, 2_000).to_pylist())
             found.append(pa.array(made, pa.large_binary()))
         order = np.argsort(~plain.to_numpy(zero_copy_only=False), kind="stable")
         place = np.empty(len(order), dtype=np.int64)
