@@ -27,6 +27,8 @@ SHARD_BYTES = 4
 # documents move them so many times.
 SAMPLE_DOCUMENTS = 3_000
 CLASS_ROUNDS = 5
+# Tables of byte planes are written in this way: planes that are mostly alike pack well.
+DENSE = {"spark.sql.parquet.compression.codec": "zstd"}
 END = np.frombuffer(b"\n", dtype=np.uint8)
 LOG10_2 = float(np.log10(2.0))
 
@@ -420,7 +422,8 @@ def score_documents(
     centres = _classes(given)
     listed = given.mapInArrow(_listed(places, centres), _DDL)
     listed = freeze(
-        listed.repartitionById(places, F.col("place")).mapInArrow(_merged, _DDL), "lm-lists"
+        listed.repartitionById(places, F.col("place")).mapInArrow(_merged, _DDL), "lm-lists",
+        settings=DENSE,
     )
     blocks = listed.where(F.col("kind") == _BLOCK).select(
         "block", "ids", "held", "tokens", "sizes", "bag_sizes", "bag"
@@ -457,7 +460,7 @@ def score_documents(
         .mapInArrow(_heads(places), _HEADS)
         .repartitionById(places, F.col("bucket"))
         .mapInArrow(_replied, _REPLIES),
-        "lm-heads",
+        "lm-heads", settings=DENSE,
     )
     shared_counts = spark.sparkContext.broadcast((counts, opening))
 
@@ -644,10 +647,12 @@ def _learned(mixer: Mixer, mass: float) -> pa.RecordBatch:
 
 
 def _added_up(learned: DataFrame, mixer: Mixer) -> Mixer:
-    """Weights of all shards averaged by the tokens behind them; what was seen is added up."""
-    rows = (
-        learned.withColumn("all", F.lit(1)).groupBy("all").applyInPandas(_averaged, _LEARNED).first()
-    )
+    """Weights of all shards averaged by the tokens behind them; what was seen is added up.
+
+    They are written, so that the shuffles behind them go before the next step makes its own.
+    """
+    summed = learned.withColumn("all", F.lit(1)).groupBy("all").applyInPandas(_averaged, _LEARNED)
+    rows = freeze(summed, "lm-learned").first()
     if rows and rows["mass"] > 0:
         mixer.weights = np.frombuffer(rows["weights"]).reshape(mixer.weights.shape) / rows["mass"]
         mixer.refined = np.frombuffer(rows["refined"]).reshape(mixer.refined.shape).copy()

@@ -156,3 +156,29 @@ def test_a_task_gives_memory_back_after_its_last_batch(monkeypatch):
     task = ngram_join._giving_back(lambda rows: iter(list(rows)))(iter(batches))
     assert [next(task) for _ in range(3)] == batches and not given
     assert list(task) == [] and given == ["back"]
+
+
+def test_adding_up_what_shards_learned_leaves_no_shuffle_files(spark):
+    from tapmart.llm import lm_scoring
+    from tapmart.llm.context_mixing import GATES, INPUTS, Mixer
+
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        return disk.getAllFiles().mkString("|").count("/shuffle_")
+
+    mixers = [Mixer(GATES, INPUTS) for _ in range(3)]
+    rows = []
+    for mass, mixer in enumerate(mixers, 1):
+        mixer.weights = mixer.weights + mass
+        learned = lm_scoring._learned(mixer, float(mass)).to_pylist()[0]
+        rows.append(tuple(learned[c] for c in ("weights", "refined", "mass")))
+    given = spark.createDataFrame(rows, "weights binary, refined binary, mass double")
+    had, end = files(), time.time() + 20
+    made = lm_scoring._added_up(given.repartition(3), Mixer(GATES, INPUTS))
+    while files() > had and time.time() < end:
+        time.sleep(0.2)
+    assert files() <= had
+    expected = sum(m.weights * mass for mass, m in enumerate(mixers, 1)) / 6
+    assert np.allclose(made.weights, expected)
+    assert np.array_equal(made.refined, sum(m.refined for m in mixers))
