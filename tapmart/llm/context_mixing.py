@@ -16,7 +16,7 @@ from functools import cached_property
 
 import numpy as np
 
-from tapmart.llm.tokens import mix
+from tapmart.llm.tokens import PIECE_BYTES, mix
 
 BLANK = 0x20
 # Kinds of text (languages, say) that documents are sorted into without labels.
@@ -36,6 +36,21 @@ EXACT_FROM = 4
 PAST_GATES = 8 * (EXACT_FROM + 1)
 
 
+def gathered(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The bytes of the given tokens one after the other, taken in runs of some ``PIECE_BYTES``."""
+    ends = np.cumsum(lengths)
+    found = np.empty(int(ends[-1]) if len(ends) else 0, dtype=np.uint8)
+    first = 0
+    while first < len(ends):
+        base = ends[first] - lengths[first]
+        stop = max(first + 1, int(np.searchsorted(ends, base + PIECE_BYTES, "right")))
+        length = lengths[first:stop]
+        inner = np.arange(length.sum()) - np.repeat(ends[first:stop] - length - base, length)
+        found[base : ends[stop - 1]] = data[np.repeat(starts[first:stop], length) + inner]
+        first = stop
+    return found
+
+
 @dataclass
 class Vocabulary:
     """Distinct pairs of a token and a class: bytes one after the other, lengths, training counts
@@ -59,9 +74,8 @@ class Vocabulary:
         return np.where(inside, self.data[np.minimum(at, len(self.data) - 1)], BLANK).astype(np.uint8)
 
     def take(self, rows: np.ndarray) -> "Vocabulary":
-        starts, lengths = self.starts[rows], self.lengths[rows]
-        inner = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        spelled = self.data[np.repeat(starts, lengths) + inner]
+        lengths = self.lengths[rows]
+        spelled = gathered(self.data, self.starts[rows], lengths)
         return Vocabulary(spelled, lengths, self.counts[rows], self.kinds[rows])
 
 
@@ -297,14 +311,16 @@ def _inputs_left_out(step: Step, counts: np.ndarray, part) -> tuple[np.ndarray,
 
 
 def token_logits(
-    words: Vocabulary, counts: np.ndarray, mixer: Mixer, opening, left_out: bool
+    words: Vocabulary, counts: np.ndarray, mixer: Mixer, opening, left_out: bool,
+    chosen: np.ndarray | None = None,
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """For every place and bit: the place, the tokens that go so far, their bits, and the refined
     logits of these given the class and the token's bytes so far. ``opening`` is of
-    ``opening_logits``; with ``left_out`` every token is left out of the counts once."""
-    rows = np.arange(len(words.lengths))
+    ``opening_logits``; with ``left_out`` every token is left out of the counts once. With
+    ``chosen`` only these tokens are given out."""
+    rows = np.arange(len(words.lengths)) if chosen is None else chosen
     lead = [words.byte(place, rows).astype(np.int64) for place in (0, 1)]
-    kinds = words.kinds.astype(np.int64)
+    kinds = words.kinds[rows].astype(np.int64)
     for place in (0, 1):
         before = kinds if place == 0 else kinds * 256 + lead[0]
         for depth in range(8):
@@ -317,7 +333,7 @@ def token_logits(
             yield place, rows, bits, x.astype(np.float32)
     refinement = mixer.refinement()
     size = 1 << 17
-    for step in steps(words):
+    for step in steps(words, chosen=chosen):
         found = np.zeros(len(step.rows), dtype=np.float32)
         for start in range(0, len(step.rows), size):
             part = slice(start, start + size)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -13,12 +15,12 @@ from pyspark.sql import functions as F
 
 from tapmart.llm.context_mixing import (
     CLASSES, EXACT_FROM, GATES, INPUTS, ORDERS, SLOTS, Mixer, Past, Vocabulary, fit_classes,
-    hashed_counts, head_counts, lexicographic, nearest, opening_logits, past_costs, past_mixer,
-    profile, token_logits, train_mixer, train_past,
+    gathered, hashed_counts, head_counts, lexicographic, nearest, opening_logits, past_costs,
+    past_mixer, profile, token_logits, train_mixer, train_past,
 )
-from tapmart.llm.common import uniform
-from tapmart.llm.tokens import Words, mix, pieces
-from tapmart.session import freeze
+from tapmart.llm.common import giving_back, uniform
+from tapmart.llm.tokens import PIECE_BYTES, Words, mix, pieces
+from tapmart.session import SMALL_BATCHES, freeze
 
 # Texts whose tokens are listed together, in bytes; and bytes of a token that choose its shard.
 BLOCK_BYTES = 8 << 20
@@ -27,8 +29,10 @@ SHARD_BYTES = 4
 # documents move them so many times.
 SAMPLE_DOCUMENTS = 3_000
 CLASS_ROUNDS = 5
-# Tables of byte planes are written in this way: planes that are mostly alike pack well.
-DENSE = {"spark.sql.parquet.compression.codec": "zstd"}
+# A shard takes about so many tokens at most, so that a task's memory does not grow with the corpus.
+SHARD_TOKENS = 1 << 20
+# Tokens are counted in at most about so many classes of beginnings before shards are dealt.
+LEAD_BUCKETS = 1 << 14
 END = np.frombuffer(b"\n", dtype=np.uint8)
 LOG10_2 = float(np.log10(2.0))
 
@@ -38,30 +42,152 @@ _KINDS = pa.schema(
         ("ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())),
         ("tokens", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())),
         ("bag_sizes", pa.list_(pa.int64())), ("bag", pa.binary()),
-        ("data", pa.binary()), ("lengths", pa.binary()), ("repeats", pa.binary()),
-        ("classes", pa.binary()), ("counts", pa.binary()), ("words", pa.binary()),
-        ("previous", pa.binary()), ("past_counts", pa.binary()),
-        ("blocks", pa.list_(pa.int64())), ("picks", pa.list_(pa.binary())), ("openings", pa.binary()),
+        ("shards", pa.list_(pa.int64())), ("packs", pa.list_(pa.binary())),
+        ("shard", pa.int64()), ("group", pa.int64()), ("parted", pa.bool_()),
+        ("vocabulary", pa.binary()), ("past", pa.binary()),
+        ("blocks", pa.list_(pa.int64())), ("picks", pa.binary()), ("openings", pa.binary()),
         ("train_tokens", pa.int64()), ("train_types", pa.int64()),
     ]
 )
 _DDL = (
     "kind int, place int, block bigint, ids array<bigint>, held array<boolean>, "
-    "tokens array<bigint>, sizes array<bigint>, bag_sizes array<bigint>, bag binary, data binary, "
-    "lengths binary, repeats binary, classes binary, counts binary, words binary, previous binary, "
-    "past_counts binary, blocks array<bigint>, picks array<binary>, openings binary, "
+    "tokens array<bigint>, sizes array<bigint>, bag_sizes array<bigint>, bag binary, "
+    "shards array<bigint>, packs array<binary>, shard bigint, group bigint, parted boolean, "
+    "vocabulary binary, past binary, blocks array<bigint>, picks binary, openings binary, "
     "train_tokens bigint, train_types bigint"
 )
 _BLOCK, _PACK, _SHARD = 0, 1, 2
 
 
+@dataclass(frozen=True)
+class Deal:
+    """How tokens are dealt to shards, and shards to tasks.
+
+    Beginnings of tokens are in groups, by hash. ``parts`` has the number of shards of each group: a
+    group of more tokens than a shard takes is parted by the token before, as what is counted of the
+    tokens before is counted of each alone. ``runs`` is the number of buckets of previous tokens that
+    a task takes one after the other.
+    """
+
+    places: int
+    parts: np.ndarray
+    runs: int = 1
+
+    @cached_property
+    def first(self) -> np.ndarray:
+        return np.cumsum(self.parts) - self.parts
+
+    @cached_property
+    def group(self) -> np.ndarray:
+        """Of each shard."""
+        return np.repeat(np.arange(len(self.parts)), self.parts)
+
+    def shard(self, group: np.ndarray, previous: np.ndarray) -> np.ndarray:
+        part = mix(previous ^ np.uint64(0x5DEECE66D)) % self.parts[group].astype(np.uint64)
+        return self.first[group] + part.astype(np.int64)
+
+    def place(self, shard: np.ndarray) -> np.ndarray:
+        group = self.group[shard]
+        return (group + shard - self.first[group]) % self.places
+
+    def parted(self, shard: int) -> bool:
+        return bool(self.parts[self.group[shard]] > 1)
+
+    def bucket(self, previous: np.ndarray) -> np.ndarray:
+        return (mix(previous + np.uint64(1)) % np.uint64(self.places * self.runs)).astype(np.int32)
+
+
+def deal(counts: np.ndarray, places: int) -> Deal:
+    """From the tokens in each bucket of beginnings, of which there are a power of two per place."""
+    total, groups = counts.sum(), places
+    while groups < len(counts) and total > groups * SHARD_TOKENS:
+        groups *= 2
+    load = counts.reshape(-1, groups).sum(axis=0)
+    return Deal(
+        places, np.maximum(1, np.ceil(load / SHARD_TOKENS)).astype(np.int64),
+        max(1, int(np.ceil(total / (2 * SHARD_TOKENS * places)))),
+    )
+
+
+def _dealt(given: DataFrame, places: int) -> Deal:
+    buckets = places
+    while buckets * 2 <= LEAD_BUCKETS:
+        buckets *= 2
+    summed = (
+        given.select("text").mapInArrow(giving_back(_led(buckets)), "stripe int, counts binary")
+        .groupBy("stripe").applyInPandas(_summed, "stripe int, counts binary")
+    ).toPandas().sort_values("stripe")
+    if not len(summed):
+        return deal(np.zeros(buckets), places)
+    return deal(np.concatenate([np.frombuffer(c, "<f8") for c in summed["counts"]]), places)
+
+
+def _led(buckets: int):
+    """How many tokens a task has in every bucket of beginnings, in stripes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(buckets)
+        end = _lead(END, np.zeros(1, np.int64), np.ones(1, np.int64), buckets)[0]
+        for batch in batches:
+            for _, part in pieces(batch.column("text")):
+                words = Words(part)
+                at = _lead(words.data, words.start, words.end - words.start, buckets)
+                total += np.bincount(at, minlength=buckets)
+                total[end] += len(part)
+        if total.any():
+            yield _striped(np.array_split(total, max(1, buckets >> 10)))
+
+    return run
+
+
+def _lead(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, groups: int) -> np.ndarray:
+    """The group of every token by its beginning."""
+    number = _number(data, starts, np.minimum(lengths, SHARD_BYTES))
+    return (number % np.uint64(groups)).astype(np.int64)
+
+
+def _striped(stripes) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.arange(len(stripes), dtype=np.int32)),
+            pa.array([s.astype("<f8").tobytes() for s in stripes], type=pa.binary()),
+        ],
+        ["stripe", "counts"],
+    )
+
+
+def _rows(**values) -> pa.RecordBatch:
+    """Rows with the given columns; the others are null."""
+    n = len(values["kind"])
+    return pa.RecordBatch.from_arrays(
+        [pa.array(values.get(f.name, [None] * n), type=f.type) for f in _KINDS], schema=_KINDS
+    )
+
+
 def _row(kind: int, place: int, **values) -> pa.RecordBatch:
-    arrays = [
-        pa.array([kind if f.name == "kind" else place if f.name == "place" else values.get(f.name)],
-                 type=f.type)
-        for f in _KINDS
-    ]
-    return pa.RecordBatch.from_arrays(arrays, schema=_KINDS)
+    return _rows(kind=[kind], place=[place], **{name: [value] for name, value in values.items()})
+
+
+_ZSTD = "zstd"
+
+
+def _packed(*fields) -> bytes:
+    """Arrays and bytes as one compressed value: neither shuffles nor the JVM see more of them."""
+    fields = [f if isinstance(f, bytes) else np.ascontiguousarray(f).tobytes() for f in fields]
+    plain = b"".join(fields)
+    head = np.array([len(fields), *map(len, fields)], dtype="<i8").tobytes()
+    return head + (pa.compress(plain, codec=_ZSTD, asbytes=True) if plain else b"")
+
+
+def _unpacked(value: bytes) -> list[memoryview]:
+    n = int(np.frombuffer(value, "<i8", 1)[0])
+    ends = np.cumsum(np.frombuffer(value, "<i8", n, 8)).tolist()
+    size = ends[-1] if ends else 0
+    plain = b""
+    if size:
+        plain = pa.decompress(memoryview(value)[8 * (n + 1) :], size, codec=_ZSTD, asbytes=True)
+    plain = memoryview(plain)
+    return [plain[a:b] for a, b in zip([0, *ends], ends)]
 
 
 def _planes(x: np.ndarray) -> bytes:
@@ -85,15 +211,25 @@ def _from_short(data: bytes) -> np.ndarray:
 
 
 def _number(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """A 64-bit number per token from its bytes."""
+    """A 64-bit number per token from its bytes. Tokens are taken in runs of some ``PIECE_BYTES``."""
+    found = np.zeros(len(starts), dtype=np.uint64)
     if not len(starts):
-        return np.zeros(0, dtype=np.uint64)
-    inner = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        return found
     power = np.full(int(lengths.max()), 0x9E3779B97F4A7C15, dtype=np.uint64)
     power[0] = 1
     power = np.multiply.accumulate(power)
-    value = mix(data[np.repeat(starts, lengths) + inner].astype(np.uint64) + np.uint64(1)) * power[inner]
-    return mix(np.add.reduceat(value, np.cumsum(lengths) - lengths))
+    ends = np.cumsum(lengths)
+    first = 0
+    while first < len(starts):
+        base = ends[first] - lengths[first]
+        stop = max(first + 1, int(np.searchsorted(ends, base + PIECE_BYTES, "right")))
+        start, length = starts[first:stop], lengths[first:stop]
+        opens = ends[first:stop] - length - base
+        inner = np.arange(length.sum()) - np.repeat(opens, length)
+        value = data[np.repeat(start, length) + inner].astype(np.uint64) + np.uint64(1)
+        found[first:stop] = mix(np.add.reduceat(mix(value) * power[inner], opens))
+        first = stop
+    return found
 
 
 def _tokens(words: Words):
@@ -111,10 +247,10 @@ def _tokens(words: Words):
     return data, start[order], length[order], text[order], number[order]
 
 
-def _listed(places: int, centres: np.ndarray):
+def _listed(dealt: Deal, centres: np.ndarray):
     """Texts to one row per block, with the bag of (token, class, previous token) of every document, and
-    one row per block and shard, with the block's distinct tokens, their classes, the tokens before
-    them and counts. The class is the document's."""
+    one row per block and place, with the packs of its shards: the block's distinct tokens, their
+    classes, the tokens before them and counts. The class is the document's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -125,22 +261,21 @@ def _listed(places: int, centres: np.ndarray):
             for offset, part in pieces(batch.column("text"), BLOCK_BYTES):
                 held = np.asarray(batch.column("held").slice(offset, len(part)))
                 ids = batch.column("id").slice(offset, len(part)).to_pylist()
-                yield from block_rows(part, ids, held, first + made, places, centres)
+                yield from block_rows(part, ids, held, first + made, dealt, centres)
                 made += 1
 
     return run
 
 
-def block_rows(part, ids, held, block: int, places: int, centres) -> Iterator[pa.RecordBatch]:
+def block_rows(part, ids, held, block: int, dealt: Deal, centres) -> Iterator[pa.RecordBatch]:
     listed = Words(part)
     data, start, length, text, number = _tokens(listed)
     kind = nearest(profile(listed.data, listed.offsets), centres)[text]
     words, at, of_word = np.unique(number, return_index=True, return_inverse=True)
     w_start, w_length = start[at], length[at]
-    lead = np.minimum(w_length, SHARD_BYTES)
-    shard = (_number(data, w_start, lead) % np.uint64(places)).astype(np.int64)
-    # Words in the order of their shards; items in the order of words, classes, previous tokens.
-    order = np.argsort(shard, kind="stable")
+    group = _lead(data, w_start, w_length, len(dealt.parts))
+    # Words in the order of their groups; items in the order of shards, words, classes, previous tokens.
+    order = np.argsort(group, kind="stable")
     rank = np.empty(len(order), dtype=np.int64)
     rank[order] = np.arange(len(order))
     # 0 stands before the first token of a text.
@@ -149,73 +284,108 @@ def block_rows(part, ids, held, block: int, places: int, centres) -> Iterator[pa
     pair = ((rank[of_word] * CLASSES + kind) << 32) | previous
     pairs, of_pair = np.unique(pair, return_inverse=True)
     counts = np.bincount(of_pair, weights=(~held)[text], minlength=len(pairs)).astype(np.int64)
-    bag, in_bag = np.unique((text.astype(np.int64) << 32) | of_pair, return_counts=True)
+    before = np.append(np.uint64(0), words)[pairs & 0xFFFFFFFF]
+    pairs >>= 32
+    shard = dealt.shard(group[order][pairs // CLASSES], before)
+    by_shard = np.argsort(shard, kind="stable")
+    place_of = np.empty(len(pairs), dtype=np.int64)
+    place_of[by_shard] = np.arange(len(pairs))
+    shard, pairs, before, counts = shard[by_shard], pairs[by_shard], before[by_shard], counts[by_shard]
+    bag, in_bag = np.unique((text.astype(np.int64) << 32) | place_of[of_pair], return_counts=True)
     owner, item = bag >> 32, bag & 0xFFFFFFFF
     step = np.diff(item, prepend=0)
     opens = np.ones(len(owner), dtype=bool)
     opens[1:] = owner[1:] != owner[:-1]
     step[opens] = item[opens]
     yield _row(
-        _BLOCK, int(block % places), block=block, ids=ids, held=held.tolist(),
+        _BLOCK, int(block % dealt.places), block=block, ids=ids, held=held.tolist(),
         tokens=np.bincount(text, minlength=len(ids)).tolist(), sizes=np.diff(listed.offsets).tolist(),
         bag_sizes=np.bincount(owner, minlength=len(ids)).tolist(),
-        bag=_planes(step) + _planes(in_bag),
+        bag=_packed(_planes(step), _planes(in_bag)),
     )
-    sorted_shard = shard[order]
     w_start, w_length = w_start[order], w_length[order]
-    before = np.append(np.uint64(0), words)[pairs & 0xFFFFFFFF]
-    pairs >>= 32
     pair_word = pairs // CLASSES
-    filled, opens = np.unique(sorted_shard, return_index=True)
-    closes = np.append(opens[1:], len(sorted_shard))
-    bounds = np.searchsorted(pair_word, np.append(opens, len(sorted_shard)))
-    for place, low, high, a, b in zip(filled, opens, closes, bounds[:-1], bounds[1:]):
-        lengths = w_length[low:high]
-        inner = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        spelled = data[np.repeat(w_start[low:high], lengths) + inner]
-        yield _row(
-            _PACK, int(place), block=block, data=spelled.tobytes(), lengths=_planes(lengths),
-            repeats=_planes(np.bincount(pair_word[a:b] - low, minlength=high - low)),
-            classes=(pairs[a:b] % CLASSES).astype(np.uint8).tobytes(), counts=_planes(counts[a:b]),
-            previous=_short(before[a:b]),
+    filled, opens = np.unique(shard, return_index=True)
+    packs: dict[int, tuple[list, list]] = {}
+    for own, place, a, b in zip(
+        filled.tolist(), dealt.place(filled).tolist(), opens, np.append(opens[1:], len(shard))
+    ):
+        named, repeats = np.unique(pair_word[a:b], return_counts=True)
+        shards, values = packs.setdefault(place, ([], []))
+        shards.append(own)
+        values.append(
+            _packed(
+                gathered(data, w_start[named], w_length[named]), _planes(w_length[named]),
+                _planes(repeats), (pairs[a:b] % CLASSES).astype(np.uint8), _planes(counts[a:b]),
+                _short(before[a:b]),
+            )
         )
+    yield _rows(
+        kind=[_PACK] * len(packs), place=list(packs), block=[block] * len(packs),
+        shards=[shards for shards, _ in packs.values()], packs=[values for _, values in packs.values()],
+    )
 
 
-def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _merged(dealt: Deal):
     """Pass blocks on; make one row per shard of its packs: its vocabulary with training counts, and
-    which of its tokens, in which classes, every block asks for."""
-    packs: dict[int, list[dict]] = {}
-    for batch in batches:
-        is_pack = pc.equal(batch.column("kind"), _PACK)
-        rest = batch.filter(pc.invert(is_pack))
-        if rest.num_rows:
-            yield rest
-        own = batch.filter(is_pack).select(
-            ["place", "block", "data", "lengths", "repeats", "classes", "counts", "previous"]
-        )
-        for row in own.to_pylist():
-            packs.setdefault(row["place"], []).append(row)
-    for place in sorted(packs):
-        yield _shard_row(place, sorted(packs.pop(place), key=lambda row: row["block"]))
+    which of its tokens, in which classes, every block asks for. Packs wait compressed; one shard
+    after the other is unpacked."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packs: dict[int, list[tuple[int, bytes]]] = {}
+        for batch in batches:
+            is_pack = pc.equal(batch.column("kind"), _PACK)
+            rest = batch.filter(pc.invert(is_pack))
+            if rest.num_rows:
+                yield rest
+            for row in batch.filter(is_pack).select(["block", "shards", "packs"]).to_pylist():
+                for shard, pack in zip(row["shards"], row["packs"]):
+                    packs.setdefault(shard, []).append((row["block"], pack))
+        for shard in sorted(packs):
+            yield _shard_row(shard, sorted(packs.pop(shard)), dealt)
 
-def _shard_row(place: int, rows: list[dict]) -> pa.RecordBatch:
-    data = np.frombuffer(b"".join(r["data"] for r in rows), np.uint8)
-    lengths = np.concatenate([_from_planes(r["lengths"]) for r in rows]).astype(np.int64)
+    return run
+
+
+def _joined(data, lengths: np.ndarray, of_word: np.ndarray, kinds: np.ndarray, counts: np.ndarray):
+    """Tokens, some of them equal, and entries of a token, a class and a count: the distinct tokens in
+    lexicographic order, the distinct pairs of a token's rank and a class as one number, the pair of
+    each entry, and the pairs' counts."""
     starts = np.cumsum(lengths) - lengths
-    _, at, of_word = np.unique(_number(data, starts, lengths), return_index=True, return_inverse=True)
+    _, at, number = np.unique(_number(data, starts, lengths), return_index=True, return_inverse=True)
     none = np.zeros(len(lengths))
     words = Vocabulary(data, lengths, none, none).take(at)
     order = lexicographic(words.data, words.lengths)
     rank = np.empty(len(order), dtype=np.int64)
     rank[order] = np.arange(len(order))
-    words = words.take(order)
-    repeats = np.concatenate([_from_planes(r["repeats"]) for r in rows])
-    kinds = np.concatenate([np.frombuffer(r["classes"], np.uint8) for r in rows])
-    count = np.concatenate([_from_planes(r["counts"]) for r in rows]).astype(np.float64)
-    before = np.concatenate([_from_short(r["previous"]) for r in rows])
-    pairs, of_pair = np.unique(np.repeat(rank[of_word], repeats) * CLASSES + kinds, return_inverse=True)
-    counts = np.bincount(of_pair, weights=count, minlength=len(pairs))
+    pairs, of_pair = np.unique(rank[number][of_word] * CLASSES + kinds, return_inverse=True)
+    return words.take(order), pairs, of_pair, np.bincount(of_pair, weights=counts, minlength=len(pairs))
+
+
+def _vocabulary_values(words: Vocabulary, pairs: np.ndarray, counts: np.ndarray) -> dict:
+    by_word = np.bincount(pairs // CLASSES, weights=counts, minlength=len(words.lengths))
+    return {
+        "vocabulary": _packed(
+            words.data, _planes(words.lengths), _planes(pairs // CLASSES),
+            (pairs % CLASSES).astype(np.uint8), counts.astype("<i8"),
+        ),
+        "train_tokens": int(by_word.sum()), "train_types": int((by_word > 0).sum()),
+    }
+
+
+def _shard_row(shard: int, packs: list[tuple[int, bytes]], dealt: Deal) -> pa.RecordBatch:
+    fields = [_unpacked(pack) for _, pack in packs]
+    data = np.frombuffer(b"".join(f[0] for f in fields), np.uint8)
+    lengths = np.concatenate([_from_planes(f[1]) for f in fields]).astype(np.int64)
+    repeats = np.concatenate([_from_planes(f[2]) for f in fields])
+    kinds = np.concatenate([np.frombuffer(f[3], np.uint8) for f in fields])
+    count = np.concatenate([_from_planes(f[4]) for f in fields]).astype(np.float64)
+    before = np.concatenate([_from_short(f[5]) for f in fields])
+    ends = np.cumsum([len(f[3]) for f in fields])
+    del fields
+    words, pairs, of_pair, counts = _joined(
+        data, lengths, np.repeat(np.arange(len(lengths)), repeats), kinds, count
+    )
     # Previous tokens one after the other, and pairs of each in lexicographic order.
     order_past = np.lexsort((of_pair, before))
     pair_at, before_at = of_pair[order_past], before[order_past]
@@ -224,23 +394,43 @@ def _shard_row(place: int, rows: list[dict]) -> pa.RecordBatch:
     pick = np.empty(len(order_past), dtype=np.int64)
     pick[order_past] = np.cumsum(new) - 1
     past_counts = np.bincount(pick, weights=count, minlength=int(new.sum()))
-    by_word = np.bincount(pairs // CLASSES, weights=counts, minlength=len(order))
     made = words.take(pairs // CLASSES)
     made.kinds = pairs % CLASSES
     used, inverse = np.unique(openings_of(made), return_inverse=True)
     opening = np.bincount(inverse, weights=counts, minlength=len(used))
-    ends = np.cumsum([len(r["classes"]) for r in rows])
     return _row(
-        _SHARD, place, data=words.data.tobytes(), lengths=_planes(words.lengths),
-        words=_planes(pairs // CLASSES), classes=made.kinds.astype(np.uint8).tobytes(),
-        counts=counts.astype("<i8").tobytes(), repeats=_planes(pair_at[new]),
-        previous=_short(before_at[new]), past_counts=past_counts.astype("<i8").tobytes(), blocks=[r["block"] for r in rows],
-        picks=[p.astype("<u4").tobytes() for p in np.split(pick, ends[:-1])],
+        _SHARD, int(dealt.place(np.array([shard]))[0]), shard=shard, group=int(dealt.group[shard]),
+        parted=dealt.parted(shard), **_vocabulary_values(words, pairs, counts),
+        past=_packed(_planes(pair_at[new]), _short(before_at[new]), past_counts.astype("<i8")),
+        blocks=[block for block, _ in packs],
+        picks=_packed(*(_planes(p) for p in np.split(pick, ends[:-1]))),
         openings=used.astype("<i8").tobytes() + opening.astype("<i8").tobytes(),
-        train_tokens=int(by_word.sum()), train_types=int((by_word > 0).sum()),
     )
 
 
+_WHOLE = "group bigint, vocabulary binary, train_tokens bigint, train_types bigint"
+
+
+def _wholes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The vocabulary of each group out of those of its shards, added one after the other."""
+    found: dict[int, dict] = {}
+    for batch in batches:
+        for row in batch.to_pylist():
+            known = found.get(row["group"])
+            both = [_unpacked(v["vocabulary"]) for v in (known, row) if v]
+            lengths = [_from_planes(f[1]).astype(np.int64) for f in both]
+            shift = np.cumsum([0, *map(len, lengths)])
+            words, pairs, _, counts = _joined(
+                np.frombuffer(b"".join(f[0] for f in both), np.uint8), np.concatenate(lengths),
+                np.concatenate([_from_planes(f[2]) + shift[i] for i, f in enumerate(both)]),
+                np.concatenate([np.frombuffer(f[3], np.uint8) for f in both]),
+                np.concatenate([np.frombuffer(f[4], "<i8") for f in both]).astype(np.float64),
+            )
+            found[row["group"]] = _vocabulary_values(words, pairs, counts)
+    for group in sorted(found):
+        yield pa.RecordBatch.from_pylist([{"group": group, **found.pop(group)}])
+
+
 def openings_of(words: Vocabulary) -> np.ndarray:
     """Class and first two bytes of each pair as one number."""
     rows = np.arange(len(words.lengths))
@@ -248,29 +438,36 @@ def openings_of(words: Vocabulary) -> np.ndarray:
     return words.kinds.astype(np.int64) * 65536 + lead
 
 
-_VOCABULARY = ["place", "data", "lengths", "words", "classes", "counts"]
-
-
-def _vocabulary(row) -> tuple[Vocabulary, np.ndarray]:
-    """The pairs of a shard, in lexicographic order, and the training count of each one's token."""
-    lengths = _from_planes(row["lengths"]).astype(np.int64)
+def _vocabulary(value: bytes) -> tuple[Vocabulary, np.ndarray]:
+    """The pairs of a vocabulary, in lexicographic order, and the training count of each one's token."""
+    data, lengths, of_word, kinds, counts = _unpacked(value)
+    lengths = _from_planes(lengths).astype(np.int64)
     none = np.zeros(len(lengths))
-    of_word = _from_planes(row["words"]).astype(np.int64)
-    pairs = Vocabulary(np.frombuffer(row["data"], np.uint8), lengths, none, none).take(of_word)
-    pairs.counts = np.frombuffer(row["counts"], "<i8").astype(np.float64)
-    pairs.kinds = np.frombuffer(row["classes"], np.uint8)
+    of_word = _from_planes(of_word).astype(np.int64)
+    pairs = Vocabulary(np.frombuffer(data, np.uint8), lengths, none, none).take(of_word)
+    pairs.counts = np.frombuffer(counts, "<i8").astype(np.float64)
+    pairs.kinds = np.frombuffer(kinds, np.uint8)
     return pairs, np.bincount(of_word, weights=pairs.counts, minlength=len(lengths))[of_word]
 
 
-_PAST = [*_VOCABULARY, "repeats", "previous", "past_counts"]
+def _found_in(own: Vocabulary, whole: Vocabulary) -> np.ndarray:
+    """The row in ``whole`` of every pair of ``own``."""
+
+    def numbers(words: Vocabulary) -> np.ndarray:
+        return mix(_number(words.data, words.starts, words.lengths) + words.kinds.astype(np.uint64))
+
+    known = numbers(whole)
+    order = np.argsort(known)
+    return order[np.searchsorted(known[order], numbers(own))]
 
 
-def _past(row, words: Vocabulary) -> tuple[Past, np.ndarray, np.ndarray]:
+def _past(value: bytes, words: Vocabulary) -> tuple[Past, np.ndarray]:
     """What follows which token in a shard; and of every head, which is a previous token and the
-    first bytes after it, in the order of ``_heads``, these and its training count."""
-    pair = _from_planes(row["repeats"]).astype(np.int64)
-    previous = _from_short(row["previous"])
-    counts = np.frombuffer(row["past_counts"], "<i8").astype(np.float64)
+    first bytes after it, in the order of rows, these and its training count."""
+    pair, previous, counts = _unpacked(value)
+    pair = _from_planes(pair).astype(np.int64)
+    previous = _from_short(previous)
+    counts = np.frombuffer(counts, "<i8").astype(np.float64)
     everyone = np.arange(len(words.lengths))
     lead = np.zeros(len(everyone), dtype=np.uint64)
     for place in range(EXACT_FROM):
@@ -281,79 +478,88 @@ def _past(row, words: Vocabulary) -> tuple[Past, np.ndarray, np.ndarray]:
     new[1:] = (previous[1:] != previous[:-1]) | (lead[1:] != lead[:-1])
     head = np.cumsum(new) - 1
     known = np.bincount(head, weights=counts, minlength=int(new.sum()))
-    return Past(pair, previous, counts, head, np.zeros((0, 0), np.uint8)), new, np.stack(
+    return Past(pair, previous, counts, head, np.zeros((0, 0), np.uint8)), np.stack(
         [previous[new], lead[new], known.astype(np.uint64)]
     )
 
 
-_HEADS = "place int, bucket int, previous binary, lead binary, counts binary"
-_REPLIES = "place int, bucket int, heads binary"
+_HEADS = "shard bigint, bucket int, heads binary"
+# In place of the bucket: the vocabulary of the shard's group.
+_OF_GROUP = -1
 
 
-def _heads(places: int):
+def _heads(dealt: Deal):
     """Heads of a shard, parted by previous token."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(batch.num_rows):
-                row = {name: batch.column(name)[at].as_py() for name in _PAST}
-                previous, lead, counts = _past(row, _vocabulary(row)[0])[2]
-                bucket = _bucket(previous, places)
+                row = {name: batch.column(name)[at].as_py() for name in ("shard", "vocabulary", "past")}
+                previous, lead, counts = _past(row["past"], _vocabulary(row["vocabulary"])[0])[1]
+                bucket = dealt.bucket(previous)
                 order = np.argsort(bucket, kind="stable")
                 filled, opens = np.unique(bucket[order], return_index=True)
                 parts = np.split(order, opens[1:])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([row["place"]] * len(parts), pa.int32()), pa.array(filled, pa.int32()),
-                        pa.array([_short(previous[p]) for p in parts], pa.binary()),
-                        pa.array([_planes(lead[p]) for p in parts], pa.binary()),
-                        pa.array([counts[p].astype("<i8").tobytes() for p in parts], pa.binary()),
-                    ],
-                    ["place", "bucket", "previous", "lead", "counts"],
-                )
+                values = [_packed(_short(previous[p]), _planes(lead[p]), counts[p].astype("<i8")) for p in parts]
+                yield _head_rows([row["shard"]] * len(parts), filled, values)
 
     return run
 
 
-def _bucket(previous: np.ndarray, places: int) -> np.ndarray:
-    return (mix(previous + np.uint64(1)) % np.uint64(places)).astype(np.int32)
+def _head_rows(shards, buckets, values) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(shards, pa.int64()), pa.array(buckets, pa.int32()), pa.array(values, pa.binary())],
+        ["shard", "bucket", "heads"],
+    )
 
 
 def _replied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """What followed each previous token, over all shards; back to each shard for its heads."""
-    asked: dict[int, list[dict]] = {}
+    """What followed each previous token, over all shards; back to each shard for its heads. One
+    bucket after the other is unpacked."""
+    asked: dict[int, list[tuple[int, bytes]]] = {}
     for batch in batches:
         for row in batch.to_pylist():
-            asked.setdefault(row["bucket"], []).append(row)
+            asked.setdefault(row["bucket"], []).append((row["shard"], row["heads"]))
     for bucket in sorted(asked):
         rows = asked.pop(bucket)
-        previous = [_from_short(r["previous"]) for r in rows]
+        fields = [_unpacked(value) for _, value in rows]
+        previous = [_from_short(f[0]) for f in fields]
         found = head_counts(
-            np.concatenate(previous), np.concatenate([_from_planes(r["lead"]) for r in rows]),
-            np.concatenate([np.frombuffer(r["counts"], "<i8") for r in rows]).astype(np.float64),
+            np.concatenate(previous), np.concatenate([_from_planes(f[1]) for f in fields]),
+            np.concatenate([np.frombuffer(f[2], "<i8") for f in fields]).astype(np.float64),
         )
         parts = np.split(found, np.cumsum([len(p) for p in previous])[:-1])
-        for row, part in zip(rows, parts):
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([row["place"]], pa.int32()), pa.array([bucket], pa.int32()),
-                    pa.array([np.ascontiguousarray(part.T).tobytes()], pa.binary()),
-                ],
-                ["place", "bucket", "heads"],
-            )
+        for (shard, _), part in zip(rows, parts):
+            yield _head_rows([shard], [bucket], [_packed(part.T)])
 
 
-def _with_heads(row, words: Vocabulary, replies: pd.DataFrame, places: int) -> Past:
-    past, _, heads = _past(row, words)
-    order = np.argsort(_bucket(heads[0], places), kind="stable")
+def _with_heads(past: Past, heads: np.ndarray, replies: pd.DataFrame, dealt: Deal) -> Past:
+    order = np.argsort(dealt.bucket(heads[0]), kind="stable")
     width = 16 * EXACT_FROM
     past.heads = np.empty((len(order), width), dtype=np.uint8)
-    past.heads[order] = np.concatenate(
-        [np.frombuffer(h, np.uint8).reshape(width, -1).T for h in replies.sort_values("bucket")["heads"]]
-    )
+    at = 0
+    for value in replies.sort_values("bucket")["heads"]:
+        part = np.frombuffer(_unpacked(value)[0], np.uint8).reshape(width, -1).T
+        past.heads[order[at : at + len(part)]] = part
+        at += len(part)
     return past
 
 
+def _opened(row, replied: pd.DataFrame, dealt: Deal) -> tuple:
+    """A shard: its words or those of its group, the training count of each one's token, what follows
+    which token, and the pairs that are the shard's own (None if all are)."""
+    words, by_word = _vocabulary(row["vocabulary"])
+    past, heads = _past(row["past"], words)
+    past = _with_heads(past, heads, replied[replied["bucket"] != _OF_GROUP], dealt)
+    chosen = None
+    if row["parted"]:
+        own = words
+        words, by_word = _vocabulary(replied.loc[replied["bucket"] == _OF_GROUP, "heads"].iloc[0])
+        at = _found_in(own, words)
+        past.pair, chosen = at[past.pair], np.sort(at)
+    return words, by_word, past, chosen
+
+
 def _each(columns: list[str], work):
     """Apply ``work`` to one shard row after the other."""
 
@@ -367,20 +573,23 @@ def _each(columns: list[str], work):
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The hashed counts of all shards of a task, in stripes."""
+    """The hashed counts of all shards of a task, in stripes. Small vocabularies are counted together."""
     table = np.zeros((len(ORDERS), SLOTS, 2))
+    waiting: list[Vocabulary] = []
     for batch in batches:
-        for at in range(batch.num_rows):
-            row = {name: batch.column(name)[at].as_py() for name in _VOCABULARY}
-            table += hashed_counts(_vocabulary(row)[0])
-    stripes = table.reshape(-1, 1 << 14)
-    yield pa.RecordBatch.from_arrays(
-        [
-            pa.array(np.arange(len(stripes), dtype=np.int32)),
-            pa.array([s.astype("<f8").tobytes() for s in stripes], type=pa.binary()),
-        ],
-        ["stripe", "counts"],
-    )
+        for value in batch.column("vocabulary"):
+            waiting.append(_vocabulary(value.as_py())[0])
+            if sum(len(words.lengths) for words in waiting) >= SLOTS:
+                table += hashed_counts(_together(waiting))
+                waiting = []
+    if waiting:
+        table += hashed_counts(_together(waiting))
+    yield _striped(table.reshape(-1, 1 << 14))
+
+
+def _together(parts: list[Vocabulary]) -> Vocabulary:
+    fields = ("data", "lengths", "counts", "kinds")
+    return Vocabulary(*(np.concatenate([getattr(words, name) for words in parts]) for name in fields))
 
 
 def _summed(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -407,7 +616,9 @@ def score_documents(
 
     The corpus is listed once: per block of texts the distinct tokens with the class of their
     document and the token before, sent to shards by the beginning of the token. A shard counts its tokens
-    exactly; its vocabulary grows with the corpus, and so does what it answers to the blocks. Only
+    exactly. Tokens are counted by beginning first, so that shards take about ``SHARD_TOKENS`` each: there
+    are more of them than tasks where need be, and beginnings of more tokens are parted by the token before;
+    their vocabulary, which is what still grows with the corpus, is then put together again. Only
     tables of a fixed size are broadcast: the hashed counts (``len(ORDERS) * 2 ** SLOT_BITS``
     slots), the openings of tokens by class, and the mixers' weights. However common a token is, a
     block sends it once per class and token before it. What follows a token and up to
@@ -419,22 +630,33 @@ def score_documents(
         F.col(id_column).cast("bigint").alias("id"), F.col(text).alias("text"),
         F.coalesce(held_out, F.lit(False)).alias("held"),
     )
+    dealt = _dealt(given, places)
     centres = _classes(given)
-    listed = given.mapInArrow(_listed(places, centres), _DDL)
+    listed = given.mapInArrow(giving_back(_listed(dealt, centres)), _DDL)
     listed = freeze(
-        listed.repartitionById(places, F.col("place")).mapInArrow(_merged, _DDL), "lm-lists",
-        settings=DENSE,
+        listed.repartitionById(places, F.col("place")).mapInArrow(giving_back(_merged(dealt)), _DDL),
+        "lm-lists", settings=SMALL_BATCHES,
     )
     blocks = listed.where(F.col("kind") == _BLOCK).select(
         "block", "ids", "held", "tokens", "sizes", "bag_sizes", "bag"
     )
     shards = listed.where(F.col("kind") == _SHARD)
-    size = shards.agg(F.sum("train_tokens"), F.sum("train_types")).first()
+    vocabularies, wholes = shards, None
+    if dealt.parts.max() > 1:
+        columns = ["group", "vocabulary", "train_tokens", "train_types"]
+        wholes = freeze(
+            shards.where("parted").select("group", "vocabulary")
+            .repartitionById(places, (F.col("group") % places).cast("int"))
+            .mapInArrow(giving_back(_wholes), _WHOLE),
+            "lm-words", settings=SMALL_BATCHES,
+        )
+        vocabularies = shards.where("NOT parted").select(*columns).union(wholes.select(*columns))
+    size = vocabularies.agg(F.sum("train_tokens"), F.sum("train_types")).first()
     tokens, types = int(size[0] or 0), int(size[1] or 0)
 
     few = max(1, int(2 * np.sqrt(places)))
     stripes = (
-        shards.select(*_VOCABULARY)
+        vocabularies.select("vocabulary")
         .coalesce(few)
         .mapInArrow(_counted, "stripe int, counts binary")
         .groupBy("stripe")
@@ -456,28 +678,35 @@ def score_documents(
     opening = opening_logits(openings.reshape(CLASSES, 65536))
     opening = [tuple(x.astype(np.float32) for x in tables) for tables in opening]
     replies = freeze(
-        shards.select(*_PAST)
-        .mapInArrow(_heads(places), _HEADS)
-        .repartitionById(places, F.col("bucket"))
-        .mapInArrow(_replied, _REPLIES),
-        "lm-heads", settings=DENSE,
+        shards.select("shard", "vocabulary", "past")
+        .mapInArrow(giving_back(_heads(dealt)), _HEADS)
+        .repartitionById(places, F.col("bucket") % places)
+        .mapInArrow(giving_back(_replied), _HEADS),
+        "lm-heads", settings=SMALL_BATCHES,
     )
+    if wholes is not None:
+        # Every shard of a group gets the vocabulary of the whole group.
+        group_of = [(int(g), int(k)) for k, g in enumerate(dealt.group) if dealt.parts[g] > 1]
+        own = F.broadcast(spark.createDataFrame(group_of, "group bigint, shard bigint"))
+        replies = replies.union(
+            wholes.join(own, "group").select("shard", F.lit(_OF_GROUP), F.col("vocabulary"))
+        )
     shared_counts = spark.sparkContext.broadcast((counts, opening))
 
     def fit(row) -> pa.RecordBatch:
-        words, _ = _vocabulary(row)
+        words, _ = _vocabulary(row["vocabulary"])
         return _learned(train_mixer(words, shared_counts.value[0]), float(words.counts.sum()))
 
     mixer = _added_up(
-        shards.select(*_VOCABULARY).mapInArrow(_each(_VOCABULARY, fit), _LEARNED), Mixer(GATES, INPUTS)
+        vocabularies.select("vocabulary").mapInArrow(_each(["vocabulary"], fit), _LEARNED),
+        Mixer(GATES, INPUTS),
     )
     shared_mixer = spark.sparkContext.broadcast(mixer)
 
     def fit_past(row, replied) -> pa.RecordBatch:
-        words, _ = _vocabulary(row)
-        past = _with_heads(row, words, replied, places)
+        words, _, past, chosen = _opened(row, replied, dealt)
         table, opened = shared_counts.value
-        logits = token_logits(words, table, shared_mixer.value, opened, True)
+        logits = token_logits(words, table, shared_mixer.value, opened, True, chosen)
         return _learned(train_past(words, past, logits), float(past.counts.sum()))
 
     def with_replies(columns: list[str], work, ddl: str) -> DataFrame:
@@ -485,53 +714,48 @@ def score_documents(
             return pd.concat([work(row, replied).to_pandas() for row in asking.to_dict("records")])
 
         return (
-            shards.select(*columns).groupBy("place").cogroup(replies.groupBy("place"))
-            .applyInPandas(run, ddl)
+            shards.select("shard", "parted", "vocabulary", "past", *columns).groupBy("shard")
+            .cogroup(replies.groupBy("shard")).applyInPandas(run, ddl)
         )
 
     shared_past = spark.sparkContext.broadcast(
-        _added_up(with_replies(_PAST, fit_past, _LEARNED), past_mixer())
+        _added_up(with_replies([], fit_past, _LEARNED), past_mixer())
     )
 
     def answer(row, replied) -> pa.RecordBatch:
         table, opened = shared_counts.value
-        words, by_word = _vocabulary(row)
-        past = _with_heads(row, words, replied, places)
-        logits = token_logits(words, table, shared_mixer.value, opened, False)
-        bits = past_costs(words, past, logits, shared_past.value)
-        value, seen = [], []
-        for pick in row["picks"]:
-            at = np.frombuffer(pick, "<u4").astype(np.int64)
-            value.append(bits[at].astype("<f4").tobytes())
+        words, by_word, past, chosen = _opened(row, replied, dealt)
+        logits = token_logits(words, table, shared_mixer.value, opened, False, chosen)
+        bits = past_costs(words, past, logits, shared_past.value).astype("<f4")
+        values = []
+        for pick in _unpacked(row["picks"]):
+            at = _from_planes(pick).astype(np.int64)
             count = by_word[past.pair[at]].astype(np.int64)
             small = not len(count) or count.max() < 2**32
-            seen.append(count.astype("<u4" if small else "<i8").tobytes())
-        n = len(value)
+            values.append(_packed(bits[at], _planes(count) if small else count.astype("<i8")))
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(row["blocks"], type=pa.int64()), pa.array([row["place"]] * n, type=pa.int32()),
-                pa.array(value, type=pa.binary()), pa.array(seen, type=pa.binary()),
+                pa.array(row["blocks"], type=pa.int64()),
+                pa.array([row["shard"]] * len(values), type=pa.int64()),
+                pa.array(values, type=pa.binary()),
             ],
-            ["block", "place", "bits", "seen"],
+            ["block", "shard", "found"],
         )
 
-    answers = with_replies(
-        [*_PAST, "blocks", "picks"], answer, "block bigint, place int, bits binary, seen binary"
-    )
+    answers = with_replies(["blocks", "picks"], answer, "block bigint, shard bigint, found binary")
 
     def put_together(asked: pd.DataFrame, answered: pd.DataFrame) -> pd.DataFrame:
-        answered = answered.sort_values("place")
-        bits = np.concatenate([np.frombuffer(b, "<f4") for b in answered["bits"]]).astype(np.float64)
+        fields = [_unpacked(value) for value in answered.sort_values("shard")["found"]]
+        bits = np.concatenate([np.frombuffer(b, "<f4") for b, _ in fields]).astype(np.float64)
         seen = np.concatenate(
             [
-                np.frombuffer(s, "<u4" if len(s) == len(b) else "<i8").astype(np.int64)
-                for b, s in zip(answered["bits"], answered["seen"])
+                _from_planes(s).astype(np.int64) if len(s) == len(b) else np.frombuffer(s, "<i8")
+                for b, s in fields
             ]
         )
         found = []
         for row in asked.itertuples(index=False):
-            half = len(row.bag) // 2
-            step, many = _from_planes(row.bag[:half]), _from_planes(row.bag[half:])
+            step, many = map(_from_planes, _unpacked(row.bag))
             sizes = np.asarray(row.bag_sizes)
             opens = np.cumsum(sizes) - sizes
             running = np.cumsum(step.astype(np.int64))
