@@ -17,6 +17,8 @@ from tapmart.llm.components import components
 from tapmart.llm.tokens import Words, mix, pieces
 from tapmart.session import SMALL_BATCHES, freeze
 
+# The name it had while it was part of this module.
+_giving_back = giving_back
 WIDTH = 3
 PERCENT = 90
 # Fixed sizes of what all tasks get: bits of the map of candidates, cells of the element counts.
