@@ -98,8 +98,15 @@ class Deal:
 
 
 def deal(counts: np.ndarray, places: int) -> Deal:
-    """From the tokens in each bucket of beginnings, of which there are a power of two per place."""
-    total, groups = counts.sum(), places
+    """From the tokens in each bucket of beginnings, of which there are a power of two per place.
+
+    A task keeps what blocks send to its shards until it has all of it, so where partitions are few for
+    the input there are more tasks than partitions.
+    """
+    total = counts.sum()
+    while places < len(counts) and total > 4 * places * SHARD_TOKENS:
+        places *= 2
+    groups = places
     while groups < len(counts) and total > groups * SHARD_TOKENS:
         groups *= 2
     load = counts.reshape(-1, groups).sum(axis=0)
@@ -631,10 +638,11 @@ def score_documents(
         F.coalesce(held_out, F.lit(False)).alias("held"),
     )
     dealt = _dealt(given, places)
+    tasks = dealt.places
     centres = _classes(given)
     listed = given.mapInArrow(giving_back(_listed(dealt, centres)), _DDL)
     listed = freeze(
-        listed.repartitionById(places, F.col("place")).mapInArrow(giving_back(_merged(dealt)), _DDL),
+        listed.repartitionById(tasks, F.col("place")).mapInArrow(giving_back(_merged(dealt)), _DDL),
         "lm-lists", settings=SMALL_BATCHES,
     )
     blocks = listed.where(F.col("kind") == _BLOCK).select(
@@ -646,7 +654,7 @@ def score_documents(
         columns = ["group", "vocabulary", "train_tokens", "train_types"]
         wholes = freeze(
             shards.where("parted").select("group", "vocabulary")
-            .repartitionById(places, (F.col("group") % places).cast("int"))
+            .repartitionById(tasks, (F.col("group") % tasks).cast("int"))
             .mapInArrow(giving_back(_wholes), _WHOLE),
             "lm-words", settings=SMALL_BATCHES,
         )
@@ -680,7 +688,7 @@ def score_documents(
     replies = freeze(
         shards.select("shard", "vocabulary", "past")
         .mapInArrow(giving_back(_heads(dealt)), _HEADS)
-        .repartitionById(places, F.col("bucket") % places)
+        .repartitionById(tasks, F.col("bucket") % tasks)
         .mapInArrow(giving_back(_replied), _HEADS),
         "lm-heads", settings=SMALL_BATCHES,
     )

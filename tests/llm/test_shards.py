@@ -89,6 +89,7 @@ def test_a_shard_of_a_common_beginning_is_bounded(monkeypatch):
     counts = led(given, 256)
     assert counts.sum() == 100 * 401
     dealt = lm_scoring.deal(counts, 4)
+    assert dealt.places == 8
     rows = [s.to_pylist()[0] for s in shard_rows(given, dealt)[0]]
     sizes = [sum(len(p) // 4 for p in lm_scoring._unpacked(r["picks"])) for r in rows]
     assert max(sizes) < 1.3 * 2_000
@@ -97,7 +98,7 @@ def test_a_shard_of_a_common_beginning_is_bounded(monkeypatch):
     # Parts of one beginning go to different tasks.
     group = int(dealt.parts.argmax())
     first = dealt.first[group]
-    assert len(set(dealt.place(np.arange(first, first + dealt.parts[group])).tolist())) == 4
+    assert len(set(dealt.place(np.arange(first, first + dealt.parts[group])).tolist())) > 3
 
 
 def test_parting_changes_no_code_length():
